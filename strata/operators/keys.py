@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import checkpoint_dir
+
 CODE_BYTES = 6  # 48 bits: exact in a double
 
 
@@ -60,10 +62,20 @@ def order_code(df: DataFrame, col: str) -> Column:
 
 
 def assign_dense(df: DataFrame, order_cols: list[str], sk_col: str, start: int = 0,
-                 buckets: int | None = None, rel_err: float = 0.001) -> DataFrame:
-    """Add ``sk_col`` = start + global 1-based rank by ``order_cols``."""
+                 buckets: int | None = None, rel_err: float = 0.001,
+                 materialize: bool = True) -> DataFrame:
+    """Add ``sk_col`` = start + global 1-based rank by ``order_cols``.
+
+    With ``materialize`` the input is checkpointed first (reliable
+    checkpoint in ``spark.checkpoint.dir``): the statistics passes and the
+    numbering then read it instead of recomputing its lineage three times,
+    and a lost executor cannot change which rows get which key.
+    """
     spark = df.sparkSession
     n = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if materialize:
+        checkpoint_dir(spark)
+        df = df.checkpoint(eager=True)
     coded = df.withColumn("_sk_code", F.coalesce(order_code(df, order_cols[0]), F.lit(-1.0)))
     if n > 1:
         probs = [i / n for i in range(1, n)]
@@ -72,9 +84,12 @@ def assign_dense(df: DataFrame, order_cols: list[str], sk_col: str, start: int =
     else:
         bounds = []
     splits = [-math.inf] + bounds + [math.inf]
-    bucketed = Bucketizer(splits=splits, inputCol="_sk_code", outputCol="_sk_b",
-                          handleInvalid="keep").transform(coded)
-    bucketed = bucketed.withColumn("_sk_b", F.col("_sk_b").cast("int"))
+    if bounds:
+        bucketed = Bucketizer(splits=splits, inputCol="_sk_code", outputCol="_sk_b",
+                              handleInvalid="keep").transform(coded)
+        bucketed = bucketed.withColumn("_sk_b", F.col("_sk_b").cast("int"))
+    else:  # one bucket (single distinct code or empty input)
+        bucketed = coded.withColumn("_sk_b", F.lit(0))
     counts = {r["_sk_b"]: r["count"] for r in bucketed.groupBy("_sk_b").count().collect()}
     nb = len(splits) - 1 + 1  # + the NaN bucket of handleInvalid="keep"
     offsets, acc = [], 0
