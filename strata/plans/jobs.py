@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import traceback
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +35,7 @@ class Run:
 
     @classmethod
     def start(cls, environment: str = "dev", now: datetime | None = None) -> "Run":
-        now = now or datetime.utcnow().replace(microsecond=0)
+        now = now or datetime.now(timezone.utc).replace(tzinfo=None).replace(microsecond=0)
         return cls(now.strftime("%Y%m%d_%H%M%S"), now, environment, load_config(environment))
 
 
@@ -75,7 +75,7 @@ def run_dq(spark: SparkSession, bronze: DataFrame, rule: dict, source_table: str
            quarantine_table: str | None, metrics_table: str | None, run: Run, **kw) -> dict:
     """Bronze -> silver with writes.  Counts come from observations on the
     two writes; the evaluated frame is persisted because both writes use it."""
-    start = datetime.utcnow()
+    start = datetime.now(timezone.utc).replace(tzinfo=None)
     f = dq_frames(bronze, rule, source_table, run, **kw)
     f.evaluated.persist()
     try:
@@ -92,7 +92,7 @@ def run_dq(spark: SparkSession, bronze: DataFrame, rule: dict, source_table: str
             io.append(f.quarantine, quarantine_table)
     finally:
         f.evaluated.unpersist()
-    end = datetime.utcnow()
+    end = datetime.now(timezone.utc).replace(tzinfo=None)
     out = {"records_read": stats["read"], "records_failed": stats["failed"], "records_rejected": stats["rejected"],
            "records_written": written, "duplicates_removed": stats["read"] - stats["failed"] - written}
     if metrics_table:
@@ -113,7 +113,7 @@ def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: s
              metrics_table: str | None, run: Run) -> dict:
     """Silver -> gold: classify + merge in one plan, written as a new version,
     checked there, then published.  Duplicate business keys fail the run."""
-    start = datetime.utcnow()
+    start = datetime.now(timezone.utc).replace(tzinfo=None)
     spec = scd2.ScdSpec.from_rule(rule)
     if scd2.duplicate_keys(silver, spec).limit(1).count():
         raise ValueError(f"{source_table}: duplicate business keys; deduplicate first")
@@ -135,7 +135,7 @@ def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: s
     io.set_current(spark, target, run.run_id)
     if c["scd_inserts"] is None:
         c["scd_inserts"] = written.count()
-    end = datetime.utcnow()
+    end = datetime.now(timezone.utc).replace(tzinfo=None)
     read = silver.count()
     if metrics_table:
         io.append(monitor.metrics_row(spark, run.run_id, f"silver_to_gold_{source_table}", "silver_to_gold",

@@ -57,6 +57,10 @@ def version_path(table: str, run_id: str) -> str:
 
 
 def write_version(spark: SparkSession, df: DataFrame, table: str, run_id: str) -> str:
+    """Write version ``run_id``; a retry of an unpublished run rewrites it,
+    the published version is never overwritten under its readers."""
+    if current_version(spark, table) == run_id:
+        raise ValueError(f"{table}: version {run_id} is published; start a new run id")
     path = version_path(table, run_id)
     df.write.mode("overwrite").parquet(path)
     return path
