@@ -3,101 +3,50 @@
 ``assign_dense`` numbers rows ``start + 1, start + 2, ...`` in the order of
 ``order_cols``:
 
-1. an order-preserving numeric code of the first order column (numbers as
-   they are; strings as the 6 bytes after the prefix all values share);
-2. bucket bounds from ``approxQuantile`` on that code (n - 1 doubles to the
-   driver) and a deterministic ``Bucketizer`` (binary search on the JVM), so a
-   recomputed task puts every row in the same bucket;
-3. rows per bucket (one small aggregate, at most n rows to the driver) give
-   each bucket's offset as a literal array;
-4. ``row_number`` inside each bucket, ordered by ``order_cols``.
-
-The bucket function is monotone in the key, so offset + rank inside the
-bucket equals the global rank.  Buckets are balanced by the quantiles; equal
-codes share a bucket, so a key value repeated on a third of the rows lands in
-one task (ties need a tie-breaker column anyway, and surrogate keys are
-assigned to unique business keys).
+1. ``repartitionByRange`` over the whole order tuple (Spark samples the
+   bounds; ties in the first column are split by the next ones) and a sort
+   inside each partition;
+2. a reliable ``checkpoint`` fixes that layout: every later read sees the
+   same rows in the same partitions in the same order, also after a lost
+   executor (the sample is never redrawn);
+3. rows per partition (one small aggregate: at most n rows to the driver)
+   give each partition's offset as a literal array;
+4. the key is offset + position inside the partition, read from
+   ``monotonically_increasing_id`` (partition index in the upper bits, row
+   position in the lower 33), so the numbering itself is narrow: no shuffle.
+
+Range bounds split ordered values evenly, so partitions are balanced; only
+rows equal in the *whole* order tuple share a partition, and surrogate keys
+go to unique business keys.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.session import checkpoint_dir
 
-CODE_BYTES = 6  # 48 bits: exact in a double
-
-
-def _common_prefix(a: str, b: str) -> int:
-    n = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        n += 1
-    return n
-
-
-def order_code(df: DataFrame, col: str) -> Column:
-    """A double that never decreases when ``col`` increases."""
-    dt = df.schema[col].dataType
-    if isinstance(dt, (T.NumericType,)):
-        return F.col(col).cast("double")
-    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
-    if isinstance(dt, T.StringType):
-        mm = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-        skip = 0
-        if mm.lo is not None and mm.hi is not None:
-            # characters shared by min and max are shared by every value in between
-            skip = len(mm.lo[:_common_prefix(mm.lo, mm.hi)].encode("utf-8"))
-        raw = F.substring(F.encode(F.col(col), "UTF-8"), skip + 1, CODE_BYTES)
-        hexed = F.rpad(F.hex(raw), 2 * CODE_BYTES, "0")
-        return F.conv(hexed, 16, 10).cast("double")
-    raise TypeError(f"cannot order-code a {dt.simpleString()} column")
+ROW_BITS = 33  # monotonically_increasing_id: partition index << 33 | row position
 
 
 def assign_dense(df: DataFrame, order_cols: list[str], sk_col: str, start: int = 0,
-                 buckets: int | None = None, rel_err: float = 0.001,
-                 materialize: bool = True) -> DataFrame:
-    """Add ``sk_col`` = start + global 1-based rank by ``order_cols``.
-
-    With ``materialize`` the input is checkpointed first (reliable
-    checkpoint in ``spark.checkpoint.dir``): the statistics passes and the
-    numbering then read it instead of recomputing its lineage three times,
-    and a lost executor cannot change which rows get which key.
-    """
+                 partitions: int | None = None) -> DataFrame:
+    """Add ``sk_col`` = start + global 1-based rank by ``order_cols`` (asc, nulls first)."""
     spark = df.sparkSession
-    n = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    if materialize:
-        checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
-    coded = df.withColumn("_sk_code", F.coalesce(order_code(df, order_cols[0]), F.lit(-1.0)))
-    if n > 1:
-        probs = [i / n for i in range(1, n)]
-        qs = coded.stat.approxQuantile("_sk_code", probs, rel_err)
-        bounds = sorted({q for q in qs if q is not None and not math.isnan(q)})
-    else:
-        bounds = []
-    splits = [-math.inf] + bounds + [math.inf]
-    if bounds:
-        bucketed = Bucketizer(splits=splits, inputCol="_sk_code", outputCol="_sk_b",
-                              handleInvalid="keep").transform(coded)
-        bucketed = bucketed.withColumn("_sk_b", F.col("_sk_b").cast("int"))
-    else:  # one bucket (single distinct code or empty input)
-        bucketed = coded.withColumn("_sk_b", F.lit(0))
-    counts = {r["_sk_b"]: r["count"] for r in bucketed.groupBy("_sk_b").count().collect()}
-    nb = len(splits) - 1 + 1  # + the NaN bucket of handleInvalid="keep"
+    n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    checkpoint_dir(spark)
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    laid = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    pid = F.spark_partition_id()
+    counts = {r["_p"]: r["_n"] for r in laid.groupBy(pid.alias("_p")).agg(F.count(F.lit(1)).alias("_n")).collect()}
+    n_parts = laid.rdd.getNumPartitions()
     offsets, acc = [], 0
-    for b in range(nb):
+    for p in range(n_parts):
         offsets.append(acc)
-        acc += counts.get(b, 0)
-    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_sk_b") + 1)
-    w = Window.partitionBy("_sk_b").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-    return (bucketed
-            .withColumn(sk_col, F.lit(start).cast("long") + off + F.row_number().over(w))
-            .drop("_sk_code", "_sk_b"))
+        acc += counts.get(p, 0)
+    mono = F.monotonically_increasing_id()
+    position = mono - F.shiftleft(F.shiftright(mono, ROW_BITS), ROW_BITS)
+    offset = F.element_at(F.array(*([F.lit(o).cast("long") for o in offsets] or [F.lit(0).cast("long")])),
+                          pid + 1)
+    return laid.withColumn(sk_col, F.lit(start).cast("long") + offset + position + 1)

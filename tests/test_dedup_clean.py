@@ -68,3 +68,19 @@ def test_validate_before_dedup(spark):
     got = {r.contactid: r.emailaddress1 for r in f.silver.collect()}
     assert got == {"1": "max@x.de", "2": "eva2@x.de"}
     assert f.quarantine.count() == 1
+
+
+def test_as_of_lookup_with_hot_key(spark):
+    from pyspark.sql import functions as F
+    from strata.operators import gold
+    # key 'h' holds most facts; versions change every 100 "days"
+    facts = spark.range(0, 3000).selectExpr("id AS fid", "CASE WHEN id % 3 = 0 THEN 'c' ELSE 'h' END AS k",
+                                            "timestamp_seconds(id * 86400) AS ts")
+    dim = spark.createDataFrame(
+        [(i + 1, "h", i * 100, (i + 1) * 100) for i in range(30)] + [(100, "c", 0, 10 ** 6)],
+        "sk long, k string, f long, t long").selectExpr(
+        "sk", "k", "timestamp_seconds(f * 86400) AS valid_from", "timestamp_seconds(t * 86400) AS valid_to")
+    got = gold.as_of_lookup(facts, dim, "k", "k", "ts", "sk", hot_share=0.01)
+    exp = facts.join(dim, (facts.k == dim.k) & (facts.ts >= dim.valid_from) & (facts.ts < dim.valid_to), "left") \
+        .select("fid", F.coalesce("sk", F.lit(-1)).alias("sk"))
+    assert sorted((r.fid, r.sk) for r in got.collect()) == sorted((r.fid, r.sk) for r in exp.collect())
