@@ -122,3 +122,19 @@ def monthly_yoy(df: DataFrame, ts_col: str, value: Column | None = None) -> Data
     prev = cur.select(F.add_months("month", 12).alias("month"), F.col("n").alias("n_prev_year"))
     return (cur.join(prev, "month", "left")
             .withColumn("yoy_change", F.col("n") - F.col("n_prev_year")))
+
+
+def enrich(dim: DataFrame, meta: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
+    """A dimension with the attributes of a lookup table (join strategy left
+    to Spark/AQE: it broadcasts the lookup only when its size is known small)."""
+    return dim.join(meta, on, how)
+
+
+def participation(df: DataFrame, group_by: list[str], current: str, maximum: str) -> DataFrame:
+    """Participants and fill rate per group; a group with no capacity has no rate."""
+    return (df.groupBy(*group_by)
+            .agg(F.count(F.lit(1)).alias("courses"), F.sum(current).alias("participants"),
+                 F.sum(maximum).alias("capacity"))
+            .withColumn("fill_rate_pct", F.when(F.col("capacity") > 0,
+                                                F.round(F.col("participants") * 100.0 / F.col("capacity"), 2)
+                                                .cast("double"))))

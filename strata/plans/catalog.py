@@ -798,6 +798,163 @@ UNION ALL SELECT 'quarantine_spike', source_table, d, CAST(n AS DOUBLE), round(a
   WHERE d = DATE '{TODAY}' AND n > 3.0 * avg7"""
 
 
+# ============================================================================ more reports
+
+# Retry policy per error type (type, retryable, max retries).
+RETRY_POLICY = [("email_invalid", False, None), ("network_timeout", True, 3), ("null_constraint", False, None)]
+
+
+def q_retry_eligibility(spark, sf):
+    policy = spark.createDataFrame(RETRY_POLICY, "error_type string, retryable boolean, max_retries int")
+    q = quarantine.retry_eligibility(_spark_quarantine(spark, sf), policy)
+    return q.groupBy("error_type", "retryable", "max_retries").agg(F.count(F.lit(1)).alias("records"))
+
+
+O_RETRY_ELIGIBILITY = f"""WITH {D_QUARANTINE},
+  p AS (SELECT * FROM (VALUES ('email_invalid', false, NULL), ('network_timeout', true, 3),
+                              ('null_constraint', false, NULL)) t(error_type, retryable, max_retries))
+SELECT q.error_type, coalesce(p.retryable, false) AS retryable, CAST(p.max_retries AS INTEGER) AS max_retries,
+  count(*) AS records FROM q LEFT JOIN p ON q.error_type = p.error_type GROUP BY ALL"""
+
+
+def q_quarantine_trend(spark, sf):
+    return quarantine.trend(_qrows(spark, sf), TODAY, 7)
+
+
+O_QUARANTINE_TREND = f"""WITH {D_Q}
+SELECT CAST(created_at AS DATE) AS error_date, error_type, count(*) AS error_count FROM q
+WHERE created_at >= DATE '{TODAY}' - INTERVAL 7 DAYS GROUP BY ALL"""
+
+
+def q_quarantine_email_errors(spark, sf):
+    q = quarantine.select_errors(_spark_quarantine(spark, sf), "email_invalid", RUN.run_ts, "new")
+    return q.select(F.get_json_object("raw_record", "$.contactid").alias("contactid"),
+                    F.get_json_object("raw_record", "$.emailaddress1").alias("emailaddress1"), "error_message")
+
+
+O_QUARANTINE_EMAIL_ERRORS = f"""WITH {D_QUARANTINE}
+SELECT contactid, emailaddress1, error_message FROM q WHERE error_type = 'email_invalid' AND status = 'new'"""
+
+
+def q_error_report(spark, sf):
+    r = monitor.error_report(_metrics(spark, sf), TODAY)
+    return r.withColumn("avg_error_rate", F.round("avg_error_rate", 6)).withColumn("avg_duration",
+                                                                                  F.round("avg_duration", 6))
+
+
+O_ERROR_REPORT = f"""WITH {D_M}
+SELECT CAST(start_time AS DATE) AS run_date, stage, source_table, CAST(sum(records_read) AS BIGINT) AS total_records,
+  CAST(sum(records_failed) AS BIGINT) AS total_errors, round(avg(error_rate), 6) AS avg_error_rate,
+  round(avg(duration_sec), 6) AS avg_duration FROM m WHERE start_time >= DATE '{TODAY}' GROUP BY ALL"""
+
+
+def q_stage_averages(spark, sf):
+    r = monitor.stage_averages(_metrics(spark, sf), TODAY)
+    return r.withColumn("avg_error_rate", F.round("avg_error_rate", 6)).withColumn("avg_duration",
+                                                                                  F.round("avg_duration", 6))
+
+
+O_STAGE_AVERAGES = f"""WITH {D_M}
+SELECT stage, source_table, round(avg(error_rate), 6) AS avg_error_rate, round(avg(duration_sec), 6) AS avg_duration,
+  CAST(sum(records_written) AS BIGINT) AS total_records FROM m
+WHERE start_time >= DATE '{TODAY}' - INTERVAL 7 DAYS GROUP BY ALL"""
+
+
+def q_new_errors(spark, sf):
+    return monitor.new_errors(_qrows(spark, sf))
+
+
+O_NEW_ERRORS = f"""WITH {D_Q}
+SELECT source_table, error_type, count(*) AS error_count, max(created_at) AS last_occurrence FROM q
+WHERE status = 'new' GROUP BY ALL"""
+
+
+def q_error_rate_pct(spark, sf):
+    return monitor.error_rate_pct(_metrics(spark, sf)).withColumn("avg_error_rate_pct",
+                                                                  F.round("avg_error_rate_pct", 6))
+
+
+O_ERROR_RATE_PCT = f"""WITH {D_M}
+SELECT source_table, round(avg(error_rate) * 100, 6) AS avg_error_rate_pct FROM m GROUP BY ALL"""
+
+
+def q_table_overview(spark, sf):
+    return monitor.table_overview(_metrics(spark, sf), TODAY)
+
+
+O_TABLE_OVERVIEW = f"""WITH {D_M}
+SELECT CAST(start_time AS DATE) AS run_date, source_table AS table_name, stage,
+  CAST(sum(records_read) AS BIGINT) AS total_in, CAST(sum(records_written) AS BIGINT) AS total_out,
+  CAST(sum(records_failed) AS BIGINT) AS total_failed, round(avg(duration_sec), 2) AS avg_duration_sec
+FROM m WHERE start_time >= DATE '{TODAY}' - INTERVAL 7 DAYS GROUP BY ALL"""
+
+
+def q_run_summary(spark, sf):
+    s = monitor.summary(_metrics(spark, sf))
+    return s.withColumn("error_rate", F.round("error_rate", 9)).withColumn("records_per_sec",
+                                                                          F.round("records_per_sec", 6))
+
+
+O_RUN_SUMMARY = f"""WITH {D_M}
+SELECT run_id, pipeline_name, records_read, records_written, records_failed, duration_sec,
+  round(CASE WHEN records_read > 0 THEN records_failed / records_read ELSE 0.0 END, 9) AS error_rate,
+  round(CASE WHEN duration_sec > 0 THEN records_read / duration_sec END, 6) AS records_per_sec FROM m"""
+
+
+def q_course_participation(spark, sf):
+    return gold.participation(D.bronze_course(spark, sf), ["hs_coursestatus"], "hs_currentparticipants",
+                              "hs_maxparticipants")
+
+
+O_COURSE_PARTICIPATION = f"""WITH c AS ({D.duck(D.BRONZE_COURSE_SQL)})
+SELECT hs_coursestatus, count(*) AS courses, CAST(sum(hs_currentparticipants) AS BIGINT) AS participants,
+  CAST(sum(hs_maxparticipants) AS BIGINT) AS capacity,
+  CASE WHEN sum(hs_maxparticipants) > 0
+       THEN CAST(round(sum(hs_currentparticipants) * 100.0 / sum(hs_maxparticipants), 2) AS DOUBLE) END AS fill_rate_pct
+FROM c GROUP BY ALL"""
+
+
+def q_enriched_customer(spark, sf):
+    n = D.table(spark, sf, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    r = D.table(spark, sf, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    c = D.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    return gold.enrich(gold.enrich(c, n, "c_nationkey"), r, "n_regionkey") \
+        .select("c_custkey", "c_name", "n_name", "r_name")
+
+
+O_ENRICHED_CUSTOMER = """SELECT c.c_custkey, c.c_name, n.n_name, r.r_name FROM customer c
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+
+def q_scd2_totals(spark, sf):
+    return scd2.totals(_dims(spark, sf, 3), CONTACT_SPEC)
+
+
+O_SCD2_TOTALS = f"""WITH {_d_dim(3)}
+SELECT count(*) AS total_rows, CAST(count_if(valid_to_ts IS NULL) AS BIGINT) AS current_rows,
+  CAST(count_if(valid_to_ts IS NOT NULL) AS BIGINT) AS historical_rows FROM dim"""
+
+
+def q_scd2_latest(spark, sf):
+    top = scd2.latest(_dims(spark, sf, 3), CONTACT_SPEC, 5)
+    return top.select("contactid", "emailaddress1", _fmt("valid_from").alias("valid_from_s"))
+
+
+O_SCD2_LATEST = f"""WITH {_d_dim(3)}
+SELECT contactid, emailaddress1, strftime(valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from_s FROM dim
+WHERE valid_to_ts IS NULL ORDER BY valid_from DESC, contactid LIMIT 5"""
+
+
+def q_scd2_latest_closed(spark, sf):
+    top = scd2.latest(_dims(spark, sf, 3), CONTACT_SPEC, 5, closed=True)
+    return top.select("contactid", "emailaddress1", _fmt("valid_to").alias("valid_to_s"))
+
+
+O_SCD2_LATEST_CLOSED = f"""WITH {_d_dim(3)}
+SELECT contactid, emailaddress1, strftime(valid_to_ts, '%Y-%m-%d %H:%M:%S') AS valid_to_s FROM dim
+WHERE valid_to_ts IS NOT NULL ORDER BY valid_to_ts DESC, contactid LIMIT 5"""
+
+
 # ============================================================================ registry
 
 QUERIES = {
@@ -849,4 +1006,18 @@ QUERIES = {
     "scd_activity": (q_scd_activity, O_SCD_ACTIVITY),
     "stage_durations": (q_stage_durations, O_STAGE_DURATIONS),
     "health_alerts": (q_health_alerts, O_HEALTH_ALERTS),
+    "retry_eligibility": (q_retry_eligibility, O_RETRY_ELIGIBILITY),
+    "quarantine_trend": (q_quarantine_trend, O_QUARANTINE_TREND),
+    "quarantine_email_errors": (q_quarantine_email_errors, O_QUARANTINE_EMAIL_ERRORS),
+    "error_report": (q_error_report, O_ERROR_REPORT),
+    "stage_averages": (q_stage_averages, O_STAGE_AVERAGES),
+    "new_errors": (q_new_errors, O_NEW_ERRORS),
+    "error_rate_pct": (q_error_rate_pct, O_ERROR_RATE_PCT),
+    "table_overview": (q_table_overview, O_TABLE_OVERVIEW),
+    "run_summary": (q_run_summary, O_RUN_SUMMARY),
+    "course_participation": (q_course_participation, O_COURSE_PARTICIPATION),
+    "enriched_customer": (q_enriched_customer, O_ENRICHED_CUSTOMER),
+    "scd2_totals": (q_scd2_totals, O_SCD2_TOTALS),
+    "scd2_latest": (q_scd2_latest, O_SCD2_LATEST),
+    "scd2_latest_closed": (q_scd2_latest_closed, O_SCD2_LATEST_CLOSED),
 }

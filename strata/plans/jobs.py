@@ -39,6 +39,11 @@ class Run:
         return cls(now.strftime("%Y%m%d_%H%M%S"), now, environment, load_config(environment))
 
 
+def _feature(run: Run, name: str) -> bool:
+    """Feature flag of the run's environment (on when not configured)."""
+    return bool(run.settings.get("features", {}).get(name, True))
+
+
 @dataclass
 class DqFrames:
     evaluated: DataFrame
@@ -88,14 +93,19 @@ def run_dq(spark: SparkSession, bronze: DataFrame, rule: dict, source_table: str
         obs_out = Observation("dq_out")
         io.publish(spark, f.silver.observe(obs_out, F.count(F.lit(1)).alias("written")), target, run.run_id)
         written = obs_out.get["written"]
-        if quarantine_table and run.settings.get("features", {}).get("quarantine", True):
-            io.append(f.quarantine, quarantine_table)
+        warnings = []
+        if quarantine_table and stats["failed"] - stats["rejected"] > 0 and _feature(run, "quarantine"):
+            try:  # a failed quarantine write warns and does not stop the run
+                io.append(f.quarantine, quarantine_table)
+            except Exception as ex:  # noqa: BLE001
+                warnings.append(f"quarantine write failed: {ex}")
     finally:
         f.evaluated.unpersist()
     end = datetime.now(timezone.utc).replace(tzinfo=None)
     out = {"records_read": stats["read"], "records_failed": stats["failed"], "records_rejected": stats["rejected"],
-           "records_written": written, "duplicates_removed": stats["read"] - stats["failed"] - written}
-    if metrics_table:
+           "records_written": written, "duplicates_removed": stats["read"] - stats["failed"] - written,
+           "warnings": warnings}
+    if metrics_table and _feature(run, "metrics"):
         io.append(monitor.metrics_row(spark, run.run_id, f"bronze_to_silver_{source_table}", "bronze_to_silver",
                                       source_table, target, out["records_read"], written, out["records_failed"],
                                       start, end), metrics_table)
@@ -137,7 +147,7 @@ def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: s
         c["scd_inserts"] = written.count()
     end = datetime.now(timezone.utc).replace(tzinfo=None)
     read = silver.count()
-    if metrics_table:
+    if metrics_table and _feature(run, "metrics"):
         io.append(monitor.metrics_row(spark, run.run_id, f"silver_to_gold_{source_table}", "silver_to_gold",
                                       source_table, target, read, c["scd_inserts"] + c["scd_updates"], 0, start,
                                       end, c["scd_inserts"], c["scd_updates"], c["scd_no_changes"]),
@@ -146,12 +156,38 @@ def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: s
 
 
 def run_config(spark: SparkSession, configs: list[ConfigEntry], resolve_source, resolve_target,
-               run: Run, quarantine_table: str | None = None, metrics_table: str | None = None) -> list[dict]:
+               run: Run, quarantine_table: str | None = None, metrics_table: str | None = None,
+               history_table: str | None = None, lineage_table: str | None = None,
+               pipeline_name: str = "medallion", run_type: str = "manual") -> list[dict]:
     """Run active configs in dependency order; a failure skips its dependents.
 
     ``resolve_source(name) -> DataFrame`` and ``resolve_target(name) -> str``
-    bind the config's logical table names to data and locations.
+    bind the config's logical table names to data and locations.  One
+    ``pipeline_run_history`` row describes the whole run and, when the
+    environment's lineage flag is on, one ``table_lineage`` row each config.
     """
+    started = datetime.now(timezone.utc).replace(tzinfo=None)
+    results = _run_configs(spark, configs, resolve_source, resolve_target, run, quarantine_table, metrics_table)
+    ended = datetime.now(timezone.utc).replace(tzinfo=None)
+    ok = [r for r in results if r["status"] == "succeeded"]
+    bad = [r for r in results if r["status"] == "failed"]
+    if history_table:
+        io.append(monitor.run_row(
+            spark, run.run_id, pipeline_name, "failed" if bad else "succeeded", started, ended,
+            processed=sum(r.get("records_read", 0) or 0 for r in ok),
+            failed=sum(r.get("records_failed", 0) or 0 for r in ok), tables=len(ok), run_type=run_type,
+            error_message="; ".join(f"{r['config_id']}: {r['error']}" for r in bad)[:4000] or None,
+            error_stack_trace=(bad[0]["trace"] if bad else None), environment=run.environment), history_table)
+    if lineage_table and _feature(run, "lineage"):
+        by_id = {e.config_id: e for e in configs}
+        for r in ok:
+            e = by_id[r["config_id"]]
+            io.append(monitor.lineage_row(spark, e.source_table, e.target_table, e.rule_type, run.run_id,
+                                          r.get("records_written", r.get("records_read")), ended), lineage_table)
+    return results
+
+
+def _run_configs(spark, configs, resolve_source, resolve_target, run, quarantine_table, metrics_table):
     results, failed = [], set()
     for e in execution_order(configs):
         if any(d in failed for d in e.depends_on):

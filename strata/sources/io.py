@@ -120,3 +120,51 @@ def layout(df: DataFrame, cluster_by: list[str], partitions: int | None = None)
     partitioning + sort within partitions, so key lookups prune row groups."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+
+
+def purge(spark: SparkSession, path: str, ts_col: str, now, days: int, run_id: str) -> int:
+    """Retention for an appended table: keep rows younger than ``days``,
+    written to a new folder that then takes the table's place (the old one
+    is kept next to it as ``<path>.old-<run_id>``).  Returns rows kept."""
+    from pyspark.sql import functions as F
+    df = spark.read.parquet(path)
+    kept = df.filter(F.col(ts_col) >= F.lit(now).cast("timestamp") - F.make_dt_interval(F.lit(days)))
+    new = f"{path.rstrip('/')}.purge-{run_id}"
+    kept.write.mode("overwrite").parquet(new)
+    n = spark.read.parquet(new).count()
+    fs, p, jvm = _hadoop_fs(spark, path)
+    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{run_id}")
+    fs.rename(p, old)
+    fs.rename(jvm.org.apache.hadoop.fs.Path(new), p)
+    return n
+
+
+def inventory(spark: SparkSession, root: str) -> DataFrame:
+    """Tables under ``root``: name, kind (versioned / appended), current
+    version and column list (metadata only; the listing is one level deep)."""
+    fs, p, jvm = _hadoop_fs(spark, root)
+    rows = []
+    if fs.exists(p):
+        for st in fs.listStatus(p):
+            if not st.isDirectory():
+                continue
+            name = st.getPath().getName()
+            path = f"{root.rstrip('/')}/{name}"
+            v = current_version(spark, path)
+            try:
+                cols = ",".join(spark.read.parquet(version_path(path, v) if v else path).columns)
+            except Exception:  # noqa: BLE001 - not a parquet table
+                continue
+            rows.append((name, "versioned" if v else "appended", v, cols))
+    schema = "table_name string, kind string, current_version string, columns string"
+    return spark.createDataFrame(rows, schema)
+
+
+def preview(df: DataFrame, columns: list[str] | None = None, n: int = 3) -> DataFrame:
+    """A few rows for a look (a sample preview; not for results)."""
+    return (df.select(*columns) if columns else df).limit(n)
+
+
+def typed_frame(spark: SparkSession, schema: T.StructType, data: list) -> DataFrame:
+    """A DataFrame with a declared schema (test data; no inference)."""
+    return spark.createDataFrame(data, schema)
