@@ -55,13 +55,21 @@ class DqFrames:
 
 def dq_frames(bronze: DataFrame, rule: dict, source_table: str, run: Run, whitelist: DataFrame | None = None,
               silver_columns: list[str] | None = None, record_columns: list[str] | None = None,
-              tie_breakers: list[str] | None = None) -> DqFrames:
+              tie_breakers: list[str] | None = None, observation: Observation | None = None) -> DqFrames:
     """Validate -> split -> clean -> dedup, in that order: a newest row that
-    fails goes to quarantine and an older valid row survives in silver."""
+    fails goes to quarantine and an older valid row survives in silver.
+
+    With ``observation``, the quarantine plan counts rows read / failed /
+    rejected on its way (before its filter), so writing the quarantine also
+    yields the input statistics: no separate counting pass."""
     rules = R.compile_rules(rule.get("validations") or rule.get("validation") or [])
     ev = R.evaluate(bronze, rules, whitelist=whitelist, table=source_table,
                     as_of=run.run_ts if whitelist is not None else None)
-    valid, bad, rejected = R.split(ev)
+    valid, _, rejected = R.split(ev)
+    ev_q = ev if observation is None else ev.observe(
+        observation, F.count(F.lit(1)).alias("read"), F.count_if(~F.col(R.VALID_COL)).alias("failed"),
+        F.count_if(F.col(R.REJECT_COL)).alias("rejected"))
+    bad = R.split(ev_q)[1]
     clean = apply_ops(R.strip_helpers(valid, rules, keep_flags=any(r.action == "flag" for r in rules)),
                       rule.get("transformations") or [])
     dd = rule.get("deduplication") or {}
@@ -78,29 +86,30 @@ def dq_frames(bronze: DataFrame, rule: dict, source_table: str, run: Run, whitel
 
 def run_dq(spark: SparkSession, bronze: DataFrame, rule: dict, source_table: str, target: str,
            quarantine_table: str | None, metrics_table: str | None, run: Run, **kw) -> dict:
-    """Bronze -> silver with writes.  Counts come from observations on the
-    two writes; the evaluated frame is persisted because both writes use it."""
+    """Bronze -> silver with writes: two scans of bronze, no cache.
+
+    The quarantine write (or, with quarantine off, a ``noop`` write of the
+    same plan) observes rows read / failed / rejected; the silver write
+    observes rows written.  Retried tasks do not double-count: observed
+    metrics come from the successful task attempts only."""
     start = datetime.now(timezone.utc).replace(tzinfo=None)
-    f = dq_frames(bronze, rule, source_table, run, **kw)
-    f.evaluated.persist()
-    try:
-        obs_in = Observation("dq_in")
-        counted = f.evaluated.observe(obs_in, F.count(F.lit(1)).alias("read"),
-                                      F.count_if(~F.col(R.VALID_COL)).alias("failed"),
-                                      F.count_if(F.col(R.REJECT_COL)).alias("rejected"))
-        counted.write.format("noop").mode("overwrite").save()
-        stats = obs_in.get
-        obs_out = Observation("dq_out")
-        io.publish(spark, f.silver.observe(obs_out, F.count(F.lit(1)).alias("written")), target, run.run_id)
-        written = obs_out.get["written"]
-        warnings = []
-        if quarantine_table and stats["failed"] - stats["rejected"] > 0 and _feature(run, "quarantine"):
-            try:  # a failed quarantine write warns and does not stop the run
-                io.append(f.quarantine, quarantine_table)
-            except Exception as ex:  # noqa: BLE001
-                warnings.append(f"quarantine write failed: {ex}")
-    finally:
-        f.evaluated.unpersist()
+    obs_in = Observation("dq_in")
+    f = dq_frames(bronze, rule, source_table, run, observation=obs_in, **kw)
+    warnings, observed = [], False
+    if quarantine_table and _feature(run, "quarantine"):
+        try:  # a failed quarantine write warns and does not stop the run
+            io.append(f.quarantine, quarantine_table)
+            observed = True
+        except Exception as ex:  # noqa: BLE001
+            warnings.append(f"quarantine write failed: {ex}")
+    if not observed:  # quarantine off or failed: count through the same plan, nothing written
+        obs_in = Observation("dq_in_count")
+        f = dq_frames(bronze, rule, source_table, run, observation=obs_in, **kw)
+        f.quarantine.write.format("noop").mode("overwrite").save()
+    stats = obs_in.get
+    obs_out = Observation("dq_out")
+    io.publish(spark, f.silver.observe(obs_out, F.count(F.lit(1)).alias("written")), target, run.run_id)
+    written = obs_out.get["written"]
     end = datetime.now(timezone.utc).replace(tzinfo=None)
     out = {"records_read": stats["read"], "records_failed": stats["failed"], "records_rejected": stats["rejected"],
            "records_written": written, "duplicates_removed": stats["read"] - stats["failed"] - written,

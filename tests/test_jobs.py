@@ -100,3 +100,21 @@ def test_run_config_dependency_skip(spark, tmpdir_path):
     assert st["account_bronze_silver_dq"] == "failed" and st["account_silver_gold_scd2"] == "skipped"
     fact = io.read_current(spark, os.path.join(tmpdir_path, "gold.fact_course"))
     assert fact.columns == C.seed_rule("hs_course_silver_gold_fact")["columns"]
+
+
+def test_run_dq_without_quarantine_counts_the_same(spark, tmpdir_path):
+    run = jobs.Run("r_noq", dt.datetime(2024, 1, 1, 2))
+    bronze = D.bronze_contact(spark, SF_SMALL)
+    out = jobs.run_dq(spark, bronze, _rule(), "contact", os.path.join(tmpdir_path, "s"), None, None, run)
+    assert out["records_read"] == bronze.count() and out["records_failed"] > 0
+    assert not os.path.exists(os.path.join(tmpdir_path, "quarantine_records"))
+
+
+def test_diff_with_duplicate_keys(spark):
+    from strata.operators import compare
+    a = spark.createDataFrame([("k", 1), ("k", 2), ("x", 1), ("y", 5)], "id string, v int")
+    b = spark.createDataFrame([("k", 2), ("k", 1), ("x", 2), ("z", 1)], "id string, v int")
+    got = {r.id: r.side for r in compare.diff(a, b, ["id"]).collect()}
+    assert got == {"x": "changed", "y": "only_in_a", "z": "only_in_b"}  # k: same multiset of rows
+    c = spark.createDataFrame([("k", 1), ("k", 1)], "id string, v int")
+    assert {r.id: r.side for r in compare.diff(a.filter("id = 'k'"), c, ["id"]).collect()} == {"k": "changed"}
