@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.hashing import row_hash
 from strata.operators.keys import assign_dense
+from strata.session import checkpoint_dir
 
 # Fixed value: the open-ended validity sentinel.
 END_OF_TIME = "9999-12-31 23:59:59"
@@ -240,24 +241,53 @@ def latest(dim: DataFrame, spec: ScdSpec, n: int = 5, closed: bool = False) -> D
     return dim.filter(F.col(spec.is_current)).orderBy(F.desc(spec.valid_from), spec.business_key).limit(n)
 
 
-def from_changes(changes: DataFrame, spec: ScdSpec, ts_col: str, start_sk: int = 0) -> DataFrame:
+def from_changes(changes: DataFrame, spec: ScdSpec, ts_col: str, start_sk: int = 0,
+                 partitions: int | None = None) -> DataFrame:
     """Type-2 history from a change log (one row per key and change time).
 
     Consecutive rows of a key with equal tracked values collapse into one
     version; a version is valid from its first row's time to the next
-    version's.  Per-key windows (``lag``/``lead``), so the log is shuffled
-    once by key; surrogate keys are dense by (valid_from, key).
+    version's.  Skew-safe: the log is range-partitioned on (key, time), so
+    Spark's sampled bounds cut a hot key into several partitions, and the
+    layout is fixed by a reliable checkpoint.  ``lag``/``lead`` then run
+    inside (partition, key) groups, which are never larger than a partition;
+    the partition seams are stitched with each partition's last row (at most
+    n rows to the driver) and each key's next kept start in a later
+    partition (one row per key and partition it spans).
     """
-    k, h = spec.business_key, spec.hash_value
+    k, h, vf = spec.business_key, spec.hash_value, spec.valid_from
+    spark = changes.sparkSession
+    n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     p = (changes.filter(F.col(k).isNotNull())
-         .select(*spec.payload, F.col(ts_col).cast("timestamp").alias(spec.valid_from),
+         .select(*spec.payload, F.col(ts_col).cast("timestamp").alias(vf),
                  row_hash(spec.tracked, spec.hash_mode).alias(h)))
-    w = Window.partitionBy(k).orderBy(spec.valid_from)
-    starts = p.withColumn("_prev", F.lag(h).over(w)).filter(
-        F.col("_prev").isNull() | (F.col("_prev") != F.col(h))).drop("_prev")
-    nxt = F.lead(spec.valid_from).over(Window.partitionBy(k).orderBy(spec.valid_from))
-    v = starts.select("*", nxt.alias("_next")).select(
-        *spec.payload, h, spec.valid_from,
-        F.coalesce(F.col("_next"), end_of_time()).alias(spec.valid_to),
-        F.col("_next").isNull().alias(spec.is_current))
-    return assign_dense(v, [spec.valid_from, k], spec.surrogate_key, start_sk).select(*spec.columns)
+    checkpoint_dir(spark)
+    order = [F.col(k), F.col(vf), F.col(h)]
+    laid = (p.repartitionByRange(n, *order).sortWithinPartitions(*order)
+            .withColumn("_p", F.spark_partition_id()).checkpoint(eager=True))
+    # last row of every partition -> the carry into the next non-empty one
+    ends = {r["_p"]: (r["last"][k], r["last"][h]) for r in laid.groupBy("_p").agg(
+        F.max_by(F.struct(F.col(k), F.col(h)), F.struct(*order)).alias("last")).collect()}
+    carry_k, carry_h, prev = [], [], (None, None)
+    for part in range(max(ends) + 1 if ends else 0):
+        carry_k.append(prev[0])
+        carry_h.append(prev[1])
+        if part in ends:
+            prev = ends[part]
+
+    def at(values: list) -> Column:
+        arr = F.array(*[F.lit(v).cast("string") for v in values] or [F.lit(None).cast("string")])
+        return F.element_at(arr, F.col("_p") + 1)
+
+    seg = Window.partitionBy("_p", k).orderBy(vf, h)
+    seam = F.when(at(carry_k) == F.col(k).cast("string"), at(carry_h))
+    prev_h = F.coalesce(F.lag(h).over(seg), seam)
+    kept = laid.withColumn("_prev", prev_h).filter(F.col("_prev").isNull() | (F.col("_prev") != F.col(h)))
+    firsts = kept.groupBy("_p", k).agg(F.min(vf).alias("_first"))
+    follow = firsts.select("_p", k, F.lead("_first").over(Window.partitionBy(k).orderBy("_p")).alias("_follow"))
+    nxt = F.lead(vf).over(seg)
+    v = (kept.select("*", nxt.alias("_next")).join(follow, ["_p", k], "left")
+         .withColumn("_end", F.coalesce("_next", "_follow"))
+         .select(*spec.payload, h, vf, F.coalesce(F.col("_end"), end_of_time()).alias(spec.valid_to),
+                 F.col("_end").isNull().alias(spec.is_current)))
+    return assign_dense(v, [vf, k], spec.surrogate_key, start_sk).select(*spec.columns)

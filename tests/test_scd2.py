@@ -151,3 +151,21 @@ def test_dense_keys_split_ties_in_first_column(spark):
     assert max(sizes) < 1500  # not all 3600 tied rows in one partition
     exp = df.withColumn("sk", F.row_number().over(Window.orderBy("t", "k")).cast("long"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_from_changes_hot_key_spans_partitions(spark):
+    # key 'h' holds 90% of the log; runs of equal values cross partition seams
+    log = spark.range(0, 5000).selectExpr(
+        "CASE WHEN id % 10 = 0 THEN concat('c', CAST(id % 7 AS STRING)) ELSE 'h' END AS id",
+        "concat('v', CAST(CAST(id / 37 AS INT) % 5 AS STRING)) AS email", "'C' AS city",
+        "timestamp_seconds(id * 60) AS ts")
+    got = scd2.from_changes(log, SPEC, "ts", partitions=8)
+    w = Window.partitionBy("id").orderBy("ts")
+    hh = log.withColumn("h", row_hash(["email"]))
+    kept = hh.withColumn("prev", F.lag("h").over(w)).filter(F.col("prev").isNull() | (F.col("prev") != F.col("h")))
+    exp = kept.select("id", "email", F.col("ts").alias("valid_from"),
+                      F.lead("ts").over(w).alias("nx"))
+    g = sorted((r.id, r.email, r.valid_from, None if r.is_current else r.valid_to) for r in got.collect())
+    e = sorted((r.id, r.email, r.valid_from, r.nx) for r in exp.collect())
+    assert g == e
+    assert sorted(r.sk for r in got.collect()) == list(range(1, len(e) + 1))
