@@ -53,7 +53,7 @@ def activity(entities: DataFrame, links: DataFrame, events: DataFrame, entity_ke
 
 def as_of_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact_ts: str,
                  sk: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
-                 unknown: int = -1, out: str | None = None, hot_share: float = 0.001) -> DataFrame:
+                 unknown: int = -1, out: str | None = None, max_group_rows: int = 2_000_000) -> DataFrame:
     """Attach to every fact the surrogate key of the dimension version valid at
     its timestamp (``valid_from <= ts < valid_to``), ``unknown`` otherwise.
 
@@ -63,33 +63,38 @@ def as_of_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     is still valid.  Linear in facts + versions; no fact is compared with all
     versions of its key.
 
-    Hot keys: a key with more than ``hot_share`` of all facts is split into
-    ``ceil(n / (hot_share * total))`` salts; its facts go to one salt each (by
+    Hot keys: a key with more than ``max_group_rows`` facts is split into
+    ``ceil(n / max_group_rows)`` salts; its facts go to one salt each (by
     hash) and its versions are copied to every salt, so no task holds more
-    than about ``hot_share`` of the facts.  The hot-key table has at most
-    ``1 / hot_share`` rows (that is its size bound) and is broadcast.
+    than about ``max_group_rows`` facts of one key.  The hot-key table has at
+    most total / ``max_group_rows`` rows; it is broadcast below a million rows
+    (its checked size), joined by shuffle above.
     """
     out = out or sk
     fcols = facts.columns
-    total = facts.count()
-    limit = max(1, int(total * hot_share))
+    limit = max(1, int(max_group_rows))
     hot = (facts.groupBy(F.col(fact_key).cast("string").alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > limit)
            .select("_k", F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_ns")))
+    n_hot = hot.count()
+    hot = F.broadcast(hot) if n_hot <= 1_000_000 else hot
     fstruct = F.struct(*fcols)
-    f = (facts.select(F.col(fact_key).cast("string").alias("_k"), F.col(fact_ts).cast("timestamp").alias("_t"),
-                      F.lit(1).alias("_kind"), fstruct.alias("_f"),
-                      F.lit(None).cast("long").alias("_sk"), F.lit(None).cast("timestamp").alias("_to"))
-         .join(F.broadcast(hot), "_k", "left")
-         .withColumn("_salt", F.when(F.col("_ns").isNull(), F.lit(0))
-                     .otherwise(F.pmod(F.xxhash64("_f"), F.col("_ns")).cast("int")))
-         .drop("_ns"))
-    d = (dim.select(F.col(dim_key).cast("string").alias("_k"), F.col(valid_from).cast("timestamp").alias("_t"),
-                    F.lit(0).alias("_kind"), F.lit(None).cast(facts.select(fstruct).schema[0].dataType).alias("_f"),
-                    F.col(sk).cast("long").alias("_sk"), F.col(valid_to).cast("timestamp").alias("_to"))
-         .join(F.broadcast(hot), "_k", "left")
-         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ns"), F.lit(1)) - 1)))
-         .drop("_ns"))
+    f = facts.select(F.col(fact_key).cast("string").alias("_k"), F.col(fact_ts).cast("timestamp").alias("_t"),
+                     F.lit(1).alias("_kind"), fstruct.alias("_f"),
+                     F.lit(None).cast("long").alias("_sk"), F.lit(None).cast("timestamp").alias("_to"))
+    d = dim.select(F.col(dim_key).cast("string").alias("_k"), F.col(valid_from).cast("timestamp").alias("_t"),
+                   F.lit(0).alias("_kind"), F.lit(None).cast(facts.select(fstruct).schema[0].dataType).alias("_f"),
+                   F.col(sk).cast("long").alias("_sk"), F.col(valid_to).cast("timestamp").alias("_to"))
+    if n_hot:
+        f = (f.join(hot, "_k", "left")
+             .withColumn("_salt", F.when(F.col("_ns").isNull(), F.lit(0))
+                         .otherwise(F.pmod(F.xxhash64("_f"), F.col("_ns")).cast("int")))
+             .drop("_ns"))
+        d = (d.join(hot, "_k", "left")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ns"), F.lit(1)) - 1)))
+             .drop("_ns"))
+    else:
+        f, d = f.withColumn("_salt", F.lit(0)), d.withColumn("_salt", F.lit(0))
     u = d.unionByName(f)
     w = (Window.partitionBy("_k", "_salt").orderBy("_t", "_kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))

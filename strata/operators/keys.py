@@ -37,7 +37,12 @@ def assign_dense(df: DataFrame, order_cols: list[str], sk_col: str, start: int =
     n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     checkpoint_dir(spark)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    laid = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    # the range sample and the checkpoint both read the input: keep it for the two passes only
+    df = df.persist()
+    try:
+        laid = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    finally:
+        df.unpersist()
     pid = F.spark_partition_id()
     counts = {r["_p"]: r["_n"] for r in laid.groupBy(pid.alias("_p")).agg(F.count(F.lit(1)).alias("_n")).collect()}
     n_parts = laid.rdd.getNumPartitions()

@@ -241,31 +241,55 @@ def latest(dim: DataFrame, spec: ScdSpec, n: int = 5, closed: bool = False) -> D
     return dim.filter(F.col(spec.is_current)).orderBy(F.desc(spec.valid_from), spec.business_key).limit(n)
 
 
+MAX_GROUP_ROWS = 2_000_000  # rows one task may hold for one key before the key is split
+
+
 def from_changes(changes: DataFrame, spec: ScdSpec, ts_col: str, start_sk: int = 0,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Type-2 history from a change log (one row per key and change time).
 
     Consecutive rows of a key with equal tracked values collapse into one
     version; a version is valid from its first row's time to the next
-    version's.  Skew-safe: the log is range-partitioned on (key, time), so
-    Spark's sampled bounds cut a hot key into several partitions, and the
-    layout is fixed by a reliable checkpoint.  ``lag``/``lead`` then run
-    inside (partition, key) groups, which are never larger than a partition;
-    the partition seams are stitched with each partition's last row (at most
-    n rows to the driver) and each key's next kept start in a later
-    partition (one row per key and partition it spans).
+    version's.  One aggregate (partial, so cheap) finds the largest key:
+    if every key fits ``max_group_rows``, ``lag``/``lead`` run per key after
+    one shuffle; otherwise the segmented path splits the large keys.
     """
     k, h, vf = spec.business_key, spec.hash_value, spec.valid_from
-    spark = changes.sparkSession
-    n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     p = (changes.filter(F.col(k).isNotNull())
          .select(*spec.payload, F.col(ts_col).cast("timestamp").alias(vf),
                  row_hash(spec.tracked, spec.hash_mode).alias(h)))
+    p = p.persist()  # read by the size check and by the versions (unpersisted once keyed)
+    try:
+        biggest = p.groupBy(k).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        if biggest > max_group_rows:
+            v = _versions_segmented(p, spec, partitions)
+        else:
+            w = Window.partitionBy(k).orderBy(vf, h)
+            kept = p.withColumn("_prev", F.lag(h).over(w)).filter(
+                F.col("_prev").isNull() | (F.col("_prev") != F.col(h)))
+            nxt = F.lead(vf).over(w)
+            v = kept.select(*spec.payload, h, vf, F.coalesce(nxt, end_of_time()).alias(spec.valid_to),
+                            nxt.isNull().alias(spec.is_current))
+        return assign_dense(v, [vf, k], spec.surrogate_key, start_sk).select(*spec.columns)
+    finally:
+        p.unpersist()
+
+
+def _versions_segmented(p: DataFrame, spec: ScdSpec, partitions: int | None) -> DataFrame:
+    """Skew-safe version rows: the log is range-partitioned on (key, time),
+    so Spark's sampled bounds cut a large key into several partitions, and the
+    layout is fixed by a reliable checkpoint.  ``lag``/``lead`` run inside
+    (partition, key) groups, never larger than a partition; the partition
+    seams are stitched with each partition's last row (at most n rows to the
+    driver) and each key's next kept start in a later partition (one row per
+    key and partition it spans)."""
+    k, h, vf = spec.business_key, spec.hash_value, spec.valid_from
+    spark = p.sparkSession
+    n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     checkpoint_dir(spark)
     order = [F.col(k), F.col(vf), F.col(h)]
     laid = (p.repartitionByRange(n, *order).sortWithinPartitions(*order)
             .withColumn("_p", F.spark_partition_id()).checkpoint(eager=True))
-    # last row of every partition -> the carry into the next non-empty one
     ends = {r["_p"]: (r["last"][k], r["last"][h]) for r in laid.groupBy("_p").agg(
         F.max_by(F.struct(F.col(k), F.col(h)), F.struct(*order)).alias("last")).collect()}
     carry_k, carry_h, prev = [], [], (None, None)
@@ -286,8 +310,7 @@ def from_changes(changes: DataFrame, spec: ScdSpec, ts_col: str, start_sk: int =
     firsts = kept.groupBy("_p", k).agg(F.min(vf).alias("_first"))
     follow = firsts.select("_p", k, F.lead("_first").over(Window.partitionBy(k).orderBy("_p")).alias("_follow"))
     nxt = F.lead(vf).over(seg)
-    v = (kept.select("*", nxt.alias("_next")).join(follow, ["_p", k], "left")
-         .withColumn("_end", F.coalesce("_next", "_follow"))
-         .select(*spec.payload, h, vf, F.coalesce(F.col("_end"), end_of_time()).alias(spec.valid_to),
-                 F.col("_end").isNull().alias(spec.is_current)))
-    return assign_dense(v, [vf, k], spec.surrogate_key, start_sk).select(*spec.columns)
+    return (kept.select("*", nxt.alias("_next")).join(follow, ["_p", k], "left")
+            .withColumn("_end", F.coalesce("_next", "_follow"))
+            .select(*spec.payload, h, vf, F.coalesce(F.col("_end"), end_of_time()).alias(spec.valid_to),
+                    F.col("_end").isNull().alias(spec.is_current)))

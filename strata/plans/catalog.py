@@ -21,6 +21,7 @@ from strata.operators import compare, dedup, gold, quarantine, rules as R, scd2
 from strata.operators.keys import assign_dense
 from strata.plans import jobs, monitor
 from strata.sources import derived as D
+from strata.session import checkpoint_dir
 from strata.sources.config import CONTACT_RECORD_COLUMNS, CONTACT_RULES, CONTACT_SILVER_COLUMNS, seed_rule
 
 RUN = jobs.Run("20240101_020000", __import__("datetime").datetime(2024, 1, 1, 2, 0, 0))
@@ -399,9 +400,12 @@ O_ROW_HASH = """SELECT l_orderkey, l_linenumber, md5(concat_ws('|', coalesce(CAS
 
 
 def _dims(spark, sf, upto: int) -> DataFrame:
-    dim = scd2.initial_load(D.contact_snapshot(spark, sf, 1), CONTACT_SPEC, SCD_TS[0])
+    """The dimension after ``upto`` runs; each version is checkpointed, as a
+    job writes each version, so the next merge reads it instead of its lineage."""
+    checkpoint_dir(spark)
+    dim = scd2.initial_load(D.contact_snapshot(spark, sf, 1), CONTACT_SPEC, SCD_TS[0]).checkpoint(eager=True)
     for n in range(2, upto + 1):
-        dim = scd2.merge(dim, D.contact_snapshot(spark, sf, n), CONTACT_SPEC, SCD_TS[n - 1])
+        dim = scd2.merge(dim, D.contact_snapshot(spark, sf, n), CONTACT_SPEC, SCD_TS[n - 1]).checkpoint(eager=True)
     return dim
 
 

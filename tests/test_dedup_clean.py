@@ -80,7 +80,7 @@ def test_as_of_lookup_with_hot_key(spark):
         [(i + 1, "h", i * 100, (i + 1) * 100) for i in range(30)] + [(100, "c", 0, 10 ** 6)],
         "sk long, k string, f long, t long").selectExpr(
         "sk", "k", "timestamp_seconds(f * 86400) AS valid_from", "timestamp_seconds(t * 86400) AS valid_to")
-    got = gold.as_of_lookup(facts, dim, "k", "k", "ts", "sk", hot_share=0.01)
+    got = gold.as_of_lookup(facts, dim, "k", "k", "ts", "sk", max_group_rows=100)
     exp = facts.join(dim, (facts.k == dim.k) & (facts.ts >= dim.valid_from) & (facts.ts < dim.valid_to), "left") \
         .select("fid", F.coalesce("sk", F.lit(-1)).alias("sk"))
     assert sorted((r.fid, r.sk) for r in got.collect()) == sorted((r.fid, r.sk) for r in exp.collect())

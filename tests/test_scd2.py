@@ -159,7 +159,7 @@ def test_from_changes_hot_key_spans_partitions(spark):
         "CASE WHEN id % 10 = 0 THEN concat('c', CAST(id % 7 AS STRING)) ELSE 'h' END AS id",
         "concat('v', CAST(CAST(id / 37 AS INT) % 5 AS STRING)) AS email", "'C' AS city",
         "timestamp_seconds(id * 60) AS ts")
-    got = scd2.from_changes(log, SPEC, "ts", partitions=8)
+    got = scd2.from_changes(log, SPEC, "ts", partitions=8, max_group_rows=500)
     w = Window.partitionBy("id").orderBy("ts")
     hh = log.withColumn("h", row_hash(["email"]))
     kept = hh.withColumn("prev", F.lag("h").over(w)).filter(F.col("prev").isNull() | (F.col("prev") != F.col("h")))
