@@ -149,9 +149,15 @@ def _whitelisted(rule: Rule, entries: list[tuple[str, str, str]]) -> Column | No
     return m
 
 
+# Exact-value whitelist entries up to this many per rule are broadcast (their
+# checked size); beyond it the join shuffles.
+MAX_BROADCAST_WHITELIST = 1_000_000
+
+
 def _whitelist_join(df: DataFrame, rules: list[Rule], whitelist: DataFrame, table: str, as_of) -> DataFrame:
-    """Large whitelists: exact values by equi-join (shuffle, no broadcast),
-    one semi-marker column per rule."""
+    """Large whitelists: exact values by equi-join, one marker column per
+    rule; each rule's value list is counted and broadcast only when it holds
+    at most ``MAX_BROADCAST_WHITELIST`` entries."""
     active = whitelist.filter(
         (F.col("table_name") == table) & F.coalesce(F.col("active"), F.lit(True))
         & (F.col("expires_at").isNull() | (F.col("expires_at") > F.lit(as_of).cast("timestamp"))))
@@ -160,6 +166,8 @@ def _whitelist_join(df: DataFrame, rules: list[Rule], whitelist: DataFrame, tabl
             continue
         vals = (active.filter((F.col("field_name") == r.field) & (F.col("rule_type") == r.type))
                 .select(F.col("pattern").alias(f"_wl_{r.key}")).distinct())
+        if vals.limit(MAX_BROADCAST_WHITELIST + 1).count() <= MAX_BROADCAST_WHITELIST:
+            vals = F.broadcast(vals)
         df = df.join(vals, F.col(r.field).cast("string") == F.col(f"_wl_{r.key}"), "left")
         df = df.withColumn(f"_wl_{r.key}", F.col(f"_wl_{r.key}").isNotNull())
     return df

@@ -79,10 +79,14 @@ def read_current(spark: SparkSession, table: str) -> DataFrame | None:
     return None if v is None else spark.read.parquet(version_path(table, v))
 
 
-def publish(spark: SparkSession, df: DataFrame, table: str, run_id: str) -> str:
+def publish(spark: SparkSession, df: DataFrame, table: str, run_id: str,
+            cluster_by: list[str] | None = None) -> str:
     """Write ``df`` as version ``run_id`` of ``table`` and make it current.
 
-    Never overwrites what it reads: a job that reads version A writes B."""
+    Never overwrites what it reads: a job that reads version A writes B.
+    ``cluster_by`` range-clusters the rows on write (see ``layout``)."""
+    if cluster_by:
+        df = layout(df, cluster_by)
     path = write_version(spark, df, table, run_id)
     set_current(spark, table, run_id)
     return path

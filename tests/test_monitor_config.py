@@ -116,3 +116,14 @@ def test_seed_configs_and_idempotent_seeding(spark):
     assert order.index("contact_bronze_silver_dq") < order.index("contact_silver_gold_scd2")
     rep = {(r.target_layer, r.rule_type): r.config_count for r in monitor.config_report(cfg).collect()}
     assert rep == {("gold", "scd2"): 2, ("gold", "simple_copy"): 1, ("silver", "dq_check"): 3}
+
+
+def test_session_settings(spark):
+    s = C.session_settings("prod")
+    assert s["spark.sql.shuffle.partitions"] == "400"
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        C.apply_session_settings(spark, "dev")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
