@@ -36,20 +36,17 @@ def strip_phone(col: str | Column) -> Column:
 def is_phone_de(col: str | Column) -> Column:
     """Optional German number: null / "" -> true, else separators removed and matched."""
     c = _c(col)
-    return F.coalesce(c.isNull() | (c == "") | strip_phone(c).rlike(PHONE_DE_PATTERN), F.lit(False))
+    return F.coalesce(F.when(c != "", strip_phone(c).rlike(PHONE_DE_PATTERN)), F.lit(True))
 
 
 def is_not_blank(col: str | Column) -> Column:
     """null or only whitespace (Python ``str.strip`` whitespace) -> false."""
-    c = _c(col)
-    return c.isNotNull() & ~F.coalesce(c.cast("string").rlike(BLANK_PATTERN), F.lit(False))
+    return F.coalesce(~_c(col).cast("string").rlike(BLANK_PATTERN), F.lit(False))
 
 
 def is_in(col: str | Column, allowed: list, required: bool = False) -> Column:
     """Enum check on the string form, case-sensitive; null passes unless required."""
-    c = _c(col)
-    hit = F.coalesce(c.cast("string").isin([str(v) for v in allowed]), F.lit(False))
-    return (c.isNotNull() & hit) if required else (c.isNull() | hit)
+    return F.coalesce(_c(col).cast("string").isin([str(v) for v in allowed]), F.lit(not required))
 
 
 def is_before(start: str | Column, end: str | Column) -> Column:
@@ -71,11 +68,10 @@ def in_range(col: str | Column, lo: float | None = None, hi: float | None = None
 
 def matches(col: str | Column, pattern: str, required: bool = False) -> Column:
     """User regex rule.  Required: null / "" fail.  Optional: null / "" pass."""
-    c = _c(col)
-    hit = F.coalesce(c.cast("string").rlike(pattern), F.lit(False))
+    c = _c(col).cast("string")
     if required:
-        return hit
-    return c.isNull() | (c.cast("string") == "") | hit
+        return F.coalesce(c.rlike(pattern), F.lit(False))
+    return F.coalesce(F.when(c != "", c.rlike(pattern)), F.lit(True))
 
 
 def register_sql(spark: SparkSession) -> list[str]:
