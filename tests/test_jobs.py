@@ -118,3 +118,14 @@ def test_diff_with_duplicate_keys(spark):
     assert got == {"x": "changed", "y": "only_in_a", "z": "only_in_b"}  # k: same multiset of rows
     c = spark.createDataFrame([("k", 1), ("k", 1)], "id string, v int")
     assert {r.id: r.side for r in compare.diff(a.filter("id = 'k'"), c, ["id"]).collect()} == {"k": "changed"}
+
+
+def test_rerun_of_a_job_does_not_duplicate_service_rows(spark, tmpdir_path):
+    run = jobs.Run("r_twice", dt.datetime(2024, 1, 1, 2))
+    bronze = D.bronze_contact(spark, SF_SMALL)
+    q_t, m_t = os.path.join(tmpdir_path, "quarantine_records"), os.path.join(tmpdir_path, "pipeline_metrics")
+    out = None
+    for attempt in range(2):  # the first attempt "crashed" before publishing
+        out = jobs.run_dq(spark, bronze, _rule(), "contact", os.path.join(tmpdir_path, f"s{attempt}"), q_t, m_t, run)
+    assert spark.read.parquet(q_t).count() == out["records_failed"]
+    assert spark.read.parquet(m_t).count() == 1
