@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators import dedup
 from strata.operators.rules import Rule, compile_rules, evaluate
 from strata.sources.schemas import QUARANTINE_RECORDS, conform
 
@@ -149,3 +150,13 @@ def resolve(q: DataFrame, decisions: DataFrame) -> DataFrame:
     return j.select(*[F.coalesce(F.col(f"_d_{c}"), F.col(c)).alias(c)
                       if c in ("status", "resolution_notes", "resolved_by", "resolved_at") else F.col(c)
                       for c in q.columns])
+
+
+def merge_repaired(silver: DataFrame, repaired: DataFrame, keys: list[str], order_by: str,
+                   tie_breakers: list[str] | None = None) -> DataFrame:
+    """Silver with the repaired rows merged in by key: per key the newest row
+    wins (a repaired row older than the silver row does not replace it), so
+    silver never holds a key twice.  Columns a repaired record lacks are null."""
+    both = silver.unionByName(repaired.select(*[c for c in repaired.columns if c in silver.columns]),
+                              allowMissingColumns=True)
+    return dedup.keep_one(both, keys, order_by, "desc", tie_breakers)

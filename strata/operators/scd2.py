@@ -218,6 +218,20 @@ def changed_between(dim: DataFrame, spec: ScdSpec, start, end) -> DataFrame:
     return dim.filter((F.col(spec.valid_from) >= _ts(start)) & (F.col(spec.valid_from) < _ts(end)))
 
 
+def change_counts(dim: DataFrame, spec: ScdSpec, start, end, grain: str = "month") -> DataFrame:
+    """Versions started per period inside ``[start, end)`` and how many keys
+    changed (``grain`` month -> 'yyyy-MM', quarter -> 'yyyy-Qn')."""
+    vf = F.col(spec.valid_from)
+    if grain == "month":
+        period = F.date_format(vf, "yyyy-MM")
+    elif grain == "quarter":
+        period = F.concat(F.year(vf).cast("string"), F.lit("-Q"), F.quarter(vf).cast("string"))
+    else:
+        raise ValueError("grain must be month or quarter")
+    return (changed_between(dim, spec, start, end).groupBy(period.alias("period"))
+            .agg(F.count(F.lit(1)).alias("new_versions"), F.countDistinct(spec.business_key).alias("changed_keys")))
+
+
 def transitions(dim: DataFrame, spec: ScdSpec, attr: str) -> DataFrame:
     """Each version change of ``attr``: key, old value, new value, when."""
     k = spec.business_key

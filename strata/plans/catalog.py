@@ -518,9 +518,8 @@ WHERE v > 1 AND old_value IS DISTINCT FROM new_value"""
 
 
 def q_scd2_period_counts(spark, sf):
-    d = scd2.changed_between(_stored_dim(spark, sf, 3), CONTACT_SPEC, "2024-01-15 00:00:00", "2024-03-15 00:00:00")
-    return (d.groupBy(F.date_format("valid_from", "yyyy-MM").alias("period"))
-            .agg(F.count(F.lit(1)).alias("new_versions"), F.countDistinct("contactid").alias("changed_keys")))
+    return scd2.change_counts(_stored_dim(spark, sf, 3), CONTACT_SPEC, "2024-01-15 00:00:00",
+                              "2024-03-15 00:00:00", "month")
 
 
 O_SCD2_PERIOD_COUNTS = f"""WITH {_d_dim(3)}

@@ -128,3 +128,22 @@ def test_no_python_udf_in_plan(spark):
     ev = R.evaluate(contacts(spark), R.compile_rules(CONTACT_RULES))
     plan = ev._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_repair_and_merge_into_silver(spark):
+    from pyspark.sql import types as T
+    rules = R.compile_rules(CONTACT_RULES)
+    rows = [("1", "Max", "M", "max@@x.de", None, 2), ("2", "Eva", "B", "eva@x.de", None, 1)]
+    df = spark.createDataFrame(rows, CONTACT_SCHEMA + ", v int")
+    ev = R.evaluate(df, rules)
+    valid, bad, _ = R.split(ev)
+    q = quarantine.build(bad, rules, "contact", "r", dt.datetime(2024, 1, 1))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in
+                           ["contactid", "firstname", "surname", "emailaddress1", "mobilephone"]] +
+                          [T.StructField("v", T.IntegerType())])
+    repaired, updated = quarantine.repair(q, schema, {"emailaddress1": [("@@", "@")]}, CONTACT_RULES)
+    assert [r.emailaddress1 for r in repaired.collect()] == ["max@x.de"]
+    assert [r.status for r in updated.collect()] == ["fixed"]
+    silver = R.strip_helpers(valid, rules)
+    merged = quarantine.merge_repaired(silver, repaired, ["contactid"], "v")
+    assert sorted((r.contactid, r.emailaddress1) for r in merged.collect()) == [("1", "max@x.de"), ("2", "eva@x.de")]

@@ -169,3 +169,11 @@ def test_from_changes_hot_key_spans_partitions(spark):
     e = sorted((r.id, r.email, r.valid_from, r.nx) for r in exp.collect())
     assert g == e
     assert sorted(r.sk for r in got.collect()) == list(range(1, len(e) + 1))
+
+
+def test_change_counts_by_quarter(spark):
+    d = scd2.initial_load(snap(spark, [("a", "a1", "X"), ("b", "b1", "X")]), SPEC, D1)
+    d = scd2.merge(d, snap(spark, [("a", "a2", "X"), ("b", "b1", "X")]), SPEC, "2024-04-02 00:00:00")
+    got = {r.period: (r.new_versions, r.changed_keys) for r in
+           scd2.change_counts(d, SPEC, D1, "2025-01-01 00:00:00", "quarter").collect()}
+    assert got == {"2024-Q1": (2, 2), "2024-Q2": (1, 1)}
