@@ -84,3 +84,11 @@ def test_as_of_lookup_with_hot_key(spark):
     exp = facts.join(dim, (facts.k == dim.k) & (facts.ts >= dim.valid_from) & (facts.ts < dim.valid_to), "left") \
         .select("fid", F.coalesce("sk", F.lit(-1)).alias("sk"))
     assert sorted((r.fid, r.sk) for r in got.collect()) == sorted((r.fid, r.sk) for r in exp.collect())
+
+
+def test_dedup_by_attribute(spark):
+    # three rows with one e-mail -> the latest one stays
+    df = spark.createDataFrame([("1", "a@x.de", T1), ("2", "a@x.de", T3), ("3", "a@x.de", T2), ("4", "b@x.de", T1)],
+                               "id string, email string, ts timestamp")
+    got = sorted(r.id for r in dedup.keep_one(df, ["email"], "ts", "desc", ["id"]).collect())
+    assert got == ["2", "4"]

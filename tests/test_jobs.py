@@ -129,3 +129,35 @@ def test_rerun_of_a_job_does_not_duplicate_service_rows(spark, tmpdir_path):
         out = jobs.run_dq(spark, bronze, _rule(), "contact", os.path.join(tmpdir_path, f"s{attempt}"), q_t, m_t, run)
     assert spark.read.parquet(q_t).count() == out["records_failed"]
     assert spark.read.parquet(m_t).count() == 1
+
+
+def test_inventory_purge_typed_frame_lineage(spark, tmpdir_path):
+    from strata.plans import monitor
+    from strata.sources.schemas import PIPELINE_RUN_HISTORY, TABLE_LINEAGE
+    root = tmpdir_path
+    io.publish(spark, spark.range(3), os.path.join(root, "dim"), "v1")
+    now = dt.datetime(2024, 3, 1)
+    rows = [monitor.run_row(spark, f"r{i}", "p", "succeeded", now - dt.timedelta(days=d), now)
+            for i, d in enumerate([1, 10, 200])]
+    hist = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    io.append(hist, os.path.join(root, "pipeline_run_history"))
+    inv = {r.table_name: (r.kind, r.current_version) for r in io.inventory(spark, root).collect()}
+    assert inv == {"dim": ("versioned", "v1"), "pipeline_run_history": ("appended", None)}
+    kept = io.purge(spark, os.path.join(root, "pipeline_run_history"), "start_time", now, 90, "p1")
+    assert kept == 2 and spark.read.parquet(os.path.join(root, "pipeline_run_history")).count() == 2
+    tf = io.typed_frame(spark, PIPELINE_RUN_HISTORY, [])
+    assert tf.schema == PIPELINE_RUN_HISTORY and tf.count() == 0
+    assert io.preview(spark.range(10), n=3).count() == 3
+    # lineage rows from a config run with the flag on (test environment)
+    run = jobs.Run("r_lin", dt.datetime(2024, 1, 1, 2), "test", C.load_config("test"))
+    cfg = [e for e in C.read_configs(C.seed_frame(spark, run.run_ts)) if e.config_id.startswith("hs_course")]
+    src = {"bronze.hs_course": D.bronze_course(spark, SF_SMALL)}
+    res = jobs.run_config(spark, cfg, lambda n: src[n] if n in src else io.read_current(spark, os.path.join(root, n)),
+                          lambda n: os.path.join(root, n), run, history_table=os.path.join(root, "history2"),
+                          lineage_table=os.path.join(root, "table_lineage"))
+    assert all(r["status"] == "succeeded" for r in res)
+    lin = spark.read.parquet(os.path.join(root, "table_lineage"))
+    assert sorted(r.target_table for r in lin.collect()) == ["gold.fact_course", "silver.hs_course"]
+    assert [f.name for f in lin.schema.fields][:len(TABLE_LINEAGE.fields)] == [f.name for f in TABLE_LINEAGE.fields]
+    h = spark.read.parquet(os.path.join(root, "history2")).first()
+    assert h.run_status == "succeeded" and h.tables_processed == 2

@@ -127,3 +127,8 @@ def test_session_settings(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_table_name():
+    env = C.load_config("test")
+    assert C.table_name(env["silver"], "contact") == "hs_silver_test.contact"
