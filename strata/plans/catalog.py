@@ -529,12 +529,13 @@ GROUP BY 1"""
 
 
 def _faulty(dim: DataFrame) -> DataFrame:
-    """Planted faults: a second, earlier-starting current copy for sk % 50 = 0
-    (two current rows, overlap) and valid_to = valid_from for sk % 77 = 0."""
-    extra = (dim.filter((F.col("contact_sk") % 50 == 0) & F.col("is_current"))
-             .withColumn("contact_sk", F.col("contact_sk") + 100000)
+    """Planted faults: current versions with an upper-case surname get a second,
+    earlier-starting current copy (two current rows, overlap); versions
+    without a phone get valid_to = valid_from (empty range)."""
+    extra = (dim.filter(F.col("is_current") & (F.col("surname") == F.upper("surname")))
+             .withColumn("contact_sk", F.col("contact_sk") + 1000000)
              .withColumn("valid_from", F.col("valid_from") - F.expr("INTERVAL 1 DAY")))
-    bad = dim.withColumn("valid_to", F.when(F.col("contact_sk") % 77 == 0, F.col("valid_from"))
+    bad = dim.withColumn("valid_to", F.when(F.col("mobilephone").isNull(), F.col("valid_from"))
                          .otherwise(F.col("valid_to")))
     return bad.unionByName(extra)
 
@@ -544,13 +545,13 @@ def q_scd2_checks(spark, sf):
 
 
 O_SCD2_CHECKS = f"""WITH {_d_dim(3)},
-  d0 AS (SELECT contactid, contact_sk, valid_from, coalesce(valid_to_ts, TIMESTAMP '9999-12-31 23:59:59') AS valid_to,
-           valid_to_ts IS NULL AS is_current FROM dim),
+  d0 AS (SELECT contactid, contact_sk, surname, mobilephone, valid_from,
+           coalesce(valid_to_ts, TIMESTAMP '9999-12-31 23:59:59') AS valid_to, valid_to_ts IS NULL AS is_current FROM dim),
   d AS (SELECT contactid, contact_sk, valid_from,
-          CASE WHEN contact_sk % 77 = 0 THEN valid_from ELSE valid_to END AS valid_to, is_current FROM d0
+          CASE WHEN mobilephone IS NULL THEN valid_from ELSE valid_to END AS valid_to, is_current FROM d0
         UNION ALL
-        SELECT contactid, contact_sk + 100000, valid_from - INTERVAL 1 DAY, valid_to, is_current FROM d0
-        WHERE contact_sk % 50 = 0 AND is_current),
+        SELECT contactid, contact_sk + 1000000, valid_from - INTERVAL 1 DAY, valid_to, is_current FROM d0
+        WHERE is_current AND surname = upper(surname)),
   one AS (SELECT contactid FROM d GROUP BY contactid HAVING count_if(is_current) <> 1),
   ov AS (SELECT * FROM (SELECT valid_from, max(valid_to) OVER (PARTITION BY contactid ORDER BY valid_from, contact_sk
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM d) WHERE pm > valid_from)

@@ -47,35 +47,40 @@ JOIN (
 ) b ON o.o_custkey = b.c_custkey
 """
 
-# Snapshot __N__ (1, 2, 3) of the silver contact table, one row per key:
-# run 2 changes e-mails (key % 7 = 0), drops keys % 11 = 0 for one run and adds
-# new keys (% 13 = 0); run 3 reverts half of the e-mail changes (A -> B -> A),
-# changes surnames (% 5 = 0) and adds keys % 17 = 0.  The city is untracked and
-# changes too (% 3 = 0), which must not create a version.
+# Snapshot n (1, 2, 3) of the silver contact table: the customers with orders
+# in period n (two years each, back to back), attributes from aggregates over
+# those orders.  Customers without orders in a period are missing from that
+# snapshot and may come back; first-time customers are new; the e-mail domain
+# follows the period's highest order status, the surname's case the number of
+# urgent orders, the phone is withheld for frequent buyers.  The city (from the
+# order count) is untracked and must not create a version.
+SNAPSHOT_PERIODS = [("1995-01-01 00:00:00", "1997-01-01 00:00:00"),
+                    ("1997-01-01 00:00:00", "1999-01-01 00:00:00"),
+                    ("1999-01-01 00:00:00", "2001-01-01 00:00:00")]
 CONTACT_SNAPSHOT_SQL = """
-SELECT contactid, firstname, surname, emailaddress1, mobilephone, address1_city FROM (
-  SELECT CAST(c_custkey AS STRING) AS contactid,
-    'Vorname' || CAST(c_custkey % 97 AS STRING) AS firstname,
-    CASE WHEN __N__ >= 3 AND c_custkey % 5 = 0 THEN upper(c_mktsegment) ELSE lower(c_mktsegment) END AS surname,
-    CASE WHEN __N__ = 2 AND c_custkey % 7 = 0 THEN 'user' || CAST(c_custkey AS STRING) || '@neu.de'
-         WHEN __N__ = 3 AND c_custkey % 7 = 0 AND c_custkey % 2 = 1 THEN 'user' || CAST(c_custkey AS STRING) || '@neu.de'
-         ELSE 'user' || CAST(c_custkey AS STRING) || '@example.de' END AS emailaddress1,
-    CASE WHEN c_custkey % 19 = 0 THEN NULL ELSE '0170' || lpad(CAST(c_custkey AS STRING), 7, '0') END AS mobilephone,
-    CASE WHEN __N__ >= 2 AND c_custkey % 3 = 0 THEN 'Neustadt' ELSE 'City' || CAST(c_nationkey AS STRING) END AS address1_city
-  FROM {customer}
-  WHERE NOT (__N__ = 2 AND c_custkey % 11 = 0)
-  UNION ALL
-  SELECT 'N' || CAST(c_custkey AS STRING) AS contactid,
-    'Neu' || CAST(c_custkey % 89 AS STRING) AS firstname,
-    lower(c_mktsegment) AS surname,
-    'neu' || CAST(c_custkey AS STRING) || '@example.de' AS emailaddress1,
-    NULL AS mobilephone,
-    'City' || CAST(c_nationkey AS STRING) AS address1_city
-  FROM {customer}
-  WHERE (__N__ >= 2 AND c_custkey % 13 = 0) OR (__N__ >= 3 AND c_custkey % 17 = 0)
-) s
+SELECT CAST(c.c_custkey AS STRING) AS contactid,
+  'Vorname' || CAST(c.c_custkey % 97 AS STRING) AS firstname,
+  CASE WHEN a.n_urgent >= 2 THEN upper(c.c_mktsegment) ELSE lower(c.c_mktsegment) END AS surname,
+  'user' || CAST(c.c_custkey AS STRING) || CASE WHEN a.top_status = 'F' THEN '@example.de' ELSE '@neu.de' END
+    AS emailaddress1,
+  CASE WHEN a.n_orders >= 5 THEN NULL ELSE '0170' || lpad(CAST(c.c_custkey AS STRING), 7, '0') END AS mobilephone,
+  'City' || CAST(a.n_orders AS STRING) AS address1_city
+FROM {customer} c
+JOIN (
+  SELECT o_custkey, count(*) AS n_orders, count_if(o_orderpriority = '1-URGENT') AS n_urgent,
+         max(o_orderstatus) AS top_status
+  FROM {orders}
+  WHERE o_orderdate >= TIMESTAMP '__FROM__' AND o_orderdate < TIMESTAMP '__TO__'
+  GROUP BY o_custkey
+) a ON c.c_custkey = a.o_custkey
 """
 
+
+def _snapshot_sql(n: int) -> str:
+    lo, hi = SNAPSHOT_PERIODS[int(n) - 1]
+    return CONTACT_SNAPSHOT_SQL.replace("__FROM__", lo).replace("__TO__", hi)
+
+
 # A course per order: dates from the order and its latest shipment, status
 # from the order status ('P' maps outside the allowed list), a participant
 # count from the number of lines.  Orders without lines have no end date.
@@ -183,7 +188,7 @@ def bronze_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contact_snapshot(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
-    return _run(spark, sf_dir, CONTACT_SNAPSHOT_SQL.replace("__N__", str(int(n))), ["customer"])
+    return _run(spark, sf_dir, _snapshot_sql(n), ["customer", "orders"])
 
 
 def bronze_course(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,4 +207,4 @@ def duck(sql: str, **subst: str) -> str:
 
 
 def duck_snapshot(n: int) -> str:
-    return duck(CONTACT_SNAPSHOT_SQL.replace("__N__", str(int(n))))
+    return duck(_snapshot_sql(n))
