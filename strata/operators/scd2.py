@@ -125,40 +125,65 @@ def counts(classes: DataFrame) -> DataFrame:
         F.count_if(c == "missing").alias("scd_missing"))
 
 
-def merge(dim: DataFrame, src: DataFrame, spec: ScdSpec, run_ts, on_missing: str = "keep",
-          with_class: bool = False) -> DataFrame:
-    """The next version of the dimension after snapshot ``src`` at ``run_ts``.
-
-    Result = history ∪ current(same, missing) ∪ current(changed, closed at
-    run_ts) ∪ snapshot(changed, new) with fresh surrogate keys above the
-    dimension's maximum.  A key with history but no current row (an
-    interrupted earlier write) simply gets a new open version.
-    """
+def next_rows(cur: DataFrame, src: DataFrame, spec: ScdSpec, run_ts, max_sk: int, on_missing: str = "keep",
+              with_class: bool = False) -> DataFrame:
+    """The rows a run writes: every current row (kept open, or closed at
+    ``run_ts``) and the new versions of changed and new keys, keyed above
+    ``max_sk``.  History is not touched, so a run costs current + changes,
+    not the whole dimension."""
     k, sk = spec.business_key, spec.surrogate_key
     ts = _ts(run_ts)
     cols = spec.columns
-    hist = dim.filter(~F.col(spec.is_current)).select(*cols)
-    cur = dim.filter(F.col(spec.is_current)).select(*[F.col(c).alias(f"c_{c}") for c in cols])
-    s = prepare(src, spec).select(*[F.col(c).alias(f"s_{c}") for c in spec.payload + [spec.hash_value]])
-    j = cur.join(s, F.col(f"c_{k}") == F.col(f"s_{k}"), "full_outer")
-    cls = _class_expr(F.col(f"c_{spec.hash_value}"), F.col(f"s_{spec.hash_value}"))
-    j = j.withColumn("_class", cls)
-
+    c = cur.select(*[F.col(x).alias(f"c_{x}") for x in cols])
+    s = prepare(src, spec).select(*[F.col(x).alias(f"s_{x}") for x in spec.payload + [spec.hash_value]])
+    j = c.join(s, F.col(f"c_{k}") == F.col(f"s_{k}"), "full_outer")
+    j = j.withColumn("_class", _class_expr(F.col(f"c_{spec.hash_value}"), F.col(f"s_{spec.hash_value}")))
     close = (F.col("_class") == "changed") | ((F.col("_class") == "missing") & F.lit(on_missing == "close"))
     old = j.filter(F.col(f"c_{k}").isNotNull()).select(
-        *[F.col(f"c_{c}").alias(c) for c in cols if c not in (spec.valid_to, spec.is_current)],
+        *[F.col(f"c_{x}").alias(x) for x in cols if x not in (spec.valid_to, spec.is_current)],
         F.when(close, ts).otherwise(F.col(f"c_{spec.valid_to}")).alias(spec.valid_to),
         F.when(close, F.lit(False)).otherwise(F.col(f"c_{spec.is_current}")).alias(spec.is_current),
         *([F.col("_class")] if with_class else []))
     new = j.filter(F.col("_class").isin("new", "changed")).select(
-        *[F.col(f"s_{c}").alias(c) for c in spec.payload + [spec.hash_value]],
+        *[F.col(f"s_{x}").alias(x) for x in spec.payload + [spec.hash_value]],
         ts.alias(spec.valid_from), end_of_time().alias(spec.valid_to), F.lit(True).alias(spec.is_current),
         *([F.col("_class")] if with_class else []))
-    max_sk = dim.agg(F.max(sk)).first()[0]
     new = assign_dense(new, [k], sk, int(max_sk or 0))
+    return old.unionByName(new.select(*cols, *(["_class"] if with_class else [])))
+
+
+def merge(dim: DataFrame, src: DataFrame, spec: ScdSpec, run_ts, on_missing: str = "keep",
+          with_class: bool = False) -> DataFrame:
+    """The next version of the whole dimension after snapshot ``src`` at ``run_ts``.
+
+    Result = history ∪ current(same, missing) ∪ current(changed, closed at
+    run_ts) ∪ snapshot(changed, new) with fresh surrogate keys above the
+    dimension's maximum.  A key with history but no current row (an
+    interrupted earlier write) simply gets a new open version.
+    """
+    hist = dim.filter(~F.col(spec.is_current)).select(*spec.columns)
     if with_class:
         hist = hist.withColumn("_class", F.lit("history"))
-    return hist.unionByName(old).unionByName(new.select(*cols, *(["_class"] if with_class else [])))
+    max_sk = dim.agg(F.max(spec.surrogate_key)).first()[0]
+    return hist.unionByName(next_rows(dim.filter(F.col(spec.is_current)), src, spec, run_ts, max_sk or 0,
+                                      on_missing, with_class))
+
+
+def run_checks(rows: DataFrame, spec: ScdSpec, run_ts) -> DataFrame:
+    """Checks on what one run wrote (its rows only, so they cost the run's
+    size): one current row per key, closed rows with valid_from < valid_to,
+    new versions starting at the run timestamp.  (check, violations) rows."""
+    ts = _ts(run_ts)
+    cur = rows.filter(F.col(spec.is_current))
+    parts = [("duplicate_current_keys", cur.groupBy(spec.business_key).agg(F.count(F.lit(1)).alias("n"))
+              .filter(F.col("n") > 1)),
+             ("invalid_date_ranges", rows.filter(F.col(spec.valid_from) >= F.col(spec.valid_to))),
+             ("new_versions_off_run_time", cur.filter((F.col(spec.valid_from) > ts)))]
+    out = None
+    for name, df in parts:
+        row = df.agg(F.lit(name).alias("check"), F.count(F.lit(1)).alias("violations"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 # --------------------------------------------------------------------------- checks

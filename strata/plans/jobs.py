@@ -130,30 +130,34 @@ def scd2_frame(spark: SparkSession, dim: DataFrame | None, silver: DataFrame, ru
 
 def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: str, target: str,
              metrics_table: str | None, run: Run) -> dict:
-    """Silver -> gold: classify + merge in one plan, written as a new version,
-    checked there, then published.  Duplicate business keys fail the run."""
+    """Silver -> gold.  Reads only the current rows, writes only this run's
+    rows (current rows it leaves + rows it closes), checks them, then
+    publishes.  Duplicate business keys in the snapshot fail the run."""
     start = datetime.now(timezone.utc).replace(tzinfo=None)
     spec = scd2.ScdSpec.from_rule(rule)
     if scd2.duplicate_keys(silver, spec).limit(1).count():
         raise ValueError(f"{source_table}: duplicate business keys; deduplicate first")
-    dim = io.read_current(spark, target)
-    if dim is None:
-        new_dim = scd2.initial_load(silver, spec, run.run_ts)
+    meta = io.dimension_meta(spark, target)
+    if meta is None:
+        rows = scd2.initial_load(silver, spec, run.run_ts)
         c = {"scd_inserts": None, "scd_updates": 0, "scd_no_changes": 0}
+        max_sk = 0
     else:
-        classes = scd2.classify(dim, silver, spec)
-        row = scd2.counts(classes).first()
+        cur = io.read_dimension_current(spark, target, spec.is_current)
+        row = scd2.counts(scd2.classify(cur, silver, spec)).first()
         c = {"scd_inserts": row.scd_inserts, "scd_updates": row.scd_updates,
              "scd_no_changes": row.scd_no_changes}
-        new_dim = scd2.merge(dim, silver, spec, run.run_ts)
-    path = io.write_version(spark, new_dim, target, run.run_id)
-    written = spark.read.parquet(path)
-    bad = scd2.check_counts(written, spec).filter(F.col("violations") > 0).collect()
+        max_sk = meta["max_sk"]
+        rows = scd2.next_rows(cur, silver, spec, run.run_ts, max_sk)
+    path = io.write_dimension_run(spark, rows.select(*spec.columns), target, run.run_id, spec.is_current)
+    written = io.read_dimension_run(spark, path, spec.is_current)
+    bad = scd2.run_checks(written, spec, run.run_ts).filter(F.col("violations") > 0).collect()
     if bad:
         raise ValueError(f"{target}: checks failed {[(r.check, r.violations) for r in bad]}")
-    io.set_current(spark, target, run.run_id)
+    stats = written.agg(F.max(spec.surrogate_key).alias("mx"), F.count_if(F.col(spec.is_current)).alias("cur")).first()
+    io.publish_dimension_run(spark, target, run.run_id, max(max_sk, stats.mx or 0))
     if c["scd_inserts"] is None:
-        c["scd_inserts"] = written.count()
+        c["scd_inserts"] = stats.cur
     end = datetime.now(timezone.utc).replace(tzinfo=None)
     read = silver.count()
     if metrics_table and _feature(run, "metrics"):

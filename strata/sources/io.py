@@ -10,6 +10,7 @@ a crash just writes its version again.  Appends (metrics, quarantine) go to
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -182,3 +183,71 @@ def preview(df: DataFrame, columns: list[str] | None = None, n: int = 3) -> Data
 def typed_frame(spark: SparkSession, schema: T.StructType, data: list) -> DataFrame:
     """A DataFrame with a declared schema (test data; no inference)."""
     return spark.createDataFrame(data, schema)
+
+
+# --------------------------------------------------------------------------- type-2 dimensions
+#
+# A dimension is ``<table>/run=<run_id>/is_current=<bool>/``: each run writes the
+# current rows it leaves (kept + new versions) and the rows it closed; closed
+# rows are immutable, so history is never rewritten.  ``_CURRENT`` holds JSON
+# {"version": run, "max_sk": n, "runs": [published runs]}: the dimension is the
+# current rows of ``version`` plus the closed rows of every published run.  A
+# crashed run's folder is not in ``runs`` and stays invisible; its retry
+# overwrites it.
+
+
+def dimension_meta(spark: SparkSession, table: str) -> dict | None:
+    txt = _read_text(spark, f"{table.rstrip('/')}/{POINTER}")
+    return None if txt is None else json.loads(txt)
+
+
+def write_dimension_run(spark: SparkSession, rows: DataFrame, table: str, run_id: str,
+                        is_current: str = "is_current") -> str:
+    meta = dimension_meta(spark, table)
+    if meta and run_id in meta["runs"]:
+        raise ValueError(f"{table}: run {run_id} is published; start a new run id")
+    path = f"{table.rstrip('/')}/run={run_id}"
+    rows.write.mode("overwrite").partitionBy(is_current).parquet(path)
+    return path
+
+
+def publish_dimension_run(spark: SparkSession, table: str, run_id: str, max_sk: int) -> dict:
+    meta = dimension_meta(spark, table) or {"runs": []}
+    meta = {"version": run_id, "max_sk": int(max_sk), "runs": list(meta["runs"]) + [run_id]}
+    _write_text(spark, f"{table.rstrip('/')}/{POINTER}", json.dumps(meta))
+    return meta
+
+
+def read_dimension_run(spark: SparkSession, path: str, is_current: str = "is_current") -> DataFrame:
+    """The rows one run wrote (partition values come back as text: typed again)."""
+    from pyspark.sql import functions as F
+    return spark.read.parquet(path).withColumn(is_current, F.col(is_current).cast("boolean"))
+
+
+def _dimension_rows(spark: SparkSession, table: str, is_current: str = "is_current") -> DataFrame:
+    from pyspark.sql import functions as F
+    df = spark.read.option("basePath", table).parquet(f"{table.rstrip('/')}/run=*")
+    return (df.withColumn("run", F.col("run").cast("string"))
+            .withColumn(is_current, F.col(is_current).cast("boolean")))
+
+
+def read_dimension(spark: SparkSession, table: str, is_current: str = "is_current") -> DataFrame | None:
+    """The published dimension: history of published runs + current rows of the latest."""
+    from pyspark.sql import functions as F
+    meta = dimension_meta(spark, table)
+    if meta is None:
+        return None
+    df = _dimension_rows(spark, table, is_current)
+    keep = ((~F.col(is_current) & F.col("run").isin(meta["runs"]))
+            | (F.col(is_current) & (F.col("run") == meta["version"])))
+    return df.filter(keep).drop("run")
+
+
+def read_dimension_current(spark: SparkSession, table: str, is_current: str = "is_current") -> DataFrame | None:
+    """Current rows only (partition pruning: one run, one is_current folder)."""
+    meta = dimension_meta(spark, table)
+    if meta is None:
+        return None
+    path = f"{table.rstrip('/')}/run={meta['version']}/{is_current}=true"
+    from pyspark.sql import functions as F
+    return spark.read.parquet(path).withColumn(is_current, F.lit(True))

@@ -1,6 +1,7 @@
 """End-to-end jobs with writes: bronze -> silver -> gold, publish, rerun, config run."""
 
 import datetime as dt
+import json
 import os
 
 import pytest
@@ -51,26 +52,33 @@ def test_run_dq_and_scd2(spark, tmpdir_path):
 
     scd = C.seed_rule("contact_silver_gold_scd2")
     r1 = jobs.run_scd2(spark, silver, scd, "contact", gold_t, m_t, run)
-    dim1 = io.read_current(spark, gold_t)
-    assert r1["scd_inserts"] == dim1.count() == silver.count()
+    dim1 = io.read_dimension(spark, gold_t)
+    meta1 = io.dimension_meta(spark, gold_t)
+    assert r1["scd_inserts"] == dim1.count() == silver.count() == meta1["max_sk"]
     # second run: change some e-mails
     changed = silver.withColumn("emailaddress1", F.when(F.col("contactid").cast("int") % 5 == 0,
                                                         F.concat(F.lit("n"), F.col("emailaddress1")))
                                 .otherwise(F.col("emailaddress1")))
     run2 = jobs.Run("20240102_020000", dt.datetime(2024, 1, 2, 2))
     r2 = jobs.run_scd2(spark, changed, scd, "contact", gold_t, m_t, run2)
-    dim2 = io.read_current(spark, gold_t)
+    dim2 = io.read_dimension(spark, gold_t)
     n5 = changed.filter(F.col("contactid").cast("int") % 5 == 0).count()
     assert r2["scd_updates"] == n5 and r2["scd_inserts"] == 0
     assert dim2.count() == dim1.count() + n5 and dim2.filter("is_current").count() == dim1.count()
-    # retry of the same run with the same input writes the same version again
+    assert dim2.select("contact_sk").distinct().count() == dim2.count()
+    from strata.operators import scd2 as S
+    assert all(r.violations == 0 for r in S.check_counts(dim2, S.ScdSpec.from_rule(scd)).collect())
+    # run 2 wrote only current rows and the rows it closed, not the history
+    assert spark.read.parquet(os.path.join(gold_t, "run=" + run2.run_id)).count() == dim1.count() + n5
+    # a published run is never rewritten; a crashed (unpublished) one is retried in place
     n_dim2 = dim2.count()
     run2b = jobs.Run("20240102_020000", dt.datetime(2024, 1, 2, 2))
     with pytest.raises(ValueError):
-        jobs.run_scd2(spark, changed, scd, "contact", gold_t, m_t, run2b)  # published: not overwritten
-    io.set_current(spark, gold_t, run.run_id)  # as if the publish of run 2 never happened
+        jobs.run_scd2(spark, changed, scd, "contact", gold_t, m_t, run2b)
+    io._write_text(spark, os.path.join(gold_t, "_CURRENT"), json.dumps(meta1))  # publish of run 2 "lost"
+    assert io.read_dimension(spark, gold_t).count() == dim1.count()  # the crashed run's rows are invisible
     jobs.run_scd2(spark, changed, scd, "contact", gold_t, m_t, run2b)
-    assert io.read_current(spark, gold_t).count() == n_dim2
+    assert io.read_dimension(spark, gold_t).count() == n_dim2
     # quarantine review / repair on what was written
     q = spark.read.parquet(q_t)
     dec = q.limit(2).select("quarantine_id", F.lit("ignored").alias("status"), F.lit("ok").alias("resolution_notes"),
