@@ -114,7 +114,11 @@ SELECT
   CASE WHEN s_suppkey % 7 = 0 THEN NULL WHEN s_suppkey % 11 = 0 THEN 'kontakt@firma'
        ELSE 'info' || CAST(s_suppkey AS STRING) || '@firma.de' END AS emailaddress1,
   '030' || lpad(CAST(s_suppkey AS STRING), 8, '0') AS telephone1,
-  'City' || CAST(s_nationkey AS STRING) AS address1_city
+  'City' || CAST(s_nationkey AS STRING) AS address1_city,
+  lpad(CAST(s_suppkey % 100000 AS STRING), 5, '0') AS address1_postalcode,
+  'https://firma' || CAST(s_suppkey AS STRING) || '.de' AS websiteurl,
+  TIMESTAMP '2020-01-01 00:00:00' AS createdon,
+  TIMESTAMP '2024-01-01 00:00:00' AS modifiedon
 FROM {supplier}
 """
 

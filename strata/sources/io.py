@@ -71,13 +71,27 @@ def set_current(spark: SparkSession, table: str, run_id: str) -> None:
     _write_text(spark, f"{table.rstrip('/')}/{POINTER}", run_id)
 
 
+def _pointer(spark: SparkSession, table: str) -> dict | None:
+    """The pointer of a table: plain text (a version) or JSON (a dimension)."""
+    txt = _read_text(spark, f"{table.rstrip('/')}/{POINTER}")
+    if txt is None:
+        return None
+    return json.loads(txt) if txt.lstrip().startswith("{") else {"version": txt.strip()}
+
+
 def current_version(spark: SparkSession, table: str) -> str | None:
-    return _read_text(spark, f"{table.rstrip('/')}/{POINTER}")
+    p = _pointer(spark, table)
+    return None if p is None else p["version"]
 
 
 def read_current(spark: SparkSession, table: str) -> DataFrame | None:
-    v = current_version(spark, table)
-    return None if v is None else spark.read.parquet(version_path(table, v))
+    """The published table (a dimension: history + current rows)."""
+    p = _pointer(spark, table)
+    if p is None:
+        return None
+    if "runs" in p:
+        return read_dimension(spark, table)
+    return spark.read.parquet(version_path(table, p["version"]))
 
 
 def publish(spark: SparkSession, df: DataFrame, table: str, run_id: str,
@@ -197,8 +211,8 @@ def typed_frame(spark: SparkSession, schema: T.StructType, data: list) -> DataFr
 
 
 def dimension_meta(spark: SparkSession, table: str) -> dict | None:
-    txt = _read_text(spark, f"{table.rstrip('/')}/{POINTER}")
-    return None if txt is None else json.loads(txt)
+    p = _pointer(spark, table)
+    return p if p is not None and "runs" in p else None
 
 
 def write_dimension_run(spark: SparkSession, rows: DataFrame, table: str, run_id: str,

@@ -91,7 +91,7 @@ def test_run_config_dependency_skip(spark, tmpdir_path):
     run = jobs.Run("20240101_020000", dt.datetime(2024, 1, 1, 2))
     cfg = C.read_configs(C.seed_frame(spark, run.run_ts))
     sources = {"bronze.hs_course": D.bronze_course(spark, SF_SMALL),
-               "bronze.account": D.bronze_account(spark, SF_SMALL)}  # no modifiedon -> dedup fails
+               "bronze.account": D.bronze_account(spark, SF_SMALL).drop("modifiedon")}  # dedup fails
 
     def resolve_source(name):
         if name in sources:
@@ -169,3 +169,16 @@ def test_inventory_purge_typed_frame_lineage(spark, tmpdir_path):
     assert [f.name for f in lin.schema.fields][:len(TABLE_LINEAGE.fields)] == [f.name for f in TABLE_LINEAGE.fields]
     h = spark.read.parquet(os.path.join(root, "history2")).first()
     assert h.run_status == "succeeded" and h.tables_processed == 2
+
+
+def test_daily_run_end_to_end(spark, tmpdir_path):
+    from strata.plans import daily
+    run = jobs.Run.start("test", dt.datetime(2024, 1, 30, 2))
+    out = daily.run_daily(spark, daily.bronze_sources(spark, SF_SMALL), tmpdir_path, run)
+    st = {r["config_id"]: r["status"] for r in out["results"]}
+    assert set(st.values()) == {"succeeded"} and len(st) == 6, out["results"]
+    assert io.read_dimension(spark, os.path.join(tmpdir_path, "gold", "dim_contact_scd")).count() > 0
+    assert io.read_dimension(spark, os.path.join(tmpdir_path, "gold", "dim_account_scd")).count() > 0
+    assert io.read_current(spark, os.path.join(tmpdir_path, "gold", "fact_course")).count() > 0
+    kinds = {a["alert_type"] for a in out["alerts"]}
+    assert "high_error_rate" in kinds  # the planted faults exceed the test threshold of 5 %
