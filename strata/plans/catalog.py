@@ -11,6 +11,8 @@ across engines.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +26,7 @@ from strata.sources import derived as D
 from strata.session import checkpoint_dir
 from strata.sources.config import CONTACT_RECORD_COLUMNS, CONTACT_RULES, CONTACT_SILVER_COLUMNS, seed_rule
 
-RUN = jobs.Run("20240101_020000", __import__("datetime").datetime(2024, 1, 1, 2, 0, 0))
+RUN = jobs.Run("20240101_020000", datetime.datetime(2024, 1, 1, 2, 0, 0))
 SCD_TS = ["2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"]
 TODAY = "2024-01-30"
 CONTACT_SPEC = scd2.ScdSpec("contactid", ["emailaddress1", "mobilephone", "firstname", "surname"],
@@ -191,9 +193,8 @@ WHITELIST_ROWS = [
 
 def whitelist_frame(spark: SparkSession) -> DataFrame:
     from strata.sources.schemas import DQ_WHITELIST
-    import datetime as _dt
-    rows = [(i, t, f, rt, p, why, act, _dt.datetime.fromisoformat(exp) if exp else None,
-             _dt.datetime(2023, 1, 1), "steward") for i, t, f, rt, p, why, act, exp in WHITELIST_ROWS]
+    rows = [(i, t, f, rt, p, why, act, datetime.datetime.fromisoformat(exp) if exp else None,
+             datetime.datetime(2023, 1, 1), "steward") for i, t, f, rt, p, why, act, exp in WHITELIST_ROWS]
     return spark.createDataFrame(rows, DQ_WHITELIST)
 
 
