@@ -51,3 +51,41 @@ def test_validators_match_python_semantics(spark, batch):
                     V.is_not_blank("v").alias("n")).orderBy("i").collect()
     for r, v in zip(got, batch):
         assert (r.e, r.p, r.n) == (spec_email(v), spec_phone(v), spec_not_blank(v)), repr(v)
+
+
+# ---------------------------------------------------------------------------- type-2 merge
+
+from strata.operators import scd2  # noqa: E402
+
+SPEC = scd2.ScdSpec("id", ["v"], [], "sk")
+TS = ["2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00", "2024-04-01 00:00:00"]
+snapshot = st.dictionaries(st.sampled_from(list("abcdef")), st.sampled_from(["x", "y", "z", None]), max_size=6)
+
+
+def model(snaps):
+    """Brute force: per key keep a run's value when it differs from the key's
+    last kept value (absent runs keep the version open); keys numbered by
+    (run, key)."""
+    rows, last = [], {}
+    for n, snap in enumerate(snaps):
+        for k in sorted(snap):
+            if k not in last or last[k][0] != snap[k]:
+                if k in last:
+                    rows[last[k][1]]["to"] = TS[n]
+                rows.append({"id": k, "v": snap[k], "from": TS[n], "to": None})
+                last[k] = (snap[k], len(rows) - 1)
+    return sorted((i + 1, r["id"], r["v"], r["from"], r["to"]) for i, r in enumerate(rows))
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(snapshot, min_size=2, max_size=4))
+def test_merge_matches_model(spark, snaps):
+    def frame(s):
+        return spark.createDataFrame(sorted(s.items()), "id string, v string")
+
+    dim = scd2.initial_load(frame(snaps[0]), SPEC, TS[0])
+    for n in range(1, len(snaps)):
+        dim = scd2.merge(dim, frame(snaps[n]), SPEC, TS[n])
+    got = sorted((r.sk, r.id, r.v, r.valid_from.strftime("%Y-%m-%d %H:%M:%S"),
+                  None if r.is_current else r.valid_to.strftime("%Y-%m-%d %H:%M:%S")) for r in dim.collect())
+    assert got == model(snaps)

@@ -177,3 +177,12 @@ def test_change_counts_by_quarter(spark):
     got = {r.period: (r.new_versions, r.changed_keys) for r in
            scd2.change_counts(d, SPEC, D1, "2025-01-01 00:00:00", "quarter").collect()}
     assert got == {"2024-Q1": (2, 2), "2024-Q2": (1, 1)}
+
+
+def test_two_runs_at_the_same_instant_are_caught(spark):
+    # a second change at the same timestamp would close a version with an empty range
+    d = scd2.initial_load(snap(spark, [("a", "a1", "X")]), SPEC, D1)
+    d = scd2.merge(d, snap(spark, [("a", "a2", "X")]), SPEC, D30)
+    rows = scd2.next_rows(scd2.current(d, SPEC), snap(spark, [("a", "a3", "X")]), SPEC, D30, 2)
+    got = {r.check: r.violations for r in scd2.run_checks(rows, SPEC, D30).collect()}
+    assert got["invalid_date_ranges"] == 1
