@@ -265,3 +265,13 @@ def read_dimension_current(spark: SparkSession, table: str, is_current: str = "i
     path = f"{table.rstrip('/')}/run={meta['version']}/{is_current}=true"
     from pyspark.sql import functions as F
     return spark.read.parquet(path).withColumn(is_current, F.lit(True))
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (file-system metadata only)."""
+    total = 0
+    for path in paths:
+        fs, p, _ = _hadoop_fs(spark, path)
+        if fs.exists(p):
+            total += fs.getContentSummary(p).getLength()
+    return total

@@ -121,6 +121,10 @@ def test_seed_configs_and_idempotent_seeding(spark):
 def test_session_settings(spark):
     s = C.session_settings("prod")
     assert s["spark.sql.shuffle.partitions"] == "400"
+    big = C.session_settings("prod", input_bytes=100 * 2 ** 40)  # 100 TB
+    assert big["spark.sql.shuffle.partitions"] == str(100 * 2 ** 40 // (256 * 2 ** 20))
+    from strata.sources import io
+    assert io.input_bytes(spark, ["/root/testdata/sf0.001/orders.parquet"]) > 0
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         C.apply_session_settings(spark, "dev")
