@@ -27,7 +27,7 @@ from strata.session import checkpoint_dir
 from strata.sources.config import CONTACT_RECORD_COLUMNS, CONTACT_RULES, CONTACT_SILVER_COLUMNS, seed_rule
 
 RUN = jobs.Run("20240101_020000", datetime.datetime(2024, 1, 1, 2, 0, 0))
-SCD_TS = ["2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"]
+SCD_TS = ["2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-04-01 00:00:00"]
 TODAY = "2024-01-30"
 CONTACT_SPEC = scd2.ScdSpec("contactid", ["emailaddress1", "mobilephone", "firstname", "surname"],
                             ["address1_city"], "contact_sk")
@@ -520,12 +520,12 @@ WHERE v > 1 AND old_value IS DISTINCT FROM new_value"""
 
 def q_scd2_period_counts(spark, sf):
     return scd2.change_counts(_stored_dim(spark, sf, 3), CONTACT_SPEC, "2024-01-15 00:00:00",
-                              "2024-03-15 00:00:00", "month")
+                              "2024-04-15 00:00:00", "month")
 
 
 O_SCD2_PERIOD_COUNTS = f"""WITH {_d_dim(3)}
 SELECT strftime(valid_from, '%Y-%m') AS period, count(*) AS new_versions, count(DISTINCT contactid) AS changed_keys
-FROM dim WHERE valid_from >= TIMESTAMP '2024-01-15 00:00:00' AND valid_from < TIMESTAMP '2024-03-15 00:00:00'
+FROM dim WHERE valid_from >= TIMESTAMP '2024-01-15 00:00:00' AND valid_from < TIMESTAMP '2024-04-15 00:00:00'
 GROUP BY 1"""
 
 
@@ -980,6 +980,17 @@ SELECT contactid, emailaddress1, strftime(valid_to_ts, '%Y-%m-%d %H:%M:%S') AS v
 WHERE valid_to_ts IS NOT NULL ORDER BY valid_to_ts DESC, contactid LIMIT 5"""
 
 
+def q_scd2_quarter_counts(spark, sf):
+    return scd2.change_counts(_stored_dim(spark, sf, 3), CONTACT_SPEC, "2024-01-01 00:00:00",
+                              "2025-01-01 00:00:00", "quarter")
+
+
+O_SCD2_QUARTER_COUNTS = f"""WITH {_d_dim(3)}
+SELECT CAST(year(valid_from) AS VARCHAR) || '-Q' || CAST(quarter(valid_from) AS VARCHAR) AS period,
+  count(*) AS new_versions, count(DISTINCT contactid) AS changed_keys FROM dim
+WHERE valid_from >= TIMESTAMP '2024-01-01 00:00:00' AND valid_from < TIMESTAMP '2025-01-01 00:00:00' GROUP BY 1"""
+
+
 # ============================================================================ registry
 
 QUERIES = {
@@ -1045,4 +1056,5 @@ QUERIES = {
     "scd2_totals": (q_scd2_totals, O_SCD2_TOTALS),
     "scd2_latest": (q_scd2_latest, O_SCD2_LATEST),
     "scd2_latest_closed": (q_scd2_latest_closed, O_SCD2_LATEST_CLOSED),
+    "scd2_quarter_counts": (q_scd2_quarter_counts, O_SCD2_QUARTER_COUNTS),
 }
