@@ -45,7 +45,7 @@ def assign_dense(df: DataFrame, order_cols: list[str], sk_col: str, start: int =
         df.unpersist()
     pid = F.spark_partition_id()
     counts = {r["_p"]: r["_n"] for r in laid.groupBy(pid.alias("_p")).agg(F.count(F.lit(1)).alias("_n")).collect()}
-    n_parts = laid.rdd.getNumPartitions()
+    n_parts = max(counts) + 1 if counts else 0  # partitions without rows need no offset
     offsets, acc = [], 0
     for p in range(n_parts):
         offsets.append(acc)
