@@ -117,11 +117,11 @@ def _whitelist_entries(whitelist: DataFrame, table: str, as_of) -> list[tuple[st
         (F.col("table_name") == table) & F.coalesce(F.col("active"), F.lit(True))
         & (F.col("expires_at").isNull() | (F.col("expires_at") > F.lit(as_of).cast("timestamp")))
     ).select("field_name", "rule_type", "pattern")
-    # Size check before anything reaches the driver.
-    n = active.limit(MAX_INLINE_WHITELIST + 1).count()
-    if n > MAX_INLINE_WHITELIST:
+    # Bounded read: at most MAX_INLINE_WHITELIST + 1 rows ever reach the driver.
+    rows = active.limit(MAX_INLINE_WHITELIST + 1).collect()
+    if len(rows) > MAX_INLINE_WHITELIST:
         return None  # caller takes the join path
-    return [(r.field_name, r.rule_type, r.pattern) for r in active.collect()]
+    return [(r.field_name, r.rule_type, r.pattern) for r in rows]
 
 
 def _pattern_match(c: Column, pattern: str) -> Column:
@@ -286,10 +286,11 @@ def rules_from_table(dq_rules: DataFrame, table: str) -> list[Rule]:
     import json
     rows = (dq_rules.filter((F.col("table_name") == table) & F.coalesce(F.col("active"), F.lit(True)))
             .orderBy("rule_id"))
-    if rows.limit(10001).count() > 10000:
+    got = rows.limit(10001).collect()
+    if len(got) > 10000:
         raise ValueError("more than 10000 active rules for one table")
     vals = []
-    for r in rows.collect():
+    for r in got:
         d = json.loads(r.rule_definition or "{}")
         d.setdefault("field", r.field_name)
         d["type"] = r.rule_type
