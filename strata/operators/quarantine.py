@@ -81,7 +81,10 @@ def trend(q: DataFrame, today, days: int = 7) -> DataFrame:
     """Errors per day and type over the last ``days`` days up to ``today``."""
     d = F.to_date("created_at")
     start = F.date_sub(F.lit(today).cast("date"), days)
-    return (q.filter(d >= start).groupBy(d.alias("error_date"), "error_type")
+    cond = d >= start
+    if "run_date" in q.columns:  # per-run folders: skip older days entirely
+        cond = cond & (F.col("run_date") >= F.date_sub(start, 1))
+    return (q.filter(cond).groupBy(d.alias("error_date"), "error_type")
             .agg(F.count(F.lit(1)).alias("error_count")))
 
 

@@ -98,7 +98,7 @@ def run_dq(spark: SparkSession, bronze: DataFrame, rule: dict, source_table: str
     warnings, observed = [], False
     if quarantine_table and _feature(run, "quarantine"):
         try:  # a failed quarantine write warns and does not stop the run
-            io.append(f.quarantine, quarantine_table, part=f"{run.run_id}__{source_table}")
+            io.append(f.quarantine, quarantine_table, part=f"{run.run_id}__{source_table}", run_date=run.run_ts)
             observed = True
         except Exception as ex:  # noqa: BLE001
             warnings.append(f"quarantine write failed: {ex}")
@@ -117,7 +117,8 @@ def run_dq(spark: SparkSession, bronze: DataFrame, rule: dict, source_table: str
     if metrics_table and _feature(run, "metrics"):
         io.append(monitor.metrics_row(spark, run.run_id, f"bronze_to_silver_{source_table}", "bronze_to_silver",
                                       source_table, target, out["records_read"], written, out["records_failed"],
-                                      start, end), metrics_table, part=f"{run.run_id}__bronze_to_silver__{source_table}")
+                                      start, end), metrics_table, part=f"{run.run_id}__bronze_to_silver__{source_table}",
+                  run_date=run.run_ts)
     return out
 
 
@@ -164,7 +165,7 @@ def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: s
         io.append(monitor.metrics_row(spark, run.run_id, f"silver_to_gold_{source_table}", "silver_to_gold",
                                       source_table, target, read, c["scd_inserts"] + c["scd_updates"], 0, start,
                                       end, c["scd_inserts"], c["scd_updates"], c["scd_no_changes"]),
-                  metrics_table, part=f"{run.run_id}__silver_to_gold__{source_table}")
+                  metrics_table, part=f"{run.run_id}__silver_to_gold__{source_table}", run_date=run.run_ts)
     return dict(c, records_read=read)
 
 
@@ -191,14 +192,14 @@ def run_config(spark: SparkSession, configs: list[ConfigEntry], resolve_source,
             failed=sum(r.get("records_failed", 0) or 0 for r in ok), tables=len(ok), run_type=run_type,
             error_message="; ".join(f"{r['config_id']}: {r['error']}" for r in bad)[:4000] or None,
             error_stack_trace=(bad[0]["trace"] if bad else None), environment=run.environment), history_table,
-            part=run.run_id)
+            part=run.run_id, run_date=run.run_ts)
     if lineage_table and _feature(run, "lineage"):
         by_id = {e.config_id: e for e in configs}
         for r in ok:
             e = by_id[r["config_id"]]
             io.append(monitor.lineage_row(spark, e.source_table, e.target_table, e.rule_type, run.run_id,
                                           r.get("records_written", r.get("records_read")), ended), lineage_table,
-                      part=f"{run.run_id}__{e.config_id}")
+                      part=f"{run.run_id}__{e.config_id}", run_date=run.run_ts)
     return results
 
 

@@ -75,11 +75,22 @@ def _days_back(today, days: int) -> Column:
     return F.date_sub(F.lit(today).cast("date") if not isinstance(today, Column) else today, days)
 
 
+def _since(df: DataFrame, ts_col: str, today, days: int) -> DataFrame:
+    """Rows of the last ``days`` days.  Tables written per run carry a
+    ``run_date`` partition column; a filter on it (one day of slack for runs
+    crossing midnight) lets Spark skip older folders entirely."""
+    start = _days_back(today, days)
+    cond = F.col(ts_col) >= start.cast("timestamp")
+    if "run_date" in df.columns:
+        cond = cond & (F.col("run_date") >= F.date_sub(start, 1))
+    return df.filter(cond)
+
+
 # --------------------------------------------------------------------------- views
 
 def metrics_recent(m: DataFrame, today, days: int = 7) -> DataFrame:
     d = F.to_date("start_time")
-    return (m.filter(F.col("start_time") >= _days_back(today, days).cast("timestamp"))
+    return (_since(m, "start_time", today, days)
             .groupBy(d.alias("run_date"), "stage", "source_table")
             .agg(F.sum("records_read").alias("total_records_read"),
                  F.sum("records_written").alias("total_records_written"),
@@ -90,7 +101,7 @@ def metrics_recent(m: DataFrame, today, days: int = 7) -> DataFrame:
 
 
 def quarantine_summary(q: DataFrame, today, days: int = 30) -> DataFrame:
-    return (q.filter(F.col("created_at") >= _days_back(today, days).cast("timestamp"))
+    return (_since(q, "created_at", today, days)
             .groupBy("source_table", "error_type", "status")
             .agg(F.count(F.lit(1)).alias("error_count"),
                  F.min("created_at").alias("first_occurrence"),
@@ -99,7 +110,7 @@ def quarantine_summary(q: DataFrame, today, days: int = 30) -> DataFrame:
 
 def success_rate(runs: DataFrame, today, days: int = 30) -> DataFrame:
     ok = F.count_if(F.col("run_status") == "succeeded")
-    return (runs.filter(F.col("start_time") >= _days_back(today, days).cast("timestamp"))
+    return (_since(runs, "start_time", today, days)
             .groupBy("pipeline_name", F.to_date("start_time").alias("run_date"))
             .agg(F.count(F.lit(1)).alias("total_runs"), ok.alias("successful_runs"),
                  F.count_if(F.col("run_status") == "failed").alias("failed_runs"))
@@ -120,15 +131,14 @@ def funnel(m: DataFrame, today) -> DataFrame:
 
 def top_errors(q: DataFrame, today, days: int = 7, n: int = 10) -> DataFrame:
     """The n most frequent new error types (a top-n report)."""
-    return (q.filter((F.col("status") == "new") & (F.col("created_at") >= _days_back(today, days).cast("timestamp")))
+    return (_since(q, "created_at", today, days).filter(F.col("status") == "new")
             .groupBy("source_table", "error_type")
             .agg(F.count(F.lit(1)).alias("error_count"), F.max("created_at").alias("last_seen"))
             .orderBy(F.desc("error_count"), "source_table", "error_type").limit(n))
 
 
 def scd_activity(m: DataFrame, today, days: int = 30) -> DataFrame:
-    return (m.filter((F.col("stage") == "silver_to_gold")
-                     & (F.col("start_time") >= _days_back(today, days).cast("timestamp")))
+    return (_since(m, "start_time", today, days).filter(F.col("stage") == "silver_to_gold")
             .groupBy(F.to_date("start_time").alias("activity_date"), "source_table")
             .agg(F.sum("scd_inserts").alias("new_records"), F.sum("scd_updates").alias("changed_records"),
                  F.sum("scd_no_changes").alias("unchanged_records"),
@@ -151,7 +161,7 @@ def error_report(m: DataFrame, today) -> DataFrame:
 
 def stage_averages(m: DataFrame, today, days: int = 7) -> DataFrame:
     """Per stage and table over the last ``days`` days."""
-    return (m.filter(F.col("start_time") >= _days_back(today, days).cast("timestamp"))
+    return (_since(m, "start_time", today, days)
             .groupBy("stage", "source_table")
             .agg(F.avg("error_rate").alias("avg_error_rate"), F.avg("duration_sec").alias("avg_duration"),
                  F.sum("records_written").alias("total_records")))
@@ -169,7 +179,7 @@ def error_rate_pct(m: DataFrame) -> DataFrame:
 
 def table_overview(m: DataFrame, today, days: int = 7) -> DataFrame:
     """Per day, table and stage: rows in / out / failed, rounded mean duration."""
-    return (m.filter(F.col("start_time") >= _days_back(today, days).cast("timestamp"))
+    return (_since(m, "start_time", today, days)
             .groupBy(F.to_date("start_time").alias("run_date"), F.col("source_table").alias("table_name"), "stage")
             .agg(F.sum("records_read").alias("total_in"), F.sum("records_written").alias("total_out"),
                  F.sum("records_failed").alias("total_failed"),

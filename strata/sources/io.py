@@ -111,21 +111,24 @@ def exists(spark: SparkSession, table: str) -> bool:
     return current_version(spark, table) is not None
 
 
-def append(df: DataFrame, path: str, schema: T.StructType | None = None, part: str | None = None) -> None:
+def append(df: DataFrame, path: str, schema: T.StructType | None = None, part: str | None = None,
+           run_date=None) -> None:
     """Add rows to an appended table, conformed to its declared schema.
 
     With ``part`` (e.g. run id + stage) the rows go to their own folder
     ``_part=<part>`` and replace it: a rerun of a crashed job rewrites its
-    own rows instead of adding them twice.  Readers see ``_part`` as an
-    extra column."""
+    own rows instead of adding them twice.  With ``run_date`` that folder
+    sits under ``run_date=<yyyy-mm-dd>``, so date-bounded reports prune
+    whole days.  Readers see ``run_date`` / ``_part`` as extra columns."""
     name = os.path.basename(path.rstrip("/"))
     schema = schema or SERVICE_TABLES.get(name)
     out = conform(df, schema) if schema is not None else df
     if part is None:
         out.write.mode("append").parquet(path)
-    else:
-        safe = "".join(ch if ch.isalnum() or ch in "-_." else "_" for ch in part)
-        out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/_part={safe}")
+        return
+    safe = "".join(ch if ch.isalnum() or ch in "-_." else "_" for ch in part)
+    base = path.rstrip("/") + (f"/run_date={run_date.isoformat()[:10]}" if run_date is not None else "")
+    out.write.mode("overwrite").parquet(f"{base}/_part={safe}")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

@@ -182,3 +182,18 @@ def test_daily_run_end_to_end(spark, tmpdir_path):
     assert io.read_current(spark, os.path.join(tmpdir_path, "gold", "fact_course")).count() > 0
     kinds = {a["alert_type"] for a in out["alerts"]}
     assert "high_error_rate" in kinds  # the planted faults exceed the test threshold of 5 %
+
+
+def test_reports_prune_run_date_partitions(spark, tmpdir_path):
+    from strata.plans import monitor
+    q_t = os.path.join(tmpdir_path, "quarantine_records")
+    for day in (1, 20, 30):
+        run = jobs.Run(f"r{day}", dt.datetime(2024, 1, day, 2))
+        f = jobs.dq_frames(D.bronze_contact(spark, SF_SMALL), _rule(), "contact", run)
+        io.append(f.quarantine, q_t, part=run.run_id, run_date=run.run_ts)
+    q = spark.read.parquet(q_t)
+    view = monitor.quarantine_summary(q, "2024-01-30", 7)
+    view.write.format("noop").mode("overwrite").save()
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_date" in plan
+    assert {r.first_occurrence.day for r in view.collect()} == {30}
