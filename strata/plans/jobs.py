@@ -2,10 +2,11 @@
 (type-2 merge, checks), simple copies and aggregates, and the config-driven
 run that orders them by dependency.
 
-The lazy halves (``dq_frames``, ``scd2_frame``) build DataFrames only; the
-``run_*`` functions write, count through ``Observation``s on the writes
-(no extra scans), and publish every target as a new version folder so a
-retried or interrupted run never leaves a half-written table behind.
+``dq_frames`` builds the bronze -> silver DataFrames only; the ``run_*``
+functions write, count through ``Observation``s on the writes (no extra
+scans), and publish through a pointer (a new version of silver tables; the
+run's rows of a dimension) so a retried or interrupted run never leaves a
+half-written table behind.
 """
 
 from __future__ import annotations
@@ -122,13 +123,6 @@ def run_dq(spark: SparkSession, bronze: DataFrame, rule: dict, source_table: str
     return out
 
 
-def scd2_frame(spark: SparkSession, dim: DataFrame | None, silver: DataFrame, rule: dict, run: Run) -> DataFrame:
-    spec = scd2.ScdSpec.from_rule(rule)
-    if dim is None:
-        return scd2.initial_load(silver, spec, run.run_ts)
-    return scd2.merge(dim, silver, spec, run.run_ts)
-
-
 def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: str, target: str,
              metrics_table: str | None, run: Run) -> dict:
     """Silver -> gold.  Reads only the current rows, writes only this run's

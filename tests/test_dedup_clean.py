@@ -92,3 +92,14 @@ def test_dedup_by_attribute(spark):
                                "id string, email string, ts timestamp")
     got = sorted(r.id for r in dedup.keep_one(df, ["email"], "ts", "desc", ["id"]).collect())
     assert got == ["2", "4"]
+
+
+def test_small_helpers(spark):
+    from strata.operators import compare, rules as R
+    rf = R.rules_frame(spark, R.compile_rules(CONTACT_RULES))
+    assert [r.rule_name for r in rf.collect()] == ["email_invalid", "phone_invalid", "firstname_null", "surname_null"]
+    df = spark.createDataFrame([(None, "x")], "a string, b string")
+    assert cleaning.fill_default(df, ["a"]).first().a == "UNKNOWN"
+    d = compare.diff(spark.createDataFrame([("k", 1)], "id string, v int"),
+                     spark.createDataFrame([("k", 2), ("z", 1)], "id string, v int"), ["id"])
+    assert {r.side: r.n for r in compare.diff_counts(d).collect()} == {"changed": 1, "only_in_b": 1}

@@ -1,7 +1,6 @@
 """Driver contract and the oracle comparison on the smallest tables."""
 
 import datetime
-import math
 
 import duckdb
 import pytest

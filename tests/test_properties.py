@@ -6,7 +6,6 @@ import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import validators as V
