@@ -48,3 +48,14 @@ def test_query_matches_oracle(spark, duck, name):
     a = sorted((tuple(_norm(r[c]) for c in cols) for r in st.to_pylist()), key=key)
     b = sorted((tuple(_norm(r[c]) for c in cols) for r in dt.to_pylist()), key=key)
     assert a == b
+
+
+@pytest.mark.parametrize("name", ["scd2_merge_3", "scd2_from_changes", "metrics_recent", "quarantine_trend",
+                                  "date_dim", "fact_lookup"])
+def test_session_time_zone_does_not_change_results(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        test_query_matches_oracle(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
