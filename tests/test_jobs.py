@@ -197,3 +197,18 @@ def test_reports_prune_run_date_partitions(spark, tmpdir_path):
     plan = view._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run_date" in plan
     assert {r.first_occurrence.day for r in view.collect()} == {30}
+
+
+def test_run_config_aggregate_rule(spark, tmpdir_path):
+    run = jobs.Run("r_agg", dt.datetime(2024, 1, 1, 2))
+    rule = {"group_by": ["hs_coursestatus"],
+            "measures": [{"name": "courses", "fn": "count"},
+                         {"name": "participants", "fn": "sum", "expr": "hs_currentparticipants"},
+                         {"name": "long_courses", "fn": "count", "where": "hs_enddate > hs_startdate"}]}
+    entry = C.ConfigEntry("course_agg", "bronze.hs_course", "gold.agg_course", "gold", "aggregate", rule, 30)
+    src = D.bronze_course(spark, SF_SMALL)
+    res = jobs.run_config(spark, [entry], lambda n: src, lambda n: os.path.join(tmpdir_path, n), run)
+    assert res[0]["status"] == "succeeded"
+    out = {r.hs_coursestatus: r for r in io.read_current(spark, os.path.join(tmpdir_path, "gold.agg_course")).collect()}
+    assert sum(r.courses for r in out.values()) == src.count()
+    assert sum(r.participants for r in out.values()) == src.agg(F.sum("hs_currentparticipants")).first()[0]
