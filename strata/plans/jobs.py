@@ -134,14 +134,9 @@ def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: s
         raise ValueError(f"{source_table}: duplicate business keys; deduplicate first")
     meta = io.dimension_meta(spark, target)
     if meta is None:
-        rows = scd2.initial_load(silver, spec, run.run_ts)
-        c = {"scd_inserts": None, "scd_updates": 0, "scd_no_changes": 0}
-        max_sk = 0
+        rows, max_sk = scd2.initial_load(silver, spec, run.run_ts), 0
     else:
         cur = io.read_dimension_current(spark, target, spec.is_current)
-        row = scd2.counts(scd2.classify(cur, silver, spec)).first()
-        c = {"scd_inserts": row.scd_inserts, "scd_updates": row.scd_updates,
-             "scd_no_changes": row.scd_no_changes}
         max_sk = meta["max_sk"]
         rows = scd2.next_rows(cur, silver, spec, run.run_ts, max_sk)
     path = io.write_dimension_run(spark, rows.select(*spec.columns), target, run.run_id, spec.is_current)
@@ -149,12 +144,17 @@ def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: s
     bad = scd2.run_checks(written, spec, run.run_ts).filter(F.col("violations") > 0).collect()
     if bad:
         raise ValueError(f"{target}: checks failed {[(r.check, r.violations) for r in bad]}")
-    stats = written.agg(F.max(spec.surrogate_key).alias("mx"), F.count_if(F.col(spec.is_current)).alias("cur")).first()
-    io.publish_dimension_run(spark, target, run.run_id, max(max_sk, stats.mx or 0))
-    if c["scd_inserts"] is None:
-        c["scd_inserts"] = stats.cur
-    end = datetime.now(timezone.utc).replace(tzinfo=None)
+    # counts from what the run wrote (no second join): closed now = updated keys,
+    # new versions - updated = inserted keys
+    ts = F.lit(run.run_ts).cast("timestamp")
+    st = written.agg(F.max(spec.surrogate_key).alias("mx"),
+                     F.count_if(F.col(spec.is_current) & (F.col(spec.valid_from) == ts)).alias("new_versions"),
+                     F.count_if(~F.col(spec.is_current) & (F.col(spec.valid_to) == ts)).alias("closed")).first()
+    io.publish_dimension_run(spark, target, run.run_id, max(max_sk, st.mx or 0))
     read = silver.count()
+    c = {"scd_inserts": st.new_versions - st.closed, "scd_updates": st.closed}
+    c["scd_no_changes"] = read - c["scd_inserts"] - c["scd_updates"]
+    end = datetime.now(timezone.utc).replace(tzinfo=None)
     if metrics_table and _feature(run, "metrics"):
         io.append(monitor.metrics_row(spark, run.run_id, f"silver_to_gold_{source_table}", "silver_to_gold",
                                       source_table, target, read, c["scd_inserts"] + c["scd_updates"], 0, start,
