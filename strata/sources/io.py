@@ -278,3 +278,45 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
         if fs.exists(p):
             total += fs.getContentSummary(p).getLength()
     return total
+
+
+# --------------------------------------------------------------------------- catalog tables
+#
+# For deployments that keep layers as catalog tables (``namespace.table``)
+# rather than folders.
+
+
+def table_exists(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name)
+
+
+def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """A catalog table by name, or a folder table by path (published version)."""
+    if "/" in name:
+        df = read_current(spark, name)
+        return df if df is not None else spark.read.parquet(name)
+    return spark.table(name)
+
+
+def save_table(spark: SparkSession, df: DataFrame, name: str, mode: str = "append",
+               schema: T.StructType | None = None) -> None:
+    """Write to a catalog table.  Rows are conformed to the declared service
+    schema or to the existing table's schema first (append matches columns
+    by name and would otherwise narrow or reject types).  Overwriting a table
+    the frame reads from is refused by Spark: publish a new table instead."""
+    short = name.split(".")[-1]
+    target = schema or SERVICE_TABLES.get(short)
+    if target is None and spark.catalog.tableExists(name):
+        target = spark.table(name).schema
+    out = conform(df, target) if target is not None else df
+    out.write.mode(mode).format("parquet").saveAsTable(name)
+
+
+def catalog_inventory(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """Tables of a catalog database with their columns (SHOW TABLES + DESCRIBE)."""
+    rows = []
+    for t in spark.catalog.listTables(database):
+        full = f"{t.database}.{t.name}" if t.database else t.name
+        cols = ",".join(c.name for c in spark.catalog.listColumns(full))
+        rows.append((full, t.tableType, cols))
+    return spark.createDataFrame(rows, "table_name string, table_type string, columns string")

@@ -13,7 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from strata.session import build_session
     s = build_session("local[4]", shuffle_partitions=4, app_name="strata-tests",
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="strata-test-ckpt-")})
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="strata-test-ckpt-"),
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="strata-test-wh-")})
     yield s
     s.stop()
 

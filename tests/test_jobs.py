@@ -212,3 +212,20 @@ def test_run_config_aggregate_rule(spark, tmpdir_path):
     out = {r.hs_coursestatus: r for r in io.read_current(spark, os.path.join(tmpdir_path, "gold.agg_course")).collect()}
     assert sum(r.courses for r in out.values()) == src.count()
     assert sum(r.participants for r in out.values()) == src.agg(F.sum("hs_currentparticipants")).first()[0]
+
+
+def test_catalog_tables(spark):
+    from strata.plans import monitor
+    spark.sql("CREATE DATABASE IF NOT EXISTS hs_monitoring_test")
+    name = "hs_monitoring_test.pipeline_metrics"
+    assert not io.table_exists(spark, name)
+    now = dt.datetime(2024, 1, 1)
+    m = monitor.metrics_row(spark, "r1", "p", "bronze_to_silver", "contact", "silver.contact", 10, 9, 1, now, now)
+    io.save_table(spark, m, name)
+    # an int where the table holds a long, columns in another order: conformed before the append
+    extra = m.select(F.col("records_read").cast("int").alias("records_read"), *[c for c in m.columns
+                                                                                if c != "records_read"])
+    io.save_table(spark, extra, name)
+    assert io.table_exists(spark, name) and io.read_table(spark, name).count() == 2
+    inv = {r.table_name: r for r in io.catalog_inventory(spark, "hs_monitoring_test").collect()}
+    assert "hs_monitoring_test.pipeline_metrics" in inv and "records_read" in inv[name].columns
