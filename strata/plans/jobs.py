@@ -56,7 +56,8 @@ class DqFrames:
 
 def dq_frames(bronze: DataFrame, rule: dict, source_table: str, run: Run, whitelist: DataFrame | None = None,
               silver_columns: list[str] | None = None, record_columns: list[str] | None = None,
-              tie_breakers: list[str] | None = None, observation: Observation | None = None) -> DqFrames:
+              tie_breakers: list[str] | None = None, observation: Observation | None = None,
+              with_score: bool = False) -> DqFrames:
     """Validate -> split -> clean -> dedup, in that order: a newest row that
     fails goes to quarantine and an older valid row survives in silver.
 
@@ -65,11 +66,13 @@ def dq_frames(bronze: DataFrame, rule: dict, source_table: str, run: Run, whitel
     yields the input statistics: no separate counting pass."""
     rules = R.compile_rules(rule.get("validations") or rule.get("validation") or [])
     ev = R.evaluate(bronze, rules, whitelist=whitelist, table=source_table,
-                    as_of=run.run_ts if whitelist is not None else None)
+                    as_of=run.run_ts if whitelist is not None else None, with_score=with_score)
     valid, _, rejected = R.split(ev)
-    ev_q = ev if observation is None else ev.observe(
-        observation, F.count(F.lit(1)).alias("read"), F.count_if(~F.col(R.VALID_COL)).alias("failed"),
-        F.count_if(F.col(R.REJECT_COL)).alias("rejected"))
+    stats = [F.count(F.lit(1)).alias("read"), F.count_if(~F.col(R.VALID_COL)).alias("failed"),
+             F.count_if(F.col(R.REJECT_COL)).alias("rejected")]
+    if with_score:
+        stats.append(F.avg(R.SCORE_COL).alias("score"))
+    ev_q = ev if observation is None else ev.observe(observation, *stats)
     bad = R.split(ev_q)[1]
     clean = apply_ops(R.strip_helpers(valid, rules, keep_flags=any(r.action == "flag" for r in rules)),
                       rule.get("transformations") or [])
@@ -86,14 +89,19 @@ def dq_frames(bronze: DataFrame, rule: dict, source_table: str, run: Run, whitel
 
 
 def run_dq(spark: SparkSession, bronze: DataFrame, rule: dict, source_table: str, target: str,
-           quarantine_table: str | None, metrics_table: str | None, run: Run, **kw) -> dict:
+           quarantine_table: str | None, metrics_table: str | None, run: Run, dq_score: str = "rate",
+           **kw) -> dict:
     """Bronze -> silver with writes: two scans of bronze, no cache.
 
     The quarantine write (or, with quarantine off, a ``noop`` write of the
     same plan) observes rows read / failed / rejected; the silver write
     observes rows written.  Retried tasks do not double-count: observed
-    metrics come from the successful task attempts only."""
+    metrics come from the successful task attempts only.
+
+    ``dq_score``: ``rate`` (metrics' dq_score_avg = 1 - error rate) or
+    ``rules`` (mean share of passed rules per row, from the same observation)."""
     start = datetime.now(timezone.utc).replace(tzinfo=None)
+    kw["with_score"] = dq_score == "rules"
     obs_in = Observation("dq_in")
     f = dq_frames(bronze, rule, source_table, run, observation=obs_in, **kw)
     warnings, observed = [], False
@@ -115,10 +123,13 @@ def run_dq(spark: SparkSession, bronze: DataFrame, rule: dict, source_table: str
     out = {"records_read": stats["read"], "records_failed": stats["failed"], "records_rejected": stats["rejected"],
            "records_written": written, "duplicates_removed": stats["read"] - stats["failed"] - written,
            "warnings": warnings}
+    score = stats["score"] / 100.0 if kw["with_score"] and stats["score"] is not None else None
+    if score is not None:
+        out["dq_score_avg"] = score
     if metrics_table and _feature(run, "metrics"):
         io.append(monitor.metrics_row(spark, run.run_id, f"bronze_to_silver_{source_table}", "bronze_to_silver",
                                       source_table, target, out["records_read"], written, out["records_failed"],
-                                      start, end), metrics_table, part=f"{run.run_id}__bronze_to_silver__{source_table}",
+                                      start, end, dq_score_avg=score), metrics_table, part=f"{run.run_id}__bronze_to_silver__{source_table}",
                   run_date=run.run_ts)
     return out
 

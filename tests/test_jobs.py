@@ -229,3 +229,16 @@ def test_catalog_tables(spark):
     assert io.table_exists(spark, name) and io.read_table(spark, name).count() == 2
     inv = {r.table_name: r for r in io.catalog_inventory(spark, "hs_monitoring_test").collect()}
     assert "hs_monitoring_test.pipeline_metrics" in inv and "records_read" in inv[name].columns
+
+
+def test_run_dq_rule_score(spark, tmpdir_path):
+    run = jobs.Run("r_score", dt.datetime(2024, 1, 1, 2))
+    bronze = D.bronze_contact(spark, SF_SMALL)
+    m_t = os.path.join(tmpdir_path, "pipeline_metrics")
+    out = jobs.run_dq(spark, bronze, _rule(), "contact", os.path.join(tmpdir_path, "s"), None, m_t, run,
+                      dq_score="rules")
+    from strata.operators import rules as R
+    ev = R.evaluate(bronze, R.compile_rules(_rule()["validations"]), with_score=True)
+    exp = ev.agg(F.avg("_dq_score")).first()[0] / 100
+    assert abs(out["dq_score_avg"] - exp) < 1e-12
+    assert abs(spark.read.parquet(m_t).first().dq_score_avg - exp) < 1e-12
