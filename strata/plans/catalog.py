@@ -417,7 +417,8 @@ def _stored(spark, sf, name: str, build):
     """A gold table as later queries find it: built once per session and
     input folder and checkpointed (the job writes it as a version).  Queries
     that *read* a dimension use this; the merge/build queries build fresh."""
-    key = (id(spark), spark.sparkContext.applicationId, sf, name)
+    # built values depend on the session time zone (text <-> timestamp casts)
+    key = (id(spark), spark.sparkContext.applicationId, sf, name, spark.conf.get("spark.sql.session.timeZone"))
     df = _STORED.get(key)
     if df is None:
         df = build()

@@ -51,7 +51,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 @pytest.mark.parametrize("name", ["scd2_merge_3", "scd2_from_changes", "metrics_recent", "quarantine_trend",
-                                  "date_dim", "fact_lookup"])
+                                  "date_dim", "fact_lookup", "scd2_as_of", "scd2_transitions"])
 def test_session_time_zone_does_not_change_results(spark, duck, name):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
