@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 AGG_FUNCS = ("count", "count_distinct", "sum", "avg", "min", "max")
 
@@ -79,12 +80,15 @@ def as_of_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     n_hot = hot.count()
     hot = F.broadcast(hot) if n_hot <= 1_000_000 else hot
     fstruct = F.struct(*fcols)
-    f = facts.select(F.col(fact_key).cast("string").alias("_k"), F.col(fact_ts).cast("timestamp").alias("_t"),
+    tt = dim.schema[valid_from].dataType  # compare in the dimension's own time type (no zone shift)
+    if not isinstance(tt, (T.TimestampType, T.TimestampNTZType)):
+        tt = T.TimestampType()
+    f = facts.select(F.col(fact_key).cast("string").alias("_k"), F.col(fact_ts).cast(tt).alias("_t"),
                      F.lit(1).alias("_kind"), fstruct.alias("_f"),
-                     F.lit(None).cast("long").alias("_sk"), F.lit(None).cast("timestamp").alias("_to"))
-    d = dim.select(F.col(dim_key).cast("string").alias("_k"), F.col(valid_from).cast("timestamp").alias("_t"),
+                     F.lit(None).cast("long").alias("_sk"), F.lit(None).cast(tt).alias("_to"))
+    d = dim.select(F.col(dim_key).cast("string").alias("_k"), F.col(valid_from).cast(tt).alias("_t"),
                    F.lit(0).alias("_kind"), F.lit(None).cast(facts.select(fstruct).schema[0].dataType).alias("_f"),
-                   F.col(sk).cast("long").alias("_sk"), F.col(valid_to).cast("timestamp").alias("_to"))
+                   F.col(sk).cast("long").alias("_sk"), F.col(valid_to).cast(tt).alias("_to"))
     if n_hot:
         f = (f.join(hot, "_k", "left")
              .withColumn("_salt", F.when(F.col("_ns").isNull(), F.lit(0))

@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.hashing import row_hash
 from strata.operators.keys import assign_dense
@@ -67,8 +68,15 @@ def _ts(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v).cast("timestamp")
 
 
-def end_of_time() -> Column:
-    return F.lit(END_OF_TIME).cast("timestamp")
+def end_of_time(dtype=None) -> Column:
+    return F.lit(END_OF_TIME).cast(dtype or "timestamp")
+
+
+def _time_type(df: DataFrame, col: str):
+    """Keep a timestamp column's own type (with or without zone), so no
+    session-zone conversion happens; other types become timestamps."""
+    dt = df.schema[col].dataType
+    return dt if isinstance(dt, (T.TimestampType, T.TimestampNTZType)) else T.TimestampType()
 
 
 def prepare(src: DataFrame, spec: ScdSpec) -> DataFrame:
@@ -294,8 +302,9 @@ def from_changes(changes: DataFrame, spec: ScdSpec, ts_col: str, start_sk: int =
     one shuffle; otherwise the segmented path splits the large keys.
     """
     k, h, vf = spec.business_key, spec.hash_value, spec.valid_from
+    tt = _time_type(changes, ts_col)
     p = (changes.filter(F.col(k).isNotNull())
-         .select(*spec.payload, F.col(ts_col).cast("timestamp").alias(vf),
+         .select(*spec.payload, F.col(ts_col).cast(tt).alias(vf),
                  row_hash(spec.tracked, spec.hash_mode).alias(h)))
     p = p.persist()  # read by the size check and by the versions (unpersisted once keyed)
     try:
@@ -307,7 +316,7 @@ def from_changes(changes: DataFrame, spec: ScdSpec, ts_col: str, start_sk: int =
             kept = p.withColumn("_prev", F.lag(h).over(w)).filter(
                 F.col("_prev").isNull() | (F.col("_prev") != F.col(h)))
             nxt = F.lead(vf).over(w)
-            v = kept.select(*spec.payload, h, vf, F.coalesce(nxt, end_of_time()).alias(spec.valid_to),
+            v = kept.select(*spec.payload, h, vf, F.coalesce(nxt, end_of_time(tt)).alias(spec.valid_to),
                             nxt.isNull().alias(spec.is_current))
         return assign_dense(v, [vf, k], spec.surrogate_key, start_sk).select(*spec.columns)
     finally:
@@ -349,7 +358,8 @@ def _versions_segmented(p: DataFrame, spec: ScdSpec, partitions: int | None) ->
     firsts = kept.groupBy("_p", k).agg(F.min(vf).alias("_first"))
     follow = firsts.select("_p", k, F.lead("_first").over(Window.partitionBy(k).orderBy("_p")).alias("_follow"))
     nxt = F.lead(vf).over(seg)
+    tt = p.schema[vf].dataType
     return (kept.select("*", nxt.alias("_next")).join(follow, ["_p", k], "left")
             .withColumn("_end", F.coalesce("_next", "_follow"))
-            .select(*spec.payload, h, vf, F.coalesce(F.col("_end"), end_of_time()).alias(spec.valid_to),
+            .select(*spec.payload, h, vf, F.coalesce(F.col("_end"), end_of_time(tt)).alias(spec.valid_to),
                     F.col("_end").isNull().alias(spec.is_current)))
