@@ -320,3 +320,37 @@ def catalog_inventory(spark: SparkSession, database: str | None = None) -> DataF
         cols = ",".join(c.name for c in spark.catalog.listColumns(full))
         rows.append((full, t.tableType, cols))
     return spark.createDataFrame(rows, "table_name string, table_type string, columns string")
+
+
+# --------------------------------------------------------------------------- retention of versions
+
+
+def vacuum(spark: SparkSession, table: str, keep: int = 2) -> list[str]:
+    """Delete superseded copies inside one table folder; returns what went.
+
+    Versioned tables: all ``v=<run>`` folders but the ``keep`` newest and the
+    published one.  Dimensions: the ``is_current=true`` folders of runs older
+    than the published run (their rows live on in later runs); closed history
+    (``is_current=false``) is never deleted."""
+    fs, root, jvm = _hadoop_fs(spark, table)
+    if not fs.exists(root):
+        return []
+    p = _pointer(spark, table) or {}
+    gone = []
+    names = sorted(st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory())
+    if "runs" in p:
+        for n in names:
+            run = n.split("=", 1)[1] if n.startswith("run=") else None
+            if run and run in p["runs"] and run != p["version"]:
+                cur = jvm.org.apache.hadoop.fs.Path(f"{table.rstrip('/')}/{n}/is_current=true")
+                if fs.exists(cur):
+                    fs.delete(cur, True)
+                    gone.append(f"{n}/is_current=true")
+        return gone
+    versions = [n for n in names if n.startswith("v=")]
+    for n in versions[:-keep] if keep > 0 else versions:
+        if n == f"v={p.get('version')}":
+            continue
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{table.rstrip('/')}/{n}"), True)
+        gone.append(n)
+    return gone

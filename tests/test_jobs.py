@@ -242,3 +242,22 @@ def test_run_dq_rule_score(spark, tmpdir_path):
     exp = ev.agg(F.avg("_dq_score")).first()[0] / 100
     assert abs(out["dq_score_avg"] - exp) < 1e-12
     assert abs(spark.read.parquet(m_t).first().dq_score_avg - exp) < 1e-12
+
+
+def test_vacuum_versions_and_dimension_runs(spark, tmpdir_path):
+    t = os.path.join(tmpdir_path, "silver_x")
+    for v in ("r1", "r2", "r3", "r4"):
+        io.publish(spark, spark.range(3), t, v)
+    assert io.vacuum(spark, t, keep=2) == ["v=r1", "v=r2"]
+    assert io.read_current(spark, t).count() == 3
+    # dimension: old current copies go, closed history stays
+    scd = C.seed_rule("contact_silver_gold_scd2")
+    silver = jobs.dq_frames(D.bronze_contact(spark, SF_SMALL), _rule(), "contact", jobs.Run("a", dt.datetime(2024, 1, 1)),
+                            silver_columns=C.CONTACT_SILVER_COLUMNS).silver
+    g = os.path.join(tmpdir_path, "dim")
+    jobs.run_scd2(spark, silver, scd, "contact", g, None, jobs.Run("20240101_000000", dt.datetime(2024, 1, 1)))
+    changed = silver.withColumn("surname", F.upper("surname"))
+    jobs.run_scd2(spark, changed, scd, "contact", g, None, jobs.Run("20240102_000000", dt.datetime(2024, 1, 2)))
+    before = io.read_dimension(spark, g).count()
+    assert io.vacuum(spark, g) == ["run=20240101_000000/is_current=true"]
+    assert io.read_dimension(spark, g).count() == before
