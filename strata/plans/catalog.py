@@ -404,9 +404,13 @@ def _dims(spark, sf, upto: int) -> DataFrame:
     """The dimension after ``upto`` runs; each version is checkpointed, as a
     job writes each version, so the next merge reads it instead of its lineage."""
     checkpoint_dir(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dim = scd2.initial_load(D.contact_snapshot(spark, sf, 1), CONTACT_SPEC, SCD_TS[0]).checkpoint(eager=True)
     for n in range(2, upto + 1):
-        dim = scd2.merge(dim, D.contact_snapshot(spark, sf, n), CONTACT_SPEC, SCD_TS[n - 1]).checkpoint(eager=True)
+        # a merge result is a union (history + kept + new): coalesce (narrow) so the
+        # partition count does not grow with every chained run
+        dim = (scd2.merge(dim, D.contact_snapshot(spark, sf, n), CONTACT_SPEC, SCD_TS[n - 1])
+               .coalesce(parts).checkpoint(eager=True))
     return dim
 
 
