@@ -318,7 +318,8 @@ def from_changes(changes: DataFrame, spec: ScdSpec, ts_col: str, start_sk: int =
             nxt = F.lead(vf).over(w)
             v = kept.select(*spec.payload, h, vf, F.coalesce(nxt, end_of_time(tt)).alias(spec.valid_to),
                             nxt.isNull().alias(spec.is_current))
-        return assign_dense(v, [vf, k], spec.surrogate_key, start_sk).select(*spec.columns)
+        # keys by (valid_from, key, hash): total, so same-instant versions of a key number the same way
+        return assign_dense(v, [vf, k, h], spec.surrogate_key, start_sk).select(*spec.columns)
     finally:
         p.unpersist()
 
