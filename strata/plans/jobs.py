@@ -12,6 +12,7 @@ half-written table behind.
 from __future__ import annotations
 
 import traceback
+from types import SimpleNamespace
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -149,21 +150,31 @@ def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: s
     else:
         cur = io.read_dimension_current(spark, target, spec.is_current)
         max_sk = meta["max_sk"]
-        rows = scd2.next_rows(cur, silver, spec, run.run_ts, max_sk)
+        rows = scd2.next_rows(cur, silver, spec, run.run_ts, max_sk, on_missing=rule.get("on_missing", "keep"))
     path = io.write_dimension_run(spark, rows.select(*spec.columns), target, run.run_id, spec.is_current)
     written = io.read_dimension_run(spark, path, spec.is_current)
     bad = scd2.run_checks(written, spec, run.run_ts).filter(F.col("violations") > 0).collect()
     if bad:
         raise ValueError(f"{target}: checks failed {[(r.check, r.violations) for r in bad]}")
     # counts from what the run wrote (no second join): closed now = updated keys,
-    # new versions - updated = inserted keys
+    # new versions - updated = inserted keys (with on_missing="close", closed keys that
+    # got no new version are deletions, counted apart)
     ts = F.lit(run.run_ts).cast("timestamp")
-    st = written.agg(F.max(spec.surrogate_key).alias("mx"),
-                     F.count_if(F.col(spec.is_current) & (F.col(spec.valid_from) == ts)).alias("new_versions"),
-                     F.count_if(~F.col(spec.is_current) & (F.col(spec.valid_to) == ts)).alias("closed")).first()
-    io.publish_dimension_run(spark, target, run.run_id, max(max_sk, st.mx or 0))
+    closed = ~F.col(spec.is_current) & (F.col(spec.valid_to) == ts)
+    opened = F.col(spec.is_current) & (F.col(spec.valid_from) == ts)
+    if rule.get("on_missing", "keep") == "close":  # tell deletions from updates per key
+        keys = written.groupBy(spec.business_key).agg(F.max(closed.cast("int")).alias("c"),
+                                                      F.max(opened.cast("int")).alias("o"))
+        st = keys.agg(F.count_if((F.col("c") == 1) & (F.col("o") == 1)).alias("updated"),
+                      F.count_if((F.col("c") == 0) & (F.col("o") == 1)).alias("inserted"),
+                      F.count_if((F.col("c") == 1) & (F.col("o") == 0)).alias("deleted")).first()
+    else:  # every closed row has a new version: one global count
+        g = written.agg(F.count_if(opened).alias("o"), F.count_if(closed).alias("c")).first()
+        st = SimpleNamespace(updated=g.c, inserted=g.o - g.c, deleted=0)
+    mx = written.agg(F.max(spec.surrogate_key)).first()[0]
+    io.publish_dimension_run(spark, target, run.run_id, max(max_sk, mx or 0))
     read = silver.count()
-    c = {"scd_inserts": st.new_versions - st.closed, "scd_updates": st.closed}
+    c = {"scd_inserts": st.inserted, "scd_updates": st.updated}
     c["scd_no_changes"] = read - c["scd_inserts"] - c["scd_updates"]
     end = datetime.now(timezone.utc).replace(tzinfo=None)
     if metrics_table and _feature(run, "metrics"):
@@ -171,7 +182,7 @@ def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: s
                                       source_table, target, read, c["scd_inserts"] + c["scd_updates"], 0, start,
                                       end, c["scd_inserts"], c["scd_updates"], c["scd_no_changes"]),
                   metrics_table, part=f"{run.run_id}__silver_to_gold__{source_table}", run_date=run.run_ts)
-    return dict(c, records_read=read)
+    return dict(c, records_read=read, scd_deleted=st.deleted)
 
 
 def run_config(spark: SparkSession, configs: list[ConfigEntry], resolve_source, resolve_target,

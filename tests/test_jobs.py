@@ -261,3 +261,16 @@ def test_vacuum_versions_and_dimension_runs(spark, tmpdir_path):
     before = io.read_dimension(spark, g).count()
     assert io.vacuum(spark, g) == ["run=20240101_000000/is_current=true"]
     assert io.read_dimension(spark, g).count() == before
+
+
+def test_run_scd2_close_missing_keys(spark, tmpdir_path):
+    scd = dict(C.seed_rule("contact_silver_gold_scd2"), on_missing="close")
+    silver = jobs.dq_frames(D.bronze_contact(spark, SF_SMALL), _rule(), "contact", jobs.Run("a", dt.datetime(2024, 1, 1)),
+                            silver_columns=C.CONTACT_SILVER_COLUMNS).silver
+    g = os.path.join(tmpdir_path, "dim")
+    jobs.run_scd2(spark, silver, scd, "contact", g, None, jobs.Run("20240101_000000", dt.datetime(2024, 1, 1)))
+    fewer = silver.filter(F.col("contactid").cast("int") % 4 != 0)  # keys deleted at the source
+    out = jobs.run_scd2(spark, fewer, scd, "contact", g, None, jobs.Run("20240102_000000", dt.datetime(2024, 1, 2)))
+    gone = silver.count() - fewer.count()
+    assert out["scd_deleted"] == gone and out["scd_updates"] == 0 and out["scd_inserts"] == 0
+    assert io.read_dimension(spark, g).filter("is_current").count() == fewer.count()
