@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from strata.llm import exact_dedup as XD
 from strata.llm import line_dedup as LD
 from strata.llm import mixing as MX
+from strata.llm import near_dedup as ND
+from strata.llm import packing as PK
+from strata.llm import quality as QU
+from strata.llm import token_counts as TC
+from strata.llm import toxicity as TX
 from strata.llm.common import LOWER, UPPER, table
 
 
@@ -22,6 +27,27 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = TC.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
+    return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ND.near_classes(table(spark, sf_dir, "documents")).drop("digest")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PK.pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False).drop("ids")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TX.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QU.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return XD.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -55,6 +81,11 @@ FROM d JOIN g USING (text_sha256)
 #: name -> (query, DuckDB SQL or None)
 QUERIES = {
     "op1_line_dedup": (op1_line_dedup, OP1_SQL),
+    "op2_token_counts": (op2_token_counts, None),
+    "op4_near_dedup": (op4_near_dedup, None),
+    "op6_packing": (op6_packing, None),
+    "op7_toxicity": (op7_toxicity, None),
+    "op8_quality_rules": (op8_quality_rules, None),
     "op3_exact_dedup": (op3_exact_dedup, OP3_SQL),
     "op9_mixing": (op9_mixing, None),
 }
