@@ -13,6 +13,7 @@ from strata.llm import packing as PK
 from strata.llm import quality as QU
 from strata.llm import token_counts as TC
 from strata.llm import toxicity as TX
+from strata.llm import warc as WA
 from strata.llm.common import LOWER, UPPER, table
 
 
@@ -57,6 +58,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__doc").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = WA.write_packages(table(spark, sf_dir, "pages"))
+    return WA.read_packages(manifest, with_payload=False).drop("url", "payload")
+
+
 _LOW = f"translate({{}}, '{UPPER}', '{LOWER}')"
 
 OP1_SQL = f"""
@@ -78,6 +84,15 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_s
 FROM d JOIN g USING (text_sha256)
 """
 
+OP10_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+w AS (SELECT payload_digest, max(page_id) AS keep FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN w.keep <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN w.keep <> p.page_id THEN w.keep END AS refers_to
+FROM p LEFT JOIN w ON p.payload_digest = w.payload_digest AND p.payload_bytes >= 1000
+"""
+
 #: name -> (query, DuckDB SQL or None)
 QUERIES = {
     "op1_line_dedup": (op1_line_dedup, OP1_SQL),
@@ -88,4 +103,5 @@ QUERIES = {
     "op8_quality_rules": (op8_quality_rules, None),
     "op3_exact_dedup": (op3_exact_dedup, OP3_SQL),
     "op9_mixing": (op9_mixing, None),
+    "op10_warc": (op10_warc, OP10_SQL),
 }
