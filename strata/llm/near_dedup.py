@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import byte_slices, materialize, utf8
+from strata.llm.common import byte_slices, materialize, text_or_empty, utf8
 from strata.llm.components import components
 
 COORDS, BYTES = 32, 128
@@ -72,11 +72,11 @@ def sketcher(words: int, slice_bytes: int):
                 sets = Words(utf8(part, "text"), lower=True).shingles(words)
                 made = [sketch(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                    [part.column("doc_id"), part.column("text_md5"), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets], pa.string()),
                      pa.array([m[0].tolist() if m else None for m in made], pa.list_(pa.int64())),
                      pa.array([m[1].tobytes() if m else None for m in made], pa.binary())],
-                    names=["doc_id", "n", "digest", "coords", "bytes"])
+                    names=["doc_id", "text_md5", "n", "digest", "coords", "bytes"])
 
     return run
 
@@ -204,11 +204,12 @@ def marked_slots(ids: DataFrame, slot, log2_bits: int) -> bytes:
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 85,
                  trees: int = 4, limit: int = 2048, margin: float = 0.12, slice_bytes: int = 1 << 20,
                  log2_bits: int = 26) -> DataFrame:
-    """One row per document row: doc_id, digest of its set, n_shingles, component_id, kept."""
+    """One row per document row: doc_id, text_md5, n_shingles, component_id, kept."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       F.md5(text_or_empty(F.col(text_col))).alias("text_md5"))
     sketches = materialize(rows.mapInArrow(sketcher(words, slice_bytes),
-                                           "doc_id long, n long, digest string, coords array<long>, bytes binary"), "near-sketch")
+                                           "doc_id long, text_md5 string, n long, digest string, coords array<long>, bytes binary"), "near-sketch")
     linkable = F.col("digest").isNotNull() & F.col("doc_id").isNotNull()
     vertices = materialize(
         sketches.where(linkable).groupBy("digest").agg(
@@ -232,7 +233,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     wanted = materialize(vertices.select("node", "rep", F.col("digest").alias("own")).join(touched, "node"), "near-touched")
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << log2_bits))
     bits = spark.sparkContext.broadcast(marked_slots(wanted.select(F.col("rep").alias("doc_id")), slot, log2_bits))
-    read = rows.withColumn("slot", slot).mapInArrow(set_reader(words, slice_bytes, bits),
+    read = rows.select("doc_id", "text", slot.alias("slot")).mapInArrow(set_reader(words, slice_bytes, bits),
                                                    "doc_id long, digest string, shingles array<long>")
     sets = materialize(read.join(wanted, (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("own")))
                        .select("node", "shingles").dropDuplicates(["node"]), "near-sets")
@@ -255,7 +256,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "label", F.coalesce("label", "node"))
     smallest = classes.groupBy("label").agg(F.min("rep").alias("component"))
     by_digest = classes.join(smallest, "label").select(F.col("digest").alias("own"), "component")
-    out = sketches.select("doc_id", "n", "digest").join(by_digest, F.col("digest") == F.col("own"), "left")
+    out = sketches.select("doc_id", "text_md5", "n", "digest").join(by_digest, F.col("digest") == F.col("own"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "digest", F.col("n").alias("n_shingles"), component.alias("component_id"),
+    return out.select("doc_id", "text_md5", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -34,7 +34,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ND.near_classes(table(spark, sf_dir, "documents")).drop("digest")
+    return ND.near_classes(table(spark, sf_dir, "documents")).drop("text_md5")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
