@@ -15,14 +15,14 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-ASCII_WHITE = b" \t\n\x0b\x0c\r"
+_MARKS = b",."
 _LOADED: dict = {}
 
 
 class Encoder:
     """``ids(texts)``: the ids of each text as little-endian bytes of ``dtype``."""
 
-    def __init__(self, path: str, cache_words: int = 300_000):
+    def __init__(self, path: str, cache_words: int = 500_000):
         self.sentencepiece = path.endswith(".model")
         if self.sentencepiece:
             import sentencepiece
@@ -35,6 +35,11 @@ class Encoder:
             self.lib.no_padding()
             self.size = self.lib.get_vocab_size(with_added_tokens=True)
             self.by_word = self._drops_white_space()
+            suffix = getattr(self.lib.model, "end_of_word_suffix", None)
+            self.ends = None
+            if self.by_word and suffix:
+                self.ends = np.zeros(self.size, bool)
+                self.ends[[i for t, i in self.lib.get_vocab().items() if t.endswith(suffix)]] = True
         self.dtype = np.dtype("<u2") if self.size <= 0xFFFF else np.dtype("<u4")
         self.limit = cache_words
         self.young: dict[bytes, bytes] = {}
@@ -53,53 +58,66 @@ class Encoder:
             found = [e.ids for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
         return [np.array(i, self.dtype).tobytes() for i in found]
 
-    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of words; those ending in one mark of punctuation share the ids of the bare word."""
-        known, young, old = {}, self.young, self.old
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        """As ``_encode``; words of letters alone are one unit each, so many go as one text and are told
+        apart by the ids that end a unit."""
+        texts = [w.decode("utf-8") for w in words]
+        if self.ends is None:
+            return self._encode(texts)
+        out: list[bytes] = [b""] * len(words)
+        letters = [k for k, t in enumerate(texts) if t.isalpha()]
+        alone = [k for k, t in enumerate(texts) if not t.isalpha()]
+        chunks = [letters[i:i + 256] for i in range(0, len(letters), 256)]
+        joined = [" ".join([texts[k] for k in c]) for c in chunks]
+        for c, e in zip(chunks, self.lib.encode_batch_fast(joined, add_special_tokens=False) if chunks else []):
+            ids = np.array(e.ids, self.dtype)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(c):  # a letter that normalises to something else
+                alone.extend(c)
+                continue
+            raw, at = ids.tobytes(), [0, *(stops * self.dtype.itemsize).tolist()]
+            for k, x, y in zip(c, at, at[1:]):
+                out[k] = raw[x:y]
+        for k, i in zip(alone, self._encode([texts[k] for k in alone]) if alone else []):
+            out[k] = i
+        return out
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Put every word's ids into the young cache; a word ending in one mark shares the ids of the bare word."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
         ask: set[bytes] = set()
-        cut: list[tuple[bytes, bytes, bytes]] = []
-        for w in words:
-            got = young.get(w)
-            if got is None and (got := old.get(w)) is not None:
+        cut: list[bytes] = []
+        for w in words.difference(young):
+            if (got := old.get(w)) is not None:
+                young[w] = got
+            elif w[-1] in _MARKS and w[:-1].isalpha():
+                cut.append(w)
+            else:
+                ask.add(w)
+        parts = {w[:-1] for w in cut} | {w[-1:] for w in cut}
+        for w in parts.difference(young):
+            if (got := old.get(w)) is not None:
                 young[w] = got
-            if got is not None:
-                known[w] = got
-            elif len(w) > 2 and w[-1:] in (b",", b".") and w.isascii() and w[:-1].isalpha():
-                core, mark = w[:-1], w[-1:]
-                cut.append((w, core, mark))
-                for part in (core, mark):
-                    if part not in young and part not in old:
-                        ask.add(part)
             else:
                 ask.add(w)
         asked = list(ask)
-        for w, i in zip(asked, self._encode([w.decode("utf-8") for w in asked])):
-            known[w] = i
-            if len(w) <= 64:
-                young[w] = i
-        for w, core, mark in cut:
-            known[w] = young[w] = self._at(core, known) + self._at(mark, known)
-        if len(young) > self.limit:
-            self.old, self.young = young, {}
-        return known
-
-    def _at(self, w: bytes, known: dict[bytes, bytes]) -> bytes:
-        for d in (known, self.young, self.old):
-            if w in d:
-                return d[w]
-        return self._encode([w.decode("utf-8")])[0]
+        young.update(zip(asked, self._encode_words(asked)))
+        for w in cut:
+            young[w] = young[w[:-1]] + young[w[-1:]]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """``texts``: UTF-8 bytes."""
         if not self.by_word:
             return self._encode([t.decode("utf-8") for t in texts])
         split = [t.split() for t in texts]  # bytes.split() cuts at ASCII white space alone
-        known = self._learn(set().union(*split)) if split else {}
-        at = known.__getitem__
+        self._learn(set().union(*split))
+        at = self.young.__getitem__
         return [b"".join(map(at, words)) for words in split]
 
 
-def encoder(path: str, cache_words: int = 300_000) -> Encoder:
+def encoder(path: str, cache_words: int = 500_000) -> Encoder:
     """One encoder per Python worker."""
     if path not in _LOADED:
         _LOADED[path] = Encoder(path, cache_words)
