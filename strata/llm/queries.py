@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import exact_dedup as XD
 from strata.llm import line_dedup as LD
+from strata.llm import lm_score as LM
 from strata.llm import mixing as MX
 from strata.llm import near_dedup as ND
 from strata.llm import packing as PK
@@ -37,6 +38,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ND.near_classes(table(spark, sf_dir, "documents")).drop("text_md5")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LM.score_texts(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PK.pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False).drop("ids")
 
@@ -98,6 +103,7 @@ QUERIES = {
     "op1_line_dedup": (op1_line_dedup, OP1_SQL),
     "op2_token_counts": (op2_token_counts, None),
     "op4_near_dedup": (op4_near_dedup, None),
+    "op5_lm_scoring": (op5_lm_scoring, None),
     "op6_packing": (op6_packing, None),
     "op7_toxicity": (op7_toxicity, None),
     "op8_quality_rules": (op8_quality_rules, None),
