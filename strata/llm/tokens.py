@@ -22,7 +22,7 @@ _LOADED: dict = {}
 class Encoder:
     """``ids(texts)``: the ids of each text as little-endian bytes of ``dtype``."""
 
-    def __init__(self, path: str, cache_words: int = 500_000):
+    def __init__(self, path: str, cache_words: int = 200_000):
         self.sentencepiece = path.endswith(".model")
         if self.sentencepiece:
             import sentencepiece
@@ -117,7 +117,7 @@ class Encoder:
         return [b"".join(map(at, words)) for words in split]
 
 
-def encoder(path: str, cache_words: int = 500_000) -> Encoder:
+def encoder(path: str, cache_words: int = 200_000) -> Encoder:
     """One encoder per Python worker."""
     if path not in _LOADED:
         _LOADED[path] = Encoder(path, cache_words)
