@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import WHITE, ascii_lower, frequent_items, text_or_empty
+from strata.llm.common import WHITE, frequent_items, materialize, text_or_empty
 
 ROW = ["__doc", "__text_md5"]
 
@@ -38,12 +38,20 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.split(text, "\n", -1).alias("__lines"))
 
 
+def same_letters(key):
+    """A form that two keys share exactly when they agree after lower-casing A-Z (cheaper than lower-casing
+    A-Z alone).  ASCII keys: lower().  Others: lower() of the UTF-8 bytes read as Latin-1, which lowers A-Z and
+    moves the lead bytes C2..DE to E2..FE; how many continuation bytes follow still tells those apart."""
+    return (F.when(F.octet_length(key) == F.char_length(key), F.lower(key))
+            .otherwise(F.lower(F.decode(key.cast("binary"), "ISO-8859-1"))))
+
+
 def line_digests(lines: str, min_chars: int):
     """Array of md5 digests of the lines' keys, null where the key is too short."""
 
     def digest(line):
-        key = ascii_lower(F.btrim(line, F.lit(WHITE)))
-        return F.when(F.char_length(key) >= min_chars, F.md5(key))
+        key = F.btrim(line, F.lit(WHITE))
+        return F.when(F.char_length(key) >= min_chars, F.md5(same_letters(key)))
 
     return F.transform(F.col(lines), digest)
 
@@ -60,14 +68,16 @@ def hot_digests(keyed: DataFrame, min_docs: int, hot_support: float) -> DataFram
                .groupBy("__hot", "__doc").agg(F.lit(1).alias("__one")))
     exact = (per_doc.groupBy("__hot").agg(F.max("__doc").alias("__newest"), F.count(F.lit(1)).alias("__n"))
              .select("__hot", "__newest", (F.col("__n") >= min_docs).alias("__hot_drop")))
-    return spark.createDataFrame(exact.collect(), exact.schema)
+    # the row that matches nothing keeps one plan with and without frequent keys
+    return spark.createDataFrame([*exact.collect(), ("", None, False)], exact.schema)
 
 
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40,
                  min_docs: int = 5, hot_support: float = 1e-3) -> DataFrame:
     """Sparse drop bitmaps: (__doc, __text_md5, n_dropped, drop_words array<struct<word, bits>>),
     one row per document row that loses a line.  Bit p of word w is line 64*w + p; absent words keep all."""
-    keyed = _keyed(docs, id_col, text_col).withColumn("__digests", line_digests("__lines", min_chars))
+    keyed = materialize(_keyed(docs, id_col, text_col).select(*ROW, line_digests("__lines", min_chars).alias("__digests")),
+                        "line-digests")
     hot = F.broadcast(hot_digests(keyed, min_docs, hot_support))
     lines = (keyed.select(*ROW, F.posexplode("__digests").alias("__pos", "__h"))
              .where(F.col("__h").isNotNull()).join(hot, F.col("__h") == F.col("__hot"), "left"))
