@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import ascii_lower, frequent_items, text_or_empty
+from strata.llm.common import ascii_lower, frequent_items, materialize, text_or_empty
 
 
 def text_digest(c: Column) -> Column:
@@ -34,7 +34,8 @@ def frequent_winners(rows: DataFrame, digest: str, id_col: str, support: float)
     verified = (rows.join(F.broadcast(hot), F.col(digest) == F.col("__hot")).groupBy("__hot")
                 .agg(F.max(id_col).alias("__hot_id"), F.count(F.lit(1)).alias("__hot_n"))
                 .where(F.col("__hot_n") > 1))
-    return spark.createDataFrame(verified.collect(), verified.schema)  # 1/support rows at most
+    # 1/support rows at most; the one that matches nothing keeps one plan with and without frequent digests
+    return spark.createDataFrame([*verified.collect(), ("", None, 0)], verified.schema)
 
 
 def assign_winners(rows: DataFrame, digest: str, id_col: str, support: float = 1e-3) -> DataFrame:
@@ -61,6 +62,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     as ``__row`` with ``carry``)."""
     rows = docs.select(F.col(id_col).alias("__doc"), text_digest(F.col(text_col)).alias("__digest"),
                        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")] if carry else []))
-    out = assign_winners(rows, "__digest", "__doc", support)
+    out = assign_winners(rows if carry else materialize(rows, "digests"), "__digest", "__doc", support)
     return out.select(F.col("__doc").alias(id_col), "keep_id", F.col("group_size").cast("long").alias("group_size"),
                       "kept", F.col("__digest").alias("text_sha256"), *(["__row"] if carry else []))
