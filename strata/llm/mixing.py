@@ -67,11 +67,11 @@ def permuted(i: Column, n: Column, key: Column) -> Column:
             r = F.pmod(r + F.pmod(F.xxhash64(l, key, F.lit(k + 1)), b), b)
         return l * b + r
 
-    # at most a-1 values lie at or above n, so small n ends for certain and large n at the first step but for chance
-    walk = F.aggregate(F.sequence(F.lit(1), F.lit(40)), F.lit(-1).cast("long"),
-                       lambda x, k: F.when((x >= 0) & (x < n), x).otherwise(
-                           rounds(F.when(x < 0, i).otherwise(x))))
-    return walk
+    # at most a-1 of the values lie at or above n: nearly all are done at the first step, a small n
+    # within its a steps, a large one but for chance below 1e-40
+    first = rounds(i)
+    walk = F.aggregate(F.sequence(F.lit(1), F.lit(40)), first, lambda x, k: F.when(x < n, x).otherwise(rounds(x)))
+    return F.when(first < n, first).otherwise(walk)
 
 
 def sized(docs: DataFrame, source_col: str, text_col: str, id_col: str, carry: bool) -> DataFrame:
@@ -135,9 +135,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         seed: int = 17, chunk_docs: int = 50_000, carry: bool = False) -> DataFrame:
     """One row per document row: __doc, __source, size, source_size, target, taken and ``uses``
     (array<struct<from, to, times>>: the word spans the mix takes and how often), plus ``__row`` with ``carry``."""
-    rows = streamed(materialize(sized(docs, source_col, text_col, id_col, carry), "mix"), seed, chunk_docs)
-    spans = materialize(rows.withColumn("__rid", F.monotonically_increasing_id()), "mix-stream")
-    sizes = spans.groupBy(*SRC).agg(F.sum("__n").alias("__size"))
+    rows = materialize(sized(docs, source_col, text_col, id_col, carry)
+                       .withColumn("__rid", F.monotonically_increasing_id()), "mix")
+    spans = streamed(rows.drop("__row"), seed, chunk_docs)
+    sizes = rows.groupBy(*SRC).agg(F.sum("__n").alias("__size"))
     targets = materialize(source_targets(sizes, weights, max_epochs), "mix-targets")
     used = (slot_table(targets, block, shard_slots, seed, max_epochs)
             .groupBy(*SRC, "__block").agg(F.count(F.lit(1)).alias("__times")))
@@ -145,14 +146,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             .select("__rid", *SRC, "__n", "__start", F.explode(F.sequence(
                 F.floor(F.col("__start") / block).cast("long"),
                 F.floor((F.col("__start") + F.col("__n") - 1) / block).cast("long"))).alias("__block")))
-    taken = (cuts.join(used, [*SRC, "__block"])
+    # the planner cannot know how far explode widens the slots: never a broadcast
+    taken = (cuts.join(used.hint("merge"), [*SRC, "__block"])
              .select("__rid", F.greatest(F.col("__block") * block - F.col("__start"), F.lit(0)).alias("from"),
                      F.least((F.col("__block") + 1) * block - F.col("__start"), F.col("__n")).alias("to"), "__times")
              .groupBy("__rid").agg(F.sum((F.col("to") - F.col("from")) * F.col("__times")).alias("taken"),
                                    F.array_sort(F.collect_list(F.struct("from", "to", F.col("__times").alias("times")))).alias("uses")))
     facts = targets.select(*[F.col(c).alias(f"t{c}") for c in SRC], F.col("__size").alias("source_size"),
                            F.col("__target").alias("target"))
-    return (spans.join(taken, "__rid", "left")
+    return (rows.join(taken.hint("merge"), "__rid", "left")
             .join(facts, (F.col("__null") == F.col("t__null")) & (F.col("__source") == F.col("t__source")))
             .select("__doc", F.when(~F.col("__null"), F.col("__source")).alias("__source"), F.col("__n").alias("size"),
                     "source_size", F.coalesce("target", F.lit(0.0)).alias("target"),
