@@ -122,7 +122,9 @@ def slot_table(targets: DataFrame, block: int, shard_slots: int, seed: int, max_
     counts = (shards.withColumn("__k", k)
               .withColumn("__drawn", points_below(F.col("__to")) - points_below(F.col("__from"))))
     running = Window.partitionBy(*SRC).orderBy("__shard").rowsBetween(Window.unboundedPreceding, 0)
+    parts = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slots = (counts.withColumn("__end", F.sum("__drawn").over(running)).where(F.col("__drawn") > 0)
+             .repartition(parts, *SRC, "__shard")  # few rows, each of which unfolds: not to be coalesced
              .withColumn("__slot", F.explode(F.expr("sequence(__end - __drawn, __end - 1)")))
              .where(F.col("__slot") < F.col("__blocks") * max_epochs))
     return slots.select(*SRC, "__shard", "__slot",
@@ -132,7 +134,7 @@ def slot_table(targets: DataFrame, block: int, shard_slots: int, seed: int, max_
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = (1, 2, 3), block: int = 32, shard_slots: int = 4096, max_epochs: int = 3,
-        seed: int = 17, chunk_docs: int = 50_000, carry: bool = False) -> DataFrame:
+        seed: int = 17, chunk_docs: int = 4096, carry: bool = False) -> DataFrame:
     """One row per document row: __doc, __source, size, source_size, target, taken and ``uses``
     (array<struct<from, to, times>>: the word spans the mix takes and how often), plus ``__row`` with ``carry``."""
     rows = materialize(sized(docs, source_col, text_col, id_col, carry)
