@@ -68,13 +68,16 @@ def doc_hash(c: Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(parts))
 
 
-def frequent_items(rows: DataFrame, column: str, support: float, fan_in: int = 64) -> list[str]:
+def frequent_items(rows: DataFrame, column: str, support: float, parts: int = 64) -> list[str]:
     """Every value of a string column that holds at least ``support`` of the rows, and some others;
-    ``1/support`` values at most.  Misra-Gries counters (Spark's frequent-items sketch, whose size
-    bounds the count error below ``support``), merged in two steps so that one task never merges all."""
+    ``parts / support`` values at most.  Misra-Gries counters (Spark's frequent-items sketch, whose size bounds
+    the count error below ``support``) run over ``parts`` parts of the input: a value frequent in the whole is
+    frequent in one part at least, so no task has to merge all counters."""
     k = int(np.ceil(1 / support))
     size = 1 << int(np.ceil(np.log2(4 * k)))
-    parts = (rows.select(F.col(column).alias("__item"), F.pmod(F.spark_partition_id(), F.lit(fan_in)).alias("__part"))
-             .groupBy("__part").agg(F.expr(f"approx_top_k_accumulate(__item, {size})").alias("__sketch")))
-    top = parts.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(__sketch, {size}), {k})").alias("__top")).first()
-    return [r["item"] for r in (top[0] or []) if r["item"] is not None]
+    tops = (rows.where(F.col(column).isNotNull())
+            .select(F.col(column).alias("__item"), F.pmod(F.spark_partition_id(), F.lit(parts)).alias("__part"))
+            .groupBy("__part").agg(F.expr(f"approx_top_k(__item, {k}, {size})").alias("__top"), F.count("__item").alias("__n")))
+    found = (tops.select("__n", F.explode("__top").alias("__t")).where(F.col("__t.count") >= F.col("__n") * support / 2)
+             .where(F.col("__t.count") > 1).select("__t.item").distinct())
+    return [r["item"] for r in found.collect()]

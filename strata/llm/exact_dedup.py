@@ -3,8 +3,8 @@
 Texts are equal when they agree after lower-casing A-Z; the row with the largest
 ``doc_id`` of a class stays.
 
-Method: a frequent-items (Misra-Gries) pass over the digests keeps ``1/support``
-counters at most, so its result is bounded whatever the input.  The candidates'
+Method: a frequent-items (Misra-Gries) pass over the digests keeps a fixed number of counters,
+so its result is bounded whatever the input.  The candidates'
 winner and size are then verified by an exact aggregate with map-side combine, and
 that bounded table is broadcast: losing rows of a frequent class are settled map-side
 and never shuffled.  All other digests, none above ``support`` of the rows, take
@@ -28,13 +28,14 @@ def text_digest(c: Column) -> Column:
 
 
 def frequent_winners(rows: DataFrame, digest: str, id_col: str, support: float) -> DataFrame:
-    """(digest, __hot_id, __hot_n) of every digest above ``support`` of the rows; ``1/support`` rows at most."""
+    """(digest, __hot_id, __hot_n) of every digest above ``support`` of the rows and some others; a bounded table
+    (see ``frequent_items``)."""
     spark = rows.sparkSession
     hot = spark.createDataFrame([(h,) for h in frequent_items(rows, digest, support)], "__hot string")
     verified = (rows.join(F.broadcast(hot), F.col(digest) == F.col("__hot")).groupBy("__hot")
                 .agg(F.max(id_col).alias("__hot_id"), F.count(F.lit(1)).alias("__hot_n"))
                 .where(F.col("__hot_n") > 1))
-    # 1/support rows at most; the one that matches nothing keeps one plan with and without frequent digests
+    # bounded by the candidates; the one that matches nothing keeps one plan with and without frequent digests
     return spark.createDataFrame([*verified.collect(), ("", None, 0)], verified.schema)
 
 

@@ -12,8 +12,8 @@ losing lines goes back to its document, as a sparse bitmap: 64-line words that
 keep everything are left out.  Text is not part of that shuffle.
 
 Keys that hold more than ``hot_support`` of all distinct (document, line) pairs would put one
-group into one task.  A frequent-items pass finds candidates, an ordinary aggregate counts them exactly, and that table, of
-``1/hot_support`` rows at most, is broadcast; their lines never reach the range shuffle.
+group into one task.  A frequent-items pass finds candidates, an ordinary aggregate counts them exactly, and that bounded table
+is broadcast; their lines never reach the range shuffle.
 
 Defined cases: null or empty text is one empty line.  A null ``doc_id`` is one
 document that sorts below all others; rows with the same ``doc_id`` count as one
@@ -58,7 +58,7 @@ def line_digests(lines: str, min_chars: int):
 
 def hot_digests(keyed: DataFrame, min_docs: int, hot_support: float) -> DataFrame:
     """Exact verdict (digest, newest document, whether others lose it) of the keys that may exceed the
-    support; ``1/hot_support`` rows at most."""
+    support; a bounded table (see ``frequent_items``)."""
     spark = keyed.sparkSession
     distinct = (keyed.select("__doc", F.explode(F.array_distinct("__digests")).alias("__h"))
                 .where(F.col("__h").isNotNull()))
