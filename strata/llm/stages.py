@@ -64,8 +64,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     times = mixed.withColumn("__epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.array_max("uses.times"))))
     spans = F.filter("uses", lambda u: u["times"] >= F.col("__epoch"))
     words = F.regexp_extract_all(F.col("__row.text"), F.lit(f"({WORD})"), F.lit(1))
-    part = F.flatten(F.transform(F.col("__spans"), lambda u: F.slice(
-        words, (u["from"] + 1).cast("int"), (u["to"] - u["from"]).cast("int"))))
+    # the outer transform binds the words once a row; inside the inner one they would be found again for each span
+    part = F.element_at(F.transform(F.array(words), lambda ws: F.flatten(F.transform(F.col("__spans"), lambda u: F.slice(
+        ws, (u["from"] + 1).cast("int"), (u["to"] - u["from"]).cast("int"))))), 1)
     covered = F.aggregate("__spans", F.lit(0).cast("long"), lambda n, u: n + u["to"] - u["from"])
     text = F.when(covered == F.col("size"), F.col("__row.text")).otherwise(F.array_join(part, " "))
     return times.withColumn("__spans", spans).select(*_with_text(docs.columns, text))
