@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import byte_slices, materialize, text_or_empty, utf8
 from strata.llm.components import components
 
-COORDS, BYTES = 32, 128
+COORDS, BYTES = 32, 512
 _RNG = np.random.default_rng(0xC0FFEE)
 COORD_MUL = _RNG.integers(0, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 COORD_XOR = _RNG.integers(0, 1 << 63, COORDS, dtype=np.uint64)
@@ -202,7 +202,7 @@ def marked_slots(ids: DataFrame, slot, log2_bits: int) -> bytes:
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 85,
-                 trees: int = 4, limit: int = 2048, margin: float = 0.12, slice_bytes: int = 1 << 20,
+                 trees: int = 4, limit: int = 2048, margin: float = 0.06, slice_bytes: int = 1 << 20,
                  log2_bits: int = 26) -> DataFrame:
     """One row per document row: doc_id, text_md5, n_shingles, component_id, kept."""
     spark = docs.sparkSession
