@@ -52,6 +52,7 @@ class ScdSpec:
             valid_to=meta.get("valid_to") or "valid_to",
             is_current=meta.get("is_current") or "is_current",
             hash_value=meta.get("hash_value") or "hash_value",
+            hash_mode=rule.get("hash_mode") or "pipe",
         )
 
     @property

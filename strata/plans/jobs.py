@@ -226,6 +226,9 @@ def _run_configs(spark, configs, resolve_source, resolve_target, run, quarantine
             failed.add(e.config_id)
             results.append({"config_id": e.config_id, "status": "skipped"})
             continue
+        if e.rule_type == "scd2" and not _feature(run, "scd2"):
+            results.append({"config_id": e.config_id, "status": "skipped"})
+            continue
         try:
             src = resolve_source(e.source_table)
             tgt = resolve_target(e.target_table)

@@ -48,15 +48,15 @@ JOIN (
 """
 
 # Snapshot n (1, 2, 3) of the silver contact table: the customers with orders
-# in period n (two years each, back to back), attributes from aggregates over
+# in period n (back to back; the first and the last are open, so every order is read), attributes from aggregates over
 # those orders.  Customers without orders in a period are missing from that
 # snapshot and may come back; first-time customers are new; the e-mail domain
 # follows the period's highest order status, the surname's case the number of
 # urgent orders, the phone is withheld for frequent buyers.  The city (from the
 # order count) is untracked and must not create a version.
-SNAPSHOT_PERIODS = [("1995-01-01 00:00:00", "1997-01-01 00:00:00"),
+SNAPSHOT_PERIODS = [("1900-01-01 00:00:00", "1997-01-01 00:00:00"),
                     ("1997-01-01 00:00:00", "1999-01-01 00:00:00"),
-                    ("1999-01-01 00:00:00", "2001-01-01 00:00:00")]
+                    ("1999-01-01 00:00:00", "2200-01-01 00:00:00")]
 CONTACT_SNAPSHOT_SQL = """
 SELECT CAST(c.c_custkey AS STRING) AS contactid,
   'Vorname' || CAST(c.c_custkey % 97 AS STRING) AS firstname,
