@@ -15,10 +15,14 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-_MARKS = b",."
+_MARKS = b",.;:!?#*$%&|"
 _LOADED: dict = {}
 
 
+def _letters(word: bytes) -> bool:
+    return word.isalpha() or not word.isascii() and word.decode("utf-8").isalpha()
+
+
 class Encoder:
     """``ids(texts)``: the ids of each text as little-endian bytes of ``dtype``."""
 
@@ -41,6 +45,9 @@ class Encoder:
                 self.ends = np.zeros(self.size, bool)
                 self.ends[[i for t, i in self.lib.get_vocab().items() if t.endswith(suffix)]] = True
         self.dtype = np.dtype("<u2") if self.size <= 0xFFFF else np.dtype("<u4")
+        self.special = [t.content.lower().encode() for t in self.lib.get_added_tokens_decoder().values()] if self.by_word else []
+        self.folds = self.by_word and self._folds_case()
+        self.cuts = self.by_word and self._cuts_marks()
         self.limit = cache_words
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -51,6 +58,27 @@ class Encoder:
         parts = [i for w in probe.split() for i in self.lib.encode(w, add_special_tokens=False).ids]
         return whole == parts
 
+    def _folds_case(self) -> bool:
+        """A-Z count as a-z."""
+        upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        probe = " ".join([upper, *upper, *(c + "ab" for c in upper), *("ab" + c for c in upper)])
+        return self._encode([probe]) == self._encode([probe.lower()])
+
+    def _cuts_marks(self) -> bool:
+        """Letters and the marks after them are apart."""
+        tails = [m * n for m in _MARKS.decode() for n in (1, 3)] + [",%%%", ".|&"]
+        bodies = ["word", "\u00fcber", "s"]
+        parts = dict(zip(bodies + tails, self._encode(bodies + tails)))
+        both = [(b, t) for b in bodies for t in tails]
+        return self._encode([b + t for b, t in both]) == [parts[b] + parts[t] for b, t in both]
+
+    def _fold(self, text: bytes) -> bytes:
+        """The text with a-z for A-Z where that changes no id (a special string must be written exactly)."""
+        if not self.folds:
+            return text
+        low = text.lower()  # bytes: A-Z alone
+        return text if any(s in low for s in self.special) else low
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         if self.sentencepiece:
             found = self.lib.encode(texts, num_threads=1)
@@ -83,20 +111,21 @@ class Encoder:
         return out
 
     def _learn(self, words: set[bytes]) -> None:
-        """Put every word's ids into the young cache; a word ending in one mark shares the ids of the bare word."""
+        """Put every word's ids into the young cache; letters with marks after them are
+        looked up apart."""
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
         ask: set[bytes] = set()
-        cut: list[bytes] = []
+        cut: list[tuple[bytes, bytes, bytes]] = []
         for w in words.difference(young):
             if (got := old.get(w)) is not None:
                 young[w] = got
-            elif w[-1] in _MARKS and w[:-1].isalpha():
-                cut.append(w)
+            elif self.cuts and w[-1] in _MARKS and _letters(body := w.rstrip(_MARKS)):
+                cut.append((w, body, w[len(body):]))
             else:
                 ask.add(w)
-        parts = {w[:-1] for w in cut} | {w[-1:] for w in cut}
+        parts = {p for _, *two in cut for p in two}
         for w in parts.difference(young):
             if (got := old.get(w)) is not None:
                 young[w] = got
@@ -104,14 +133,14 @@ class Encoder:
                 ask.add(w)
         asked = list(ask)
         young.update(zip(asked, self._encode_words(asked)))
-        for w in cut:
-            young[w] = young[w[:-1]] + young[w[-1:]]
+        for w, body, tail in cut:
+            young[w] = young[body] + young[tail]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """``texts``: UTF-8 bytes."""
         if not self.by_word:
             return self._encode([t.decode("utf-8") for t in texts])
-        split = [t.split() for t in texts]  # bytes.split() cuts at ASCII white space alone
+        split = [self._fold(t).split() for t in texts]  # bytes.split() cuts at ASCII white space alone
         self._learn(set().union(*split))
         at = self.young.__getitem__
         return [b"".join(map(at, words)) for words in split]
