@@ -19,6 +19,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,27 +81,27 @@ def tokenizer(path: str, end_id: int, slice_bytes: int, cache_words: int):
     return run
 
 
-def curve_keys(cuts: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            place = np.stack([batch.column(f"p{d}").to_numpy() for d in range(DIMS)], 1)
-            cells = np.stack([np.searchsorted(cuts[d], place[:, d], side="right") for d in range(DIMS)], 1)
-            key = pa.array(hilbert(cells, BITS) if len(cells) else np.empty(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), batch.column("n"), key],
-                                             names=["doc_id", "ids", "n", "curve"])
+def curve_key(cuts: np.ndarray):
+    """Column function: the Hilbert key of a place; the ids stay on the JVM side."""
+    @F.pandas_udf("long")
+    def key(*place: pd.Series) -> pd.Series:
+        cells = np.stack([np.searchsorted(cuts[d], p.to_numpy(), side="right") for d, p in enumerate(place)], 1)
+        return pd.Series(hilbert(cells, BITS) if len(cells) else np.empty(0, np.int64))
+
+    return key
 
-    return run
 
+def running_start():
+    """Column function: each row's place in its partition's stream."""
+    @F.pandas_udf("long")
+    def start(sizes: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        before = 0
+        for n in sizes:
+            ends = before + n.cumsum()
+            yield ends - n
+            before = int(ends.iloc[-1]) if len(ends) else before
 
-def running_start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add each row's place in its partition's stream."""
-    before = 0
-    for batch in batches:
-        n = batch.column("n").to_numpy()
-        ends = before + np.cumsum(n)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), batch.column("n"),
-                                          pa.array(ends - n)], names=["doc_id", "ids", "n", "start"])
-        before = int(ends[-1]) if len(ends) else before
+    return start.asNondeterministic()  # depends on the order of the rows
 
 
 def cutter(length: int, wide: bool, with_ids: bool):
@@ -138,12 +139,12 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     shares = [i / (1 << BITS) for i in range(1, 1 << BITS)]
     quantiles = encoded.agg(*[F.percentile_approx(f"p{d}", shares, 10_000) for d in range(DIMS)]).first()
     cuts = np.array([q if q is not None else [0.0] * len(shares) for q in quantiles])
-    ordered = (encoded.mapInArrow(curve_keys(cuts), "doc_id long, ids binary, n long, curve long")
+    place = [F.col(f"p{d}") for d in range(DIMS)]
+    ordered = (encoded.select("doc_id", "ids", "n", curve_key(cuts)(*place).alias("curve"))
                .withColumn("tie", F.xxhash64("doc_id", "n", F.crc32("ids")))
                .repartitionByRange("curve", "tie").sortWithinPartitions("curve", "tie"))
-    laid = materialize(ordered.select("doc_id", "ids", "n")
-                       .mapInArrow(running_start, "doc_id long, ids binary, n long, start long")
-                       .withColumn("part", F.spark_partition_id()), "pack-laid")
+    laid = materialize(ordered.select("doc_id", "ids", "n", running_start()("n").alias("start"),
+                                      F.spark_partition_id().alias("part")), "pack-laid")
     totals = laid.groupBy("part").agg(F.sum("n").alias("tokens"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
     bases = totals.select("part", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
