@@ -7,15 +7,13 @@ from pyspark.sql import functions as F
 
 from strata.functions.hashing import row_hash
 
-_MOD = 2 ** 31 - 1
-
 
 def _per_key(df: DataFrame, keys: list[str], cols: list[str], tag: str) -> DataFrame:
     """One row per key: row count and an order-independent hash of its rows
-    (sum of row hashes modulo a prime), so duplicate keys never pair up."""
-    h = F.conv(F.substring(row_hash(cols, "json"), 1, 15), 16, 10).cast("long")
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"_n{tag}"),
-                                 F.sum(F.pmod(h, F.lit(_MOD))).alias(f"_h{tag}"))
+    (exact sums of both 64-bit halves of the md5), so duplicate keys never pair up."""
+    md5 = row_hash(cols, "json")
+    halves = [F.sum(F.conv(F.substring(md5, at, 16), 16, 10).cast("decimal(20,0)")) for at in (1, 17)]
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"_n{tag}"), F.struct(*halves).alias(f"_h{tag}"))
 
 
 def diff(a: DataFrame, b: DataFrame, keys: list[str], value_cols: list[str] | None = None) -> DataFrame:

@@ -69,11 +69,13 @@ def as_of_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     hash) and its versions are copied to every salt, so no task holds more
     than about ``max_group_rows`` facts of one key.  The hot-key table has at
     most total / ``max_group_rows`` rows; it is broadcast below a million rows
-    (its checked size), joined by shuffle above.
+    (its checked size), joined by shuffle above.  Facts without a key go to
+    ``unknown`` directly: no shuffle, no window.
     """
     out = out or sk
     fcols = facts.columns
     limit = max(1, int(max_group_rows))
+    facts, keyless = facts.where(F.col(fact_key).isNotNull()), facts.where(F.col(fact_key).isNull())
     hot = (facts.groupBy(F.col(fact_key).cast("string").alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > limit)
            .select("_k", F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_ns")))
@@ -105,8 +107,9 @@ def as_of_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     ver = F.last(F.when(F.col("_kind") == 0, F.struct("_sk", "_to")), ignorenulls=True).over(w)
     hit = u.select("_kind", "_t", "_f", ver.alias("_v")).filter(F.col("_kind") == 1)
     valid = F.col("_v").isNotNull() & (F.col("_t") < F.col("_v._to"))
-    return hit.select(*[F.col(f"_f.{c}").alias(c) for c in fcols],
-                      F.when(valid, F.col("_v._sk")).otherwise(F.lit(unknown)).cast("long").alias(out))
+    found = hit.select(*[F.col(f"_f.{c}").alias(c) for c in fcols],
+                       F.when(valid, F.col("_v._sk")).otherwise(F.lit(unknown)).cast("long").alias(out))
+    return found.unionByName(keyless.withColumn(out, F.lit(unknown).cast("long")))
 
 
 def calendar(bounds: DataFrame, lo_col: str = "lo", hi_col: str = "hi") -> DataFrame:

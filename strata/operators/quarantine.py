@@ -39,8 +39,8 @@ def build(invalid: DataFrame, rules: list[Rule], source_table: str, run_id: str,
     ``raw_record`` is the JSON of ``record_columns`` (all non-helper columns by
     default); ``to_json`` omits null fields.  ``created_at`` is the run's
     timestamp, passed in, so every record of a run carries the same instant.
-    The id is an md5 of run, table, record and the row's position in its
-    partition (unique within a run, no uuid()).
+    The id is an md5 of run, table, record and the row's number among equal
+    records: unique within a run, and the same however the rows are partitioned.
     """
     helpers = {r.flag for r in rules} | {"_is_valid", "_is_rejected", "_dq_flags", "_dq_score", "_dq_failed"}
     cols = record_columns or [c for c in invalid.columns if c not in helpers]
@@ -60,9 +60,14 @@ def build(invalid: DataFrame, rules: list[Rule], source_table: str, run_id: str,
     )
     if not with_id:
         return out
-    out = out.withColumn("quarantine_id", F.md5(F.concat_ws(
+    # equal records are counted first and unfolded in two steps: no task holds all copies of one record
+    step = 4096
+    counted = out.groupBy(*out.columns).agg(F.count(F.lit(1)).alias("_n"))
+    unfolded = (counted.withColumn("_hi", F.explode(F.expr(f"sequence(0L, (_n - 1) div {step})")))
+                .withColumn("_lo", F.explode(F.expr(f"sequence(0L, least({step - 1}L, _n - 1 - _hi * {step}))"))))
+    out = unfolded.withColumn("quarantine_id", F.md5(F.concat_ws(
         "|", F.col("pipeline_run_id"), F.col("source_table"), F.col("raw_record"),
-        F.monotonically_increasing_id().cast("string"))))
+        (F.col("_hi") * step + F.col("_lo") + 1).cast("string")))).drop("_n", "_hi", "_lo")
     return conform(out, QUARANTINE_RECORDS)
 
 

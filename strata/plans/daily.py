@@ -9,7 +9,6 @@ deployment binds its own through ``resolve_source``.
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +47,7 @@ def run_daily(spark: SparkSession, sources: dict[str, DataFrame], root: str, run
                               pipeline_name="medallion_daily", run_type="scheduled")
     metrics = spark.read.parquet(svc["pipeline_metrics"])
     runs = spark.read.parquet(svc["pipeline_run_history"])
-    quarantine = spark.read.parquet(svc["quarantine_records"]) if os.path.exists(svc["quarantine_records"]) \
+    quarantine = spark.read.parquet(svc["quarantine_records"]) if io.path_exists(spark, svc["quarantine_records"]) \
         else None
     # the day this run's metrics were written (their times are wall-clock)
     today = metrics.filter(F.col("run_id") == run.run_id).agg(F.max(F.to_date("start_time"))).first()[0]

@@ -131,7 +131,7 @@ def run_dq(spark: SparkSession, bronze: DataFrame, rule: dict, source_table: str
         io.append(monitor.metrics_row(spark, run.run_id, f"bronze_to_silver_{source_table}", "bronze_to_silver",
                                       source_table, target, out["records_read"], written, out["records_failed"],
                                       start, end, dq_score_avg=score), metrics_table, part=f"{run.run_id}__bronze_to_silver__{source_table}",
-                  run_date=run.run_ts)
+                  run_date=start)  # the day that the reports filter
     return out
 
 
@@ -172,7 +172,7 @@ def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: s
         g = written.agg(F.count_if(opened).alias("o"), F.count_if(closed).alias("c")).first()
         st = SimpleNamespace(updated=g.c, inserted=g.o - g.c, deleted=0)
     mx = written.agg(F.max(spec.surrogate_key)).first()[0]
-    io.publish_dimension_run(spark, target, run.run_id, max(max_sk, mx or 0))
+    io.publish_dimension_run(spark, target, run.run_id, max(max_sk, mx or 0), spec.is_current)
     read = silver.count()
     c = {"scd_inserts": st.inserted, "scd_updates": st.updated}
     c["scd_no_changes"] = read - c["scd_inserts"] - c["scd_updates"]
@@ -181,7 +181,7 @@ def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: s
         io.append(monitor.metrics_row(spark, run.run_id, f"silver_to_gold_{source_table}", "silver_to_gold",
                                       source_table, target, read, c["scd_inserts"] + c["scd_updates"], 0, start,
                                       end, c["scd_inserts"], c["scd_updates"], c["scd_no_changes"]),
-                  metrics_table, part=f"{run.run_id}__silver_to_gold__{source_table}", run_date=run.run_ts)
+                  metrics_table, part=f"{run.run_id}__silver_to_gold__{source_table}", run_date=start)
     return dict(c, records_read=read, scd_deleted=st.deleted)
 
 
@@ -206,9 +206,9 @@ def run_config(spark: SparkSession, configs: list[ConfigEntry], resolve_source,
             spark, run.run_id, pipeline_name, "failed" if bad else "succeeded", started, ended,
             processed=sum(r.get("records_read", 0) or 0 for r in ok),
             failed=sum(r.get("records_failed", 0) or 0 for r in ok), tables=len(ok), run_type=run_type,
-            error_message="; ".join(f"{r['config_id']}: {r['error']}" for r in bad)[:4000] or None,
-            error_stack_trace=(bad[0]["trace"] if bad else None), environment=run.environment), history_table,
-            part=run.run_id, run_date=run.run_ts)
+            error_message="; ".join(f"{r['config_id']}: {r['error']}" for r in bad) or None,
+            error_stack_trace="\n".join(r["trace"] for r in bad) or None, environment=run.environment), history_table,
+            part=run.run_id, run_date=started)
     if lineage_table and _feature(run, "lineage"):
         by_id = {e.config_id: e for e in configs}
         for r in ok:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 from strata.sources.schemas import SERVICE_TABLES, conform
 
 POINTER = "_CURRENT"
+UNDATED = "9999-12-31"
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -27,6 +29,11 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _hadoop_fs(spark, path)
+    return fs.exists(p)
+
+
 def _read_text(spark: SparkSession, path: str) -> str | None:
     fs, p, jvm = _hadoop_fs(spark, path)
     if not fs.exists(p):
@@ -40,17 +47,20 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write to a temp file then rename over the pointer (atomic on HDFS-like stores)."""
+    """Write to a temp file, then one overwriting rename: the pointer is the old or the new
+    one at every moment (atomic on HDFS-like stores)."""
     fs, p, jvm = _hadoop_fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    p, tmp = fs.makeQualified(p), fs.makeQualified(jvm.org.apache.hadoop.fs.Path(path + ".tmp"))
     out = fs.create(tmp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.valueOf("OVERWRITE")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), conf).rename(tmp, p, options)
 
 
 def version_path(table: str, run_id: str) -> str:
@@ -115,20 +125,40 @@ def append(df: DataFrame, path: str, schema: T.StructType | None = None, part: s
            run_date=None) -> None:
     """Add rows to an appended table, conformed to its declared schema.
 
-    With ``part`` (e.g. run id + stage) the rows go to their own folder
-    ``_part=<part>`` and replace it: a rerun of a crashed job rewrites its
-    own rows instead of adding them twice.  With ``run_date`` that folder
-    sits under ``run_date=<yyyy-mm-dd>``, so date-bounded reports prune
-    whole days.  Readers see ``run_date`` / ``_part`` as extra columns."""
+    Tables with a declared schema, and all appends with a ``part``, have one layout:
+    ``run_date=<yyyy-mm-dd>/_part=<part>``.  A ``part`` (e.g. run id + stage) is
+    replaced as a whole: a rerun of a crashed job rewrites its own rows instead of
+    adding them twice; without one the rows get a part of their own.  Date-bounded
+    reports prune whole days; rows without ``run_date`` lie under ``UNDATED``, which
+    no lower bound prunes.  Files at the root (plain appends) move into the layout
+    first, since Spark reads either the root's files or its partition folders.
+    Readers see ``run_date`` / ``_part`` as extra columns."""
     name = os.path.basename(path.rstrip("/"))
     schema = schema or SERVICE_TABLES.get(name)
     out = conform(df, schema) if schema is not None else df
-    if part is None:
+    if part is None and schema is None and not _children(df.sparkSession, path, "run_date="):
         out.write.mode("append").parquet(path)
         return
-    safe = "".join(ch if ch.isalnum() or ch in "-_." else "_" for ch in part)
-    base = path.rstrip("/") + (f"/run_date={run_date.isoformat()[:10]}" if run_date is not None else "")
-    out.write.mode("overwrite").parquet(f"{base}/_part={safe}")
+    _lay_out_root_files(df.sparkSession, path)
+    safe = "".join(ch if ch.isalnum() or ch in "-_." else "_" for ch in part or uuid.uuid4().hex)
+    day = run_date.isoformat()[:10] if run_date is not None else UNDATED
+    out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_date={day}/_part={safe}")
+
+
+def _children(spark: SparkSession, path: str, prefix: str) -> list:
+    """The Hadoop paths right below ``path`` whose names start with ``prefix``."""
+    fs, p, _ = _hadoop_fs(spark, path)
+    found = [st.getPath() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return [c for c in found if c.getName().startswith(prefix)]
+
+
+def _lay_out_root_files(spark: SparkSession, path: str) -> None:
+    files = [c for c in _children(spark, path, "part-") if c.getName().endswith(".parquet")]
+    if files:
+        fs, folder, jvm = _hadoop_fs(spark, f"{path.rstrip('/')}/run_date={UNDATED}/_part=root")
+        fs.mkdirs(folder)
+        for f in files:
+            fs.rename(f, jvm.org.apache.hadoop.fs.Path(folder, f.getName()))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -162,8 +192,11 @@ def purge(spark: SparkSession, path: str, ts_col: str, now, days: int, run_id: s
     df = spark.read.parquet(path)
     kept = df.filter(F.col(ts_col) >= F.lit(now).cast("timestamp") - F.make_dt_interval(F.lit(days)))
     new = f"{path.rstrip('/')}.purge-{run_id}"
-    kept.write.mode("overwrite").parquet(new)
-    n = spark.read.parquet(new).count()
+    n = kept.count()
+    if n and {"run_date", "_part"} <= set(df.columns):
+        kept.write.mode("overwrite").partitionBy("run_date", "_part").parquet(new)
+    else:
+        kept.drop("run_date", "_part").write.mode("overwrite").parquet(f"{new}/run_date={UNDATED}/_part=purge-{run_id}")
     fs, p, jvm = _hadoop_fs(spark, path)
     old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{run_id}")
     fs.rename(p, old)
@@ -228,9 +261,10 @@ def write_dimension_run(spark: SparkSession, rows: DataFrame, table: str, run_id
     return path
 
 
-def publish_dimension_run(spark: SparkSession, table: str, run_id: str, max_sk: int) -> dict:
+def publish_dimension_run(spark: SparkSession, table: str, run_id: str, max_sk: int,
+                          is_current: str = "is_current") -> dict:
     meta = dimension_meta(spark, table) or {"runs": []}
-    meta = {"version": run_id, "max_sk": int(max_sk), "runs": list(meta["runs"]) + [run_id]}
+    meta = {"version": run_id, "max_sk": int(max_sk), "runs": list(meta["runs"]) + [run_id], "is_current": is_current}
     _write_text(spark, f"{table.rstrip('/')}/{POINTER}", json.dumps(meta))
     return meta
 
@@ -241,23 +275,25 @@ def read_dimension_run(spark: SparkSession, path: str, is_current: str = "is_cur
     return spark.read.parquet(path).withColumn(is_current, F.col(is_current).cast("boolean"))
 
 
-def _dimension_rows(spark: SparkSession, table: str, is_current: str = "is_current") -> DataFrame:
-    from pyspark.sql import functions as F
-    df = spark.read.option("basePath", table).parquet(f"{table.rstrip('/')}/run=*")
-    return (df.withColumn("run", F.col("run").cast("string"))
-            .withColumn(is_current, F.col(is_current).cast("boolean")))
-
-
 def read_dimension(spark: SparkSession, table: str, is_current: str = "is_current") -> DataFrame | None:
-    """The published dimension: history of published runs + current rows of the latest."""
+    """The published dimension: history of published runs + current rows of the latest, read from the
+    folders that the pointer names (the pointer's column name, where it has one, goes before ``is_current``)."""
     from pyspark.sql import functions as F
     meta = dimension_meta(spark, table)
     if meta is None:
         return None
-    df = _dimension_rows(spark, table, is_current)
-    keep = ((~F.col(is_current) & F.col("run").isin(meta["runs"]))
-            | (F.col(is_current) & (F.col("run") == meta["version"])))
-    return df.filter(keep).drop("run")
+    column = meta.get("is_current", is_current)
+    base = table.rstrip("/")
+    folders = [(run, flag) for run in meta["runs"] for flag in ("false", "true") if flag == "false" or run == meta["version"]]
+    parts = []
+    for flag in ("false", "true"):
+        paths = [f"{base}/run={run}/{column}={flag}" for run, own in folders if own == flag]
+        paths = [p for p in paths if _children(spark, p, "")]
+        if paths:
+            parts.append(spark.read.parquet(*paths).withColumn(column, F.lit(flag == "true")))
+    if not parts:  # a dimension without rows
+        return read_dimension_run(spark, f"{base}/run={meta['version']}", column)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def read_dimension_current(spark: SparkSession, table: str, is_current: str = "is_current") -> DataFrame | None:
@@ -339,13 +375,14 @@ def vacuum(spark: SparkSession, table: str, keep: int = 2) -> list[str]:
     gone = []
     names = sorted(st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory())
     if "runs" in p:
+        current = p.get("is_current", "is_current")
         for n in names:
             run = n.split("=", 1)[1] if n.startswith("run=") else None
             if run and run in p["runs"] and run != p["version"]:
-                cur = jvm.org.apache.hadoop.fs.Path(f"{table.rstrip('/')}/{n}/is_current=true")
+                cur = jvm.org.apache.hadoop.fs.Path(f"{table.rstrip('/')}/{n}/{current}=true")
                 if fs.exists(cur):
                     fs.delete(cur, True)
-                    gone.append(f"{n}/is_current=true")
+                    gone.append(f"{n}/{current}=true")
         return gone
     versions = [n for n in names if n.startswith("v=")]
     for n in versions[:-keep] if keep > 0 else versions:
