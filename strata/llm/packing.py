@@ -125,7 +125,7 @@ def cutter(length: int, wide: bool, with_ids: bool):
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2,
-         length: int = 4096, slice_bytes: int = 1 << 20, cache_words: int = 200_000, with_ids: bool = True) -> DataFrame:
+         length: int = 4096, slice_bytes: int = 1 << 20, cache_words: int = 1_000_000, with_ids: bool = True) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids
     (little-endian unsigned 32-bit, null without ``with_ids``)."""
     from strata.llm.tokens import Encoder

@@ -38,7 +38,7 @@ def counter(path: str, slice_bytes: int, cache_words: int):
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 slice_bytes: int = 1 << 20, cache_words: int = 200_000) -> DataFrame:
+                 slice_bytes: int = 1 << 20, cache_words: int = 1_000_000) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) per row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(counter(tokenizer_path, slice_bytes, cache_words),

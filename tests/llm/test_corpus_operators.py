@@ -129,6 +129,11 @@ def test_token_counts_and_cutting(odd, empty):
     enc = Encoder(path(), cache_words=3)
     for _ in range(3):
         assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.ids([t.encode() for t in texts])] == [whole(t) for t in texts]
+    # a text longer than a group, words longer than a hash is trusted for, and a cache that is cleared out often
+    long = " ".join(f"word{i % 5000} {'x' * (i % 90)}" for i in range(40_000))
+    enc = Encoder(path(), cache_words=500)
+    for batch in (["a b", long, "", "c d"], ["a b", "", "c"], [long[:2000]]):
+        assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.ids([t.encode() for t in batch])] == [whole(t) for t in batch]
 
 
 def _components(rows, percent=85):
