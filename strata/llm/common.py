@@ -36,12 +36,22 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_dir(spark)}/llm-{tag}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, and
     whatever was not deterministic in it is fixed from here on."""
     path = scratch_path(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", compression).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialised tables that no plan still to be run reads."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t._scratch)
+        path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def byte_slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:

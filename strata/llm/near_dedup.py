@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import byte_slices, materialize, text_or_empty, utf8
+from strata.llm.common import byte_slices, discard, materialize, text_or_empty, utf8
 from strata.llm.components import components
 
 COORDS, BYTES = 32, 512
@@ -215,6 +215,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         sketches.where(linkable).groupBy("digest").agg(
             F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("coords").alias("coords"), F.first("bytes").alias("bytes"))
         .withColumn("node", F.monotonically_increasing_id()), "near-vertices")
+    members_of = materialize(sketches.select("doc_id", "text_md5", "n", "digest"), "near-digests")
+    discard(sketches)
     nodes = materialize(tree_nodes(vertices, trees, limit), "near-nodes")
 
     def groups(labels: DataFrame | None = None) -> DataFrame:
@@ -252,11 +254,13 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     more = materialize(confirmed(second), "near-more")
     if not more.isEmpty():
         found = components(links.unionByName(more))
-    classes = vertices.select("node", "digest", "rep").join(found, "node", "left").withColumn(
+    named = materialize(vertices.select("node", "digest", "rep"), "near-names")
+    discard(vertices, nodes, sets)
+    classes = named.join(found, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     smallest = classes.groupBy("label").agg(F.min("rep").alias("component"))
     by_digest = classes.join(smallest, "label").select(F.col("digest").alias("own"), "component")
-    out = sketches.select("doc_id", "text_md5", "n", "digest").join(by_digest, F.col("digest") == F.col("own"), "left")
+    out = members_of.join(by_digest, F.col("digest") == F.col("own"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "text_md5", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import byte_slices, materialize, utf8
+from strata.llm.common import byte_slices, discard, materialize, utf8
 
 BINS, DIMS, BITS = 256, 4, 8
 
@@ -134,7 +134,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     places = ", ".join(f"p{d} double" for d in range(DIMS))
     encoded = materialize(rows.mapInArrow(tokenizer(tokenizer_path, end_id, slice_bytes, cache_words),
-                                          f"doc_id long, ids binary, n long, {places}"), "pack-ids")
+                                          f"doc_id long, ids binary, n long, {places}"), "pack-ids", "zstd")
     shares = [i / (1 << BITS) for i in range(1, 1 << BITS)]
     quantiles = encoded.agg(*[F.percentile_approx(f"p{d}", shares, 10_000) for d in range(DIMS)]).first()
     cuts = np.array([q if q is not None else [0.0] * len(shares) for q in quantiles])
@@ -143,7 +143,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                .repartitionByRange("curve", "tie").sortWithinPartitions("curve", "tie"))
     laid = materialize(ordered.select("doc_id", "ids", "n")
                        .mapInArrow(running_start, "doc_id long, ids binary, n long, start long")
-                       .withColumn("part", F.spark_partition_id()), "pack-laid")
+                       .withColumn("part", F.spark_partition_id()), "pack-laid", "zstd")
+    discard(encoded)
     totals = laid.groupBy("part").agg(F.sum("n").alias("tokens"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
     bases = totals.select("part", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
