@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import WHITE, frequent_items, materialize, text_or_empty
+from strata.llm.common import WHITE, discard, frequent_items, materialize, text_or_empty
 
 ROW = ["__doc", "__text_md5"]
 
@@ -95,9 +95,11 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lost = ranked.where(F.col("__lost") | ((F.col("__n") >= min_docs) & (F.col("__rank") > 1)))
     words = (lost.groupBy(*ROW, F.floor(F.col("__pos") / 64).cast("int").alias("word"))
              .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__pos") % 64)).alias("bits")))
-    return (words.groupBy(*ROW)
-            .agg(F.sum(F.bit_count("bits")).cast("long").alias("n_dropped"),
-                 F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("drop_words")))
+    marks = materialize(words.groupBy(*ROW)
+                        .agg(F.sum(F.bit_count("bits")).cast("long").alias("n_dropped"),
+                             F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("drop_words")), "line-marks")
+    discard(keyed)
+    return marks
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
