@@ -14,6 +14,7 @@ INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+BLOCK = 1 << 18  # bytes whose words are hashed at a time
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -50,11 +51,19 @@ class Words:
         space = WHITE[data]
         edge = np.flatnonzero(np.diff(np.concatenate([[True], space]).view(np.int8)))
         self.start, self.end = edge[0::2], edge[1::2]
-        up, down = _powers(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
-        poly = (sums[self.end] - sums[self.start]) * down[self.start]
-        self.hash = mix64(poly + (self.end - self.start).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+        size = self.end - self.start
+        poly = np.empty(len(size), np.uint64)
+        # block by block: a hash does not depend on its word's place, so the wide arrays stay small for long texts
+        cuts = np.unique(np.searchsorted(self.start, np.arange(0, len(data) + BLOCK, BLOCK)))
+        for i, j in zip(cuts, cuts[1:]):
+            at, stop = self.start[i], self.end[j - 1]
+            up, down = _powers(int(stop - at) + 1)
+            sums = np.zeros(stop - at + 1, np.uint64)
+            np.add(data[at:stop], np.uint64(1), out=sums[1:], dtype=np.uint64)
+            sums[1:] *= up[:stop - at]
+            np.cumsum(sums, out=sums)
+            poly[i:j] = (sums[self.end[i:j] - at] - sums[self.start[i:j] - at]) * down[self.start[i:j] - at]
+        self.hash = mix64(poly + size.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
         self.first = np.searchsorted(self.start, self.text_start)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))
 
