@@ -2,16 +2,17 @@
 
 The examples are labelled rows that are not held out, ``max_examples`` at most (the smallest by
 hash of their id: a documented bound of the labelled sample); equal texts make one example with
-their mean label.  Terms are the words that speak for label 1: found in at least ``min_support`` of
-the toxic examples and there at least ``min_lift`` times as often as in the others, the
-``max_terms`` strongest by log-likelihood ratio.  Examples become TF-IDF vectors (1 + log tf) over
-these terms, indexed as postings in blocks with each block's largest weight.
-
-Every text, whole, is a query: blocks are visited by falling bound (query weight times block maximum,
-summed over its terms) until the bound falls below the k-th cosine, so the k nearest are
-exact.  Votes are weighted by 1 / (distance + eps) and shrunk to the labels' rate among
-examples without any term by ``prior_weight`` votes; a text without a term gets that rate.  Evidence:
-the nearest example ids with their cosines.  Ties go to the smaller text digest.
+their mean label.  Every word of every example and of every scored text is a term.  A term weighs
+(1 + log tf) * idf * lift.  idf is log(1 + documents / max(df, m)): df is counted over all documents, and m is the
+least power of two that no more than ``idf_words`` words reach, so the idf of rarer words saturates
+there and none is left out.  lift is at least 1: the square of the rate of label 1 among the
+term's examples, shrunk to the rate of all examples by ``lift_prior`` of them, over that rate.
+
+Every text, whole, is a query, compared with all examples: the terms found in many examples as one matrix
+product, the others by their postings.  So the k nearest are exact.  Votes are weighted by
+1 / (distance + eps) and shrunk to the labels' rate by ``prior_weight`` votes; a text that shares no term
+with an example gets that rate.  Evidence: the nearest example ids with their cosines.  Ties go to
+the smaller text digest.  Terms are told apart by a 64-bit hash.
 
 Defined cases: null or empty text gets the base rate.  Null ids or labels are no examples; an id
 with several labels has their mean.  Without examples every score is 0.
@@ -20,126 +21,180 @@ Repeated rows are scored each; extra columns are ignored (kept by ``carry``); an
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import byte_slices, materialize, text_or_empty, utf8
+from strata.llm.common import byte_slices, discard, materialize, text_or_empty, utf8
 
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else (b if b > 127 or 97 <= b <= 122 else 32) for b in range(256))
+FLUSH = 400_000
 
 
-def terms_of(text: bytes) -> list[bytes]:
-    """Runs of letters (any byte beyond ASCII counts as one), A-Z lower-cased."""
-    return text.translate(_LETTERS).split()
+def terms_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct terms (hashes of runs of letters, any byte beyond ASCII counts as one, A-Z lower-cased) of each
+    text: text number, term, times; by text and term."""
+    from strata.llm.wordblocks import Words
+    words = Words([t.translate(_LETTERS) for t in texts])
+    order = np.argsort(words.hash)
+    order = order[np.argsort(words.doc[order], kind="stable")]
+    doc, term = words.doc[order], words.hash[order]
+    new = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (term[1:] != term[:-1])])) if len(doc) else np.empty(0, int)
+    return doc[new], term[new], np.diff(np.concatenate([new, [len(doc)]]))
 
 
-def term_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, toxic, clean): in how many examples' texts each term occurs, weighted by label."""
-    toxic: Counter = Counter()
-    clean: Counter = Counter()
-    for batch in batches:
-        for text, label in zip(utf8(batch, "text"), batch.column("label").to_pylist()):
-            for t in set(terms_of(text)):
-                toxic[t] += label
-                clean[t] += 1 - label
-        if len(clean) > 200_000:
-            yield _term_batch(toxic, clean)
-            toxic, clean = Counter(), Counter()
-    yield _term_batch(toxic, clean)
+def frequency_counter(slice_bytes: int):
+    """(terms, counts): in how many of the texts each term occurs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def merged() -> pa.RecordBatch:
+            terms = np.concatenate([h[0] for h in held])
+            order = np.argsort(terms)
+            terms, counts = terms[order], np.concatenate([h[1] for h in held])[order]
+            first = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
+            terms, counts = terms[first], np.add.reduceat(counts, first)
+            cut = range(0, len(terms), 50_000)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([terms[i:i + 50_000].view(np.int64) for i in cut], pa.list_(pa.int64())),
+                 pa.array([counts[i:i + 50_000] for i in cut], pa.list_(pa.int64()))], names=["terms", "counts"])
 
+        for batch in batches:
+            for part in byte_slices(batch, "text", slice_bytes):
+                terms, counts = np.unique(terms_of(utf8(part, "text"))[1], return_counts=True)
+                if len(terms):
+                    held.append((terms, counts))
+                    size += len(terms)
+                if size > 4 * FLUSH:
+                    yield merged()
+                    held, size = [], 0
+        if held:
+            yield merged()
 
-def _term_batch(toxic: Counter, clean: Counter) -> pa.RecordBatch:
-    terms = list(clean)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([t.decode("utf-8", "replace") for t in terms], pa.string()),
-         pa.array([float(toxic[t]) for t in terms], pa.float64()), pa.array([float(clean[t]) for t in terms], pa.float64())],
-        names=["term", "toxic", "clean"])
+    return run
 
 
 class BlockMaxIndex:
-    """Postings of unit vectors in blocks of ``block`` examples with block maxima; exact k nearest by cosine."""
+    """Unit vectors by term; exact k nearest by cosine.  Terms of more than a share ``dense`` of the vectors are
+    columns of a matrix, the others postings.  The matrix product is in single precision: the k-th largest of the
+    maxima of blocks of ``block`` examples, less ``MARGIN`` for its rounding, bounds the k-th cosine from below, and the
+    examples beyond it are summed again in double precision."""
+
+    MARGIN = 1e-3
 
     def __init__(self, vectors: list[dict[int, float]], n_terms: int, block: int = 64):
-        self.block, self.n = block, len(vectors)
-        blocks = -(-self.n // block)
-        by_term: dict[int, list[tuple[int, float]]] = {}
-        for e, v in enumerate(vectors):
-            for t, w in v.items():
-                by_term.setdefault(t, []).append((e, w))
-        self.postings, self.maxima = {}, {}
-        for t, posts in by_term.items():
-            ex = np.array([p[0] for p in posts], np.int64)
-            w = np.array([p[1] for p in posts])
-            most = np.zeros(blocks)
-            np.maximum.at(most, ex // block, w)
-            self.postings[t] = (ex, w, np.searchsorted(ex, np.arange(blocks + 1) * block))
-            self.maxima[t] = most
+        triples = [(e, t, w) for e, v in enumerate(vectors) for t, w in v.items()]
+        e, t, w = (np.array(x) for x in zip(*triples)) if triples else (np.empty(0), np.empty(0), np.empty(0))
+        order = np.lexsort((e, t))
+        self._fill(np.searchsorted(t[order], np.arange(n_terms + 1)), e[order].astype(np.int32), w[order].astype(float), len(vectors), block)
+
+    @classmethod
+    def of(cls, cut: np.ndarray, example: np.ndarray, weight: np.ndarray, n: int, block: int = 64) -> "BlockMaxIndex":
+        """Of postings by term: those of term t are from ``cut[t]`` to ``cut[t + 1]``."""
+        out = cls.__new__(cls)
+        out._fill(cut, example, weight, n, block)
+        return out
+
+    def _fill(self, cut, example, weight, n, block, dense: float = 0.05):
+        self.cut, self.example, self.weight = cut, example, weight
+        n_terms = len(cut) - 1
+        self.n, self.block = n, block
+        self.common = np.flatnonzero(np.diff(self.cut) > max(dense * n, 64))
+        self.column = np.full(n_terms, -1, np.int32)
+        self.column[self.common] = np.arange(len(self.common))
+        self._matrix = None
+
+    def matrix(self) -> np.ndarray:
+        """Common terms x examples; made where it is used, so that it is not sent along."""
+        if self._matrix is None:
+            m = np.zeros((len(self.common), self.n), np.float32)
+            for c, t in enumerate(self.common):
+                at = slice(self.cut[t], self.cut[t + 1])
+                m[c, self.example[at]] = self.weight[at]
+            self._matrix = m
+        return self._matrix
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_matrix": None}
+
+    def nearest_all(self, query: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int) -> list[list[tuple[int, float]]]:
+        """For each of ``n`` queries (query number, term, weight, by query) its (example, cosine), best first; ties to the
+        smaller example number; cosine above 0 only."""
+        if not self.n:
+            return [[] for _ in range(n)]
+        column = self.column[term]
+        wide = column >= 0
+        q = np.zeros((n, len(self.common)))
+        q[query[wide], column[wide]] = weight[wide]
+        scores = q.astype(np.float32) @ self.matrix()
+        query, term, weight = query[~wide], term[~wide], weight[~wide]
+        first = np.searchsorted(query, np.arange(n + 1))
+        lo, hi = self.cut[term], self.cut[term + 1]
+        out = []
+        for i in range(n):
+            rest, at = np.zeros(self.n), range(first[i], first[i + 1])
+            if len(at):
+                size = hi[at.start:at.stop] - lo[at.start:at.stop]
+                w = np.concatenate([self.weight[lo[j]:hi[j]] for j in at]) * np.repeat(weight[at.start:at.stop], size)
+                rest = np.bincount(np.concatenate([self.example[lo[j]:hi[j]] for j in at]), w, self.n)
+            out.append(self._best(scores[i] + rest, q[i], rest, k))
+        return out
+
+    def _best(self, score: np.ndarray, q: np.ndarray, rest: np.ndarray, k: int) -> list[tuple[int, float]]:
+        most = np.maximum.reduceat(score, np.arange(0, self.n, self.block))
+        least = np.partition(most, len(most) - k)[len(most) - k] if len(most) > k else 0.0
+        hit = np.flatnonzero((score > 0) & (score >= least - self.MARGIN))
+        if len(hit) > 4 * k:
+            own = score[hit]
+            hit = hit[own >= np.partition(own, len(own) - k)[len(own) - k] - self.MARGIN]
+        on = np.flatnonzero(q)
+        exact = rest[hit] + q[on] @ self.matrix()[np.ix_(on, hit)].astype(float)
+        return [(e, -s) for s, e in sorted((-round(float(s), 12), int(e)) for s, e in zip(exact, hit))[:k]]
 
     def nearest(self, query: dict[int, float], k: int) -> list[tuple[int, float]]:
-        """(example, cosine), best first; ties to the smaller example number; cosine above 0 only."""
-        terms = [(t, w) for t, w in sorted(query.items()) if t in self.postings]
-        if not terms:
-            return []
-        bound = sum(w * self.maxima[t] for t, w in terms)
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) == k and bound[b] < -best[-1][0] - 1e-12):
-                break
-            score = np.zeros(self.block)
-            for t, w in terms:
-                ex, ws, cut = self.postings[t]
-                lo, hi = cut[b], cut[b + 1]
-                score[ex[lo:hi] - b * self.block] += w * ws[lo:hi]
-            hit = np.flatnonzero(score > 0)
-            best = sorted(best + [(-round(float(score[i]), 12), int(b * self.block + i)) for i in hit])[:k]
-        return [(e, -s) for s, e in best]
+        """``nearest_all`` of one query."""
+        terms = sorted(query)
+        return self.nearest_all(np.zeros(len(terms), np.int64), np.array(terms, np.int64),
+                                np.array([query[t] for t in terms], float), 1, k)[0]
 
 
 class Model:
-    """Vocabulary, idf, index and votes; what tasks receive by broadcast (bounded by the parameters)."""
+    """Term weights, index and votes; what tasks receive by broadcast (bounded by the parameters and the examples)."""
 
-    def __init__(self, vocabulary: list[str], idf: np.ndarray, examples: list[tuple[int, float, dict[bytes, int]]],
-                 k: int, prior_weight: float, eps: float = 0.05):
-        self.number = {t.encode(): i for i, t in enumerate(vocabulary)}
-        self.vocabulary, self.idf = frozenset(self.number), idf
+    def __init__(self, keys: np.ndarray, weight: np.ndarray, rare: float, number: np.ndarray, ids: np.ndarray, labels: np.ndarray,
+                 index: BlockMaxIndex, k: int, prior_weight: float, eps: float = 0.05):
+        # known terms in order, their weights, and their numbers in the index (-1: in no example)
+        self.keys, self.weight, self.rare, self.number = keys, weight, rare, number
+        self.ids, self.labels, self.index = ids, labels, index
         self.k, self.prior_weight, self.eps = k, prior_weight, eps
-        with_terms = [x for x in examples if x[2]]
-        without = [x[1] for x in examples if not x[2]]
-        self.rate = (sum(without) + 0.0) / (len(without) + 1)
-        self.ids = [x[0] for x in with_terms]
-        self.labels = [x[1] for x in with_terms]
-        self.index = BlockMaxIndex([self.vector(x[2]) for x in with_terms], len(vocabulary))
-        self.seen: dict = {}
-
-    def vector(self, counts: dict[bytes, int]) -> dict[int, float]:
-        v = {self.number[t]: (1 + np.log(c)) * self.idf[self.number[t]] for t, c in counts.items()}
-        norm = np.sqrt(sum(w * w for w in v.values()))
-        return {t: w / norm for t, w in v.items()}
-
-    def counts(self, text: bytes) -> dict[bytes, int]:
-        words = terms_of(text)
-        return {t: words.count(t) for t in self.vocabulary.intersection(words)}
-
-    def score(self, text: bytes) -> tuple[float, list[tuple[int, float]]]:
-        found = self.counts(text)
-        if not found:
-            return self.rate, []
-        key = tuple(sorted(found.items()))
-        if key not in self.seen:
-            if len(self.seen) > 50_000:
-                self.seen.clear()
-            near = self.index.nearest(self.vector(found), self.k)
-            weights = [1 / (1 - c + self.eps) for _, c in near]
-            votes = sum(w * self.labels[e] for (e, _), w in zip(near, weights))
-            # prior_weight votes at cosine 0
-            pull = self.prior_weight / (1 + self.eps)
-            self.seen[key] = ((votes + pull * self.rate) / (sum(weights) + pull), [(self.ids[e], c) for e, c in near[:3]])
-        return self.seen[key]
+        self.rate = float(labels.sum()) / (len(labels) + 1)
+
+    def score_all(self, texts: list[bytes], group: int = 64) -> list[tuple[float, list[tuple[int, float]]]]:
+        doc, term, tf = terms_of(texts)
+        at = np.minimum(np.searchsorted(self.keys, term), max(len(self.keys) - 1, 0))
+        hit = self.keys[at] == term if len(self.keys) else np.zeros(len(term), bool)
+        w = 1 + np.log(tf)
+        w[hit] *= self.weight[at[hit]]
+        w[~hit] *= self.rare
+        w /= np.sqrt(np.bincount(doc, w * w, len(texts)))[doc]
+        number = np.full(len(term), -1, np.int64)
+        number[hit] = self.number[at[hit]]
+        doc, w, number = doc[number >= 0], w[number >= 0], number[number >= 0]
+        out = []
+        for i in range(0, len(texts), group):
+            n = min(group, len(texts) - i)
+            lo, hi = np.searchsorted(doc, (i, i + n))
+            for near in self.index.nearest_all(doc[lo:hi] - i, number[lo:hi], w[lo:hi], n, self.k):
+                weights = [1 / (max(1 - c, 0) + self.eps) for _, c in near]
+                votes = sum(v * self.labels[e] for (e, _), v in zip(near, weights))
+                # prior_weight votes at cosine 0
+                pull = self.prior_weight / (1 + self.eps)
+                out.append((float((votes + pull * self.rate) / (sum(weights) + pull)), [(int(self.ids[e]), c) for e, c in near[:3]]))
+        return out
 
 
 def held_out(id_col: Column, folds: int, fold: int) -> Column:
@@ -148,7 +203,7 @@ def held_out(id_col: Column, folds: int, fold: int) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, folds: int, fold: int, max_examples: int,
-        max_terms: int, min_support: float, min_lift: float, k: int, prior_weight: float) -> Model:
+        idf_words: int, lift_prior: float, k: int, prior_weight: float, slice_bytes: int) -> Model:
     spark = docs.sparkSession
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
              .where(~held_out(F.col("doc_id"), folds, fold)).groupBy("doc_id")
@@ -156,43 +211,78 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, folds: i
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples).collect()
     ids = spark.createDataFrame([(r["doc_id"], r["label"]) for r in chosen], "doc_id long, label double")
     text = text_or_empty(F.col(text_col))
-    sample = materialize(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-        .join(F.broadcast(ids), "doc_id").groupBy(F.md5("text").alias("md5"))
-        .agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"), F.avg("label").alias("label")), "toxic-sample")
-    totals = sample.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
-    n_toxic, n_clean = float(totals[0] or 0), float(totals[1] or 0)
-    counts = (sample.select("text", "label").mapInArrow(term_counter, "term string, toxic double, clean double")
-              .groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")))
-
-    def part(observed: Column, expected: Column) -> Column:
-        return F.when(observed > 0, observed * F.log(observed / expected)).otherwise(0.0)
-
-    both = F.col("t") + F.col("c")
-    share = n_toxic / max(n_toxic + n_clean, 1)
-    g2 = 2 * (part(F.col("t"), both * share) + part(F.col("c"), both * (1 - share)))
-    lift = (F.col("t") + 0.5) / (n_toxic + 1) / ((F.col("c") + 0.5) / (n_clean + 1))
-    vocabulary = (counts.withColumn("g2", g2).where((F.col("t") >= max(5.0, min_support * n_toxic)) & (lift >= min_lift))
-                  .orderBy(F.desc("g2"), "term").limit(max_terms).collect()) if n_toxic and n_clean else []
-    terms = [r["term"] for r in vocabulary]
-    idf = np.array([np.log(1 + (n_toxic + n_clean) / (r["t"] + r["c"])) for r in vocabulary])
-    known_terms = frozenset(t.encode() for t in terms)
+    sample = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+              .join(F.broadcast(ids), "doc_id").groupBy(F.md5("text").alias("md5"))
+              .agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"), F.avg("label").alias("label")))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for t in utf8(batch, "text"):
-                words = terms_of(t)
-                out.append([{"term": w.decode(), "n": words.count(w)} for w in sorted(known_terms.intersection(words))])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), batch.column("md5"),
-                 pa.array(out, pa.list_(pa.struct([("term", pa.string()), ("n", pa.int64())])))],
-                names=["doc_id", "label", "md5", "terms"])
-
-    rows = sample.mapInArrow(vectors, "doc_id long, label double, md5 string, terms array<struct<term string, n long>>")
-    examples = [(r["doc_id"], r["label"], {x["term"].encode(): x["n"] for x in r["terms"]})
-                for r in sorted(rows.collect(), key=lambda r: r["md5"])]  # max_examples rows of max_terms at most
-    return Model(terms, idf, examples, k, prior_weight)
+            for part in byte_slices(batch, "text", slice_bytes):
+                doc, term, tf = terms_of(utf8(part, "text"))
+                cuts = pa.array(np.searchsorted(doc, np.arange(part.num_rows + 1)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("label"), part.column("md5"),
+                     pa.ListArray.from_arrays(cuts, pa.array(term.view(np.int64))),
+                     pa.ListArray.from_arrays(cuts, pa.array((1 + np.log(tf)).astype(np.float32)))], names=["doc_id", "label", "md5", "terms", "tf"])
+
+    rows = sample.mapInArrow(vectors, "doc_id long, label double, md5 string, terms array<long>, tf array<float>").toArrow()  # max_examples rows at most
+    postings = _postings(rows)
+    del rows
+
+    # document frequencies over all documents; those of the commoner words go along, the others saturate
+    n_docs = docs.count()
+    pairs = (docs.select(text.alias("text")).mapInArrow(frequency_counter(slice_bytes), "terms array<long>, counts array<long>")
+             .select(F.explode(F.arrays_zip("terms", "counts")).alias("z")))
+    frequency = materialize(pairs.groupBy(F.col("z.terms").alias("term")).agg(F.sum("z.counts").alias("df")), "toxic-df")
+    reached = frequency.agg(*[F.count_if(F.col("df") >= (1 << i)).alias(str(i)) for i in range(48)]).first()
+    least = 1 << next(i for i in range(48) if reached[i] <= idf_words or i == 47)
+    common = frequency.where(F.col("df") >= least).toArrow()
+    discard(frequency)
+    return _model(*postings, common, n_docs, least, lift_prior, k, prior_weight)
+
+
+def _postings(rows: pa.Table):
+    """Ids and labels of the examples, by digest; terms in order, and by term the example, its (1 + log tf), and the cuts.
+    Each array is dropped once used: the driver has to hold all examples' terms."""
+    order = pc.sort_indices(rows["md5"]).to_numpy()
+    ids, labels = rows["doc_id"].to_numpy()[order], rows["label"].to_numpy()[order].astype(float)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+
+    def flat(name: str, dtype) -> np.ndarray:
+        return np.concatenate([np.empty(0, dtype), *[c.flatten().to_numpy() for c in rows[name].chunks]], dtype=dtype)
+
+    term = flat("terms", np.int64).view(np.uint64)
+    order = np.argsort(term)
+    term = term[order]
+    first = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])) if len(term) else np.empty(0, np.int64)
+    vocabulary, cut = term[first], np.append(first, len(term))
+    del term
+    example = np.repeat(rank, pc.list_value_length(rows["terms"]).to_numpy())[order]
+    tf = flat("tf", np.float32)[order]
+    return ids, labels, vocabulary, cut, example, tf
+
+
+def _model(ids, labels, vocabulary, cut, example, tf, common: pa.Table, n_docs: int, least: int, lift_prior: float, k: int,
+           prior_weight: float) -> Model:
+    found, df = common["term"].to_numpy().astype(np.int64).view(np.uint64), common["df"].to_numpy()
+    keys = np.union1d(vocabulary, found)
+    frequency = np.full(len(keys), least, np.float64)
+    frequency[np.searchsorted(keys, found)] = df
+    weight = np.log(1 + n_docs / frequency)
+    number = np.full(len(keys), -1, np.int32)
+    at = np.searchsorted(keys, vocabulary)
+    number[at] = np.arange(len(vocabulary))
+    both = np.diff(cut)
+    toxic = np.add.reduceat(labels[example], cut[:-1]) if len(example) else np.empty(0)
+    share = labels.mean() if len(labels) else 0.0
+    if share > 0:
+        weight[at] *= np.maximum(1, (toxic + lift_prior * share) / (both + lift_prior) / share) ** 2
+    tf *= np.repeat(weight[at].astype(np.float32), both)
+    norm = np.sqrt(np.bincount(example, np.square(tf), len(ids)))
+    tf /= norm.astype(np.float32)[example]
+    index = BlockMaxIndex.of(cut, example, tf, len(ids))
+    return Model(keys, weight, float(np.log(1 + n_docs / least)), number, ids, labels, index, k, prior_weight)
 
 
 def scorer(model, slice_bytes: int):
@@ -200,7 +290,7 @@ def scorer(model, slice_bytes: int):
         m: Model = model.value
         for batch in batches:
             for part in byte_slices(batch, "text", slice_bytes):
-                found = [m.score(t) for t in utf8(part, "text")]
+                found = m.score_all(utf8(part, "text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([f[0] for f in found], pa.float64()),
                      pa.array([[{"doc_id": i, "cosine": c} for i, c in f[1]] for f in found],
@@ -212,13 +302,12 @@ def scorer(model, slice_bytes: int):
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5,
-             fold: int = 0, max_examples: int = 20_000, max_terms: int = 256, min_support: float = 0.05,
-             min_lift: float = 4.0, k: int = 16, prior_weight: float = 0.5, slice_bytes: int = 1 << 20,
-             carry: bool = False) -> DataFrame:
+             fold: int = 0, max_examples: int = 20_000, idf_words: int = 1 << 20, lift_prior: float = 5.0,
+             k: int = 16, prior_weight: float = 0.5, slice_bytes: int = 1 << 20, carry: bool = False) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence array<struct<doc_id, cosine>> (and ``__row`` with ``carry``)."""
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(fit(docs, labels, id_col, text_col, folds, fold, max_examples, max_terms,
-                                             min_support, min_lift, k, prior_weight))
+    model = spark.sparkContext.broadcast(fit(docs, labels, id_col, text_col, folds, fold, max_examples, idf_words,
+                                             lift_prior, k, prior_weight, slice_bytes))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(F.col(text_col)).alias("text"),
                        *([row] if carry else []))

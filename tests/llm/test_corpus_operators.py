@@ -288,6 +288,43 @@ def test_toxicity(spark, odd, empty, labels):
     assert held and all(r["predicted"] == int(r["doc_id"] % 4 == 0) for r in held)
 
 
+def test_toxicity_uses_every_term(spark):
+    """Toxic words that are rare among the toxic examples count, and evidence is the exact cosine over all words."""
+    from strata.llm.toxicity import held_out, toxicity
+    rng = np.random.default_rng(7)
+    kinds = [f"slur{c}" for c in "abcdefghijklmnopqrstuvwxy"]
+    texts = {}
+    for i in range(1500):
+        words = [f"w{chr(97 + a)}{chr(97 + b)}" for a, b in rng.integers(0, 20, (30, 2))]
+        if i % 5 == 0:
+            words[3] = words[17] = kinds[i // 5 % len(kinds)]
+        texts[i] = " ".join(words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    marks = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in texts], "doc_id long, quality int, toxic int")
+    ids = docs.select("doc_id", held_out(docs["doc_id"], 5, 0).alias("h")).collect()
+    known = {r["doc_id"] for r in ids if not r["h"]}
+    got = toxicity(docs, marks).collect()
+    held = [r for r in got if r["held_out"]]
+    assert sum(r["predicted"] for r in held if r["doc_id"] % 5 == 0) >= 0.9 * sum(r["doc_id"] % 5 == 0 for r in held) > 0
+    assert not any(r["predicted"] for r in held if r["doc_id"] % 5)
+    # brute force
+    words = {i: Counter(t.split()) for i, t in texts.items()}
+    df, used, toxic = Counter(), Counter(), Counter()
+    for i, c in words.items():
+        df.update(set(c))
+        used.update(set(c) if i in known else ())
+        toxic.update(set(c) if i in known and i % 5 == 0 else ())
+    share = sum(i % 5 == 0 for i in known) / len(known)
+    lift = lambda t: max(1, (toxic[t] + 5 * share) / (used[t] + 5) / share) ** 2 if used[t] else 1
+    vector = lambda c: {t: (1 + math.log(n)) * math.log(1 + len(texts) / df[t]) * lift(t) for t, n in c.items()}
+    vectors = {i: vector(c) for i, c in words.items()}
+    norm = {i: math.sqrt(sum(w * w for w in v.values())) for i, v in vectors.items()}
+    for r in got[:60]:
+        q = vectors[r["doc_id"]]
+        want = sorted((sum(w * vectors[e].get(t, 0) for t, w in q.items()) / norm[e] / norm[r["doc_id"]] for e in known), reverse=True)[:3]
+        assert np.allclose([x["cosine"] for x in r["evidence"]], want, atol=1e-6)
+
+
 def test_quality_base_counts(odd, empty, labels):
     from strata.llm.quality import quality
     got = Counter((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"])
