@@ -5,12 +5,13 @@ one shingle).  Documents with Jaccard similarity of at least ``percent`` hundred
 class is what links connect; the smallest id stays.
 
 Method:
-1. Every set becomes a sketch: ``COORDS`` minwise tokens (the shingle that is least under an own hash
+1. Every set becomes a sketch: eight minwise tokens a tree (the shingle that is least under an own hash
    function), and ``BYTES`` minwise values cut to a byte.  Equal sets are one vertex from here on.
 2. ``trees`` independent trees branch the vertices by selected minwise tokens: a node's vertices
    go to one child for each of two coordinates and each token found there.  Two sets with similarity J meet
-   in a given child with probability J, so a pair at 0.85 survives a level with 1 - (1 - 0.85 s)**2 for s
-   the next level's, above 0.96 for any depth, and four trees miss it with less than 1e-5.
+   in a given child with probability J.  A level's two coordinates are the same in all branches, so a pair
+   survives a level with 1 - (1 - J)**2 and meets four levels deep with the fourth power of that: at 0.85 four trees
+   miss it with 6e-5, at 0.80 four trees with 5e-4 and eight with 3e-7.
 3. Nodes of at most ``limit`` vertices are compared exhaustively by their byte sketches; larger ones
    branch on.  What is still larger after the last level is compared block by block, so nothing is dropped.
 4. A node passes on a spanning forest of its likely pairs, best first.  These are confirmed on the full
@@ -38,22 +39,26 @@ from pyspark.sql import functions as F
 from strata.llm.common import byte_slices, discard, materialize, text_or_empty, utf8
 from strata.llm.components import components
 
-COORDS, BYTES = 32, 512
+TREES, BYTES = 8, 512  # the most trees, and the byte values
+LEVELS = 4  # two coordinates a level and tree
 _RNG = np.random.default_rng(0xC0FFEE)
-COORD_MUL = _RNG.integers(0, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-COORD_XOR = _RNG.integers(0, 1 << 63, COORDS, dtype=np.uint64)
+COORD_MUL = _RNG.integers(0, 1 << 63, 32, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+COORD_XOR = _RNG.integers(0, 1 << 63, 32, dtype=np.uint64)
 BYTE_MUL = (_RNG.integers(0, 1 << 31, BYTES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))
 BYTE_XOR = _RNG.integers(0, 1 << 32, BYTES, dtype=np.uint32)
-LEVELS = 4  # two coordinates a level and tree: 4 trees x 4 levels x 2 = COORDS
+_MORE = TREES * LEVELS * 2 - 32
+COORD_MUL = np.concatenate([COORD_MUL, _RNG.integers(0, 1 << 63, _MORE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)])
+COORD_XOR = np.concatenate([COORD_XOR, _RNG.integers(0, 1 << 63, _MORE, dtype=np.uint64)])
 
 
-def sketch(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sketch(s: np.ndarray, trees: int = 4) -> tuple[np.ndarray, np.ndarray]:
     """Minwise tokens (int64) and minwise bytes of a non-empty set of 64-bit shingles."""
     low = (s >> np.uint64(32)).astype(np.uint32)
-    best = np.full(COORDS, np.iinfo(np.uint64).max, np.uint64)
+    coords = trees * LEVELS * 2
+    best = np.full(coords, np.iinfo(np.uint64).max, np.uint64)
     bytes_ = np.full(BYTES, np.iinfo(np.uint32).max, np.uint32)
     for i in range(0, len(s), 1024):
-        part = (s[i:i + 1024, None] ^ COORD_XOR) * COORD_MUL
+        part = (s[i:i + 1024, None] ^ COORD_XOR[:coords]) * COORD_MUL[:coords]
         np.minimum(best, part.min(0), out=best)
         few = (low[i:i + 1024, None] ^ BYTE_XOR) * BYTE_MUL
         np.minimum(bytes_, few.min(0), out=bytes_)
@@ -62,7 +67,7 @@ def sketch(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return best.view(np.int64), cut
 
 
-def sketcher(words: int, slice_bytes: int):
+def sketcher(words: int, slice_bytes: int, trees: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import blake2b
 
@@ -70,7 +75,7 @@ def sketcher(words: int, slice_bytes: int):
         for batch in batches:
             for part in byte_slices(batch, "text", slice_bytes):
                 sets = Words(utf8(part, "text"), lower=True).shingles(words)
-                made = [sketch(s) if len(s) else None for s in sets]
+                made = [sketch(s, trees) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("text_md5"), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets], pa.string()),
@@ -205,10 +210,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  trees: int = 4, limit: int = 2048, margin: float = 0.06, slice_bytes: int = 1 << 20,
                  log2_bits: int = 26) -> DataFrame:
     """One row per document row: doc_id, text_md5, n_shingles, component_id, kept."""
+    if not 1 <= trees <= TREES:
+        raise ValueError(f"trees: 1 to {TREES}")
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        F.md5(text_or_empty(F.col(text_col))).alias("text_md5"))
-    sketches = materialize(rows.mapInArrow(sketcher(words, slice_bytes),
+    sketches = materialize(rows.mapInArrow(sketcher(words, slice_bytes, trees),
                                            "doc_id long, text_md5 string, n long, digest string, coords array<long>, bytes binary"), "near-sketch")
     linkable = F.col("digest").isNotNull() & F.col("doc_id").isNotNull()
     vertices = materialize(

@@ -187,6 +187,32 @@ def test_near_dedup_dense_group(spark):
         assert {r["doc_id"]: r["component_id"] for r in near_classes(docs, limit=limit).collect()} == want
 
 
+def test_near_dedup_stage_links_from_80_percent(spark, tmp_path):
+    """Copies with two scattered words changed in 120 (0.84), and a dense group against brute force at 80."""
+    from strata.llm.near_dedup import near_classes
+    from strata.llm.stages import near_dedup
+    rows = []
+    for d in range(60):
+        words = [f"w{d}x{j}" for j in range(120)]
+        rows.append((2 * d, " ".join(words)))
+        words[30] = words[80] = f"changed{d}"
+        rows.append((2 * d + 1, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r["doc_id"] for r in near_dedup(spark, docs, str(tmp_path)).collect()} == {2 * d for d in range(60)}
+    rng = np.random.default_rng(4)
+    rows = []
+    for d in range(90):
+        words = [f"w{i}" for i in range(150)]
+        for j in rng.choice(150, rng.integers(0, 6), replace=False):
+            words[j] = f"c{d}x{j}"
+        rows.append((d, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = {rows[n][0]: comp for n, (_, comp) in _components(rows, 80).items()}
+    got = near_classes(docs, percent=80, trees=8, margin=0.09, limit=16)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
+    assert {r["doc_id"] for r in near_dedup(spark, docs, str(tmp_path)).collect()} == set(want.values())
+
+
 def test_components(spark):
     from strata.llm.components import components
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 150), (7, 300)], "a long, b long")
