@@ -263,6 +263,28 @@ def test_lm_gradients_and_base_scores(odd, empty):
     assert LM.score_texts(empty, path()).count() == 0
 
 
+def test_lm_trains_on_every_window():
+    """Over the rounds every window of every training text is taken once."""
+    import inspect
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from strata.llm import lm_score as LM
+    defaults = {k: v.default for k, v in inspect.signature(LM.score_texts).parameters.items()}
+    every, rounds = defaults["train_every"], defaults["rounds"]
+    assert rounds % every == 0
+    rng = np.random.default_rng(2)
+    ids = [rng.integers(0, 6, n).astype(np.int32).tobytes() for n in (1, 5, 9, 40, 200)]
+    batch = pa.RecordBatch.from_arrays([pa.array([-7, 3, 11, 2**62, 5], pa.int64()), pa.array(ids, pa.binary())], names=["th", "ids"])
+    shared = SimpleNamespace(value={"classes": 6, "dim": 4, "window": 8, "stride": 6, "dtype": np.dtype(np.int32),
+                                    "class_of": np.arange(6), "flat": LM.Attention(6, 4, 8).flat()})
+    weights = [sum(b.column("weight")[0].as_py() for b in LM.trainer(shared, every, t, 1 << 20, 64, 0.01)([batch])) for t in range(rounds)]
+    assert sum(weights) == rounds // every * (1 + 5 + 9 + 40 + 200)
+    with pytest.raises(ValueError):
+        LM.score_texts(None, "", train_every=8, rounds=2)
+
+
 def test_packing(odd, empty):
     from strata.llm.packing import pack
     got = pack(odd, path(), length=64).collect()
