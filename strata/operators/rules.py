@@ -29,7 +29,7 @@ SCORE_COL = "_dq_score"
 FAILED_COL = "_dq_failed"
 
 # Whitelist entries are inlined into the rule expression up to this many
-# per table; more exact-value entries go through an equi-join instead.
+# per table; more go through joins instead, with the same results.
 MAX_INLINE_WHITELIST = 1000
 
 
@@ -149,27 +149,52 @@ def _whitelisted(rule: Rule, entries: list[tuple[str, str, str]]) -> Column | No
     return m
 
 
-# Exact-value whitelist entries up to this many per rule are broadcast (their
-# checked size); beyond it the join shuffles.
+# Whitelist entries up to this many per rule are broadcast (their checked
+# size); beyond it the joins shuffle.
 MAX_BROADCAST_WHITELIST = 1_000_000
 
 
+def _regex_flags(batches):
+    """(pattern, is_regex) as ``_pattern_match`` tells: no ``%`` and it compiles."""
+    import pyarrow as pa
+    for batch in batches:
+        flags = []
+        for p in batch.column(0).to_pylist():
+            try:
+                flags.append("%" not in p and re.compile(p) is not None)
+            except re.error:
+                flags.append(False)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(flags, pa.bool_())], names=["_p", "_re"])
+
+
 def _whitelist_join(df: DataFrame, rules: list[Rule], whitelist: DataFrame, table: str, as_of) -> DataFrame:
-    """Large whitelists: exact values by equi-join, one marker column per
-    rule; each rule's value list is counted and broadcast only when it holds
-    at most ``MAX_BROADCAST_WHITELIST`` entries."""
+    """Large whitelists, with the results of the inlined entries: a rule's
+    distinct failing values are matched with the table of its entries (equal by
+    equi-join, what is left with LIKE or regex) and marked back by equi-join, one
+    marker column per rule."""
     active = whitelist.filter(
         (F.col("table_name") == table) & F.coalesce(F.col("active"), F.lit(True))
         & (F.col("expires_at").isNull() | (F.col("expires_at") > F.lit(as_of).cast("timestamp"))))
+    base = df
     for r in rules:
         if not r.field:
             continue
-        vals = (active.filter((F.col("field_name") == r.field) & (F.col("rule_type") == r.type))
-                .select(F.col("pattern").alias(f"_wl_{r.key}")).distinct())
-        if vals.limit(MAX_BROADCAST_WHITELIST + 1).count() <= MAX_BROADCAST_WHITELIST:
-            vals = F.broadcast(vals)
-        df = df.join(vals, F.col(r.field).cast("string") == F.col(f"_wl_{r.key}"), "left")
-        df = df.withColumn(f"_wl_{r.key}", F.col(f"_wl_{r.key}").isNotNull())
+        mark = f"_wl_{r.key}"
+        pats = (active.filter((F.col("field_name") == r.field) & (F.col("rule_type") == r.type) & F.col("pattern").isNotNull())
+                .select(F.col("pattern").alias("_p")).distinct())
+        n = pats.limit(MAX_BROADCAST_WHITELIST + 1).count()
+        if n == 0:
+            df = df.withColumn(mark, F.lit(False))
+            continue
+        small = F.broadcast if n <= MAX_BROADCAST_WHITELIST else (lambda x: x)
+        value = F.col(r.field).cast("string")
+        failing = base.filter(~r.expr()).select(value.alias(mark)).filter(F.col(mark).isNotNull()).distinct()
+        equal = failing.join(small(pats), F.col(mark) == F.col("_p"), "left_semi")
+        rest = failing.join(small(pats), F.col(mark) == F.col("_p"), "left_anti")
+        flagged = pats.mapInArrow(_regex_flags, "_p string, _re boolean")
+        like = rest.join(small(flagged), F.expr(f"CASE WHEN instr(_p, '%') > 0 THEN `{mark}` LIKE _p WHEN _re THEN `{mark}` RLIKE _p ELSE false END"))
+        df = df.join(equal.unionByName(like.select(mark)).distinct(), value == F.col(mark), "left")
+        df = df.withColumn(mark, F.col(mark).isNotNull())
     return df
 
 

@@ -98,6 +98,21 @@ def test_whitelist_like_pattern(spark):
     assert got == {"1": True, "2": False}
 
 
+def test_whitelist_patterns_beyond_the_inline_limit(spark):
+    """1,001 entries and more: LIKE and regex entries count as they do inline."""
+    rows = [("1", "x+y@z"), ("2", "nope"), ("3", "value7"), ("4", "my id-42 x"), ("5", None), ("6", "ok@x.de"), ("7", "[odd"), ("2", "nope")]
+    df = spark.createDataFrame(rows, "id string, email string")
+    rules = R.compile_rules([{"field": "email", "type": "email", "required": True}, {"field": "id", "type": "not_null"}])
+    now = dt.datetime(2024, 1, 1)
+    few = ["%+%@%", "id-[0-9]+", "[odd", "value7"]
+    entry = lambda n, p: (f"w{n}", "t", "email", "email", p, None, True, None, now, "x")
+    small = spark.createDataFrame([entry(n, p) for n, p in enumerate(few)], DQ_WHITELIST)
+    large = spark.createDataFrame([entry(n, p) for n, p in enumerate(few + [f"other{n}!" for n in range(1000)])], DQ_WHITELIST)
+    got = [sorted((r.id, r._email_valid, r._is_valid) for r in R.evaluate(df, rules, wl, "t", now).collect()) for wl in (small, large)]
+    assert got[0] == got[1] and len(got[1]) == len(rows)
+    assert {i for i, ok, _ in got[1] if ok} >= {"1", "3", "4", "6", "7"} and ("2", False, False) in got[1]
+
+
 def test_rules_from_table(spark):
     now = dt.datetime(2024, 1, 1)
     t = spark.createDataFrame([
