@@ -136,14 +136,22 @@ def run_dq(spark: SparkSession, bronze: DataFrame, rule: dict, source_table: str
 
 
 def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: str, target: str,
-             metrics_table: str | None, run: Run) -> dict:
-    """Silver -> gold.  Reads only the current rows, writes only this run's
+             metrics_table: str | None, run: Run, quarantine_table: str | None = None) -> dict:
+    """Silver -> gold.  Rows without a business key go to quarantine as
+    ``key_null`` (before anything is published; a failed write fails the run,
+    as they would be nowhere else) and count as failed.  Reads only the current rows, writes only this run's
     rows (current rows it leaves + rows it closes), checks them, then
     publishes.  Duplicate business keys in the snapshot fail the run."""
     start = datetime.now(timezone.utc).replace(tzinfo=None)
     spec = scd2.ScdSpec.from_rule(rule)
-    if scd2.duplicate_keys(silver, spec).limit(1).count():
+    keyed = silver.filter(F.col(spec.business_key).isNotNull())
+    if scd2.duplicate_keys(keyed, spec).limit(1).count():
         raise ValueError(f"{source_table}: duplicate business keys; deduplicate first")
+    if quarantine_table and _feature(run, "quarantine"):
+        no_key = R.Rule("not_null", spec.business_key, "key_null", "key_null", "business key is null")
+        io.append(quarantine.build(scd2.null_keys(silver, spec).withColumn(no_key.flag, F.lit(False)), [no_key], source_table,
+                                   run.run_id, run.run_ts), quarantine_table, part=f"{run.run_id}__scd2__{source_table}",
+                  run_date=run.run_ts)
     meta = io.dimension_meta(spark, target)
     if meta is None:
         rows, max_sk = scd2.initial_load(silver, spec, run.run_ts), 0
@@ -173,16 +181,16 @@ def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: s
         st = SimpleNamespace(updated=g.c, inserted=g.o - g.c, deleted=0)
     mx = written.agg(F.max(spec.surrogate_key)).first()[0]
     io.publish_dimension_run(spark, target, run.run_id, max(max_sk, mx or 0), spec.is_current)
-    read = silver.count()
+    read, no_keys = silver.agg(F.count(F.lit(1)), F.count_if(F.col(spec.business_key).isNull())).first()
     c = {"scd_inserts": st.inserted, "scd_updates": st.updated}
-    c["scd_no_changes"] = read - c["scd_inserts"] - c["scd_updates"]
+    c["scd_no_changes"] = read - no_keys - c["scd_inserts"] - c["scd_updates"]
     end = datetime.now(timezone.utc).replace(tzinfo=None)
     if metrics_table and _feature(run, "metrics"):
         io.append(monitor.metrics_row(spark, run.run_id, f"silver_to_gold_{source_table}", "silver_to_gold",
-                                      source_table, target, read, c["scd_inserts"] + c["scd_updates"], 0, start,
+                                      source_table, target, read, c["scd_inserts"] + c["scd_updates"], no_keys, start,
                                       end, c["scd_inserts"], c["scd_updates"], c["scd_no_changes"]),
                   metrics_table, part=f"{run.run_id}__silver_to_gold__{source_table}", run_date=start)
-    return dict(c, records_read=read, scd_deleted=st.deleted)
+    return dict(c, records_read=read, records_failed=no_keys, scd_deleted=st.deleted)
 
 
 def run_config(spark: SparkSession, configs: list[ConfigEntry], resolve_source, resolve_target,
@@ -235,7 +243,7 @@ def _run_configs(spark, configs, resolve_source, resolve_target, run, quarantine
             if e.rule_type == "dq_check":
                 out = run_dq(spark, src, e.rule, e.source_table, tgt, quarantine_table, metrics_table, run)
             elif e.rule_type == "scd2":
-                out = run_scd2(spark, src, e.rule, e.source_table, tgt, metrics_table, run)
+                out = run_scd2(spark, src, e.rule, e.source_table, tgt, metrics_table, run, quarantine_table)
             elif e.rule_type == "simple_copy":
                 df = src.select(*e.rule["columns"])
                 if e.rule.get("write_mode", "overwrite") == "append":

@@ -274,3 +274,22 @@ def test_run_scd2_close_missing_keys(spark, tmpdir_path):
     gone = silver.count() - fewer.count()
     assert out["scd_deleted"] == gone and out["scd_updates"] == 0 and out["scd_inserts"] == 0
     assert io.read_dimension(spark, g).filter("is_current").count() == fewer.count()
+
+
+def test_run_scd2_quarantines_null_keys(spark, tmpdir_path):
+    """A third of the snapshot has no business key: these rows are in quarantine and no part of the counts."""
+    scd = C.seed_rule("contact_silver_gold_scd2")
+    silver = jobs.dq_frames(D.bronze_contact(spark, SF_SMALL), _rule(), "contact", jobs.Run("a", dt.datetime(2024, 1, 1)),
+                            silver_columns=C.CONTACT_SILVER_COLUMNS).silver
+    holes = silver.withColumn("contactid", F.when(F.col("contactid").cast("int") % 3 != 0, F.col("contactid")))
+    n, lost = holes.count(), holes.filter("contactid IS NULL").count()
+    assert lost > 1
+    g, q_t, m_t = (os.path.join(tmpdir_path, x) for x in ("dim", "quarantine_records", "pipeline_metrics"))
+    for day in (1, 2):
+        run = jobs.Run(f"2024010{day}_000000", dt.datetime(2024, 1, day))
+        out = jobs.run_scd2(spark, holes, scd, "contact", g, m_t, run, q_t)
+        assert out["records_read"] == n and out["records_failed"] == lost
+        assert out["scd_inserts"] + out["scd_no_changes"] == n - lost == io.read_dimension(spark, g).filter("is_current").count()
+        q = spark.read.parquet(q_t).filter(F.col("pipeline_run_id") == run.run_id)
+        assert {(r.error_type, r.error_field, r["count"]) for r in q.groupBy("error_type", "error_field").count().collect()} == {
+            ("key_null", "contactid", lost)}
