@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import ascii_lower, byte_slices, materialize
+from strata.llm.common import ascii_lower, byte_slices, discard, materialize
 
 TERM = r"([^\x00-\x40\x5B-\x60\x7B-\x7F]+)"
 TILE = 256
@@ -132,11 +132,14 @@ def chunk_terms(rows: DataFrame, slice_bytes: int) -> DataFrame:
 
 def kept_terms(rows: DataFrame, joined: DataFrame, min_docs: int, slice_bytes: int) -> DataFrame:
     """(lang, term) of the terms in at least ``min_docs`` documents of the language."""
-    chunks = joined.groupBy("lang", "term", "chunk").agg(F.sum("docs").alias("docs"))
+    chunks = materialize(joined.groupBy("lang", "term", "chunk").agg(F.sum("docs").alias("docs")), "term-chunks", "zstd")
     bounds = chunks.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
     bounds = materialize(bounds.where(F.col("high") >= min_docs), "term-bounds")
     between = bounds.where(F.col("low") < min_docs).select("lang", "term")
-    asked = materialize(joined.select("lang", "term", "chunk").distinct().join(between, ["lang", "term"], "left_semi"), "terms-between")
+    # a chunk in min_docs documents would have decided its terms
+    asked = materialize(chunks.where(F.col("docs") < min_docs).select("lang", "term", "chunk")
+                        .join(between, ["lang", "term"], "left_semi"), "terms-between")
+    discard(chunks)
     listed = rows.mapInArrow(rare_lister(slice_bytes, min_docs), "lang string, chunk string, doc long")
     small = asked.count() <= MAX_SMALL  # a checked size; beyond it Spark joins by shuffle
     found = listed.join(F.broadcast(asked) if small else asked, ["lang", "chunk"])
