@@ -34,7 +34,7 @@ from strata.llm.common import ascii_lower, byte_slices, discard, materialize
 
 TERM = r"([^\x00-\x40\x5B-\x60\x7B-\x7F]+)"
 TILE = 256
-MAX_SMALL = 2_000_000  # rows of (language, chunk) that may be sent to all tasks
+MAX_SMALL = 1_000_000  # rows (language, term, chunk) that may be sent to all tasks
 
 
 def _runs(*columns: np.ndarray) -> np.ndarray:
@@ -46,11 +46,10 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _pairs(part: pa.RecordBatch, keys: list[str]):
-    """Distinct (chunk, document) pairs of a slice, sorted by chunk and then the documents' key columns:
-    (chunk values, chunk code, document, count, key code of every document)."""
-    text = part.column("text")
-    lists = pc.ascii_split_whitespace(text)
+def _pairs(part: pa.RecordBatch, key: str):
+    """Distinct (chunk, document) pairs of a slice, sorted by chunk and then the documents' key column:
+    (chunk values, chunk code, document, count, every document's key)."""
+    lists = pc.ascii_split_whitespace(part.column("text"))
     chunks = pc.list_flatten(lists).dictionary_encode()
     doc = pc.list_parent_indices(lists).to_numpy()
     code = chunks.indices.to_numpy().astype(np.int64)
@@ -59,93 +58,103 @@ def _pairs(part: pa.RecordBatch, keys: list[str]):
     if empty >= 0:
         doc, code = doc[code != empty], code[code != empty]
     # documents are renumbered by key, so that pairs sorted by (chunk, document) are sorted by (chunk, key)
-    key = np.zeros(part.num_rows, np.int64)
-    for k in keys:
-        col = part.column(k).dictionary_encode()
-        key = key * max(1, len(col.dictionary)) + col.indices.to_numpy()
-    order = np.argsort(key, kind="stable")
+    keys = part.column(key).to_numpy()
+    order = np.argsort(keys, kind="stable")
     rank = np.empty_like(order)
     rank[order] = np.arange(len(order))
     pair = np.sort(code * len(order) + rank[doc])
     at = _runs(pair)
     count = np.diff(np.concatenate([at, [len(pair)]]))
     code, doc = np.divmod(pair[at], max(1, len(order)))
-    doc = order[doc]
-    return values, code, doc, count, key
+    return values, code, order[doc], count, keys
 
 
 def chunk_counter(slice_bytes: int):
-    """(lang, source, chunk, n, docs) of every slice of documents."""
+    """(grp, chunk, n, docs) of every slice of documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in byte_slices(batch, "text", slice_bytes):
-                values, code, doc, count, key = _pairs(part, ["lang", "source"])
-                if not len(code):
-                    continue
-                at = _runs(code, key[doc])
-                own = pa.array(doc[at])
-                docs = np.diff(np.concatenate([at, [len(code)]]))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("lang").take(own), part.column("source").take(own), values.take(pa.array(code[at])),
-                     pa.array(np.add.reduceat(count, at)), pa.array(docs)], names=["lang", "source", "chunk", "n", "docs"])
+                values, code, doc, count, grp = _pairs(part, "grp")
+                if len(code):
+                    at = _runs(code, grp[doc])
+                    docs = np.diff(np.concatenate([at, [len(code)]]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(grp[doc[at]]), values.take(pa.array(code[at])), pa.array(np.add.reduceat(count, at)), pa.array(docs)],
+                        names=["grp", "chunk", "n", "docs"])
 
     return run
 
 
 def rare_lister(slice_bytes: int, min_docs: int):
-    """(lang, chunk, doc) of the chunks that fewer than ``min_docs`` of a slice's documents of the language hold;
+    """(language, chunk, doc) of the chunks that fewer than ``min_docs`` of a slice's documents of the language hold;
     ``doc`` numbers the rows of the table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in byte_slices(batch, "text", slice_bytes):
-                values, code, doc, _, key = _pairs(part, ["lang"])
+                values, code, doc, _, language = _pairs(part, "language")
                 if len(code):
-                    at = _runs(code, key[doc])
+                    at = _runs(code, language[doc])
                     docs = np.diff(np.concatenate([at, [len(code)]]))
                     rare = np.repeat(docs < min_docs, docs)
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("lang").take(pa.array(doc[rare])), values.take(pa.array(code[rare])), pa.array(doc[rare] + number)],
-                        names=["lang", "chunk", "doc"])
+                        [pa.array(language[doc[rare]]), values.take(pa.array(code[rare])), pa.array(doc[rare] + number)],
+                        names=["language", "chunk", "doc"])
                 number += part.num_rows
 
     return run
 
 
-def texts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    return docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n)
-                         for c, n in ((text_col, "text"), (lang_col, "lang"), (source_col, "source"))])
+def texts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
+    """(rows, groups): the texts with a number for their language and their group, and the groups' own table.
+
+    The numbers are hashes, which keeps names out of the large shuffles; they are checked to be distinct, and taken
+    with another salt where they are not."""
+    names = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n)
+                          for c, n in ((text_col, "text"), (lang_col, "lang"), (source_col, "source"))])
+    salt = 0
+    while True:
+        rows = names.select("*", F.xxhash64(F.lit(salt), "lang").alias("language"), F.xxhash64(F.lit(salt), "lang", "source").alias("grp"))
+        groups = materialize(rows.select("lang", "source", "language", "grp").distinct(), "groups")
+        n = groups.agg(F.countDistinct("lang"), F.countDistinct("language"), F.count(F.lit(1)), F.countDistinct("grp")).first()
+        if n[0] == n[1] and n[2] == n[3]:
+            return rows, groups
+        salt += 1
 
 
 def chunk_terms(rows: DataFrame, slice_bytes: int) -> DataFrame:
-    """(lang, source, chunk, term, n, docs): the chunk counts with the terms of their chunk, n times the term's number
+    """(grp, chunk, term, n, docs): the chunk counts with the terms of their chunk, n times the term's number
     in the chunk; a chunk is tokenized once."""
-    counts = (rows.mapInArrow(chunk_counter(slice_bytes), "lang string, source string, chunk string, n long, docs long")
-              .groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
-    counts = materialize(counts, "chunk-counts", "zstd")
+    counts = (rows.select("text", "grp").mapInArrow(chunk_counter(slice_bytes), "grp long, chunk string, n long, docs long")
+              .groupBy("grp", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
+    counts = materialize(counts, "chunk-counts")
     terms = (counts.select("chunk").distinct()
              .select("chunk", F.explode(F.regexp_extract_all(ascii_lower(F.col("chunk")), F.lit(TERM), F.lit(1))).alias("term"))
              .groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times")))
-    return counts.join(terms, "chunk").select("lang", "source", "chunk", "term", (F.col("n") * F.col("times")).alias("n"), "docs")
+    joined = counts.join(terms.hint("shuffle_hash"), "chunk").select("grp", "chunk", "term", (F.col("n") * F.col("times")).alias("n"), "docs")
+    joined = materialize(joined, "chunk-terms")
+    discard(counts)
+    return joined
 
 
-def kept_terms(rows: DataFrame, joined: DataFrame, min_docs: int, slice_bytes: int) -> DataFrame:
-    """(lang, term) of the terms in at least ``min_docs`` documents of the language."""
-    chunks = materialize(joined.groupBy("lang", "term", "chunk").agg(F.sum("docs").alias("docs")), "term-chunks", "zstd")
-    bounds = chunks.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
+def kept_terms(rows: DataFrame, groups: DataFrame, joined: DataFrame, min_docs: int, slice_bytes: int) -> DataFrame:
+    """(language, term) of the terms in at least ``min_docs`` documents of the language."""
+    chunks = (joined.join(groups.select("grp", "language"), "grp").groupBy("language", "term", "chunk").agg(F.sum("docs").alias("docs")))
+    chunks = materialize(chunks, "term-chunks")
+    bounds = chunks.groupBy("language", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
     bounds = materialize(bounds.where(F.col("high") >= min_docs), "term-bounds")
-    between = bounds.where(F.col("low") < min_docs).select("lang", "term")
+    between = bounds.where(F.col("low") < min_docs).select("language", "term")
     # a chunk in min_docs documents would have decided its terms
-    asked = materialize(chunks.where(F.col("docs") < min_docs).select("lang", "term", "chunk")
-                        .join(between, ["lang", "term"], "left_semi"), "terms-between")
+    asked = materialize(chunks.where(F.col("docs") < min_docs).select("language", "term", "chunk")
+                        .join(between, ["language", "term"], "left_semi"), "terms-between")
     discard(chunks)
-    listed = rows.mapInArrow(rare_lister(slice_bytes, min_docs), "lang string, chunk string, doc long")
+    listed = rows.select("text", "language").mapInArrow(rare_lister(slice_bytes, min_docs), "language long, chunk string, doc long")
     small = asked.count() <= MAX_SMALL  # a checked size; beyond it Spark joins by shuffle
-    found = listed.join(F.broadcast(asked) if small else asked, ["lang", "chunk"])
-    exact = (found.groupBy("lang", "term", "doc").agg(F.lit(1).alias("one"))
-             .groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs))
-    return bounds.where(F.col("low") >= min_docs).select("lang", "term").unionByName(exact.select("lang", "term"))
+    found = listed.join(F.broadcast(asked) if small else asked, ["language", "chunk"])
+    exact = (found.groupBy("language", "term", "doc").agg(F.lit(1).alias("one"))
+             .groupBy("language", "term").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs))
+    return bounds.where(F.col("low") >= min_docs).select("language", "term").unionByName(exact.select("language", "term"))
 
 
 def _share(count: Column, n: Column, v: Column, scale: int) -> Column:
@@ -193,15 +202,18 @@ def pair_adder(tile: int, most: int = 64):
 def audit(docs: DataFrame, min_docs: int = 10, scale: int = 1_000_000_000, top: int = 10, text_col: str = "text", lang_col: str = "lang",
           source_col: str = "source", slice_bytes: int = 8 << 20) -> DataFrame:
     """lang, source, part (``pair`` or ``term``), item, value, rank."""
-    rows = texts(docs, text_col, lang_col, source_col)
-    joined = materialize(chunk_terms(rows, slice_bytes), "chunk-terms", "zstd")
-    kept = materialize(kept_terms(rows, joined, min_docs, slice_bytes), "kept-terms")
-    counts = materialize(joined.groupBy("lang", "source", "term").agg(F.sum("n").alias("count")).join(kept, ["lang", "term"]), "term-counts")
+    rows, named = texts(docs, text_col, lang_col, source_col)
+    joined = chunk_terms(rows, slice_bytes)
+    kept = materialize(kept_terms(rows, named, joined, min_docs, slice_bytes)
+                       .join(named.select("language", "lang").distinct(), "language").select("lang", "term"), "kept-terms")
+    counts = joined.groupBy("grp", "term").agg(F.sum("n").alias("count")).join(named, "grp").select("lang", "source", "term", "count")
+    counts = materialize(counts.join(kept, ["lang", "term"]), "term-counts")
+    discard(joined)
 
     group_n = counts.groupBy("lang", "source").agg(F.sum("count").alias("n"))
     lang_v = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    groups = (rows.select("lang", "source").distinct().join(group_n, ["lang", "source"], "left").join(lang_v, "lang", "left")
+    groups = (named.join(group_n, ["lang", "source"], "left").join(lang_v, "lang", "left")
               .select("lang", "source", zero(F.col("n")).alias("n"), zero(F.col("v")).alias("v")))
     # sources are numbered within their language
     groups = materialize(groups.withColumn("i", (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("long")), "groups")
