@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import validators as V
+from strata.operators import whitelist as W
 
 VALID_COL = "_is_valid"
 REJECT_COL = "_is_rejected"
@@ -28,10 +29,6 @@ FLAGS_COL = "_dq_flags"
 SCORE_COL = "_dq_score"
 FAILED_COL = "_dq_failed"
 
-# Whitelist entries are inlined into the rule expression up to this many
-# per table; more go through joins instead, with the same results.
-MAX_INLINE_WHITELIST = 1000
-
 
 @dataclass
 class Rule:
@@ -110,94 +107,6 @@ def check_schema(df: DataFrame, rules: list[Rule], extra_required: list[str] = (
     return sorted({c for c in need if c not in have})
 
 
-# --------------------------------------------------------------------------- whitelist
-
-def _whitelist_entries(whitelist: DataFrame, table: str, as_of) -> list[tuple[str, str, str]]:
-    active = whitelist.filter(
-        (F.col("table_name") == table) & F.coalesce(F.col("active"), F.lit(True))
-        & (F.col("expires_at").isNull() | (F.col("expires_at") > F.lit(as_of).cast("timestamp")))
-    ).select("field_name", "rule_type", "pattern")
-    # Bounded read: at most MAX_INLINE_WHITELIST + 1 rows ever reach the driver.
-    rows = active.limit(MAX_INLINE_WHITELIST + 1).collect()
-    if len(rows) > MAX_INLINE_WHITELIST:
-        return None  # caller takes the join path
-    return [(r.field_name, r.rule_type, r.pattern) for r in rows]
-
-
-def _pattern_match(c: Column, pattern: str) -> Column:
-    """Equal, or SQL LIKE when it holds ``%``, or regex when it compiles."""
-    m = c == F.lit(pattern)
-    if "%" in pattern:
-        m = m | c.like(pattern)
-    else:
-        try:
-            re.compile(pattern)
-            m = m | c.rlike(pattern)
-        except re.error:
-            pass
-    return F.coalesce(m, F.lit(False))
-
-
-def _whitelisted(rule: Rule, entries: list[tuple[str, str, str]]) -> Column | None:
-    pats = [p for fld, t, p in entries if fld == rule.field and t == rule.type]
-    if not pats or not rule.field:
-        return None
-    c = F.col(rule.field).cast("string")
-    m = F.lit(False)
-    for p in pats:
-        m = m | _pattern_match(c, p)
-    return m
-
-
-# Whitelist entries up to this many per rule are broadcast (their checked
-# size); beyond it the joins shuffle.
-MAX_BROADCAST_WHITELIST = 1_000_000
-
-
-def _regex_flags(batches):
-    """(pattern, is_regex) as ``_pattern_match`` tells: no ``%`` and it compiles."""
-    import pyarrow as pa
-    for batch in batches:
-        flags = []
-        for p in batch.column(0).to_pylist():
-            try:
-                flags.append("%" not in p and re.compile(p) is not None)
-            except re.error:
-                flags.append(False)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(flags, pa.bool_())], names=["_p", "_re"])
-
-
-def _whitelist_join(df: DataFrame, rules: list[Rule], whitelist: DataFrame, table: str, as_of) -> DataFrame:
-    """Large whitelists, with the results of the inlined entries: a rule's
-    distinct failing values are matched with the table of its entries (equal by
-    equi-join, what is left with LIKE or regex) and marked back by equi-join, one
-    marker column per rule."""
-    active = whitelist.filter(
-        (F.col("table_name") == table) & F.coalesce(F.col("active"), F.lit(True))
-        & (F.col("expires_at").isNull() | (F.col("expires_at") > F.lit(as_of).cast("timestamp"))))
-    base = df
-    for r in rules:
-        if not r.field:
-            continue
-        mark = f"_wl_{r.key}"
-        pats = (active.filter((F.col("field_name") == r.field) & (F.col("rule_type") == r.type) & F.col("pattern").isNotNull())
-                .select(F.col("pattern").alias("_p")).distinct())
-        n = pats.limit(MAX_BROADCAST_WHITELIST + 1).count()
-        if n == 0:
-            df = df.withColumn(mark, F.lit(False))
-            continue
-        small = F.broadcast if n <= MAX_BROADCAST_WHITELIST else (lambda x: x)
-        value = F.col(r.field).cast("string")
-        failing = base.filter(~r.expr()).select(value.alias(mark)).filter(F.col(mark).isNotNull()).distinct()
-        equal = failing.join(small(pats), F.col(mark) == F.col("_p"), "left_semi")
-        rest = failing.join(small(pats), F.col(mark) == F.col("_p"), "left_anti")
-        flagged = pats.mapInArrow(_regex_flags, "_p string, _re boolean")
-        like = rest.join(small(flagged), F.expr(f"CASE WHEN instr(_p, '%') > 0 THEN `{mark}` LIKE _p WHEN _re THEN `{mark}` RLIKE _p ELSE false END"))
-        df = df.join(equal.unionByName(like.select(mark)).distinct(), value == F.col(mark), "left")
-        df = df.withColumn(mark, F.col(mark).isNotNull())
-    return df
-
-
 # --------------------------------------------------------------------------- evaluate
 
 def evaluate(df: DataFrame, rules: list[Rule], whitelist: DataFrame | None = None,
@@ -207,42 +116,28 @@ def evaluate(df: DataFrame, rules: list[Rule], whitelist: DataFrame | None = Non
 
     ``_is_valid`` is the AND of the quarantine/reject rules; ``flag`` rules
     never make a row invalid.  With a whitelist, an active, unexpired entry
-    for (table, field, rule type) whose pattern matches turns a failure into
-    a pass.
+    for (table, field, rule type) that matches the whole value turns a failure into
+    a pass (see ``operators.whitelist``).
     """
     if not rules:
         raise ValueError("no rules")
     missing = check_schema(df, rules)
     if missing:
         raise ValueError(f"rules reference missing columns: {missing}")
-    base = df
-    wl_cols: dict[str, Column] = {}
-    drop_after: list[str] = []
+    base, marks = df, {}
     if whitelist is not None:
         if table is None or as_of is None:
             raise ValueError("whitelist needs table and as_of")
-        entries = _whitelist_entries(whitelist, table, as_of)
-        if entries is None:
-            base = _whitelist_join(df, rules, whitelist, table, as_of)
-            for r in rules:
-                if r.field:
-                    wl_cols[r.key] = F.col(f"_wl_{r.key}")
-                    drop_after.append(f"_wl_{r.key}")
-        else:
-            for r in rules:
-                m = _whitelisted(r, entries)
-                if m is not None:
-                    wl_cols[r.key] = m
+        base, marks = W.mark(df, rules, whitelist, table, as_of)
 
     flag_exprs = []
     for r in rules:
         e = r.expr()
-        if r.key in wl_cols:
-            e = e | wl_cols[r.key]
+        if r.key in marks:
+            e = e | F.col(marks[r.key])
         flag_exprs.append(e.alias(r.flag))
     out = base.select("*", *flag_exprs)
-    if drop_after:
-        out = out.drop(*drop_after)
+    out = out.drop(*set(marks.values()))
 
     hard = [r for r in rules if r.action in ("quarantine", "reject")]
     reject = [r for r in rules if r.action == "reject"]

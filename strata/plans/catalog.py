@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from strata.functions import cleaning
 from strata.functions.hashing import row_hash
-from strata.operators import compare, dedup, gold, quarantine, rules as R, scd2
+from strata.operators import compare, dedup, gold, quarantine, rules as R, scd2, whitelist
 from strata.operators.keys import assign_dense
 from strata.plans import jobs, monitor
 from strata.sources import derived as D
@@ -213,6 +213,56 @@ O_DQ_WHITELIST = f"""WITH {D_ACCOUNT_EVAL},
 SELECT *, name_ok AND hs_partner_level_ok AND emailaddress1_ok AS is_valid FROM w"""
 
 
+# Part names against a rule that most of them fail, and over three entries for each part: exact names, LIKE and regex patterns,
+# near misses, nulls, expired and inactive ones (by key arithmetic; every part gives its entries).
+WL_RULES = [{"field": "p_name", "type": "regex", "name": "name_short", "pattern": "^.{1,11}$", "required": True},
+            {"field": "p_type", "type": "enum", "name": "type_known", "allowed_values": ["STANDARD"], "required": True}]
+WL_PARTS_SQL = """
+SELECT p_partkey, CASE p_partkey % 41 WHEN 40 THEN NULL WHEN 39 THEN '' ELSE p_name || ' ' || CAST(p_partkey AS STRING) END AS p_name, p_type
+FROM {part}"""
+WL_ENTRIES_SQL = """
+SELECT 'w' || CAST(p_partkey AS STRING) || '_' || CAST(k AS STRING) AS whitelist_id, 'part' AS table_name,
+  CASE WHEN k = 3 THEN 'p_type' ELSE 'p_name' END AS field_name,
+  CASE WHEN k = 3 THEN 'enum' ELSE 'regex' END AS rule_type,
+  CASE WHEN p_partkey % 23 = 0 THEN NULL
+       WHEN k = 0 THEN p_name || ' ' || CAST(p_partkey + CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE 1000000 END AS STRING)
+       WHEN k = 1 THEN '%' || substr(p_name, 3, 9) || '_' || CAST(p_partkey * 7 AS STRING) || '%'
+       WHEN k = 2 THEN '.*' || substr(p_name, 1, 8) || '.* ' || CAST(p_partkey % 97 AS STRING) || '[0-4]'
+       ELSE p_type || CASE WHEN p_partkey % 400 = 7 THEN '' ELSE CAST(p_partkey AS STRING) END END AS pattern,
+  p_partkey % 19 <> 0 AS active,
+  CASE WHEN p_partkey % 13 = 0 THEN TIMESTAMP '2020-01-01 00:00:00' WHEN p_partkey % 2 = 0 THEN TIMESTAMP '2030-01-01 00:00:00' END AS expires_at
+FROM (SELECT *, 0 AS k FROM {part} UNION ALL SELECT *, 1 FROM {part} UNION ALL SELECT *, 2 FROM {part} UNION ALL SELECT *, 3 FROM {part}) ks"""
+
+
+def q_dq_whitelist_large(spark, sf):
+    part = D.table(spark, sf, "part")
+    ev = R.evaluate(spark.sql(WL_PARTS_SQL, part=part), R.compile_rules(WL_RULES),
+                    whitelist=spark.sql(WL_ENTRIES_SQL, part=part), table="part", as_of=RUN.run_ts)
+    return ev.select("p_partkey", F.col("_p_name_valid").alias("name_ok"), F.col("_p_type_valid").alias("type_ok"),
+                     F.col("_is_valid").alias("is_valid"))
+
+
+O_DQ_WHITELIST_LARGE = f"""WITH p AS ({D.duck(WL_PARTS_SQL)}),
+  e AS (SELECT DISTINCT field_name, pattern FROM ({D.duck(WL_ENTRIES_SQL)})
+        WHERE active AND (expires_at IS NULL OR expires_at > TIMESTAMP '{RUN.run_ts}') AND pattern IS NOT NULL),
+  good AS (SELECT DISTINCT p_partkey, field_name FROM p JOIN e ON
+    CASE WHEN field_name = 'p_type' THEN p_type = pattern OR CASE WHEN contains(pattern, '%') THEN p_type LIKE pattern ELSE regexp_full_match(p_type, pattern) END
+         ELSE p_name = pattern OR CASE WHEN contains(pattern, '%') THEN p_name LIKE pattern ELSE regexp_full_match(p_name, pattern) END END),
+  v AS (SELECT p_partkey,
+    coalesce(regexp_matches(p_name, '^.{{1,11}}$'), false) OR EXISTS (FROM good g WHERE g.p_partkey = p.p_partkey AND field_name = 'p_name') AS name_ok,
+    coalesce(p_type = 'STANDARD', false) OR EXISTS (FROM good g WHERE g.p_partkey = p.p_partkey AND field_name = 'p_type') AS type_ok FROM p)
+SELECT *, name_ok AND type_ok AS is_valid FROM v"""
+
+
+def q_dq_whitelist_report(spark, sf):
+    return whitelist.report(spark.sql(WL_ENTRIES_SQL, part=D.table(spark, sf, "part")), "part", RUN.run_ts).drop("unindexed")
+
+
+O_DQ_WHITELIST_REPORT = f"""SELECT field_name, rule_type, CASE WHEN pattern IS NULL THEN 'null' WHEN contains(pattern, '%') THEN 'like' ELSE 'regex' END AS kind,
+  count(DISTINCT coalesce(pattern, '')) AS entries
+FROM ({D.duck(WL_ENTRIES_SQL)}) WHERE active AND (expires_at IS NULL OR expires_at > TIMESTAMP '{RUN.run_ts}') GROUP BY 1, 2, 3"""
+
+
 def q_dq_actions(spark, sf):
     vals = [dict(v) for v in seed_rule("hs_course_bronze_silver_dq")["validations"]]
     for v in vals:
@@ -1007,6 +1057,8 @@ QUERIES = {
     "dq_customer_rules": (q_dq_customer_rules, O_DQ_CUSTOMER_RULES),
     "dq_account_rules": (q_dq_account_rules, O_DQ_ACCOUNT_RULES),
     "dq_whitelist": (q_dq_whitelist, O_DQ_WHITELIST),
+    "dq_whitelist_large": (q_dq_whitelist_large, O_DQ_WHITELIST_LARGE),
+    "dq_whitelist_report": (q_dq_whitelist_report, O_DQ_WHITELIST_REPORT),
     "dq_actions": (q_dq_actions, O_DQ_ACTIONS),
     "clean_ops": (q_clean_ops, O_CLEAN_OPS),
     "clean_ops_extra": (q_clean_ops_extra, O_CLEAN_OPS_EXTRA),
