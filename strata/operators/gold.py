@@ -3,7 +3,9 @@ against a type-2 dimension, calendar dimension, year-over-year."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,64 +54,85 @@ def activity(entities: DataFrame, links: DataFrame, events: DataFrame, entity_ke
                     F.coalesce("done", F.lit(0)).alias("done")))
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """One dimension key of a fact: the version of ``dim_key = fact_key`` valid at ``fact_ts``."""
+    dim: DataFrame
+    dim_key: str
+    fact_key: str
+    fact_ts: str
+    sk: str
+    out: str | None = None
+    valid_from: str = "valid_from"
+    valid_to: str = "valid_to"
+    unknown: int = -1
+
+
+def interval_index(dim: DataFrame, key: str, sk: str, valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+    """(_key, _versions): a key's versions as one array of struct(from, to, sk) in order of their start.
+
+    One row a key, 24 bytes a version: a dimension gains one version of a key a run at most."""
+    version = F.struct(F.col(valid_from).alias("from"), F.col(valid_to).alias("to"), F.col(sk).cast("long").alias("sk"))
+    return (dim.where(F.col(key).isNotNull()).groupBy(F.concat(F.lit("k"), F.col(key).cast("string")).alias("_key"))
+            .agg(F.array_sort(F.collect_list(version)).alias("_versions")))
+
+
+def version_at(versions: Column, t: Column) -> Column:
+    """The version with the last start at or before ``t`` if it is still valid then, else null: a binary search."""
+    n = F.size(versions)
+    # the number of starts at or before t lies between lo and hi; each step halves the gap
+    found = F.aggregate(
+        F.sequence(F.lit(1), F.length(F.bin(n))), F.struct(F.lit(0).alias("lo"), n.alias("hi")),
+        lambda s, _: F.when(F.get(versions, F.shiftright(s["lo"] + s["hi"], 1))["from"] <= t,
+                            F.struct((F.shiftright(s["lo"] + s["hi"], 1) + 1).alias("lo"), s["hi"].alias("hi")))
+        .otherwise(F.struct(s["lo"].alias("lo"), F.shiftright(s["lo"] + s["hi"], 1).alias("hi"))),
+        lambda s: F.get(versions, s["lo"] - 1))
+    return F.when(t < found["to"], found)
+
+
+def _by_size(side: DataFrame, source: DataFrame) -> DataFrame:
+    """Broadcast below the session's threshold by Spark's own size figure of ``source``; a hash table per partition
+    above, so that the facts are dealt out but never sorted (adaptive execution splits a partition of a hot key)."""
+    spark = source.sparkSession
+    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    small = size <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return F.broadcast(side) if small else side.hint("shuffle_hash")
+
+
+def fact_keys(facts: DataFrame, lookups: list[Lookup], dates: dict[str, str] | None = None) -> DataFrame:
+    """Facts with all their keys: for every lookup the surrogate key of the version valid at the fact's time
+    (``valid_from <= t < valid_to``; ``unknown`` otherwise), and ``dates`` (new column -> time column) as calendar keys yyyymmdd
+    (-1 for null).
+
+    Every dimension becomes an index of one row per key, joined by key and searched in the row: a fact meets one index row
+    a lookup, is never sorted and never paired with versions.  Facts without a key take join keys of their own, spread
+    evenly, that no index row has."""
+    columns = facts.columns
+    plain = [f.name for f in facts.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    spread = F.concat(F.lit("n"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(1 << 16)).cast("string"))
+    out, names = facts, []
+    for i, u in enumerate(lookups):
+        tt = u.dim.schema[u.valid_from].dataType  # compare in the dimension's own time type (no zone shift)
+        if not isinstance(tt, (T.TimestampType, T.TimestampNTZType)):
+            tt = T.TimestampType()
+        dim = u.dim.select(u.dim_key, F.col(u.valid_from).cast(tt).alias("valid_from"), F.col(u.valid_to).cast(tt).alias("valid_to"), u.sk)
+        index = interval_index(dim, u.dim_key, u.sk).select(F.col("_key").alias(f"_key{i}"), F.col("_versions").alias(f"_versions{i}"))
+        key = F.coalesce(F.concat(F.lit("k"), F.col(u.fact_key).cast("string")), spread)
+        names.append(u.out or u.sk)
+        found = version_at(F.col(f"_versions{i}"), F.col(u.fact_ts).cast(tt))["sk"]
+        out = (out.withColumn(f"_fact{i}", key).join(_by_size(index, dim), F.col(f"_fact{i}") == F.col(f"_key{i}"), "left")
+               .withColumn(f"_sk{i}", F.coalesce(found, F.lit(u.unknown).cast("long"))).drop(f"_fact{i}", f"_key{i}", f"_versions{i}"))
+    day = lambda c: F.coalesce(F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c), F.lit(-1))
+    return out.select(*columns, *[F.col(f"_sk{i}").alias(n) for i, n in enumerate(names)],
+                      *[day(F.col(c).cast("date")).cast("int").alias(n) for n, c in (dates or {}).items()])
+
+
 def as_of_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact_ts: str,
                  sk: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
-                 unknown: int = -1, out: str | None = None, max_group_rows: int = 2_000_000) -> DataFrame:
-    """Attach to every fact the surrogate key of the dimension version valid at
-    its timestamp (``valid_from <= ts < valid_to``), ``unknown`` otherwise.
-
-    An as-of join without pairs: facts and version starts are unioned, sorted
-    per key by time, and each fact takes the last version start at or before
-    it (``last(..., ignorenulls)``); the version's end then decides whether it
-    is still valid.  Linear in facts + versions; no fact is compared with all
-    versions of its key.
-
-    Hot keys: a key with more than ``max_group_rows`` facts is split into
-    ``ceil(n / max_group_rows)`` salts; its facts go to one salt each (by
-    hash) and its versions are copied to every salt, so no task holds more
-    than about ``max_group_rows`` facts of one key.  The hot-key table has at
-    most total / ``max_group_rows`` rows; it is broadcast below a million rows
-    (its checked size), joined by shuffle above.  Facts without a key go to
-    ``unknown`` directly: no shuffle, no window.
-    """
-    out = out or sk
-    fcols = facts.columns
-    limit = max(1, int(max_group_rows))
-    facts, keyless = facts.where(F.col(fact_key).isNotNull()), facts.where(F.col(fact_key).isNull())
-    hot = (facts.groupBy(F.col(fact_key).cast("string").alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > limit)
-           .select("_k", F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_ns")))
-    n_hot = hot.count()
-    hot = F.broadcast(hot) if n_hot <= 1_000_000 else hot
-    fstruct = F.struct(*fcols)
-    tt = dim.schema[valid_from].dataType  # compare in the dimension's own time type (no zone shift)
-    if not isinstance(tt, (T.TimestampType, T.TimestampNTZType)):
-        tt = T.TimestampType()
-    f = facts.select(F.col(fact_key).cast("string").alias("_k"), F.col(fact_ts).cast(tt).alias("_t"),
-                     F.lit(1).alias("_kind"), fstruct.alias("_f"),
-                     F.lit(None).cast("long").alias("_sk"), F.lit(None).cast(tt).alias("_to"))
-    d = dim.select(F.col(dim_key).cast("string").alias("_k"), F.col(valid_from).cast(tt).alias("_t"),
-                   F.lit(0).alias("_kind"), F.lit(None).cast(facts.select(fstruct).schema[0].dataType).alias("_f"),
-                   F.col(sk).cast("long").alias("_sk"), F.col(valid_to).cast(tt).alias("_to"))
-    if n_hot:
-        f = (f.join(hot, "_k", "left")
-             .withColumn("_salt", F.when(F.col("_ns").isNull(), F.lit(0))
-                         .otherwise(F.pmod(F.xxhash64("_f"), F.col("_ns")).cast("int")))
-             .drop("_ns"))
-        d = (d.join(hot, "_k", "left")
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ns"), F.lit(1)) - 1)))
-             .drop("_ns"))
-    else:
-        f, d = f.withColumn("_salt", F.lit(0)), d.withColumn("_salt", F.lit(0))
-    u = d.unionByName(f)
-    w = (Window.partitionBy("_k", "_salt").orderBy("_t", "_kind")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ver = F.last(F.when(F.col("_kind") == 0, F.struct("_sk", "_to")), ignorenulls=True).over(w)
-    hit = u.select("_kind", "_t", "_f", ver.alias("_v")).filter(F.col("_kind") == 1)
-    valid = F.col("_v").isNotNull() & (F.col("_t") < F.col("_v._to"))
-    found = hit.select(*[F.col(f"_f.{c}").alias(c) for c in fcols],
-                       F.when(valid, F.col("_v._sk")).otherwise(F.lit(unknown)).cast("long").alias(out))
-    return found.unionByName(keyless.withColumn(out, F.lit(unknown).cast("long")))
+                 unknown: int = -1, out: str | None = None, max_group_rows: int | None = None) -> DataFrame:
+    """``fact_keys`` with one lookup.  ``max_group_rows`` is kept for callers and has no effect: facts of one key
+    take the same way however many they are."""
+    return fact_keys(facts, [Lookup(dim, dim_key, fact_key, fact_ts, sk, out, valid_from, valid_to, unknown)])
 
 
 def calendar(bounds: DataFrame, lo_col: str = "lo", hi_col: str = "hi") -> DataFrame:

@@ -9,8 +9,8 @@
 2. a reliable ``checkpoint`` fixes that layout: every later read sees the
    same rows in the same partitions in the same order, also after a lost
    executor (the sample is never redrawn);
-3. rows per partition (one small aggregate: at most n rows to the driver)
-   give each partition's offset as a literal array;
+3. rows per partition give each partition's offset by prefix sums in two levels (inside groups of
+   ``GROUP`` partitions, then over the groups), held as a table of one row per partition;
 4. the key is offset + position inside the partition, read from
    ``monotonically_increasing_id`` (partition index in the upper bits, row
    position in the lower 33), so the numbering itself is narrow: no shuffle.
@@ -22,11 +22,12 @@ go to unique business keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.session import checkpoint_dir
 
+GROUP = 1024  # partitions a group
 ROW_BITS = 33  # monotonically_increasing_id: partition index << 33 | row position
 
 
@@ -37,21 +38,20 @@ def assign_dense(df: DataFrame, order_cols: list[str], sk_col: str, start: int =
     n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     checkpoint_dir(spark)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    # the range sample and the checkpoint both read the input: keep it for the two passes only
-    df = df.persist()
-    try:
-        laid = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
-    finally:
-        df.unpersist()
-    pid = F.spark_partition_id()
-    counts = {r["_p"]: r["_n"] for r in laid.groupBy(pid.alias("_p")).agg(F.count(F.lit(1)).alias("_n")).collect()}
-    n_parts = max(counts) + 1 if counts else 0  # partitions without rows need no offset
-    offsets, acc = [], 0
-    for p in range(n_parts):
-        offsets.append(acc)
-        acc += counts.get(p, 0)
+    # the range sample re-reads the last shuffle of the input, not its sources
+    laid = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    counts = (laid.groupBy(F.spark_partition_id().alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_g", F.expr(f"_p div {GROUP}")))
+    before = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    groups = (counts.groupBy("_g").agg(F.sum("_n").alias("_m"))
+              .agg(F.collect_list(F.struct("_g", "_m")).alias("groups")).scalar())
+    earlier = F.aggregate("_groups", F.lit(0).cast("long"), lambda a, x: a + F.when(x["_g"] < F.col("_g"), x["_m"]).otherwise(F.lit(0)))
+    offsets = (counts.withColumn("_groups", groups).withColumn("_inner", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+               .select("_p", (F.col("_inner") + earlier).alias("_offset")))
     mono = F.monotonically_increasing_id()
-    position = mono - F.shiftleft(F.shiftright(mono, ROW_BITS), ROW_BITS)
-    offset = F.element_at(F.array(*([F.lit(o).cast("long") for o in offsets] or [F.lit(0).cast("long")])),
-                          pid + 1)
-    return laid.withColumn(sk_col, F.lit(start).cast("long") + offset + position + 1)
+    placed = laid.select("*", F.spark_partition_id().alias("_p"),
+                         (mono - F.shiftleft(F.shiftright(mono, ROW_BITS), ROW_BITS)).alias("_position"))
+    # one row per partition of the layout: broadcast
+    return (placed.join(F.broadcast(offsets), "_p")
+            .withColumn(sk_col, F.lit(start).cast("long") + F.col("_offset") + F.col("_position") + 1)
+            .drop("_p", "_position", "_offset"))

@@ -669,6 +669,43 @@ FROM orders o LEFT JOIN hist h ON CAST(o.o_custkey AS VARCHAR) = h.contactid AND
   AND o.o_orderdate < coalesce(h.valid_to_ts, TIMESTAMP '9999-12-31 23:59:59')"""
 
 
+SESSION_SPEC = scd2.ScdSpec("sessionid", ["sessionstateid"], [], "session_sk")
+
+
+def _sessions(spark, sf) -> DataFrame:
+    return scd2.from_changes(D.session_changes(spark, sf), SESSION_SPEC, "changed_at")
+
+
+def q_scd2_session(spark, sf):
+    return _dim_out(_sessions(spark, sf), SESSION_SPEC)
+
+
+D_SESSION = f"""sh AS (SELECT *, {_d_hash(SESSION_SPEC.tracked)} AS hash_value FROM ({D.duck(D.SESSION_CHANGES_SQL)})),
+  skept AS (SELECT * FROM sh QUALIFY lag(hash_value) OVER (PARTITION BY sessionid ORDER BY changed_at) IS DISTINCT FROM hash_value),
+  sess AS (SELECT sessionid, sessionstateid, hash_value, changed_at AS valid_from,
+             lead(changed_at) OVER (PARTITION BY sessionid ORDER BY changed_at) AS valid_to_ts,
+             row_number() OVER (ORDER BY changed_at, sessionid) AS session_sk FROM skept)
+"""
+O_SCD2_SESSION = f"""WITH {D_SESSION}
+SELECT sessionid, sessionstateid, session_sk, hash_value, strftime(valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from_s,
+  strftime(valid_to_ts, '%Y-%m-%d %H:%M:%S') AS valid_to_s, valid_to_ts IS NULL AS is_current FROM sess"""
+
+
+def q_fact_bookings(spark, sf):
+    contacts = _stored(spark, sf, "history", lambda: _history(spark, sf).checkpoint(eager=True))
+    return gold.fact_keys(D.bookings(spark, sf), [
+        gold.Lookup(contacts, "contactid", "contactid", "booked_at", "contact_sk"),
+        gold.Lookup(_sessions(spark, sf), "sessionid", "sessionid", "booked_at", "session_sk")], {"booking_date_sk": "booked_at"})
+
+
+O_FACT_BOOKINGS = f"""WITH {D_HISTORY}, {D_SESSION}
+SELECT b.*, coalesce(h.contact_sk, -1) AS contact_sk, coalesce(s.session_sk, -1) AS session_sk,
+  coalesce(CAST(strftime(booked_at, '%Y%m%d') AS INTEGER), -1) AS booking_date_sk
+FROM ({D.duck(D.BOOKINGS_SQL)}) b
+LEFT JOIN hist h ON b.contactid = h.contactid AND booked_at >= h.valid_from AND booked_at < coalesce(h.valid_to_ts, TIMESTAMP '9999-12-31 23:59:59')
+LEFT JOIN sess s ON b.sessionid = s.sessionid AND booked_at >= s.valid_from AND booked_at < coalesce(s.valid_to_ts, TIMESTAMP '9999-12-31 23:59:59')"""
+
+
 def q_supplier_activity(spark, sf):
     s = D.table(spark, sf, "supplier")
     li = D.table(spark, sf, "lineitem").select("l_suppkey", "l_orderkey")
@@ -1084,6 +1121,8 @@ QUERIES = {
     "scd2_from_changes": (q_scd2_from_changes, O_SCD2_FROM_CHANGES),
     "surrogate_keys": (q_surrogate_keys, O_SURROGATE_KEYS),
     "fact_lookup": (q_fact_lookup, O_FACT_LOOKUP),
+    "fact_bookings": (q_fact_bookings, O_FACT_BOOKINGS),
+    "scd2_session": (q_scd2_session, O_SCD2_SESSION),
     "supplier_activity": (q_supplier_activity, O_SUPPLIER_ACTIVITY),
     "agg_rule": (q_agg_rule, O_AGG_RULE),
     "date_dim": (q_date_dim, O_DATE_DIM),

@@ -122,6 +122,24 @@ SELECT
 FROM {supplier}
 """
 
+# The states of a session over time: a part is the session, its shipments are the changes.
+SESSION_CHANGES_SQL = """
+SELECT CAST(l_partkey AS STRING) AS sessionid, l_shipdate AS changed_at,
+  max(CASE l_returnflag WHEN 'A' THEN 'cancelled' WHEN 'R' THEN 'planned' ELSE 'completed' END) AS sessionstateid
+FROM {lineitem} GROUP BY l_partkey, l_shipdate
+"""
+
+# A booking per order line.  One contact holds a third of them; contacts and sessions are missing by key.
+BOOKINGS_SQL = """
+SELECT l_orderkey * 10 + l_linenumber AS booking_id,
+  CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN (l_orderkey + l_linenumber) % 3 = 0 THEN '1' ELSE CAST(o_custkey AS STRING) END AS contactid,
+  CASE WHEN l_orderkey % 13 = 5 THEN NULL ELSE CAST(l_partkey AS STRING) END AS sessionid,
+  CASE WHEN l_orderkey % 17 = 3 THEN NULL ELSE l_shipdate END AS booked_at,
+  CAST(round(l_extendedprice * 100) AS BIGINT) AS total_cents,
+  l_linestatus AS booking_status
+FROM {lineitem} l JOIN {orders} o ON l_orderkey = o_orderkey
+"""
+
 # Monitoring rows derived from events: each event is one job run of a
 # (stage, table) pair; its value drives volumes and duration, error events
 # carry failures.  Used to exercise the monitoring views and health rules.
@@ -203,6 +221,14 @@ def bronze_account(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, BRONZE_ACCOUNT_SQL, ["supplier"])
 
 
+def session_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, SESSION_CHANGES_SQL, ["lineitem"])
+
+
+def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, BOOKINGS_SQL, ["lineitem", "orders"])
+
+
 def duck(sql: str, **subst: str) -> str:
     """The same SQL for DuckDB, placeholders bound to the registered views."""
     names = {n: n for n in TABLES}
