@@ -14,7 +14,7 @@ and counted) and ``flag`` (kept, listed in ``_dq_flags``).
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field as dc_field
+from dataclasses import dataclass, field as dc_field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -221,6 +221,19 @@ def rules_from_table(dq_rules: DataFrame, table: str) -> list[Rule]:
     return compile_rules(vals)
 
 
+def override(rules: list[Rule], others: list[Rule]) -> list[Rule]:
+    """``rules`` with those of ``others`` in place of the same name, and the rest of ``others`` after them; keys stay unique."""
+    by_name = {r.name: r for r in others}
+    out = [by_name.pop(r.name, r) for r in rules]
+    out += [r for r in others if r.name in by_name]
+    seen: set[str] = set()
+    for i, r in enumerate(out):
+        if r.key in seen:
+            out[i] = replace(r, key=f"{r.key}_{i}")
+        seen.add(out[i].key)
+    return out
+
+
 def rules_frame(spark: SparkSession, rules: list[Rule]) -> DataFrame:
     """The compiled rule list as a small DataFrame (for reports)."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in

@@ -12,6 +12,7 @@ across engines.
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,9 @@ from strata.operators import compare, dedup, gold, quarantine, rules as R, scd2,
 from strata.operators.keys import assign_dense
 from strata.plans import jobs, monitor
 from strata.sources import derived as D
+from strata.sources import io
 from strata.session import checkpoint_dir
-from strata.sources.config import CONTACT_RECORD_COLUMNS, CONTACT_RULES, CONTACT_SILVER_COLUMNS, seed_rule
+from strata.sources.config import CONTACT_RECORD_COLUMNS, CONTACT_RULES, CONTACT_SILVER_COLUMNS, ConfigEntry, seed_rule
 
 RUN = jobs.Run("20240101_020000", datetime.datetime(2024, 1, 1, 2, 0, 0))
 SCD_TS = ["2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-04-01 00:00:00"]
@@ -655,6 +657,83 @@ SELECT contactid, emailaddress1, mobilephone, firstname, surname, contact_sk, ha
   valid_to_ts IS NULL AS is_current FROM hist"""
 
 
+# ============================================================================ stored tables: jobs that write and read back
+
+
+def _folder(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def q_copy_append_retry(spark, sf):
+    """A simple_copy in append mode, run twice under one run id (a retry) and once under another."""
+    target = _folder(spark, "copy")
+    rule = {"columns": ["o_orderkey", "o_custkey", "o_orderstatus"], "write_mode": "append"}
+    entry = ConfigEntry("copy_orders", "orders", "orders_copy", "silver", "simple_copy", rule)
+    for run_id in ("r1", "r1", "r2"):
+        done = jobs.run_config(spark, [entry], lambda n: D.table(spark, sf, n), lambda n: target, jobs.Run(run_id, RUN.run_ts))
+        if done[0]["status"] != "succeeded":
+            raise RuntimeError(done[0]["error"])
+    return io.read(spark, target).groupBy(*rule["columns"]).agg(F.count(F.lit(1)).alias("copies"))
+
+
+O_COPY_APPEND_RETRY = """SELECT o_orderkey, o_custkey, o_orderstatus, 2 * count(*) AS copies FROM orders GROUP BY ALL"""
+
+
+def q_scd2_close_all_reopen(spark, sf):
+    """Snapshot 1, an empty snapshot that closes every row, then snapshot 2: all of its keys open anew."""
+    target = _folder(spark, "dim")
+    rule = {"business_key": "contactid", "tracked_columns": CONTACT_SPEC.tracked, "additional_columns": CONTACT_SPEC.additional,
+            "metadata_columns": {"surrogate_key": "contact_sk"}, "on_missing": "close"}
+    snaps = [D.contact_snapshot(spark, sf, 1), D.contact_snapshot(spark, sf, 1).limit(0), D.contact_snapshot(spark, sf, 2)]
+    for n, snap in enumerate(snaps):
+        jobs.run_scd2(spark, snap, rule, "contact", target, None, jobs.Run(f"r{n}", datetime.datetime.fromisoformat(SCD_TS[n])))
+    return _dim_out(io.read_dimension(spark, target), CONTACT_SPEC)
+
+
+_REOPEN_COLS = "contactid, emailaddress1, mobilephone, firstname, surname, address1_city"
+O_SCD2_CLOSE_ALL_REOPEN = f"""WITH a AS (SELECT {_REOPEN_COLS}, {_d_hash(CONTACT_SPEC.tracked)} AS hash_value,
+    row_number() OVER (ORDER BY contactid) AS contact_sk FROM ({D.duck_snapshot(1)})),
+  b AS (SELECT {_REOPEN_COLS}, {_d_hash(CONTACT_SPEC.tracked)} AS hash_value,
+    (SELECT count(*) FROM a) + row_number() OVER (ORDER BY contactid) AS contact_sk FROM ({D.duck_snapshot(2)}))
+SELECT *, '{SCD_TS[0]}' AS valid_from_s, '{SCD_TS[1]}' AS valid_to_s, false AS is_current FROM a
+UNION ALL SELECT *, '{SCD_TS[2]}', NULL, true FROM b"""
+
+
+def q_purge_roundtrip(spark, sf):
+    """Three parts with names of digits, a purge that keeps 10 days, then a rerun of the second part's job."""
+    target = _folder(spark, "events")
+    ev = D.table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
+    for k in range(3):
+        io.append(ev.where(F.col("user_id") % 3 == k), target, part=f"00{k}", run_date=RUN.run_ts)
+    io.purge(spark, target, "ts", datetime.datetime(2024, 1, 31), 10)
+    io.append(ev.where(F.col("user_id") % 3 == 1), target, part="001", run_date=RUN.run_ts)
+    return io.read(spark, target).select("event_id", "user_id", "event_type")
+
+
+O_PURGE_ROUNDTRIP = """SELECT event_id, user_id, event_type FROM events WHERE user_id % 3 = 1 OR ts >= TIMESTAMP '2024-01-21 00:00:00'"""
+
+
+def q_config_run_whitelist(spark, sf):
+    """A configured run of the account check with whitelist and dq_rules: its silver table."""
+    target = _folder(spark, "account")
+    more = [("r1", "city_blocked", "account", None, "custom", '{"expression": "address1_city <> \'City3\'"}', "error", "quarantine", True),
+            ("r2", "old", "account", "telephone1", "not_null", "{}", "error", "quarantine", False)]
+    dq_rules = spark.createDataFrame(more, "rule_id string, rule_name string, table_name string, field_name string, rule_type string, "
+                                           "rule_definition string, severity string, error_action string, active boolean")
+    rule = seed_rule("account_bronze_silver_dq")
+    entry = ConfigEntry("account_dq", "bronze.account", "silver.account", "silver", "dq_check", rule)
+    done = jobs.run_config(spark, [entry], lambda n: D.bronze_account(spark, sf), lambda n: target, RUN,
+                           whitelist=whitelist_frame(spark), dq_rules=dq_rules)
+    if done[0]["status"] != "succeeded":
+        raise RuntimeError(done[0]["error"])
+    return io.read_current(spark, target).select("accountid", "hs_partner_level", "address1_city")
+
+
+O_CONFIG_RUN_WHITELIST = f"""WITH {D_ACCOUNT_EVAL}
+SELECT accountid, hs_partner_level, address1_city FROM v WHERE name_ok AND address1_city <> 'City3'
+  AND (hs_partner_level_ok OR coalesce(hs_partner_level = 'None', false)) AND (emailaddress1_ok OR coalesce(emailaddress1 = 'kontakt@firma', false))"""
+
+
 # ============================================================================ H: gold
 
 def q_fact_lookup(spark, sf):
@@ -1121,6 +1200,10 @@ QUERIES = {
     "scd2_from_changes": (q_scd2_from_changes, O_SCD2_FROM_CHANGES),
     "surrogate_keys": (q_surrogate_keys, O_SURROGATE_KEYS),
     "fact_lookup": (q_fact_lookup, O_FACT_LOOKUP),
+    "copy_append_retry": (q_copy_append_retry, O_COPY_APPEND_RETRY),
+    "scd2_close_all_reopen": (q_scd2_close_all_reopen, O_SCD2_CLOSE_ALL_REOPEN),
+    "purge_roundtrip": (q_purge_roundtrip, O_PURGE_ROUNDTRIP),
+    "config_run_whitelist": (q_config_run_whitelist, O_CONFIG_RUN_WHITELIST),
     "fact_bookings": (q_fact_bookings, O_FACT_BOOKINGS),
     "scd2_session": (q_scd2_session, O_SCD2_SESSION),
     "supplier_activity": (q_supplier_activity, O_SUPPLIER_ACTIVITY),

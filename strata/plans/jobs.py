@@ -58,14 +58,19 @@ class DqFrames:
 def dq_frames(bronze: DataFrame, rule: dict, source_table: str, run: Run, whitelist: DataFrame | None = None,
               silver_columns: list[str] | None = None, record_columns: list[str] | None = None,
               tie_breakers: list[str] | None = None, observation: Observation | None = None,
-              with_score: bool = False) -> DqFrames:
+              with_score: bool = False, dq_rules: DataFrame | None = None) -> DqFrames:
     """Validate -> split -> clean -> dedup, in that order: a newest row that
     fails goes to quarantine and an older valid row survives in silver.
 
+    ``dq_rules`` (rows of that service table) adds the table's active rules; one
+    named like a rule of the config takes its place.
+
     With ``observation``, the quarantine plan counts rows read / failed /
     rejected on its way (before its filter), so writing the quarantine also
     yields the input statistics: no separate counting pass."""
     rules = R.compile_rules(rule.get("validations") or rule.get("validation") or [])
+    if dq_rules is not None:
+        rules = R.override(rules, R.rules_from_table(dq_rules, source_table))
     ev = R.evaluate(bronze, rules, whitelist=whitelist, table=source_table,
                     as_of=run.run_ts if whitelist is not None else None, with_score=with_score)
     valid, _, rejected = R.split(ev)
@@ -196,16 +201,20 @@ def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: s
 def run_config(spark: SparkSession, configs: list[ConfigEntry], resolve_source, resolve_target,
                run: Run, quarantine_table: str | None = None, metrics_table: str | None = None,
                history_table: str | None = None, lineage_table: str | None = None,
-               pipeline_name: str = "medallion", run_type: str = "manual") -> list[dict]:
+               pipeline_name: str = "medallion", run_type: str = "manual", whitelist: DataFrame | None = None,
+               dq_rules: DataFrame | None = None) -> list[dict]:
     """Run active configs in dependency order; a failure skips its dependents.
 
     ``resolve_source(name) -> DataFrame`` and ``resolve_target(name) -> str``
     bind the config's logical table names to data and locations.  One
     ``pipeline_run_history`` row describes the whole run and, when the
     environment's lineage flag is on, one ``table_lineage`` row each config.
+    ``whitelist`` and ``dq_rules`` (the service tables) hold for every ``dq_check``; their
+    ``table_name`` is the config's source table, with or without its namespace.
     """
     started = datetime.now(timezone.utc).replace(tzinfo=None)
-    results = _run_configs(spark, configs, resolve_source, resolve_target, run, quarantine_table, metrics_table)
+    results = _run_configs(spark, configs, resolve_source, resolve_target, run, quarantine_table, metrics_table,
+                           whitelist, dq_rules)
     ended = datetime.now(timezone.utc).replace(tzinfo=None)
     ok = [r for r in results if r["status"] == "succeeded"]
     bad = [r for r in results if r["status"] == "failed"]
@@ -227,7 +236,16 @@ def run_config(spark: SparkSession, configs: list[ConfigEntry], resolve_source,
     return results
 
 
-def _run_configs(spark, configs, resolve_source, resolve_target, run, quarantine_table, metrics_table):
+def _for_table(rows: DataFrame | None, source_table: str) -> DataFrame | None:
+    """The service-table rows of a source table, under the name that the config uses."""
+    if rows is None:
+        return None
+    names = {source_table, source_table.split(".")[-1]}
+    return rows.where(F.col("table_name").isin(*names)).withColumn("table_name", F.lit(source_table))
+
+
+def _run_configs(spark, configs, resolve_source, resolve_target, run, quarantine_table, metrics_table,
+                 whitelist=None, dq_rules=None):
     results, failed = [], set()
     for e in execution_order(configs):
         if any(d in failed for d in e.depends_on):
@@ -241,13 +259,14 @@ def _run_configs(spark, configs, resolve_source, resolve_target, run, quarantine
             src = resolve_source(e.source_table)
             tgt = resolve_target(e.target_table)
             if e.rule_type == "dq_check":
-                out = run_dq(spark, src, e.rule, e.source_table, tgt, quarantine_table, metrics_table, run)
+                out = run_dq(spark, src, e.rule, e.source_table, tgt, quarantine_table, metrics_table, run,
+                             whitelist=_for_table(whitelist, e.source_table), dq_rules=_for_table(dq_rules, e.source_table))
             elif e.rule_type == "scd2":
                 out = run_scd2(spark, src, e.rule, e.source_table, tgt, metrics_table, run, quarantine_table)
             elif e.rule_type == "simple_copy":
                 df = src.select(*e.rule["columns"])
                 if e.rule.get("write_mode", "overwrite") == "append":
-                    io.append(df, tgt)
+                    io.append(df, tgt, part=f"{run.run_id}__{e.config_id}", run_date=run.run_ts)  # a retry replaces its rows
                 else:
                     io.publish(spark, df, tgt, run.run_id)
                 out = {}
@@ -260,5 +279,14 @@ def _run_configs(spark, configs, resolve_source, resolve_target, run, quarantine
         except Exception as ex:  # the run goes on; dependents are skipped
             failed.add(e.config_id)
             results.append({"config_id": e.config_id, "status": "failed", "error": str(ex),
-                            "trace": traceback.format_exc(limit=3)})
+                            "trace": traceback.format_exc()})
     return results
+
+
+def run_retention(spark: SparkSession, tables: dict[str, str], run: Run) -> dict[str, int]:
+    """Purge the appended service tables (name -> path) by the environment's retention days; returns rows kept."""
+    rules = {"quarantine_records": ("created_at", "quarantine_retention_days"),
+             "pipeline_metrics": ("created_at", "metrics_retention_days"),
+             "pipeline_run_history": ("start_time", "metrics_retention_days")}
+    return {name: io.purge(spark, path, rules[name][0], run.run_ts, run.settings[rules[name][1]])
+            for name, path in tables.items() if name in rules}

@@ -184,24 +184,35 @@ def layout(df: DataFrame, cluster_by: list[str], partitions: int | None = None)
     return df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
 
 
-def purge(spark: SparkSession, path: str, ts_col: str, now, days: int, run_id: str) -> int:
-    """Retention for an appended table: keep rows younger than ``days``,
-    written to a new folder that then takes the table's place (the old one
-    is kept next to it as ``<path>.old-<run_id>``).  Returns rows kept."""
+def purge(spark: SparkSession, path: str, ts_col: str, now, days: int, run_id: str | None = None) -> int:
+    """Retention for an appended table: rows younger than ``days`` stay; returns their number.
+
+    Parts without such rows are deleted, parts with both kinds are rewritten by Spark's dynamic partition overwrite, all others
+    are not touched.  Parts keep their names, so a rerun of the run that wrote one still replaces it.  A purge that
+    is cut off is finished by the next one."""
     from pyspark.sql import functions as F
-    df = spark.read.parquet(path)
-    kept = df.filter(F.col(ts_col) >= F.lit(now).cast("timestamp") - F.make_dt_interval(F.lit(days)))
-    new = f"{path.rstrip('/')}.purge-{run_id}"
-    n = kept.count()
-    if n and {"run_date", "_part"} <= set(df.columns):
-        kept.write.mode("overwrite").partitionBy("run_date", "_part").parquet(new)
-    else:
-        kept.drop("run_date", "_part").write.mode("overwrite").parquet(f"{new}/run_date={UNDATED}/_part=purge-{run_id}")
-    fs, p, jvm = _hadoop_fs(spark, path)
-    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{run_id}")
-    fs.rename(p, old)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(new), p)
-    return n
+    _lay_out_root_files(spark, path)
+    infer = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(infer)
+    spark.conf.set(infer, "false")  # a part named 002 stays 002
+    try:
+        df = spark.read.parquet(path)
+    finally:
+        spark.conf.set(infer, before)
+    young = F.coalesce(F.col(ts_col) >= F.lit(now).cast("timestamp") - F.make_dt_interval(F.lit(days)), F.lit(False))
+    parts = df.groupBy("run_date", "_part").agg(F.count(F.lit(1)).alias("n"), F.count_if(young).alias("kept")).collect()  # one row a run
+    mixed = [(r["run_date"], r["_part"]) for r in parts if 0 < r["kept"] < r["n"]]
+    if mixed:
+        some = F.struct("run_date", "_part").isin(*[F.struct(F.lit(d), F.lit(p)) for d, p in mixed])
+        (df.where(some & young).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run_date", "_part").parquet(path))
+    if parts and not any(r["kept"] for r in parts):  # the table stays readable
+        df.drop("run_date", "_part").limit(0).write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_date={UNDATED}/_part=empty")
+    for r in parts:
+        if not r["kept"]:
+            fs, folder, _ = _hadoop_fs(spark, f"{path.rstrip('/')}/run_date={r['run_date']}/_part={r['_part']}")
+            fs.delete(folder, True)
+    return sum(r["kept"] for r in parts)
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
@@ -258,6 +269,8 @@ def write_dimension_run(spark: SparkSession, rows: DataFrame, table: str, run_id
         raise ValueError(f"{table}: run {run_id} is published; start a new run id")
     path = f"{table.rstrip('/')}/run={run_id}"
     rows.write.mode("overwrite").partitionBy(is_current).parquet(path)
+    if not _children(spark, path, f"{is_current}=true"):  # a run without current rows still says what its columns are
+        rows.limit(0).drop(is_current).write.mode("overwrite").parquet(f"{path}/{is_current}=true")
     return path
 
 
@@ -303,6 +316,8 @@ def read_dimension_current(spark: SparkSession, table: str, is_current: str = "i
         return None
     path = f"{table.rstrip('/')}/run={meta['version']}/{is_current}=true"
     from pyspark.sql import functions as F
+    if not _children(spark, path, ""):  # the last run left no current row
+        return read_dimension(spark, table, is_current).where(F.col(is_current))
     return spark.read.parquet(path).withColumn(is_current, F.lit(True))
 
 
