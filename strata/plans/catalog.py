@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions import cleaning
+from strata.functions import cleaning, validators
 from strata.functions.hashing import row_hash
 from strata.operators import compare, dedup, gold, quarantine, rules as R, scd2, whitelist
 from strata.operators.keys import assign_dense
@@ -734,6 +734,105 @@ SELECT accountid, hs_partner_level, address1_city FROM v WHERE name_ok AND addre
   AND (hs_partner_level_ok OR coalesce(hs_partner_level = 'None', false)) AND (emailaddress1_ok OR coalesce(emailaddress1 = 'kontakt@firma', false))"""
 
 
+# ============================================================================ operators that had no query of their own
+
+
+def q_date_order(spark, sf):
+    course = D.bronze_course(spark, sf)
+    return course.select("hs_courseid", validators.is_before("hs_startdate", "hs_enddate").alias("in_order"))
+
+
+O_DATE_ORDER = f"""SELECT hs_courseid, coalesce(hs_startdate < hs_enddate, false) AS in_order FROM ({D.duck(D.BRONZE_COURSE_SQL)})"""
+
+
+def q_sql_validators(spark, sf):
+    validators.register_sql(spark)
+    return spark.sql("SELECT versionnumber, validate_email(emailaddress1) AS email_ok, validate_phone_de(mobilephone) AS phone_ok, "
+                     "validate_not_null(firstname) AS firstname_ok FROM {contact}", contact=D.bronze_contact(spark, sf))
+
+
+O_SQL_VALIDATORS = f"""SELECT versionnumber, {_d_email('emailaddress1')} AS email_ok, {_d_phone('mobilephone')} AS phone_ok,
+  {_d_nb('firstname')} AS firstname_ok FROM ({D.duck(D.BRONZE_CONTACT_SQL)})"""
+
+
+def q_dedup_by_attribute(spark, sf):
+    """The newest row of each e-mail address, whoever's it is."""
+    rows = D.bronze_contact(spark, sf).where("emailaddress1 IS NOT NULL").select("emailaddress1", "contactid", "modifiedon", "versionnumber")
+    return dedup.keep_one(rows, ["emailaddress1"], "modifiedon", "desc", ["versionnumber"])
+
+
+O_DEDUP_BY_ATTRIBUTE = f"""SELECT emailaddress1, contactid, modifiedon, versionnumber FROM ({D.duck(D.BRONZE_CONTACT_SQL)})
+WHERE emailaddress1 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY emailaddress1 ORDER BY modifiedon DESC, versionnumber DESC) = 1"""
+
+
+def q_quarantine_review(spark, sf):
+    """Review decisions by event: purchases are ignored, every seventh record is fixed; the rest stays."""
+    q = _qrows(spark, sf).select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
+        ("resolution_notes", "string"), ("resolved_by", "string"), ("resolved_at", "timestamp_ntz"))])
+    ids = q.select("quarantine_id", "error_type", "created_at", (F.col("quarantine_id").cast("long") % 7 == 0).alias("seventh"))
+    decisions = ids.where((F.col("error_type") == "err_purchase") | F.col("seventh")).select(
+        "quarantine_id", F.when(F.col("seventh"), "fixed").otherwise("ignored").alias("status"), F.lit("by rule").alias("resolution_notes"),
+        F.lit("steward").alias("resolved_by"), F.col("created_at").cast("timestamp_ntz").alias("resolved_at"))
+    return quarantine.resolve(q, decisions).groupBy("error_type", "status", "resolved_by").agg(
+        F.count(F.lit(1)).alias("records"), F.count("resolved_at").alias("dated"))
+
+
+O_QUARANTINE_REVIEW = f"""WITH q AS ({D.duck(D.QUARANTINE_FROM_EVENTS_SQL)}),
+  r AS (SELECT error_type, CAST(quarantine_id AS BIGINT) % 7 = 0 AS seventh, error_type = 'err_purchase' AS bought, status, created_at FROM q)
+SELECT error_type, CASE WHEN seventh THEN 'fixed' WHEN bought THEN 'ignored' ELSE status END AS status,
+  CASE WHEN seventh OR bought THEN 'steward' END AS resolved_by, count(*) AS records,
+  count(CASE WHEN seventh OR bought THEN created_at END) AS dated
+FROM r GROUP BY ALL"""
+
+
+def q_scd2_current(spark, sf):
+    return scd2.current(_stored_dim(spark, sf, 3), CONTACT_SPEC).select("contactid", "emailaddress1", "surname", "contact_sk")
+
+
+O_SCD2_CURRENT = f"""WITH {_d_dim(3)}
+SELECT contactid, emailaddress1, surname, contact_sk FROM dim WHERE valid_to_ts IS NULL"""
+
+ACCOUNT_SPEC = scd2.ScdSpec("accountid", ["name", "hs_partner_level", "emailaddress1"], ["address1_city"], "account_sk")
+ACCOUNT_SNAPSHOT_SQL = """SELECT accountid, name, CASE WHEN CAST(accountid AS BIGINT) % 4 = 0 THEN 'Gold' ELSE hs_partner_level END AS hs_partner_level,
+  emailaddress1, 'moved' AS address1_city FROM {account} WHERE CAST(accountid AS BIGINT) % 9 <> 0"""
+
+
+def q_scd2_account(spark, sf):
+    """Account history: all suppliers, then the snapshot in which a quarter turns Gold and a ninth is missing."""
+    checkpoint_dir(spark)
+    account = D.bronze_account(spark, sf)
+    dim = scd2.initial_load(account.where("CAST(accountid AS BIGINT) % 5 <> 0"), ACCOUNT_SPEC, SCD_TS[0]).checkpoint(eager=True)
+    return _dim_out(scd2.merge(dim, spark.sql(ACCOUNT_SNAPSHOT_SQL, account=account), ACCOUNT_SPEC, SCD_TS[1]), ACCOUNT_SPEC)
+
+
+_ACCOUNT_COLS = "accountid, name, hs_partner_level, emailaddress1, address1_city"
+O_SCD2_ACCOUNT = f"""WITH account AS ({D.duck(D.BRONZE_ACCOUNT_SQL)}),
+  snaps AS (SELECT {_ACCOUNT_COLS}, 1 AS n, '{SCD_TS[0]}' AS ts FROM account WHERE CAST(accountid AS BIGINT) % 5 <> 0
+    UNION ALL SELECT {_ACCOUNT_COLS}, 2, '{SCD_TS[1]}' FROM ({ACCOUNT_SNAPSHOT_SQL.format(account='account')})),
+  hashed AS (SELECT *, {_d_hash(ACCOUNT_SPEC.tracked)} AS hash_value FROM snaps),
+  kept AS (SELECT * FROM hashed QUALIFY lag(hash_value) OVER (PARTITION BY accountid ORDER BY n) IS DISTINCT FROM hash_value)
+SELECT {_ACCOUNT_COLS}, row_number() OVER (ORDER BY n, accountid) AS account_sk, hash_value, ts AS valid_from_s,
+  lead(ts) OVER (PARTITION BY accountid ORDER BY n) AS valid_to_s, lead(ts) OVER (PARTITION BY accountid ORDER BY n) IS NULL AS is_current FROM kept"""
+
+
+def q_dq_run_metrics(spark, sf):
+    """The metrics row that a written bronze -> silver run leaves, and what its tables hold."""
+    silver, metrics, q = (_folder(spark, n) for n in ("silver", "metrics", "quarantine"))
+    rule = {"validations": CONTACT_RULES, "transformations": [],
+            "deduplication": {"enabled": True, "key_fields": ["contactid"], "order_by": "modifiedon", "tie_breakers": ["versionnumber"]}}
+    jobs.run_dq(spark, D.bronze_contact(spark, sf), rule, "contact", silver, q, metrics, RUN)
+    rows = io.read(spark, metrics).select("stage", "pipeline_name", "records_read", "records_written", "records_failed", "error_rate", "dq_score_avg")
+    held = io.read_current(spark, silver).agg(F.count(F.lit(1)).alias("silver_rows")).join(
+        io.read(spark, q).agg(F.count(F.lit(1)).alias("quarantine_rows")))
+    return rows.join(held)
+
+
+O_DQ_RUN_METRICS = f"""WITH {D_CONTACT_EVAL},
+  n AS (SELECT count(*) AS r, count(*) FILTER (WHERE NOT is_valid) AS f, count(DISTINCT contactid) FILTER (WHERE is_valid) AS w FROM e)
+SELECT 'bronze_to_silver' AS stage, 'bronze_to_silver_contact' AS pipeline_name, r AS records_read, w AS records_written, f AS records_failed,
+  f::DOUBLE / r AS error_rate, 1.0::DOUBLE - f::DOUBLE / r AS dq_score_avg, w AS silver_rows, f AS quarantine_rows FROM n"""
+
+
 # ============================================================================ H: gold
 
 def q_fact_lookup(spark, sf):
@@ -1200,6 +1299,13 @@ QUERIES = {
     "scd2_from_changes": (q_scd2_from_changes, O_SCD2_FROM_CHANGES),
     "surrogate_keys": (q_surrogate_keys, O_SURROGATE_KEYS),
     "fact_lookup": (q_fact_lookup, O_FACT_LOOKUP),
+    "date_order": (q_date_order, O_DATE_ORDER),
+    "sql_validators": (q_sql_validators, O_SQL_VALIDATORS),
+    "dedup_by_attribute": (q_dedup_by_attribute, O_DEDUP_BY_ATTRIBUTE),
+    "quarantine_review": (q_quarantine_review, O_QUARANTINE_REVIEW),
+    "scd2_current": (q_scd2_current, O_SCD2_CURRENT),
+    "scd2_account": (q_scd2_account, O_SCD2_ACCOUNT),
+    "dq_run_metrics": (q_dq_run_metrics, O_DQ_RUN_METRICS),
     "copy_append_retry": (q_copy_append_retry, O_COPY_APPEND_RETRY),
     "scd2_close_all_reopen": (q_scd2_close_all_reopen, O_SCD2_CLOSE_ALL_REOPEN),
     "purge_roundtrip": (q_purge_roundtrip, O_PURGE_ROUNDTRIP),

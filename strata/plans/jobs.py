@@ -133,9 +133,9 @@ def run_dq(spark: SparkSession, bronze: DataFrame, rule: dict, source_table: str
     if score is not None:
         out["dq_score_avg"] = score
     if metrics_table and _feature(run, "metrics"):
-        io.append(monitor.metrics_row(spark, run.run_id, f"bronze_to_silver_{source_table}", "bronze_to_silver",
-                                      source_table, target, out["records_read"], written, out["records_failed"],
-                                      start, end, dq_score_avg=score), metrics_table, part=f"{run.run_id}__bronze_to_silver__{source_table}",
+        done = monitor.StageResult("bronze_to_silver", (source_table, target), (start, end),
+                                   {"read": out["records_read"], "written": written, "failed": out["records_failed"]}, score=score)
+        io.append(monitor.stage_metrics(spark, run.run_id, [done]), metrics_table, part=f"{run.run_id}__bronze_to_silver__{source_table}",
                   run_date=start)  # the day that the reports filter
     return out
 
@@ -191,10 +191,10 @@ def run_scd2(spark: SparkSession, silver: DataFrame, rule: dict, source_table: s
     c["scd_no_changes"] = read - no_keys - c["scd_inserts"] - c["scd_updates"]
     end = datetime.now(timezone.utc).replace(tzinfo=None)
     if metrics_table and _feature(run, "metrics"):
-        io.append(monitor.metrics_row(spark, run.run_id, f"silver_to_gold_{source_table}", "silver_to_gold",
-                                      source_table, target, read, c["scd_inserts"] + c["scd_updates"], no_keys, start,
-                                      end, c["scd_inserts"], c["scd_updates"], c["scd_no_changes"]),
-                  metrics_table, part=f"{run.run_id}__silver_to_gold__{source_table}", run_date=start)
+        done = monitor.StageResult("silver_to_gold", (source_table, target), (start, end),
+                                   {"read": read, "written": c["scd_inserts"] + c["scd_updates"], "failed": no_keys},
+                                   {k: c[f"scd_{k}"] for k in ("inserts", "updates", "no_changes")})
+        io.append(monitor.stage_metrics(spark, run.run_id, [done]), metrics_table, part=f"{run.run_id}__silver_to_gold__{source_table}", run_date=start)
     return dict(c, records_read=read, records_failed=no_keys, scd_deleted=st.deleted)
 
 

@@ -220,7 +220,8 @@ def test_catalog_tables(spark):
     name = "hs_monitoring_test.pipeline_metrics"
     assert not io.table_exists(spark, name)
     now = dt.datetime(2024, 1, 1)
-    m = monitor.metrics_row(spark, "r1", "p", "bronze_to_silver", "contact", "silver.contact", 10, 9, 1, now, now)
+    m = monitor.stage_metrics(spark, "r1", [monitor.StageResult("bronze_to_silver", ("contact", "silver.contact"), (now, now),
+                                                                   {"read": 10, "written": 9, "failed": 1})])
     io.save_table(spark, m, name)
     # an int where the table holds a long, columns in another order: conformed before the append
     extra = m.select(F.col("records_read").cast("int").alias("records_read"), *[c for c in m.columns

@@ -12,12 +12,13 @@ NOW = dt.datetime(2024, 1, 30, 3, 0, 0)
 
 def test_metrics_row_with_null_scd_fields(spark):
     # the reference's metric row never landed: all-null columns cannot be inferred
-    m = monitor.metrics_row(spark, "r1", "p", "bronze_to_silver", "contact", "silver.contact",
-                            10, 8, 2, NOW - dt.timedelta(seconds=5), NOW)
+    m = monitor.stage_metrics(spark, "r1", [monitor.StageResult(
+        "bronze_to_silver", ("contact", "silver.contact"), (NOW - dt.timedelta(seconds=5), NOW), {"read": 10, "written": 8, "failed": 2})])
     r = m.first()
     assert m.schema == PIPELINE_METRICS
     assert (r.error_rate, r.dq_score_avg, r.duration_sec, r.scd_inserts) == (0.2, 0.8, 5.0, None)
-    z = monitor.metrics_row(spark, "r2", "p", "bronze_to_silver", "c", "t", 0, 0, 0, NOW, NOW).first()
+    assert r.pipeline_name == "bronze_to_silver_contact"
+    z = monitor.stage_metrics(spark, "r2", [monitor.StageResult("bronze_to_silver", ("c", "t"), (NOW, NOW), {})]).first()
     assert z.error_rate == 0.0
 
 
@@ -27,9 +28,10 @@ def _metrics(spark):
             ("bronze_to_silver", "contact", 0.2, 100.0, 30), ("silver_to_gold", "contact", 0.0, 8000.0, 30),
             ("bronze_to_silver", "account", 0.01, 50.0, 29), ("bronze_to_silver", "contact", 0.05, 60.0, 10)]):
         t = dt.datetime(2024, 1, day, 2, 0, 0)
-        rows.append(monitor.metrics_row(spark, f"r{i}", f"p_{table}", stage, table, "x", 100, 90,
-                                        int(rate * 100), t, t + dt.timedelta(seconds=dur),
-                                        *( (3, 2, 95) if stage == "silver_to_gold" else (None, None, None))))
+        versions = {"inserts": 3, "updates": 2, "no_changes": 95} if stage == "silver_to_gold" else {}
+        rows.append(monitor.stage_metrics(spark, f"r{i}", [monitor.StageResult(
+            stage, (table, "x"), (t, t + dt.timedelta(seconds=dur)), {"read": 100, "written": 90, "failed": int(rate * 100)}, versions,
+            pipeline=f"p_{table}")]))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
