@@ -822,9 +822,8 @@ def q_dq_run_metrics(spark, sf):
             "deduplication": {"enabled": True, "key_fields": ["contactid"], "order_by": "modifiedon", "tie_breakers": ["versionnumber"]}}
     jobs.run_dq(spark, D.bronze_contact(spark, sf), rule, "contact", silver, q, metrics, RUN)
     rows = io.read(spark, metrics).select("stage", "pipeline_name", "records_read", "records_written", "records_failed", "error_rate", "dq_score_avg")
-    held = io.read_current(spark, silver).agg(F.count(F.lit(1)).alias("silver_rows")).join(
-        io.read(spark, q).agg(F.count(F.lit(1)).alias("quarantine_rows")))
-    return rows.join(held)
+    held = {"silver_rows": io.read_current(spark, silver), "quarantine_rows": io.read(spark, q)}
+    return rows.select("*", *[t.agg(F.count(F.lit(1))).scalar().alias(n) for n, t in held.items()])
 
 
 O_DQ_RUN_METRICS = f"""WITH {D_CONTACT_EVAL},

@@ -14,6 +14,7 @@ TOP_K = {"top_errors", "scd2_latest", "scd2_latest_closed"}
 
 
 def _plan(df) -> str:
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "10000")  # whole read schemas
     df.write.format("noop").mode("overwrite").save()  # final adaptive plan
     return df._jdf.queryExecution().executedPlan().toString()
 
