@@ -42,12 +42,11 @@ def activity(entities: DataFrame, links: DataFrame, events: DataFrame, entity_ke
     """Per entity: distinct linked events and those in the done status
     (sessions per student: contact ⟕ participant ⟕ session).
 
-    The distinct counts are computed after aggregating the link table by
-    entity, never by emitting pairs."""
-    j = links.join(events.select(event_key, status_col), event_key, "left")
-    per = (j.groupBy(link_key)
-           .agg(F.countDistinct(event_key).alias("total"),
-                F.countDistinct(F.when(F.col(status_col) == done_value, F.col(event_key))).alias("done")))
+    Repeated links are settled by one aggregate over (entity, event), combined map-side and spread over both keys, so an
+    entity with a third of all links is no single group; two plain counts follow.  No row is duplicated for the second count."""
+    j = links.join(events.select(event_key, status_col), event_key, "left").where(F.col(event_key).isNotNull())
+    once = j.groupBy(link_key, event_key).agg(F.max(F.coalesce(F.col(status_col) == done_value, F.lit(False))).alias("_done"))
+    per = once.groupBy(link_key).agg(F.count(F.lit(1)).alias("total"), F.count_if("_done").alias("done"))
     return (entities.select(entity_key, *keep)
             .join(per, entities[entity_key] == per[link_key], "left")
             .select(entity_key, *keep, F.coalesce("total", F.lit(0)).alias("total"),

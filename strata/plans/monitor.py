@@ -10,7 +10,7 @@ import hashlib
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.sources.schemas import PIPELINE_METRICS, PIPELINE_RUN_HISTORY, TABLE_LINEAGE, conform
@@ -227,11 +227,12 @@ def health(m: DataFrame, runs: DataFrame | None, q: DataFrame | None, error_thre
             F.to_date("start_time").alias("alert_date"), F.lit(1.0).alias("value"),
             F.lit(0.0).alias("threshold"), F.col("run_id")))
     if q is not None:
-        daily = q.groupBy("source_table", F.to_date("created_at").alias("d")).agg(F.count(F.lit(1)).alias("n"))
-        w = Window.partitionBy("source_table").orderBy(F.unix_date("d")).rangeBetween(-7, -1)
-        trailing = F.avg("n").over(w)
-        parts.append(daily.select("*", trailing.alias("avg7"))
-                     .filter((F.col("d") == day) & (F.col("n") > spike_factor * F.col("avg7")))
+        # eight days of rows are read, however long the history is
+        week = _since(q, "created_at", today, 7).filter(F.to_date("created_at") <= day)
+        daily = week.groupBy("source_table", F.to_date("created_at").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+        spikes = daily.groupBy("source_table").agg(F.max(F.when(F.col("d") == day, F.col("n"))).alias("n"),
+                                                   F.avg(F.when(F.col("d") < day, F.col("n"))).alias("avg7"))
+        parts.append(spikes.filter(F.col("n") > spike_factor * F.col("avg7")).withColumn("d", day)
                      .select(F.lit("quarantine_spike").alias("alert_type"), F.col("source_table").alias("subject"),
                              F.col("d").alias("alert_date"), F.col("n").cast("double").alias("value"),
                              (F.col("avg7") * spike_factor).alias("threshold"),

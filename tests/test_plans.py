@@ -41,3 +41,24 @@ def test_scan_pruning_and_pushdown(spark):
     assert "c_nationkey" not in plan.split("ReadSchema")[1].split("\n")[0]
     o = E.queries()["funnel"](spark, SF_SMALL)
     assert "PushedFilters" in _plan(o)
+
+
+def test_distinct_counts_duplicate_no_rows(spark):
+    assert "Expand" not in _plan(E.queries()["supplier_activity"](spark, SF_SMALL))
+
+
+def test_spike_alert_reads_eight_days_and_equals_the_long_way(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+    from strata.plans import monitor
+    day = dt.date(2024, 1, 30)
+    made = [(t, day - dt.timedelta(days=d), n) for t, counts in {"a": [9, 1, 2, 0, 3], "b": [3, 1, 1, 1], "c": [5], "d": [0, 4], "e": [7] + [0] * 8 + [1]}.items()
+            for d, n in enumerate(counts)] + [("a", day + dt.timedelta(days=1), 50), ("a", day - dt.timedelta(days=8), 500)]
+    q = spark.createDataFrame([(t, dt.datetime.combine(d, dt.time(5)), d) for t, d, n in made for _ in range(n)],
+                              "source_table string, created_at timestamp, run_date date")
+    m = spark.createDataFrame([], "start_time timestamp, error_rate double, duration_sec double, source_table string, run_id string")
+    alerts = monitor.health(m, None, q, 0.1, day)
+    assert [(r.subject, r.value, r.threshold) for r in alerts.collect()] == [("a", 9.0, 6.0)]  # days without rows are no days
+    stored = monitor.health(m, None, q.where(F.col("run_date").isNotNull()), 0.1, day)
+    assert "Window" not in _plan(stored)
