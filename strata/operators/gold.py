@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.search import count_at_most
+
 AGG_FUNCS = ("count", "count_distinct", "sum", "avg", "min", "max")
 
 
@@ -78,14 +80,7 @@ def interval_index(dim: DataFrame, key: str, sk: str, valid_from: str = "valid_f
 
 def version_at(versions: Column, t: Column) -> Column:
     """The version with the last start at or before ``t`` if it is still valid then, else null: a binary search."""
-    n = F.size(versions)
-    # the number of starts at or before t lies between lo and hi; each step halves the gap
-    found = F.aggregate(
-        F.sequence(F.lit(1), F.length(F.bin(n))), F.struct(F.lit(0).alias("lo"), n.alias("hi")),
-        lambda s, _: F.when(F.get(versions, F.shiftright(s["lo"] + s["hi"], 1))["from"] <= t,
-                            F.struct((F.shiftright(s["lo"] + s["hi"], 1) + 1).alias("lo"), s["hi"].alias("hi")))
-        .otherwise(F.struct(s["lo"].alias("lo"), F.shiftright(s["lo"] + s["hi"], 1).alias("hi"))),
-        lambda s: F.get(versions, s["lo"] - 1))
+    found = count_at_most(F.size(versions), lambda i: F.get(versions, i)["from"], t, lambda n: F.get(versions, n - 1))
     return F.when(t < found["to"], found)
 
 

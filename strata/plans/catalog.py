@@ -679,6 +679,20 @@ def q_copy_append_retry(spark, sf):
 O_COPY_APPEND_RETRY = """SELECT o_orderkey, o_custkey, o_orderstatus, 2 * count(*) AS copies FROM orders GROUP BY ALL"""
 
 
+def q_layout_zorder(spark, sf):
+    """A copy published in interleaved order of customer and date, read back (tests measure what filters read)."""
+    target = _folder(spark, "orders_z")
+    rule = {"columns": ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"], "cluster_by": ["o_custkey", "o_orderdate"]}
+    entry = ConfigEntry("copy_orders_z", "orders", "orders_z", "silver", "simple_copy", rule)
+    done = jobs.run_config(spark, [entry], lambda n: D.table(spark, sf, n), lambda n: target, RUN)
+    if done[0]["status"] != "succeeded":
+        raise RuntimeError(done[0]["error"])
+    return io.read_current(spark, target)
+
+
+O_LAYOUT_ZORDER = """SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders"""
+
+
 def q_scd2_close_all_reopen(spark, sf):
     """Snapshot 1, an empty snapshot that closes every row, then snapshot 2: all of its keys open anew."""
     target = _folder(spark, "dim")
@@ -1305,6 +1319,7 @@ QUERIES = {
     "scd2_current": (q_scd2_current, O_SCD2_CURRENT),
     "scd2_account": (q_scd2_account, O_SCD2_ACCOUNT),
     "dq_run_metrics": (q_dq_run_metrics, O_DQ_RUN_METRICS),
+    "layout_zorder": (q_layout_zorder, O_LAYOUT_ZORDER),
     "copy_append_retry": (q_copy_append_retry, O_COPY_APPEND_RETRY),
     "scd2_close_all_reopen": (q_scd2_close_all_reopen, O_SCD2_CLOSE_ALL_REOPEN),
     "purge_roundtrip": (q_purge_roundtrip, O_PURGE_ROUNDTRIP),

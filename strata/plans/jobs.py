@@ -123,7 +123,8 @@ def run_dq(spark: SparkSession, bronze: DataFrame, rule: dict, source_table: str
         f.quarantine.write.format("noop").mode("overwrite").save()
     stats = obs_in.get
     obs_out = Observation("dq_out")
-    io.publish(spark, f.silver.observe(obs_out, F.count(F.lit(1)).alias("written")), target, run.run_id)
+    io.publish(spark, f.silver.observe(obs_out, F.count(F.lit(1)).alias("written")), target, run.run_id,
+               cluster_by=rule.get("cluster_by"))
     written = obs_out.get["written"]
     end = datetime.now(timezone.utc).replace(tzinfo=None)
     out = {"records_read": stats["read"], "records_failed": stats["failed"], "records_rejected": stats["rejected"],
@@ -268,7 +269,7 @@ def _run_configs(spark, configs, resolve_source, resolve_target, run, quarantine
                 if e.rule.get("write_mode", "overwrite") == "append":
                     io.append(df, tgt, part=f"{run.run_id}__{e.config_id}", run_date=run.run_ts)  # a retry replaces its rows
                 else:
-                    io.publish(spark, df, tgt, run.run_id)
+                    io.publish(spark, df, tgt, run.run_id, cluster_by=e.rule.get("cluster_by"))
                 out = {}
             elif e.rule_type == "aggregate":
                 io.publish(spark, aggregate_rule(src, e.rule), tgt, run.run_id)

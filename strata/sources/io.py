@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from strata.operators import zorder
 from strata.sources.schemas import SERVICE_TABLES, conform
 
 POINTER = "_CURRENT"
@@ -109,9 +110,10 @@ def publish(spark: SparkSession, df: DataFrame, table: str, run_id: str,
     """Write ``df`` as version ``run_id`` of ``table`` and make it current.
 
     Never overwrites what it reads: a job that reads version A writes B.
-    ``cluster_by`` range-clusters the rows on write (see ``layout``)."""
+    ``cluster_by`` clusters the rows on write: by range for one column (``layout``), by interleaved ranks for several
+    (``zorder``)."""
     if cluster_by:
-        df = layout(df, cluster_by)
+        df = layout(df, cluster_by) if len(cluster_by) == 1 else zorder.cluster(df, cluster_by)
     path = write_version(spark, df, table, run_id)
     set_current(spark, table, run_id)
     return path
