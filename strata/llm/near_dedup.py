@@ -15,8 +15,10 @@ Method:
 3. Nodes of at most ``limit`` vertices are compared exhaustively by their byte sketches; larger ones
    branch on.  What is still larger after the last level is compared block by block, so nothing is dropped.
 4. A node passes on a spanning forest of its likely pairs, best first.  These are confirmed on the full
-   sets and joined to components; then the nodes are compared again and every likely pair between two
-   components is confirmed as well.  Pairs within one component need no test: they add nothing.
+   sets and joined to components.  Then the nodes are compared again: a vertex that has a likely partner in another
+   component is sent with its full set to a group of its node's open vertices, and the group's task tests every
+   likely pair between two components on the sets themselves.  Only links that join components leave the task, fewer
+   than its vertices; pairs within one component need no test: they add nothing.
 
 Sets are recomputed only for vertices with a likely partner: a bitmap of fixed size picks their
 documents from the table, so the other texts are not shuffled.
@@ -141,22 +143,20 @@ def forest(i: np.ndarray, j: np.ndarray, est: np.ndarray, size: int) -> list[int
     return taken
 
 
+def _sketches(members: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(members.field("bytes").to_pylist()), np.uint8).reshape(-1, BYTES)
+
+
 def comparer(percent: int, cut: float):
-    """Groups of at most two blocks of vertices to pairs: without labels a spanning forest of the likely pairs,
-    with labels every likely pair between two labels."""
+    """Groups of at most two blocks of vertices to a spanning forest of their likely pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = [], []
             for members in batch.column("members"):
                 ms = members.values
                 node, n = ms.field("node").to_numpy(), ms.field("n").to_numpy()
-                sk = np.frombuffer(b"".join(ms.field("bytes").to_pylist()), np.uint8).reshape(-1, BYTES)
-                label = ms.field("label").to_numpy(zero_copy_only=False) if "label" in [f.name for f in ms.type] else None
-                i, j, est = _likely(sk, n, np.arange(len(node)), percent, cut)
-                if label is None:
-                    pick = forest(i, j, est, len(node))
-                else:
-                    pick = np.flatnonzero(label[i] != label[j])
+                i, j, est = _likely(_sketches(ms), n, np.arange(len(node)), percent, cut)
+                pick = forest(i, j, est, len(node))
                 left.append(np.minimum(node[i[pick]], node[j[pick]]))
                 right.append(np.maximum(node[i[pick]], node[j[pick]]))
             yield pa.RecordBatch.from_arrays(
@@ -165,6 +165,75 @@ def comparer(percent: int, cut: float):
     return run
 
 
+def open_vertices(percent: int, cut: float):
+    """Groups with labels to (key, node) of the vertices that have a likely partner with another label."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, nodes = [], []
+            for key, members in zip(batch.column("key").to_pylist(), batch.column("members")):
+                ms = members.values
+                node, n, label = (ms.field(c).to_numpy() for c in ("node", "n", "label"))
+                i, j, _ = _likely(_sketches(ms), n, np.arange(len(node)), percent, cut)
+                apart = label[i] != label[j]
+                nodes.append(node[np.union1d(i[apart], j[apart])])
+                keys.append(np.full(len(nodes[-1]), key, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64()) for x in (keys, nodes)], names=["key", "node"])
+
+    return run
+
+
+def _joining_links(sk: np.ndarray, n: np.ndarray, label: np.ndarray, sets: list[np.ndarray], percent: int,
+                   cut: float) -> list[tuple[int, int]]:
+    """Linked pairs that join the labels' components; every likely pair between two components is tested on the sets
+    (as local numbers), so the links left out join nothing."""
+    label, out = label.copy(), []
+    mark = np.zeros(max(int(s.max()) for s in sets) + 1, bool)
+    for a in range(len(sets) - 1):
+        _, j, _ = _likely(sk[a:], n[a:], np.zeros(1, int), percent, cut)
+        j = j + a
+        j = j[label[j] != label[a]]
+        if not len(j):
+            continue
+        mark[sets[a]] = True
+        hits = mark[np.concatenate([sets[b] for b in j])]
+        mark[sets[a]] = False
+        common = np.add.reduceat(hits, np.concatenate([[0], np.cumsum(n[j])[:-1]]), dtype=np.int64)
+        for b in j[100 * common >= percent * (n[a] + n[j] - common)]:
+            if label[a] != label[b]:
+                out.append((a, int(b)))
+                label[label == label[b]] = label[a]
+    return out
+
+
+def verifier(percent: int, cut: float):
+    """Groups of open vertices with labels and full sets to links (a, b) between components, fewer than the vertices."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = [], []
+            for members in batch.column("members"):
+                ms = members.values
+                node, n, label = (ms.field(c).to_numpy() for c in ("node", "n", "label"))
+                local = np.unique(ms.field("shingles").flatten().to_numpy(), return_inverse=True)[1]
+                sets = np.split(local, np.cumsum(n)[:-1])
+                for a, b in _joining_links(_sketches(ms), n, label, sets, percent, cut):
+                    left.append(min(node[a], node[b]))
+                    right.append(max(node[a], node[b]))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (left, right)], names=["a", "b"])
+
+    return run
+
+
+def in_blocks(rows: DataFrame, size, limit: int) -> DataFrame:
+    """(key, node) with every key of more than ``limit`` of ``size`` dealt to blocks of its members, each of which
+    meets every other block of the key: no pair is lost and no group holds more than about two blocks."""
+    blocks = F.ceil(size / limit).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    dealt = (rows.withColumn("blocks", blocks).withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    return dealt.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node")
+
+
 def tree_nodes(vertices: DataFrame, trees: int, limit: int) -> DataFrame:
     """(key, node): the vertices of every node to compare; no key has more than 2 * ``limit`` rows."""
     def child(level: int, tree, parent=None):
@@ -188,11 +257,7 @@ def tree_nodes(vertices: DataFrame, trees: int, limit: int) -> DataFrame:
             rows = (large.join(vertices.select("node", "coords"), "node")
                     .select("node", child(level + 1, F.col("tree"), F.col("key")).alias("c")).select("node", "c.tree", "c.key"))
         else:  # every block of members meets every other block
-            blocks = F.ceil(F.col("size") / limit).cast("int")
-            own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-            other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-            done.append(large.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", other)
-                        .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node"))
+            done.append(in_blocks(large, F.col("size"), limit))
     return reduce(DataFrame.unionByName, done)
 
 
@@ -208,8 +273,9 @@ def marked_slots(ids: DataFrame, slot, log2_bits: int) -> bytes:
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 85,
                  trees: int = 4, limit: int = 2048, margin: float = 0.06, slice_bytes: int = 1 << 20,
-                 log2_bits: int = 26) -> DataFrame:
-    """One row per document row: doc_id, text_md5, n_shingles, component_id, kept."""
+                 log2_bits: int = 26, set_limit: int = 1 << 20) -> DataFrame:
+    """One row per document row: doc_id, text_md5, n_shingles, component_id, kept.  ``set_limit`` shingles make a block
+    of the second pass."""
     if not 1 <= trees <= TREES:
         raise ValueError(f"trees: 1 to {TREES}")
     spark = docs.sparkSession
@@ -226,18 +292,13 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     discard(sketches)
     nodes = materialize(tree_nodes(vertices, trees, limit), "near-nodes")
 
-    def groups(labels: DataFrame | None = None) -> DataFrame:
-        members = nodes.join(vertices.select("node", "n", "bytes"), "node")
-        fields = ["node", "n", "bytes"]
-        if labels is not None:
-            members = members.join(labels, "node")  # a vertex without links of any kind has no label here and needs none
-            fields.append("label")
-        grouped = members.groupBy("key").agg(F.collect_list(F.struct(*fields)).alias("members"),
-                                             *([F.min("label").alias("lo"), F.max("label").alias("hi")] if labels is not None else []))
-        return (grouped.where("lo < hi") if labels is not None else grouped.where(F.size("members") > 1)).select("members")
+    def groups(rows: DataFrame, fields: list[str]) -> DataFrame:
+        return (rows.groupBy("key").agg(F.collect_list(F.struct(*fields)).alias("members"))
+                .where(F.size("members") > 1))
 
+    sketched = nodes.join(vertices.select("node", "n", "bytes"), "node")
     likely = percent / 100 - margin
-    first = materialize(groups().mapInArrow(comparer(percent, likely), "a long, b long").distinct(), "near-first")
+    first = materialize(groups(sketched, ["node", "n", "bytes"]).select("members").mapInArrow(comparer(percent, likely), "a long, b long").distinct(), "near-first")
     touched = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = materialize(vertices.select("node", "rep", F.col("digest").alias("own")).join(touched, "node"), "near-touched")
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << log2_bits))
@@ -256,9 +317,15 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = components(links)
     labels = materialize(wanted.select("node").join(found, "node", "left")
                          .select("node", F.coalesce("label", "node").alias("label")), "near-labels")
-    second = materialize(groups(labels).mapInArrow(comparer(percent, likely), "a long, b long").distinct()
-                         .join(first, ["a", "b"], "left_anti"), "near-second")
-    more = materialize(confirmed(second), "near-more")
+    # a vertex without links of any kind has no label and needs none
+    several = sketched.join(labels, "node")
+    apart = groups(several, ["node", "n", "bytes", "label"]).where(F.array_min("members.label") < F.array_max("members.label"))
+    waiting = materialize(apart.mapInArrow(open_vertices(percent, likely), "key long, node long"), "near-open")
+    shingles = waiting.join(vertices.select("node", "n"), "node").groupBy("key").agg(F.sum("n").alias("size"))
+    dealt = (in_blocks(waiting.join(shingles, "key"), F.col("size"), set_limit).join(vertices.select("node", "n", "bytes"), "node")
+             .join(labels, "node").join(sets, "node"))
+    more = materialize(groups(dealt, ["node", "n", "bytes", "label", "shingles"]).select("members")
+                       .mapInArrow(verifier(percent, likely), "a long, b long").distinct(), "near-more")
     if not more.isEmpty():
         found = components(links.unionByName(more))
     named = materialize(vertices.select("node", "digest", "rep"), "near-names")

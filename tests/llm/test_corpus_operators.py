@@ -187,6 +187,39 @@ def test_near_dedup_dense_group(spark):
         assert {r["doc_id"]: r["component_id"] for r in near_classes(docs, limit=limit).collect()} == want
 
 
+def test_near_dedup_second_pass_tests_all_pairs_and_passes_on_a_forest(spark):
+    """Vertices of several labels: the links that leave a group are a forest whose components are those of all
+    linked pairs; the operator finds the same with blocks of a few sets."""
+    from strata.llm.near_dedup import _joining_links, near_classes, sketch
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 62, 200).astype(np.uint64)
+    raw = [np.unique(np.concatenate([rng.permutation(base)[:188], rng.integers(0, 1 << 62, 6).astype(np.uint64)])) for _ in range(60)]
+    n = np.array([len(s) for s in raw])
+    local = np.split(np.unique(np.concatenate(raw), return_inverse=True)[1], np.cumsum(n)[:-1])
+    sk = np.stack([sketch(s)[1] for s in raw])
+    for percent in (84, 85, 86, 88):
+        want = {(a, b) for a in range(60) for b in range(a) if 100 * (c := len(np.intersect1d(raw[a], raw[b]))) >= percent * (n[a] + n[b] - c)}
+
+        def classes(pairs):
+            label = np.arange(60)
+            for a, b in pairs:
+                label[label == label[a]] = label[b]
+            return {frozenset(np.flatnonzero(label == x).tolist()) for x in label}
+
+        got = _joining_links(sk, n, np.arange(60), local, percent, percent / 100 - 0.09)
+        assert classes(got) == classes(want)
+        assert len(got) == 60 - len(classes(got))
+    rows = []
+    for d in range(80):
+        words = [f"w{i}" for i in range(150)]
+        for j in rng.choice(150, rng.integers(1, 5), replace=False):
+            words[j] = f"c{d}x{j}"
+        rows.append((d, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = {rows[k][0]: comp for k, (_, comp) in _components(rows).items()}
+    assert {r["doc_id"]: r["component_id"] for r in near_classes(docs, set_limit=1500).collect()} == want
+
+
 def test_near_dedup_stage_links_from_80_percent(spark, tmp_path):
     """Copies with two scattered words changed in 120 (0.84), and a dense group against brute force at 80."""
     from strata.llm.near_dedup import near_classes
