@@ -16,11 +16,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.hashing import row_hash
+from strata.operators import segments
 from strata.operators.keys import assign_dense
 from strata.session import checkpoint_dir
 
@@ -208,15 +209,13 @@ def check_overlap(dim: DataFrame, spec: ScdSpec) -> DataFrame:
     """Versions that overlap an earlier version of their key.
 
     A running max of ``valid_to`` over the earlier rows (by valid_from) finds
-    containment that a plain ``lag`` misses, without a self-join.  The window
-    is per key; hot keys (many versions) spread over the window's sort, no
-    pairs are emitted."""
-    k = spec.business_key
-    w = (Window.partitionBy(k).orderBy(F.col(spec.valid_from), F.col(spec.surrogate_key))
-         .rowsBetween(Window.unboundedPreceding, -1))
-    prev_to = F.max(spec.valid_to).over(w)
-    return (dim.select(k, spec.surrogate_key, spec.valid_from, spec.valid_to, prev_to.alias("prev_max_valid_to"))
-            .filter(F.col("prev_max_valid_to") > F.col(spec.valid_from)))
+    containment that a plain ``lag`` misses, without a self-join; a key with any share of the versions spans
+    several partitions (``segments``)."""
+    k, sk, vf, vt = spec.business_key, spec.surrogate_key, spec.valid_from, spec.valid_to
+    laid = segments.lay_out(dim.select(k, sk, vf, vt), k, [vf, sk])
+    seen = segments.neighbours(laid, k, [vf, sk], top=[vt])
+    return (seen.filter(F.col(f"__top_{vt}") > F.col(vf))
+            .select(k, sk, vf, vt, F.col(f"__top_{vt}").alias("prev_max_valid_to")))
 
 
 def check_dates(dim: DataFrame, spec: ScdSpec) -> DataFrame:
@@ -267,13 +266,13 @@ def change_counts(dim: DataFrame, spec: ScdSpec, start, end, grain: str = "month
 
 
 def transitions(dim: DataFrame, spec: ScdSpec, attr: str) -> DataFrame:
-    """Each version change of ``attr``: key, old value, new value, when."""
-    k = spec.business_key
-    w = Window.partitionBy(k).orderBy(spec.valid_from, spec.surrogate_key)
-    return (dim.select(k, spec.valid_from, F.lag(attr).over(w).alias("old_value"), F.col(attr).alias("new_value"),
-                       F.row_number().over(w).alias("_v"))
-            .filter((F.col("_v") > 1) & ~F.col("old_value").eqNullSafe(F.col("new_value")))
-            .select(k, F.col(spec.valid_from).alias("changed_at"), "old_value", "new_value"))
+    """Each version change of ``attr``: key, old value, new value, when (keys of any size)."""
+    k, vf, sk = spec.business_key, spec.valid_from, spec.surrogate_key
+    laid = segments.lay_out(dim.select(k, vf, sk, F.col(attr).alias("new_value")), k, [vf, sk])
+    seen = segments.neighbours(laid, k, [vf, sk], previous=["new_value"])
+    old = F.col("__prev_new_value")
+    return (seen.filter(~F.col(segments.FIRST) & ~old.eqNullSafe(F.col("new_value")))
+            .select(k, F.col(vf).alias("changed_at"), old.alias("old_value"), "new_value"))
 
 
 def totals(dim: DataFrame, spec: ScdSpec) -> DataFrame:
@@ -289,79 +288,28 @@ def latest(dim: DataFrame, spec: ScdSpec, n: int = 5, closed: bool = False) -> D
     return dim.filter(F.col(spec.is_current)).orderBy(F.desc(spec.valid_from), spec.business_key).limit(n)
 
 
-MAX_GROUP_ROWS = 2_000_000  # rows one task may hold for one key before the key is split
-
-
 def from_changes(changes: DataFrame, spec: ScdSpec, ts_col: str, start_sk: int = 0,
-                 partitions: int | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                 partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
     """Type-2 history from a change log (one row per key and change time).
 
     Consecutive rows of a key with equal tracked values collapse into one
     version; a version is valid from its first row's time to the next
-    version's.  One aggregate (partial, so cheap) finds the largest key:
-    if every key fits ``max_group_rows``, ``lag``/``lead`` run per key after
-    one shuffle; otherwise the segmented path splits the large keys.
+    version's.  One path for keys of any size: the log is laid out by (key, time) once (``segments``), the rows that
+    start a version are kept, and their successors found on the same layout.
+    ``max_group_rows`` is kept for callers and has no effect.
     """
     k, h, vf = spec.business_key, spec.hash_value, spec.valid_from
     tt = _time_type(changes, ts_col)
     p = (changes.filter(F.col(k).isNotNull())
          .select(*spec.payload, F.col(ts_col).cast(tt).alias(vf),
                  row_hash(spec.tracked, spec.hash_mode).alias(h)))
-    p = p.persist()  # read by the size check and by the versions (unpersisted once keyed)
-    try:
-        biggest = p.groupBy(k).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-        if biggest > max_group_rows:
-            v = _versions_segmented(p, spec, partitions)
-        else:
-            w = Window.partitionBy(k).orderBy(vf, h)
-            kept = p.withColumn("_prev", F.lag(h).over(w)).filter(
-                F.col("_prev").isNull() | (F.col("_prev") != F.col(h)))
-            nxt = F.lead(vf).over(w)
-            v = kept.select(*spec.payload, h, vf, F.coalesce(nxt, end_of_time(tt)).alias(spec.valid_to),
-                            nxt.isNull().alias(spec.is_current))
-        # keys by (valid_from, key, hash): total, so same-instant versions of a key number the same way
-        return assign_dense(v, [vf, k, h], spec.surrogate_key, start_sk).select(*spec.columns)
-    finally:
-        p.unpersist()
-
-
-def _versions_segmented(p: DataFrame, spec: ScdSpec, partitions: int | None) -> DataFrame:
-    """Skew-safe version rows: the log is range-partitioned on (key, time),
-    so Spark's sampled bounds cut a large key into several partitions, and the
-    layout is fixed by a reliable checkpoint.  ``lag``/``lead`` run inside
-    (partition, key) groups, never larger than a partition; the partition
-    seams are stitched with each partition's last row (at most n rows to the
-    driver) and each key's next kept start in a later partition (one row per
-    key and partition it spans)."""
-    k, h, vf = spec.business_key, spec.hash_value, spec.valid_from
-    spark = p.sparkSession
-    n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    checkpoint_dir(spark)
-    order = [F.col(k), F.col(vf), F.col(h)]
-    laid = (p.repartitionByRange(n, *order).sortWithinPartitions(*order)
-            .withColumn("_p", F.spark_partition_id()).checkpoint(eager=True))
-    ends = {r["_p"]: (r["last"][k], r["last"][h]) for r in laid.groupBy("_p").agg(
-        F.max_by(F.struct(F.col(k), F.col(h)), F.struct(*order)).alias("last")).collect()}
-    carry_k, carry_h, prev = [], [], (None, None)
-    for part in range(max(ends) + 1 if ends else 0):
-        carry_k.append(prev[0])
-        carry_h.append(prev[1])
-        if part in ends:
-            prev = ends[part]
-
-    def at(values: list) -> Column:
-        arr = F.array(*[F.lit(v).cast("string") for v in values] or [F.lit(None).cast("string")])
-        return F.element_at(arr, F.col("_p") + 1)
-
-    seg = Window.partitionBy("_p", k).orderBy(vf, h)
-    seam = F.when(at(carry_k) == F.col(k).cast("string"), at(carry_h))
-    prev_h = F.coalesce(F.lag(h).over(seg), seam)
-    kept = laid.withColumn("_prev", prev_h).filter(F.col("_prev").isNull() | (F.col("_prev") != F.col(h)))
-    firsts = kept.groupBy("_p", k).agg(F.min(vf).alias("_first"))
-    follow = firsts.select("_p", k, F.lead("_first").over(Window.partitionBy(k).orderBy("_p")).alias("_follow"))
-    nxt = F.lead(vf).over(seg)
-    tt = p.schema[vf].dataType
-    return (kept.select("*", nxt.alias("_next")).join(follow, ["_p", k], "left")
-            .withColumn("_end", F.coalesce("_next", "_follow"))
-            .select(*spec.payload, h, vf, F.coalesce(F.col("_end"), end_of_time(tt)).alias(spec.valid_to),
-                    F.col("_end").isNull().alias(spec.is_current)))
+    order = [vf, h]
+    laid = segments.lay_out(p, k, order, partitions)
+    kept = (segments.neighbours(laid, k, order, previous=[h])
+            .filter(F.col(segments.FIRST) | (F.col(f"__prev_{h}") != F.col(h)))
+            .select(*laid.columns).checkpoint(eager=True))
+    nxt = F.col(f"__next_{vf}")
+    v = segments.neighbours(kept, k, order, following=[vf]).select(
+        *spec.payload, h, vf, F.coalesce(nxt, end_of_time(tt)).alias(spec.valid_to), nxt.isNull().alias(spec.is_current))
+    # keys by (valid_from, key, hash): total, so same-instant versions of a key number the same way
+    return assign_dense(v, [vf, k, h], spec.surrogate_key, start_sk).select(*spec.columns)

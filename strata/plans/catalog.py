@@ -657,6 +657,42 @@ SELECT contactid, emailaddress1, mobilephone, firstname, surname, contact_sk, ha
   valid_to_ts IS NULL AS is_current FROM hist"""
 
 
+LOG_SPEC = scd2.ScdSpec("k", ["status"], [], "sk")
+
+
+def _order_log(spark, sf) -> DataFrame:
+    """Every order as a version of its customer; the orders divisible by three belong to one hot key."""
+    o = D.table(spark, sf, "orders")
+    return o.select(
+        F.when(F.col("o_orderkey") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("o_custkey").cast("string"))).alias("k"),
+        F.col("o_orderkey").cast("long").alias("sk"), F.col("o_orderdate").cast("date").alias("valid_from"),
+        F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 90).cast("int")).alias("valid_to"),
+        F.col("o_orderpriority").alias("status"))
+
+
+D_ORDER_LOG = """log AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'hot' ELSE 'c' || CAST(o_custkey AS VARCHAR) END AS k,
+    CAST(o_orderkey AS BIGINT) AS sk, CAST(o_orderdate AS DATE) AS valid_from,
+    CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 90 AS INTEGER) AS DATE) AS valid_to, o_orderpriority AS status FROM orders)"""
+
+
+def q_scd2_overlap_hot(spark, sf):
+    return scd2.check_overlap(_order_log(spark, sf), LOG_SPEC)
+
+
+O_SCD2_OVERLAP_HOT = f"""WITH {D_ORDER_LOG}
+SELECT k, sk, valid_from, valid_to, prev_max_valid_to FROM (SELECT *, max(valid_to) OVER (PARTITION BY k ORDER BY valid_from, sk
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max_valid_to FROM log) WHERE prev_max_valid_to > valid_from"""
+
+
+def q_scd2_transitions_hot(spark, sf):
+    return scd2.transitions(_order_log(spark, sf), LOG_SPEC, "status")
+
+
+O_SCD2_TRANSITIONS_HOT = f"""WITH {D_ORDER_LOG}
+SELECT k, changed_at, old_value, new_value FROM (SELECT k, valid_from AS changed_at, lag(status) OVER w AS old_value, status AS new_value,
+  row_number() OVER w AS v FROM log WINDOW w AS (PARTITION BY k ORDER BY valid_from, sk)) WHERE v > 1 AND old_value IS DISTINCT FROM new_value"""
+
+
 # ============================================================================ stored tables: jobs that write and read back
 
 
@@ -1310,6 +1346,8 @@ QUERIES = {
     "scd2_period_counts": (q_scd2_period_counts, O_SCD2_PERIOD_COUNTS),
     "scd2_checks": (q_scd2_checks, O_SCD2_CHECKS),
     "scd2_from_changes": (q_scd2_from_changes, O_SCD2_FROM_CHANGES),
+    "scd2_overlap_hot": (q_scd2_overlap_hot, O_SCD2_OVERLAP_HOT),
+    "scd2_transitions_hot": (q_scd2_transitions_hot, O_SCD2_TRANSITIONS_HOT),
     "surrogate_keys": (q_surrogate_keys, O_SURROGATE_KEYS),
     "fact_lookup": (q_fact_lookup, O_FACT_LOOKUP),
     "date_order": (q_date_order, O_DATE_ORDER),
