@@ -33,18 +33,18 @@ def error_message(rules: list[Rule]) -> Column:
 
 
 def build(invalid: DataFrame, rules: list[Rule], source_table: str, run_id: str, run_ts,
-          record_columns: list[str] | None = None, with_id: bool = True) -> DataFrame:
+          record_columns: list[str] | None = None, with_id: bool = True, keep_nulls: bool = False) -> DataFrame:
     """Quarantine rows in the ``quarantine_records`` layout.
 
     ``raw_record`` is the JSON of ``record_columns`` (all non-helper columns by
-    default); ``to_json`` omits null fields.  ``created_at`` is the run's
+    default); null fields are left out unless ``keep_nulls``.  ``created_at`` is the run's
     timestamp, passed in, so every record of a run carries the same instant.
     The id is an md5 of run, table, record and the row's number among equal
     records: unique within a run, and the same however the rows are partitioned.
     """
     helpers = {r.flag for r in rules} | {"_is_valid", "_is_rejected", "_dq_flags", "_dq_score", "_dq_failed"}
     cols = record_columns or [c for c in invalid.columns if c not in helpers]
-    raw = F.to_json(F.struct(*[F.col(c) for c in cols]))
+    raw = F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": str(not keep_nulls).lower()})
     out = invalid.select(
         F.lit(source_table).alias("source_table"),
         F.lit(run_id).alias("pipeline_run_id"),

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from strata.functions import cleaning, validators
 from strata.functions.hashing import row_hash
-from strata.operators import compare, dedup, gold, quarantine, rules as R, scd2, whitelist
+from strata.operators import compare, dedup, gold, quarantine, repair, rules as R, scd2, whitelist
 from strata.operators.keys import assign_dense
 from strata.plans import jobs, monitor
 from strata.sources import derived as D
@@ -438,6 +438,52 @@ SELECT contactid, firstname, surname, emailaddress1, mobilephone FROM f
 WHERE {_d_email('emailaddress1')} AND {_d_phone('mobilephone')} AND {_d_nb('firstname')} AND {_d_nb('surname')}"""
 
 
+REPAIRS = {
+    "contact": repair.TableRepair(CONTACT_RULES, REPAIR_FIXES),
+    "account": repair.TableRepair(seed_rule("account_bronze_silver_dq")["validations"], {
+        "emailaddress1": [("^kontakt@firma$", "kontakt@firma.de")], "hs_partner_level": [("^None$", "Bronze")]}),
+    "hs_course": repair.TableRepair(seed_rule("hs_course_bronze_silver_dq")["validations"], {
+        "hs_coursestatus": [("^Pending$", "Planned")]}, {"hs_startdate": "timestamp_ntz", "hs_enddate": "timestamp_ntz"}),
+}
+
+
+def q_quarantine_repair_all(spark, sf):
+    """The quarantine of contacts, accounts and courses, repaired in one pass."""
+    q = None
+    for table, bronze, cols in (("contact", D.bronze_contact, CONTACT_RECORD_COLUMNS), ("account", D.bronze_account, None),
+                                ("hs_course", D.bronze_course, None)):
+        rules = R.compile_rules(REPAIRS[table].validations)
+        bad = R.split(R.evaluate(bronze(spark, sf), rules))[1]
+        rows = quarantine.build(bad, rules, table, RUN.run_id, RUN.run_ts, cols, keep_nulls=True)
+        q = rows if q is None else q.unionByName(rows)
+    out = repair.repair_all(q, REPAIRS, RUN.run_ts)
+    raw, done = F.col("raw_record"), F.col("repaired_record")
+    ids = F.coalesce(*[F.get_json_object(raw, f"$.{c}") for c in ("contactid", "accountid", "hs_courseid")])
+    return out.select("source_table", ids.alias("record_id"), "status", "resolved_by",
+                      *[F.get_json_object(done, f"$.{c}").alias(c) for c in ("emailaddress1", "hs_partner_level", "hs_coursestatus")],
+                      F.when(done.isNotNull(), F.size(F.json_object_keys(done))).alias("n_fields"))
+
+
+O_QUARANTINE_REPAIR_ALL = f"""WITH
+  contacts AS (WITH {D_QUARANTINE} SELECT contactid, mobilephone, firstname, surname,
+    regexp_replace(regexp_replace(emailaddress1, '@@', '@', 'g'), '^[\\t\\n\\x0b\\f\\r ]+', '', 'g') AS mail FROM q),
+  accounts AS (WITH {D_ACCOUNT_EVAL} SELECT accountid, name_ok,
+    CASE WHEN emailaddress1 = 'kontakt@firma' THEN 'kontakt@firma.de' ELSE emailaddress1 END AS mail,
+    CASE WHEN hs_partner_level = 'None' THEN 'Bronze' ELSE hs_partner_level END AS lev
+    FROM v WHERE NOT (name_ok AND hs_partner_level_ok AND emailaddress1_ok)),
+  courses AS (WITH {D_COURSE_EVAL} SELECT hs_courseid, hs_name_ok AND hs_startdate_ok AND hs_enddate_ok AND date_logic_check_ok AS ok,
+    CASE WHEN hs_coursestatus = 'Pending' THEN 'Planned' ELSE hs_coursestatus END AS cs
+    FROM v WHERE NOT (hs_name_ok AND hs_startdate_ok AND hs_enddate_ok AND date_logic_check_ok AND hs_coursestatus_ok)),
+  r AS (SELECT 'contact' AS source_table, contactid AS record_id, mail, NULL AS lev, NULL AS cs, {len(CONTACT_RECORD_COLUMNS)} AS n,
+      {_d_email('mail')} AND {_d_phone('mobilephone')} AND {_d_nb('firstname')} AND {_d_nb('surname')} AS ok FROM contacts
+    UNION ALL SELECT 'account', accountid, mail, lev, NULL, 10, name_ok AND coalesce(lev IN ('Bronze', 'Silver', 'Gold', 'Platinum'), true)
+      AND (coalesce(mail, '') = '' OR regexp_matches(mail, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{{2,}}$')) FROM accounts
+    UNION ALL SELECT 'hs_course', hs_courseid, NULL, NULL, cs, 9, ok AND coalesce(cs IN ('Planned', 'Active', 'Completed', 'Cancelled'), true) FROM courses)
+SELECT source_table, record_id, CASE WHEN ok THEN 'fixed' ELSE 'new' END AS status, CASE WHEN ok THEN 'repair' END AS resolved_by,
+  CASE WHEN ok THEN mail END AS emailaddress1, CASE WHEN ok THEN lev END AS hs_partner_level, CASE WHEN ok THEN cs END AS hs_coursestatus,
+  CASE WHEN ok THEN CAST(n AS INTEGER) END AS n_fields FROM r"""
+
+
 # ============================================================================ F: hashing and type-2 history
 
 def q_row_hash(spark, sf):
@@ -1335,6 +1381,7 @@ QUERIES = {
     "quarantine_by_type": (q_quarantine_by_type, O_QUARANTINE_BY_TYPE),
     "quarantine_by_message": (q_quarantine_by_message, O_QUARANTINE_BY_MESSAGE),
     "quarantine_repair": (q_quarantine_repair, O_QUARANTINE_REPAIR),
+    "quarantine_repair_all": (q_quarantine_repair_all, O_QUARANTINE_REPAIR_ALL),
     "row_hash": (q_row_hash, O_ROW_HASH),
     "scd2_initial": (q_scd2_initial, _d_dim_out(1)),
     "scd2_merge": (q_scd2_merge, _d_dim_out(2)),
