@@ -477,7 +477,7 @@ O_QUARANTINE_REPAIR_ALL = f"""WITH
   r AS (SELECT 'contact' AS source_table, contactid AS record_id, mail, NULL AS lev, NULL AS cs, {len(CONTACT_RECORD_COLUMNS)} AS n,
       {_d_email('mail')} AND {_d_phone('mobilephone')} AND {_d_nb('firstname')} AND {_d_nb('surname')} AS ok FROM contacts
     UNION ALL SELECT 'account', accountid, mail, lev, NULL, 10, name_ok AND coalesce(lev IN ('Bronze', 'Silver', 'Gold', 'Platinum'), true)
-      AND (coalesce(mail, '') = '' OR regexp_matches(mail, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{{2,}}$')) FROM accounts
+      AND (coalesce(mail, '') = '' OR regexp_matches(mail, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{{2,}}$')) FROM accounts
     UNION ALL SELECT 'hs_course', hs_courseid, NULL, NULL, cs, 9, ok AND coalesce(cs IN ('Planned', 'Active', 'Completed', 'Cancelled'), true) FROM courses)
 SELECT source_table, record_id, CASE WHEN ok THEN 'fixed' ELSE 'new' END AS status, CASE WHEN ok THEN 'repair' END AS resolved_by,
   CASE WHEN ok THEN mail END AS emailaddress1, CASE WHEN ok THEN lev END AS hs_partner_level, CASE WHEN ok THEN cs END AS hs_coursestatus,
