@@ -28,6 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import byte_slices, discard, materialize, text_or_empty, utf8
 
@@ -285,10 +286,13 @@ def _model(ids, labels, vocabulary, cut, example, tf, common: pa.Table, n_docs:
     return Model(keys, weight, float(np.log(1 + n_docs / least)), number, ids, labels, index, k, prior_weight)
 
 
-def scorer(model, slice_bytes: int):
+def scorer(model, slice_bytes: int, text_col: str = "text"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
         for batch in batches:
+            if "text" not in batch.schema.names:  # carried rows hold their text: it travels once
+                row = batch.column("__row")
+                batch = pa.RecordBatch.from_arrays([batch.column("doc_id"), row.field(text_col), row], names=["doc_id", "text", "__row"])
             for part in byte_slices(batch, "text", slice_bytes):
                 found = m.score_all(utf8(part, "text"))
                 yield pa.RecordBatch.from_arrays(
@@ -309,11 +313,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     model = spark.sparkContext.broadcast(fit(docs, labels, id_col, text_col, folds, fold, max_examples, idf_words,
                                              lift_prior, k, prior_weight, slice_bytes))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(F.col(text_col)).alias("text"),
+    inside = carry and docs.schema[text_col].dataType == T.StringType()
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *([] if inside else [text_or_empty(F.col(text_col)).alias("text")]),
                        *([row] if carry else []))
     schema = "doc_id long, score double, evidence array<struct<doc_id long, cosine double>>"
     if carry:
         schema += f", __row {rows.schema['__row'].dataType.simpleString()}"
-    out = rows.mapInArrow(scorer(model, slice_bytes), schema)
+    out = rows.mapInArrow(scorer(model, slice_bytes, text_col), schema)
     return out.select("doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", *(["__row"] if carry else []))
