@@ -8,15 +8,15 @@ least power of two that no more than ``idf_words`` words reach, so the idf of ra
 there and none is left out.  lift is at least 1: the square of the rate of label 1 among the
 term's examples, shrunk to the rate of all examples by ``lift_prior`` of them, over that rate.
 
-Every text, whole, is a query, compared with all examples: the terms found in many examples as one matrix
-product, the others by their postings.  So the k nearest are exact.  Votes are weighted by
+Every text, whole, is a query over all examples: terms of few examples by their postings, common ones only in
+examples whose block maxima allow them among the k nearest (``BlockMaxIndex``).  So the k nearest are exact.  Votes are weighted by
 1 / (distance + eps) and shrunk to the labels' rate by ``prior_weight`` votes; a text that shares no term
 with an example gets that rate.  Evidence: the nearest example ids with their cosines.  Ties go to
 the smaller text digest.  Terms are told apart by a 64-bit hash.
 
 Defined cases: null or empty text gets the base rate.  Null ids or labels are no examples; an id
 with several labels has their mean.  Without examples every score is 0.
-Repeated rows are scored each; extra columns are ignored (kept by ``carry``); an empty table gives an empty result.
+Repeated rows are scored each; extra columns are ignored (``carry`` names those to keep); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,10 +25,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.llm.common import byte_slices, discard, materialize, text_or_empty, utf8
 
@@ -80,81 +78,175 @@ def frequency_counter(slice_bytes: int):
 
 
 class BlockMaxIndex:
-    """Unit vectors by term; exact k nearest by cosine.  Terms of more than a share ``dense`` of the vectors are
-    columns of a matrix, the others postings.  The matrix product is in single precision: the k-th largest of the
-    maxima of blocks of ``block`` examples, less ``MARGIN`` for its rounding, bounds the k-th cosine from below, and the
-    examples beyond it are summed again in double precision."""
+    """Unit vectors by term; exact k nearest by cosine.  Postings hold an example and a number into ``values`` (a table of
+    the distinct parts of weights); a weight is ``values[code] * scale[term] / norm[example]``.
 
-    MARGIN = 1e-3
+    Terms of more than a share ``dense`` of the vectors are common: their postings are also rows of a matrix whose
+    examples lie in blocks of ``block``, like beside like (``arrange``).  A query sums its other terms over their
+    postings; the largest weight of each common term in a block then bounds what the block's examples can gain.
+    Only examples whose bound reaches the k-th cosine found so far are summed over the common terms; queries whose bounds leave
+    more than a share ``LOOSE`` of the examples are summed over all of them at once.  Cosines end in double precision."""
 
-    def __init__(self, vectors: list[dict[int, float]], n_terms: int, block: int = 64):
+    MARGIN = 1e-4  # for rounding: bounds are summed in single precision
+    LOOSE = 0.05
+    kind = np.float32  # of the postings' weights
+
+    def __init__(self, vectors: list[dict[int, float]], n_terms: int, block: int = 16):
         triples = [(e, t, w) for e, v in enumerate(vectors) for t, w in v.items()]
         e, t, w = (np.array(x) for x in zip(*triples)) if triples else (np.empty(0), np.empty(0), np.empty(0))
         order = np.lexsort((e, t))
-        self._fill(np.searchsorted(t[order], np.arange(n_terms + 1)), e[order].astype(np.int32), w[order].astype(float), len(vectors), block)
+        values, code = np.unique(w[order].astype(float), return_inverse=True)
+        self._fill(np.searchsorted(t[order], np.arange(n_terms + 1)), e[order].astype(np.int32), code, values,
+                   np.ones(n_terms), np.ones(len(vectors)), block)
+        self.kind = np.float64
 
     @classmethod
-    def of(cls, cut: np.ndarray, example: np.ndarray, weight: np.ndarray, n: int, block: int = 64) -> "BlockMaxIndex":
+    def of(cls, cut: np.ndarray, example: np.ndarray, code: np.ndarray, values: np.ndarray, scale: np.ndarray,
+           norm: np.ndarray, block: int = 16) -> "BlockMaxIndex":
         """Of postings by term: those of term t are from ``cut[t]`` to ``cut[t + 1]``."""
         out = cls.__new__(cls)
-        out._fill(cut, example, weight, n, block)
+        out._fill(cut, example, code, values, scale, norm, block)
         return out
 
-    def _fill(self, cut, example, weight, n, block, dense: float = 0.05):
-        self.cut, self.example, self.weight = cut, example, weight
-        n_terms = len(cut) - 1
-        self.n, self.block = n, block
-        self.common = np.flatnonzero(np.diff(self.cut) > max(dense * n, 64))
+    def _fill(self, cut, example, code, values, scale, norm, block, dense: float = 0.1):
+        self.cut, self.code, self.values, self.scale = cut, code, values, scale
+        n_terms, self.n, self.block = len(cut) - 1, len(norm), block
+        self.common = np.flatnonzero(np.diff(cut) > max(dense * self.n, 64))
         self.column = np.full(n_terms, -1, np.int32)
         self.column[self.common] = np.arange(len(self.common))
-        self._matrix = None
+        # place -> example; postings hold places from here on
+        self.order = self.arrange(example, norm)
+        place = np.empty(self.n, example.dtype)
+        place[self.order] = np.arange(self.n)
+        self.example = place[example] if len(example) else example
+        self.unit = 1 / norm[self.order]
+        self.starts = np.arange(0, self.n, self.block)
+        self._matrix = self._most = self._weight = None
+
+    def _common_weights(self, c: int, example: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = slice(self.cut[self.common[c]], self.cut[self.common[c] + 1])
+        return example[at], (self.values[self.code[at]] * self.scale[self.common[c]] * unit[example[at]]).astype(np.float32)
+
+    def arrange(self, example: np.ndarray, norm: np.ndarray, rounds: int = 4, chunk: int = 1024) -> np.ndarray:
+        """Examples in clusters (k-means of their common terms, from evenly spaced examples), in chunks."""
+        k, width = min(256, self.n // 64), len(self.common)
+        if k < 2 or not width:
+            return np.arange(self.n)
+        own = [self._common_weights(c, example, 1 / norm) for c in range(width)]
+        at = np.concatenate([o[0] for o in own])
+        by_example = np.argsort(at, kind="stable")
+        column = np.repeat(np.arange(width, dtype=np.int32), [len(o[0]) for o in own])[by_example]
+        weight = np.concatenate([o[1] for o in own])[by_example]
+        at = at[by_example].astype(np.int32)
+        del own, by_example
+
+        def rows(lo: int, hi: int) -> np.ndarray:
+            m, (i, j) = np.zeros((hi - lo, width), np.float32), np.searchsorted(at, (lo, hi))
+            m[at[i:j] - lo, column[i:j]] = weight[i:j]
+            return m
+
+        centre = np.concatenate([rows(i, i + 1) for i in np.arange(k) * self.n // k])
+        cluster = np.empty(self.n, np.int32)
+        for _ in range(rounds):
+            total = np.zeros_like(centre)
+            unit = centre / np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-9)
+            for lo in range(0, self.n, chunk):
+                m = rows(lo, min(lo + chunk, self.n))
+                cluster[lo:lo + chunk] = (m @ unit.T).argmax(1)
+                for c in np.unique(cluster[lo:lo + chunk]):
+                    total[c] += m[cluster[lo:lo + chunk] == c].sum(0)
+            centre = total
+        return np.argsort(cluster, kind="stable")
 
     def matrix(self) -> np.ndarray:
-        """Common terms x examples; made where it is used, so that it is not sent along."""
+        """Common terms x places; made where it is used, so that it is not sent along."""
         if self._matrix is None:
             m = np.zeros((len(self.common), self.n), np.float32)
-            for c, t in enumerate(self.common):
-                at = slice(self.cut[t], self.cut[t + 1])
-                m[c, self.example[at]] = self.weight[at]
+            for c in range(len(self.common)):
+                at, w = self._common_weights(c, self.example, self.unit)
+                m[c, at] = w
             self._matrix = m
+            self._weight = np.empty(len(self.code), self.kind)
+            for t in range(0, len(self.scale), 1 << 14):
+                at = slice(self.cut[t], self.cut[min(t + (1 << 14), len(self.scale))])
+                scale = np.repeat(self.scale[t:t + (1 << 14)], np.diff(self.cut[t:t + (1 << 14) + 1]))
+                self._weight[at] = self.values[self.code[at]] * scale * self.unit[self.example[at]]
+            self._most = np.maximum.reduceat(m, self.starts, 1)
         return self._matrix
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_matrix": None}
+        return self.__dict__ | {"_matrix": None, "_most": None, "_weight": None}
 
     def nearest_all(self, query: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int) -> list[list[tuple[int, float]]]:
         """For each of ``n`` queries (query number, term, weight, by query) its (example, cosine), best first; ties to the
         smaller example number; cosine above 0 only."""
         if not self.n:
             return [[] for _ in range(n)]
+        self.matrix()
         column = self.column[term]
         wide = column >= 0
         q = np.zeros((n, len(self.common)))
         q[query[wide], column[wide]] = weight[wide]
-        scores = q.astype(np.float32) @ self.matrix()
+        gain = q.astype(np.float32) @ self._most
         query, term, weight = query[~wide], term[~wide], weight[~wide]
         first = np.searchsorted(query, np.arange(n + 1))
         lo, hi = self.cut[term], self.cut[term + 1]
-        out = []
+        out, loose = [], {}
         for i in range(n):
-            rest, at = np.zeros(self.n), range(first[i], first[i + 1])
-            if len(at):
-                size = hi[at.start:at.stop] - lo[at.start:at.stop]
-                w = np.concatenate([self.weight[lo[j]:hi[j]] for j in at]) * np.repeat(weight[at.start:at.stop], size)
-                rest = np.bincount(np.concatenate([self.example[lo[j]:hi[j]] for j in at]), w, self.n)
-            out.append(self._best(scores[i] + rest, q[i], rest, k))
+            at = slice(first[i], first[i + 1])
+            rest = self._sum(lo[at], hi[at], weight[at])
+            hit = self._candidates(gain[i], q[i], rest, k)
+            if len(hit) > self.n * self.LOOSE:
+                loose[i] = rest
+            out.append([] if i in loose else self._ranked(hit, q[i], rest, k))
+        rows = list(loose)
+        for j in range(0, len(rows), 64):
+            part = rows[j:j + 64]
+            for i, near in zip(part, q[part].astype(np.float32) @ self._matrix):
+                near = near + loose[i]
+                tops = np.maximum.reduceat(near, self.starts)
+                least = np.partition(tops, len(tops) - k)[len(tops) - k] if len(tops) > k else 0.0
+                out[i] = self._ranked(np.flatnonzero((near > 0) & (near >= least - self.MARGIN)), q[i], loose[i], k)
         return out
 
-    def _best(self, score: np.ndarray, q: np.ndarray, rest: np.ndarray, k: int) -> list[tuple[int, float]]:
-        most = np.maximum.reduceat(score, np.arange(0, self.n, self.block))
-        least = np.partition(most, len(most) - k)[len(most) - k] if len(most) > k else 0.0
-        hit = np.flatnonzero((score > 0) & (score >= least - self.MARGIN))
-        if len(hit) > 4 * k:
-            own = score[hit]
-            hit = hit[own >= np.partition(own, len(own) - k)[len(own) - k] - self.MARGIN]
+    def _sum(self, lo: np.ndarray, hi: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What the postings in these ranges add to the places."""
+        if not len(lo):
+            return np.zeros(self.n)
+        ranges = list(zip(lo.tolist(), hi.tolist()))
+        w = np.concatenate([self._weight[i:j] for i, j in ranges]) * np.repeat(weight, hi - lo)
+        return np.bincount(np.concatenate([self.example[i:j] for i, j in ranges]), w, self.n)
+
+    def _cosines(self, hit: np.ndarray, on: np.ndarray, q: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        """Of the places ``hit``, with the common terms ``on`` and their weights; as exact as the weights' type."""
+        return rest[hit] + (q @ self._matrix[np.ix_(on, hit)] if len(on) else 0)
+
+    def _candidates(self, gain: np.ndarray, q: np.ndarray, rest: np.ndarray, k: int) -> np.ndarray:
+        """Places whose bound reaches the k-th cosine of the blocks with the highest bounds."""
+        bound = rest + np.repeat(gain, self.block)[:self.n]
+        tops = np.maximum.reduceat(bound, self.starts)
+        few = min(len(tops), max(1, 4 * k // self.block))
+        blocks = np.argpartition(tops, len(tops) - few)[len(tops) - few:]
+        place = (blocks[:, None] * self.block + np.arange(self.block)).ravel()
+        hit = place[place < self.n]
         on = np.flatnonzero(q)
-        exact = rest[hit] + q[on] @ self.matrix()[np.ix_(on, hit)].astype(float)
-        return [(e, -s) for s, e in sorted((-round(float(s), 12), int(e)) for s, e in zip(exact, hit))[:k]]
+        own = q[on].astype(np.float32)
+        for _ in range(2):  # once more with the highest bounds that the first blocks leave
+            score = self._cosines(hit, on, own, rest)
+            least = np.partition(score, len(score) - k)[len(score) - k] if len(score) >= k else 0.0
+            left = np.flatnonzero(bound >= max(least - self.MARGIN, 1e-300))
+            if len(left) <= 16 * k:
+                break
+            hit = left[np.argpartition(bound[left], len(left) - 8 * k)[len(left) - 8 * k:]]
+        return left
+
+    def _ranked(self, hit: np.ndarray, q: np.ndarray, rest: np.ndarray, k: int) -> list[tuple[int, float]]:
+        on = np.flatnonzero(q)
+        if len(hit) > 4 * k:
+            score = self._cosines(hit, on, q[on].astype(np.float32), rest)
+            hit = hit[score >= np.partition(score, len(score) - k)[len(score) - k] - self.MARGIN]
+        ranked = sorted((-round(float(s), 12), int(e)) for s, e in zip(self._cosines(hit, on, q[on], rest), self.order[hit]) if s > 0)
+        return [(e, -s) for s, e in ranked[:k]]
 
     def nearest(self, query: dict[int, float], k: int) -> list[tuple[int, float]]:
         """``nearest_all`` of one query."""
@@ -174,7 +266,7 @@ class Model:
         self.k, self.prior_weight, self.eps = k, prior_weight, eps
         self.rate = float(labels.sum()) / (len(labels) + 1)
 
-    def score_all(self, texts: list[bytes], group: int = 64) -> list[tuple[float, list[tuple[int, float]]]]:
+    def score_all(self, texts: list[bytes], group: int = 256) -> list[tuple[float, list[tuple[int, float]]]]:
         doc, term, tf = terms_of(texts)
         at = np.minimum(np.searchsorted(self.keys, term), max(len(self.keys) - 1, 0))
         hit = self.keys[at] == term if len(self.keys) else np.zeros(len(term), bool)
@@ -212,23 +304,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, folds: i
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples).collect()
     ids = spark.createDataFrame([(r["doc_id"], r["label"]) for r in chosen], "doc_id long, label double")
     text = text_or_empty(F.col(text_col))
-    sample = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-              .join(F.broadcast(ids), "doc_id").groupBy(F.md5("text").alias("md5"))
-              .agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"), F.avg("label").alias("label")))
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in byte_slices(batch, "text", slice_bytes):
-                doc, term, tf = terms_of(utf8(part, "text"))
-                cuts = pa.array(np.searchsorted(doc, np.arange(part.num_rows + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("label"), part.column("md5"),
-                     pa.ListArray.from_arrays(cuts, pa.array(term.view(np.int64))),
-                     pa.ListArray.from_arrays(cuts, pa.array((1 + np.log(tf)).astype(np.float32)))], names=["doc_id", "label", "md5", "terms", "tf"])
-
-    rows = sample.mapInArrow(vectors, "doc_id long, label double, md5 string, terms array<long>, tf array<float>").toArrow()  # max_examples rows at most
-    postings = _postings(rows)
-    del rows
+    sample = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+                         .join(F.broadcast(ids), "doc_id").groupBy(F.md5("text").alias("md5"))
+                         .agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"), F.avg("label").alias("label")), "toxic-examples")
+    examples = sample.select("md5", "doc_id", "label").orderBy("md5").toArrow()  # max_examples rows at most
+    numbers = spark.createDataFrame(pa.table({"md5": examples["md5"], "number": pa.array(np.arange(len(examples)), pa.int32())}))
+    segments = sample.join(F.broadcast(numbers), "md5").select("number", "text").mapInArrow(
+        segmenter(slice_bytes), "part int, terms array<long>, numbers array<int>, times array<int>")
+    postings = _postings(segments.groupBy("part").applyInArrow(merge_segments, MERGED).toArrow(), len(examples))
+    discard(sample)
 
     # document frequencies over all documents; those of the commoner words go along, the others saturate
     n_docs = docs.count()
@@ -239,33 +323,61 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, folds: i
     least = 1 << next(i for i in range(48) if reached[i] <= idf_words or i == 47)
     common = frequency.where(F.col("df") >= least).toArrow()
     discard(frequency)
-    return _model(*postings, common, n_docs, least, lift_prior, k, prior_weight)
+    return _model(examples["doc_id"].to_numpy(), examples["label"].to_numpy().astype(float), *postings, common, n_docs, least,
+                  lift_prior, k, prior_weight)
 
 
-def _postings(rows: pa.Table):
-    """Ids and labels of the examples, by digest; terms in order, and by term the example, its (1 + log tf), and the cuts.
-    Each array is dropped once used: the driver has to hold all examples' terms."""
-    order = pc.sort_indices(rows["md5"]).to_numpy()
-    ids, labels = rows["doc_id"].to_numpy()[order], rows["label"].to_numpy()[order].astype(float)
-    rank = np.empty(len(order), np.int32)
-    rank[order] = np.arange(len(order), dtype=np.int32)
+MERGED = "terms binary, sizes binary, numbers binary, times binary"
+PARTS = 64
 
-    def flat(name: str, dtype) -> np.ndarray:
-        return np.concatenate([np.empty(0, dtype), *[c.flatten().to_numpy() for c in rows[name].chunks]], dtype=dtype)
 
-    term = flat("terms", np.int64).view(np.uint64)
-    order = np.argsort(term)
+def segmenter(slice_bytes: int):
+    """Postings of a slice of the examples, in ``PARTS`` parts by term."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in byte_slices(batch, "text", slice_bytes):
+                doc, term, times = terms_of(utf8(piece, "text"))
+                part = (term >> np.uint64(58)).astype(np.int32)
+                order = np.argsort(part, kind="stable")
+                number = piece.column("number").to_numpy()[doc[order]]
+                cuts = pa.array(np.searchsorted(part[order], np.arange(PARTS + 1)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(v)) for v in (term[order].view(np.int64), number.astype(np.int32), times[order].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS), pa.int32()), *lists], names=["part", "terms", "numbers", "times"])
+
+    return run
+
+
+def merge_segments(rows: pa.Table) -> pa.Table:
+    """One part's postings by term and example: terms, their sizes, example numbers and times, as little-endian integers."""
+    term, number, times = (np.concatenate([np.empty(0, t), *[c.flatten().to_numpy() for c in rows[name].chunks]], dtype=t)
+                           for name, t in (("terms", np.int64), ("numbers", np.int32), ("times", np.int32)))
+    order = np.lexsort((number, term))
     term = term[order]
     first = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])) if len(term) else np.empty(0, np.int64)
-    vocabulary, cut = term[first], np.append(first, len(term))
-    del term
-    example = np.repeat(rank, pc.list_value_length(rows["terms"]).to_numpy())[order]
-    tf = flat("tf", np.float32)[order]
-    return ids, labels, vocabulary, cut, example, tf
+    sizes = np.diff(np.append(first, len(term)))
+    values = [term[first].view(np.uint64), sizes.astype(np.int32), number[order], times[order]]
+    return pa.table([pa.array([v.tobytes()], pa.binary()) for v in values], names=["terms", "sizes", "numbers", "times"])
+
+
+def _postings(merged: pa.Table, n: int):
+    """Terms, and by term the cuts, examples and times (numbers into their distinct values), in the smallest integers
+    that hold them: the driver keeps all examples' postings."""
+    get = lambda name, dtype: [np.frombuffer(b.as_buffer(), dtype) for c in merged[name].chunks for b in c]
+    terms, times = get("terms", np.uint64), get("times", np.int32)
+    order = np.argsort([t[0] if len(t) else 0 for t in terms], kind="stable")  # parts come in any order
+    distinct = np.unique(np.concatenate([np.empty(0, np.int32), *map(np.unique, times)]))
+    numbers, sizes = get("numbers", np.int32), get("sizes", np.int32)
+
+    def joined(parts: list[np.ndarray], dtype) -> np.ndarray:
+        return np.concatenate([np.empty(0, dtype), *[parts[i].astype(dtype) for i in order]], dtype=dtype)
+
+    code = np.min_scalar_type(max(len(distinct), 1))
+    return (joined(terms, np.uint64), np.append(0, np.cumsum(joined(sizes, np.int64))), joined(numbers, np.min_scalar_type(max(n, 1))),
+            joined([np.searchsorted(distinct, t) for t in times], code), 1 + np.log(distinct.astype(float)))
 
 
-def _model(ids, labels, vocabulary, cut, example, tf, common: pa.Table, n_docs: int, least: int, lift_prior: float, k: int,
-           prior_weight: float) -> Model:
+def _model(ids, labels, vocabulary, cut, example, code, values, common: pa.Table, n_docs: int, least: int, lift_prior: float,
+           k: int, prior_weight: float, chunk: int = 1 << 14) -> Model:
     found, df = common["term"].to_numpy().astype(np.int64).view(np.uint64), common["df"].to_numpy()
     keys = np.union1d(vocabulary, found)
     frequency = np.full(len(keys), least, np.float64)
@@ -274,25 +386,23 @@ def _model(ids, labels, vocabulary, cut, example, tf, common: pa.Table, n_docs:
     number = np.full(len(keys), -1, np.int32)
     at = np.searchsorted(keys, vocabulary)
     number[at] = np.arange(len(vocabulary))
-    both = np.diff(cut)
-    toxic = np.add.reduceat(labels[example], cut[:-1]) if len(example) else np.empty(0)
     share = labels.mean() if len(labels) else 0.0
-    if share > 0:
-        weight[at] *= np.maximum(1, (toxic + lift_prior * share) / (both + lift_prior) / share) ** 2
-    tf *= np.repeat(weight[at].astype(np.float32), both)
-    norm = np.sqrt(np.bincount(example, np.square(tf), len(ids)))
-    tf /= norm.astype(np.float32)[example]
-    index = BlockMaxIndex.of(cut, example, tf, len(ids))
+    square = np.zeros(len(ids))
+    for i in range(0, len(vocabulary), chunk):  # by chunks of terms: sums over postings stay small
+        terms = slice(i, min(i + chunk, len(vocabulary)))
+        own, size = slice(cut[terms.start], cut[terms.stop]), np.diff(cut[terms.start:terms.stop + 1])
+        if share > 0:
+            toxic = np.add.reduceat(labels[example[own]], cut[terms] - cut[terms.start])
+            weight[at[terms]] *= np.maximum(1, (toxic + lift_prior * share) / (size + lift_prior) / share) ** 2
+        square += np.bincount(example[own], np.square(values[code[own]] * np.repeat(weight[at[terms]], size)), len(ids))
+    index = BlockMaxIndex.of(cut, example, code, values, weight[at], np.sqrt(np.where(square > 0, square, 1)))
     return Model(keys, weight, float(np.log(1 + n_docs / least)), number, ids, labels, index, k, prior_weight)
 
 
-def scorer(model, slice_bytes: int, text_col: str = "text"):
+def scorer(model, slice_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
         for batch in batches:
-            if "text" not in batch.schema.names:  # carried rows hold their text: it travels once
-                row = batch.column("__row")
-                batch = pa.RecordBatch.from_arrays([batch.column("doc_id"), row.field(text_col), row], names=["doc_id", "text", "__row"])
             for part in byte_slices(batch, "text", slice_bytes):
                 found = m.score_all(utf8(part, "text"))
                 yield pa.RecordBatch.from_arrays(
@@ -307,18 +417,17 @@ def scorer(model, slice_bytes: int, text_col: str = "text"):
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5,
              fold: int = 0, max_examples: int = 20_000, idf_words: int = 1 << 20, lift_prior: float = 5.0,
-             k: int = 16, prior_weight: float = 0.5, slice_bytes: int = 1 << 20, carry: bool = False) -> DataFrame:
-    """doc_id, held_out, score, predicted, evidence array<struct<doc_id, cosine>> (and ``__row`` with ``carry``)."""
+             k: int = 16, prior_weight: float = 0.5, slice_bytes: int = 1 << 20, carry: dict[str, Column] | None = None) -> DataFrame:
+    """doc_id, held_out, score, predicted, evidence array<struct<doc_id, cosine>>, and ``__row``, a struct of the columns in
+    ``carry`` (name: column), if given."""
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(fit(docs, labels, id_col, text_col, folds, fold, max_examples, idf_words,
                                              lift_prior, k, prior_weight, slice_bytes))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    inside = carry and docs.schema[text_col].dataType == T.StringType()
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *([] if inside else [text_or_empty(F.col(text_col)).alias("text")]),
-                       *([row] if carry else []))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(F.col(text_col)).alias("text"),
+                       *([F.struct(*[c.alias(name) for name, c in carry.items()]).alias("__row")] if carry else []))
     schema = "doc_id long, score double, evidence array<struct<doc_id long, cosine double>>"
     if carry:
         schema += f", __row {rows.schema['__row'].dataType.simpleString()}"
-    out = rows.mapInArrow(scorer(model, slice_bytes, text_col), schema)
+    out = rows.mapInArrow(scorer(model, slice_bytes), schema)
     return out.select("doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", *(["__row"] if carry else []))
