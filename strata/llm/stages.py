@@ -2,6 +2,10 @@
 
 Every stage keeps the columns of its input, whatever they are called; ``n_chars`` follows the text
 where the column exists.
+
+Defined cases: a null or empty text passes toxicity, line dedup and near dedup unchanged and leaves at mixing, which
+takes words; a null id stays to the end.  Repeated rows are judged alike; of rows with the same id and text one stays.
+An empty table gives an empty result at every stage.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from strata.llm import mixing as MX
 from strata.llm import near_dedup as ND
 from strata.llm import packing as PK
 from strata.llm import toxicity as TX
-from strata.llm.common import WORD, table, text_or_empty
+from strata.llm.common import WORD, materialize, table, text_or_empty
 
 
 def _with_text(columns: list[str], text: Column) -> list[Column]:
@@ -31,9 +35,16 @@ def _with_text(columns: list[str], text: Column) -> list[Column]:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored as toxic go."""
-    scored = TX.toxicity(docs, table(spark, sf_dir, "labels"), carry=True)
-    return scored.where("predicted = 0").select("__row.*")
+    """Documents scored as toxic go: by id (a null one too) and text, so rows of one id with other texts are judged apart.
+    The scorer carries these keys and not the rows, so a task holds a text once."""
+    md5 = F.md5(text_or_empty(F.col("text")))
+    scored = TX.toxicity(docs, table(spark, sf_dir, "labels"), carry={"md5": md5})
+    toxic = materialize(scored.where("predicted = 1").select(F.col("doc_id").alias("toxic_id"), F.col("__row.md5").alias("toxic_md5"))
+                        .distinct(), "toxic")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
+                       F.col("doc_id").cast("long").alias("__id"), md5.alias("__md5"))
+    same = F.col("__id").eqNullSafe(F.col("toxic_id")) & (F.col("__md5") == F.col("toxic_md5"))
+    return rows.join(toxic, same, "left_anti").select("__row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +62,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
                        F.col("doc_id").cast("long").alias("__id"), F.md5(text_or_empty(F.col("text"))).alias("__md5"))
     left = rows.join(lost, (F.col("__id") == F.col("lost_id")) & (F.col("__md5") == F.col("lost_md5")), "left_anti")
-    # rows repeated with their id are copies too; the join has dealt the rows by these keys already
-    same = F.row_number().over(Window.partitionBy("__id", "__md5").orderBy(F.lit(1)))
+    # rows repeated with their id are copies too: the one with the least hash of all its columns stays
+    # (of maps the hash is undefined, they are left out of it); the join has dealt the rows by these keys already
+    hashed = [F.col(f"__row.`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    same = F.row_number().over(Window.partitionBy("__id", "__md5").orderBy(F.xxhash64(*hashed)))
     has_words = text_or_empty(F.col("__row.text")).rlike(WORD)
     return (left.withColumn("__copy", same).where((F.col("__copy") == 1) | F.col("__id").isNull() | ~has_words)
             .select("__row.*"))
