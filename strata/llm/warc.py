@@ -259,12 +259,20 @@ def record_reader(with_payload: bool):
     return run
 
 
-def read_packages(manifest: DataFrame, with_payload: bool = True, range_bytes: int = 8 << 20) -> DataFrame:
-    """One row per record of the packages in ``manifest`` (path): page_id, url, payload_bytes, payload_digest,
-    record_type, refers_to, payload (null for revisits)."""
-    places = manifest.select("path").mapInArrow(list_records, "path string, at long, length long")
-    spread = places.repartition("path", F.floor(F.col("at") / range_bytes)).sortWithinPartitions("path", "at")
+def read_packages(manifest: DataFrame, with_payload: bool = True, range_bytes: int = 8 << 20, max_tasks: int = 100_000) -> DataFrame:
+    """One row per record of the packages in ``manifest`` (path, and bytes if known): page_id, url, payload_bytes,
+    payload_digest, record_type, refers_to, payload (null for revisits).
+
+    What a task has to read lies behind its rows, so the numbers of tasks come from the packages and their bytes, not from
+    the size of the rows: four packages' indexes a task, then ``range_bytes`` of records (more beyond ``max_tasks`` tasks)."""
+    n, size = manifest.agg(F.count("*"), F.sum("bytes") if "bytes" in manifest.columns else F.lit(None).cast("long")).first()
+    places = (manifest.select("path").repartition(min(max_tasks, n // 4 + 1), "path")
+              .mapInArrow(list_records, "path string, at long, length long"))
+    if size is None:
+        size = places.agg(F.sum("length")).first()[0] or 0
+    range_bytes = max(range_bytes, size // max_tasks)
+    spread = (places.repartition(size // range_bytes + 1, "path", F.floor(F.col("at") / range_bytes))
+              .sortWithinPartitions("path", "at"))
     return spread.mapInArrow(record_reader(with_payload),
                              "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
                              "refers_to long, payload binary")
-
