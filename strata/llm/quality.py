@@ -1,13 +1,13 @@
 """Quality rules: base counts and a log-likelihood ratio of hashed n-grams.
 
 Words and word pairs are hashed into ``buckets``.  Two multinomials over the buckets are
-counted: the trusted target (labelled rows of quality 1, at most ``max_target`` rows, the smallest by
-hash of their id: a documented bound of the labelled sample) and the raw corpus (every
+counted: the trusted target (every row labelled quality 1, met by a join with the labels) and the raw corpus (every
 document).  A document's score is its log-likelihood ratio per n-gram, smoothed by one
 count per bucket share.  Trusted rows are dealt to ``folds`` by hash of their id, and each is scored by counts
 that leave out its fold, here and in the result: a row is never scored by what it taught.  The threshold is the exact ``floor``
-quantile of the scores of trusted rows that pass the base rules: about that share of good texts is lost, in a small
-corpus as in a large one, and every document is decided the same way on every run.
+quantile of the scores of all trusted rows that pass the base rules, found by their ranks: about that share of good texts is
+lost, in a small corpus as in a large one, and every document is decided the same way on every run.  Only the bounded
+bucket counts and the threshold's two scores reach the driver.
 
 Defined cases: null or empty text has no words: all counts 0, base_failed, score 0, not kept.
 A null id is never trusted.  Repeated rows are scored each, labels of one id that
@@ -17,7 +17,6 @@ Extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import byte_slices, utf8
+from strata.llm.common import byte_slices, materialize, utf8
+from strata.operators.keys import assign_dense
 
 #: Characters counted as symbols (fixed value).
 SYMBOLS = b"#*$%&|<>"
 BASE_SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-               "n_repeat_words long, score double")
+               "n_repeat_words long, score double, own_score double")
 
 
 def _buckets(words, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,34 +67,36 @@ def _sums(mask: np.ndarray, words) -> np.ndarray:
     return total[words.text_start[1:]] - total[words.text_start[:-1]]
 
 
-def fold_of(doc_id: int, folds: int) -> int:
-    return zlib.crc32(str(doc_id).encode()) % folds
-
-
-def ngram_counter(trusted: frozenset[int], folds: int, buckets: int, slice_bytes: int):
-    """Counts of the buckets in all texts, and in the trusted ones of each fold."""
+def ngram_counter(folds: int, buckets: int, slice_bytes: int):
+    """Counts of the buckets in the texts of each fold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from strata.llm.wordblocks import Words
-        raw, target = np.zeros(buckets, np.int64), np.zeros(buckets * folds, np.int64)
+        of_fold = np.zeros(buckets * folds, np.int64)
         for batch in batches:
             for part in byte_slices(batch, "text", slice_bytes):
-                words = Words(utf8(part, "text"))
-                bucket, doc = _buckets(words, buckets)
-                raw += np.bincount(bucket, minlength=buckets)
-                ids = part.column("doc_id").to_pylist()
-                fold = np.fromiter((fold_of(i, folds) if i in trusted else -1 for i in ids), np.int64, len(ids))[doc]
-                if (fold >= 0).any():
-                    target += np.bincount((bucket * folds + fold)[fold >= 0], minlength=len(target))
-        at = np.flatnonzero(raw)
-        of_fold = target.reshape(buckets, folds)[at]
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw[at]), *(pa.array(of_fold[:, f]) for f in range(folds))],
-                                         names=["bucket", "raw", *(f"target{f}" for f in range(folds))])
+                bucket, doc = _buckets(Words(utf8(part, "text")), buckets)
+                of_fold += np.bincount(bucket * folds + part.column("fold").to_numpy()[doc], minlength=len(of_fold))
+        of_fold = of_fold.reshape(buckets, folds)
+        at = np.flatnonzero(of_fold.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(of_fold[at, f]) for f in range(folds))],
+                                         names=["bucket", *(f"n{f}" for f in range(folds))])
 
     return run
 
 
-def scorer(ratios: np.ndarray, trusted: frozenset[int], slice_bytes: int):
-    """Base counts and scores; ``ratios`` by fold, the last of all trusted rows."""
+def bucket_counts(rows: DataFrame, folds: int, buckets: int, slice_bytes: int) -> np.ndarray:
+    """folds x buckets (bounded by the parameters), summed over all ``rows`` (text, fold)."""
+    parts = [f"n{f}" for f in range(folds)]
+    counts = (rows.select("text", "fold").mapInArrow(ngram_counter(folds, buckets, slice_bytes), ", ".join(f"{c} long" for c in ["bucket", *parts]))
+              .groupBy("bucket").agg(*[F.sum(c).alias(c) for c in parts]).toArrow())
+    out = np.zeros((folds, buckets))
+    for f, c in enumerate(parts):
+        out[f, counts["bucket"].to_numpy()] = counts[c].to_numpy()
+    return out
+
+
+def scorer(ratios: np.ndarray, slice_bytes: int):
+    """Base counts and two scores: by the last of ``ratios`` (of all trusted rows), and by that without the row's fold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from strata.llm.wordblocks import Words
         symbol = np.zeros(256, bool)
@@ -104,10 +106,9 @@ def scorer(ratios: np.ndarray, trusted: frozenset[int], slice_bytes: int):
                 texts = utf8(part, "text")
                 words = Words(texts)
                 bucket, doc = _buckets(words, ratios.shape[1])
-                folds, ids = len(ratios) - 1, part.column("doc_id").to_pylist()
-                row = np.fromiter((fold_of(i, folds) if i in trusted else folds for i in ids), np.int64, len(ids))
-                total = np.bincount(doc, ratios[row[doc], bucket], minlength=len(texts))
-                grams = np.bincount(doc, minlength=len(texts))
+                fold = part.column("fold").to_numpy()
+                grams = np.maximum(np.bincount(doc, minlength=len(texts)), 1)
+                total, own = (np.bincount(doc, ratios[row, bucket], minlength=len(texts)) for row in (-1, fold[doc]))
                 inside = np.zeros(len(words.data) + 1, np.int8)
                 inside[words.start] = 1
                 inside[words.end] -= 1
@@ -116,17 +117,29 @@ def scorer(ratios: np.ndarray, trusted: frozenset[int], slice_bytes: int):
                     [part.column("doc_id"), *(pa.array(np.asarray(x, np.int64)) for x in (
                         words.counts(), _sums(chars, words), _sums(symbol[words.data], words),
                         [_dup_lines(t) for t in texts], _repeated(words))),
-                     pa.array(total / np.maximum(grams, 1))],
-                    names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score"])
+                     pa.array(total / grams), pa.array(own / grams)],
+                    names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "own_score"])
 
     return run
 
 
-def trusted_ids(labels: DataFrame, max_target: int) -> frozenset[int]:
-    """Ids labelled quality 1 and nothing else; ``max_target`` at most, the smallest by hash."""
-    good = (labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("__q"))
-            .where(F.col("__q") == 1))
-    return frozenset(r[0] for r in good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_target).select("doc_id").collect())
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Every id labelled quality 1 and nothing else, once."""
+    return (labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+            .agg(F.min("quality").alias("__q")).where(F.col("__q") == 1).select("doc_id"))
+
+
+def exact_quantile(rows: DataFrame, column: str, share: float) -> float | None:
+    """The quantile of a column without nulls, between two neighbours in proportion (none without rows): the rows are
+    ranked over all partitions and two of them read."""
+    ranked = assign_dense(rows.select(column), [column], "__rank")
+    n = ranked.count()
+    if not n:
+        return None
+    place = share * (n - 1)
+    lo, hi = int(np.floor(place)), int(np.ceil(place))
+    at = {r["__rank"] - 1: r[column] for r in ranked.where(F.col("__rank").isin(lo + 1, hi + 1)).collect()}
+    return at[lo] if lo == hi else (hi - place) * at[lo] + (place - lo) * at[hi]
 
 
 def log_ratio(target: np.ndarray, share: np.ndarray) -> np.ndarray:
@@ -136,30 +149,28 @@ def log_ratio(target: np.ndarray, share: np.ndarray) -> np.ndarray:
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            buckets: int = 1 << 16, max_target: int = 20_000, folds: int = 5, floor: float = 0.002,
+            buckets: int = 1 << 16, folds: int = 5, floor: float = 0.002,
             min_words: int = 50, max_repeat: float = 0.5, slice_bytes: int = 1 << 20) -> DataFrame:
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    trusted = trusted_ids(labels, max_target)
-    parts = [f"target{f}" for f in range(folds)]
-    counts = (rows.mapInArrow(ngram_counter(trusted, folds, buckets, slice_bytes), ", ".join(f"{c} long" for c in ["bucket", "raw", *parts]))
-              .groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ["raw", *parts]]).toArrow())
-    at = counts["bucket"].to_numpy()
-    raw, of_fold = np.ones(buckets), np.zeros((folds, buckets))  # one count each as smoothing
-    raw[at] += counts["raw"].to_numpy()
-    for f, c in enumerate(parts):
-        of_fold[f, at] = counts[c].to_numpy()
+    doc_id = F.col(id_col).cast("long")
+    fold = F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0)).cast("long")
+    rows = docs.select(doc_id.alias("doc_id"), F.col(text_col).cast("string").alias("text"), fold.alias("fold"))
+    trusted = trusted_ids(labels)
+    # dealt by id at every size, so that the labels are never held whole; the texts are not sorted for it
+    own_rows = lambda side: side.join(trusted.hint("shuffle_hash"), "doc_id", "left_semi")
+    raw = 1 + bucket_counts(rows.withColumn("fold", F.lit(0).cast("long")), 1, buckets, slice_bytes)[0]  # one count each as smoothing
+    of_fold = bucket_counts(own_rows(rows), folds, buckets, slice_bytes)
     share = raw / raw.sum()
-    ratios = np.array([log_ratio(of_fold.sum(0) - left, share) for left in [*of_fold, 0]]) if trusted else np.zeros((folds + 1, buckets))
-    score = scorer(ratios, trusted, slice_bytes)
+    any_trusted = trusted.limit(1).count() > 0
+    ratios = np.array([log_ratio(of_fold.sum(0) - left, share) for left in [*of_fold, 0]]) if any_trusted else np.zeros((folds + 1, buckets))
     failed = ((F.col("n_words") < min_words)
               | (100 * F.col("n_repeat_words") > 100 * max_repeat * F.col("n_words")))
-    low = None
-    if trusted:
-        ids = spark.createDataFrame([(i,) for i in trusted], "doc_id long")
-        own = rows.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(score, BASE_SCHEMA).where(~failed)
-        low = own.agg(F.percentile("score", F.lit(floor))).first()[0]
+    # counts and scores without texts, so that they are found once and the labels meet narrow rows
+    scored = materialize(rows.mapInArrow(scorer(ratios, slice_bytes), BASE_SCHEMA), "quality").withColumn("base_failed", failed)
+    own = own_rows(scored).where(~F.col("base_failed"))
+    low = exact_quantile(own, "own_score", floor) if any_trusted else None
     threshold = -np.inf if low is None else float(low)
-    out = rows.mapInArrow(score, BASE_SCHEMA)
-    return (out.withColumn("base_failed", failed)
-            .withColumn("kept", ~failed & (F.col("score") >= F.lit(float(threshold)))))
+    marked = scored.join(trusted.select(F.col("doc_id").alias("__trusted")).hint("shuffle_hash"), F.col("doc_id") == F.col("__trusted"), "left")
+    score = F.when(F.col("__trusted").isNotNull(), F.col("own_score")).otherwise(F.col("score"))
+    return (marked.withColumn("score", score).drop("own_score", "__trusted")
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "base_failed",
+                    (~F.col("base_failed") & (F.col("score") >= F.lit(threshold))).alias("kept")))

@@ -62,6 +62,27 @@ def test_quality_verdicts_hold_for_rows_left_out(spark):
     assert {i: (r["kept"], r["score"]) for i, r in again.items()} == {i: (r["kept"], r["score"]) for i, r in got.items()}
 
 
+def test_quality_learns_from_every_trusted_row(spark, monkeypatch):
+    """More trusted rows than the 20,000 of a former bound: words that only some of them hold are known from all, and
+    the threshold is the quantile of all scores."""
+    from strata.llm import quality as Q
+    n = 21_000
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), (F.col("id") % 50).cast("string")).alias("text"))
+    marks = rows.select("doc_id", F.lit(1).alias("quality"))
+    marks = marks.unionByName(spark.createDataFrame([(3, 0), (None, 1)], "doc_id long, quality int"))
+    seen = []
+    counts = Q.bucket_counts
+    monkeypatch.setattr(Q, "bucket_counts", lambda *a: seen.append(counts(*a)) or seen[-1])
+    got = Q.quality(rows, marks, min_words=1).collect()
+    assert len(got) == n and [c.sum() for c in seen] == [n, n - 1]  # one word a text; id 3 has two labels
+    scores = np.sort([r["score"] for r in got if r["doc_id"] != 3])
+    low = np.quantile(scores, 0.002)
+    assert all(r["kept"] == (r["score"] >= low - 1e-12) for r in got)
+    values = spark.createDataFrame([(float(i * i),) for i in range(101)], "v double").repartition(3)
+    assert Q.exact_quantile(values, "v", 0.125) == np.quantile([i * i for i in range(101)], 0.125)
+    assert Q.exact_quantile(values, "v", 0.25) == 625 and Q.exact_quantile(values.limit(0), "v", 0.5) is None
+
+
 def test_records_are_read_in_several_tasks(spark):
     from strata.llm.warc import read_packages, write_packages
     pages = spark.range(600).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h/"), F.col("id")).alias("url"),
