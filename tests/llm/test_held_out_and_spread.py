@@ -62,6 +62,26 @@ def test_quality_verdicts_hold_for_rows_left_out(spark):
     assert {i: (r["kept"], r["score"]) for i, r in again.items()} == {i: (r["kept"], r["score"]) for i, r in got.items()}
 
 
+def test_lm_scores_and_gradients_hold_for_far_logits():
+    """Attention and class logits beyond float32's exponentials, batches of several sizes on the same work arrays."""
+    from strata.llm.lm_score import Attention
+    rng = np.random.default_rng(1)
+    m = Attention(6, 4, 5)
+    for factor in (1, 40):
+        m.p = {k: v * np.float32(factor if k in ("q", "k", "out") else 1) for k, v in Attention(6, 4, 5).p.items()}
+        for n in (7, 2, 9):
+            x, y, mask = rng.integers(0, 7, (n, 5)), rng.integers(0, 6, (n, 5)), rng.random((n, 5)) < 0.7
+            mask[0, 0] = True
+            full = np.take_along_axis(m.forward(x), y[..., None], 2)[..., 0]
+            assert np.allclose(m.target_scores(x, y, mask), full[mask], rtol=1e-4, atol=1e-4)
+            g = m.gradients(x, y, mask)
+            assert all(v.shape == m.p[k].shape and np.isfinite(v).all() for k, v in g.items())
+            d = np.exp(m.forward(x)[mask])
+            d[np.arange(len(d)), y[mask]] -= 1
+            assert np.allclose(g["bias"], d.sum(0) / mask.sum(), atol=1e-5)
+            assert not m.gradients(x, y, np.zeros_like(mask))["q"].any()
+
+
 def test_quality_learns_from_every_trusted_row(spark, monkeypatch):
     """More trusted rows than the 20,000 of a former bound: words that only some of them hold are known from all, and
     the threshold is the quantile of all scores."""
