@@ -9,9 +9,14 @@ One path at every size:
 
 1. the distinct failing values of all rules come from one scan of the input;
 2. equal values: an equi-join;
-3. LIKE and regex entries are filed under a fragment (12, 6 or 3 letters) of the longest literal run that every match must
-   hold; values are exploded to their fragments of these lengths, candidates found by an equi-join and tested exactly;
-4. entries without such a run (``report`` counts them as ``unindexed``) are tested on every distinct failing value of their rule.
+3. LIKE and regex entries are filed under a fragment (12, 6 or 3 letters, from the start or the end) of a literal run that every
+   match must hold, the one that the fewest entries of the rule offer: entries that share their longest run do not meet all
+   values that hold it.  Values are exploded to their fragments of these lengths, candidates found by an equi-join, row by
+   row, and tested exactly;
+4. entries without such a run (``report`` counts them as ``unindexed``) are tested on every distinct failing value of their rule,
+   dealt over ``SPREAD`` keys.
+
+No side of these joins is sent whole to the driver: they are dealt by key however small Spark takes the entries to be.
 
 The excused values are joined back by value; rows that fail nothing take keys of their own, spread evenly, so neither
 nulls nor a value held by a third of the rows meet in one task.
@@ -25,6 +30,7 @@ from pyspark.sql import types as T
 
 GAP = "\x01"
 FRAGMENTS = (12, 6, 3)
+SPREAD = 64
 #: What ends a literal run of a regular expression, in the order it is cut out: Unicode classes, class and anchor
 #: escapes, escaped punctuation, bracket classes, three levels of groups, quantified atoms, the rest of the operators.
 CUTS = [r"\\[pP](\{[^}]*\}|.)", r"\\[dDwWsSbBhHvVAzZGtnrf]", r"\\[^A-Za-z0-9]", r"\[\^?\]?[^\[\]]*\]",
@@ -52,30 +58,45 @@ def _longest(runs: Column) -> Column:
     return F.array_max(F.transform(runs, lambda r: F.struct(F.char_length(r).alias("n"), r.alias("run"))))["run"]
 
 
-def literal_run(pattern: Column, kind: Column) -> Column:
-    """The longest literal text that every match must hold (the empty string where none is sure)."""
+def literal_runs(pattern: Column, kind: Column) -> Column:
+    """Literal texts that every match must hold (none where that is not sure)."""
     like = F.regexp_replace(pattern, r"(?s)\\.|[%_\\]", GAP)
     regex = pattern
     for cut in CUTS:
         regex = F.regexp_replace(regex, cut, GAP)
     unsure = pattern.rlike(UNSURE) | regex.rlike(LEFT_OVER)
-    return F.when(kind == "like", _longest(F.split(like, GAP))).when(unsure, F.lit("")).otherwise(_longest(F.split(regex, GAP)))
+    return F.when(kind == "like", F.split(like, GAP)).when(unsure, F.array(F.lit(""))).otherwise(F.split(regex, GAP))
+
+
+def literal_run(pattern: Column, kind: Column) -> Column:
+    """The longest literal text that every match must hold (the empty string where none is sure)."""
+    return _longest(literal_runs(pattern, kind))
+
+
+def _offers(runs: Column) -> Column:
+    """Both ends of every run, as fragments of the greatest length that fits."""
+    def ends(run: Column) -> Column:
+        n = F.coalesce(*[F.when(F.char_length(run) >= n, F.lit(n)) for n in FRAGMENTS])
+        return F.array(F.struct(n.alias("size"), F.substring(run, F.lit(1), n).alias("fragment")),
+                       F.struct(n.alias("size"), F.substring(run, F.char_length(run) - n + 1, n).alias("fragment")))
+
+    return F.array_distinct(F.filter(F.flatten(F.transform(runs, ends)), lambda o: o["size"].isNotNull()))
 
 
 def entries(whitelist: DataFrame, table: str, as_of) -> DataFrame:
-    """(field_name, rule_type, pattern, kind, regex, size, fragment) of the table's active, unexpired entries."""
+    """(field_name, rule_type, pattern, kind, regex, size, offers) of the table's active, unexpired entries; ``offers`` are the
+    fragments it may be filed under, ``size`` the length of the longest (0 without any)."""
     active = whitelist.filter(
         (F.col("table_name") == table) & F.coalesce(F.col("active"), F.lit(True))
         & (F.col("expires_at").isNull() | (F.col("expires_at") > F.lit(as_of).cast("timestamp"))))
     p, whole = F.col("pattern"), F.concat(F.lit(r"\A(?:"), F.col("pattern"), F.lit(r")\z"))
     kind = (F.when(p.isNull(), F.lit("null")).when(p.contains("%"), F.lit("like"))
             .when(_compiles(p) & _compiles(whole), F.lit("regex")).otherwise(F.lit("refused")))
-    run = F.col("run")
-    size = F.when(F.col("kind").isin("like", "regex"), F.coalesce(*[F.when(F.char_length(run) >= n, F.lit(n)) for n in FRAGMENTS], F.lit(0)))
+    known = F.col("kind").isin("like", "regex")
     return (active.select("field_name", "rule_type", "pattern").distinct().withColumn("kind", kind)
             .withColumn("regex", F.when(F.col("kind") == "like", _like_regex(p)).when(F.col("kind") == "regex", whole))
-            .withColumn("run", literal_run(p, F.col("kind"))).withColumn("size", size)
-            .withColumn("fragment", F.when(size > 0, F.substring(run, F.lit(1), size))).drop("run"))
+            .withColumn("offers", F.when(known, _offers(literal_runs(p, F.col("kind")))))
+            .withColumn("size", F.when(known, F.coalesce(F.array_max(F.transform("offers", lambda o: o["size"])), F.lit(0)))))
 
 
 def report(whitelist: DataFrame, table: str, as_of) -> DataFrame:
@@ -84,20 +105,33 @@ def report(whitelist: DataFrame, table: str, as_of) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("entries"), F.count_if(F.col("size") == 0).alias("unindexed")))
 
 
+def filed(listed: DataFrame) -> DataFrame:
+    """(slot, size, fragment, regex): every LIKE and regex entry under the offer that the fewest of its slot make, or
+    without an offer under each of the ``SPREAD`` keys of size 0."""
+    offers = listed.where(F.col("size") > 0).select("slot", "regex", F.inline("offers"))
+    makers = offers.groupBy("slot", "size", "fragment").agg(F.count(F.lit(1)).alias("makers"))
+    place = F.struct("size", "fragment")
+    chosen = (offers.join(makers.hint("merge"), ["slot", "size", "fragment"]).groupBy("slot", "regex")
+              .agg(F.min_by(place, F.struct("makers", -F.col("size"), "fragment")).alias("place"))
+              .select("slot", "place.size", "place.fragment", "regex"))
+    keys = F.explode(F.array(*[F.lit(str(i)) for i in range(SPREAD)]))
+    return chosen.unionByName(listed.where("size = 0").select("slot", "size", keys.alias("fragment"), "regex"))
+
+
 def excused(failing: DataFrame, listed: DataFrame) -> DataFrame:
-    """The distinct (slot, value) of ``failing`` that an entry of ``listed`` (slot, pattern, regex, size, fragment) excuses."""
-    equal = failing.join(listed.where("pattern IS NOT NULL").select("slot", F.col("pattern").alias("value")).distinct(), ["slot", "value"], "left_semi")
+    """The distinct (slot, value) of ``failing`` that an entry of ``listed`` (slot, pattern, regex, size, offers) excuses."""
+    patterns = listed.where("pattern IS NOT NULL").select("slot", F.col("pattern").alias("value")).distinct()
+    equal = failing.join(patterns.hint("merge"), ["slot", "value"], "left_semi")
+
     def pieces(n: int) -> Column:
         every = F.regexp_extract_all("value", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
         return F.transform(F.array_distinct(every), lambda x: F.struct(F.lit(n).alias("size"), x.alias("fragment")))
 
     # every value also asks for the entries without a fragment
-    none = F.array(F.struct(F.lit(0).alias("size"), F.lit("").alias("fragment")))
-    exploded = failing.select("slot", "value", F.inline(F.concat(none, *[pieces(n) for n in FRAGMENTS])))
-    index = (listed.where("size IS NOT NULL").groupBy("slot", "size", F.coalesce("fragment", F.lit("")).alias("fragment"))
-             .agg(F.collect_set("regex").alias("regexes")))
-    found = (exploded.join(index, ["slot", "size", "fragment"])
-             .where(F.exists("regexes", lambda r: F.regexp_like(F.col("value"), r))))
+    none = F.array(F.struct(F.lit(0).alias("size"), F.pmod(F.xxhash64("value"), F.lit(SPREAD)).cast("string").alias("fragment")))
+    asked = failing.select("slot", "value", F.inline(F.concat(none, *[pieces(n) for n in FRAGMENTS]))).alias("a")
+    same = [F.col(f"a.{c}") == F.col(f"e.{c}") for c in ("slot", "size", "fragment")]
+    found = asked.join(filed(listed).alias("e").hint("merge"), [*same, F.regexp_like(F.col("a.value"), F.col("e.regex"))], "left_semi")
     return equal.unionByName(found.select("slot", "value")).distinct()
 
 

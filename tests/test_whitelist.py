@@ -112,6 +112,22 @@ def test_plan_has_no_nested_loop_and_no_python(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan and "InArrow" not in plan
 
 
+def test_entries_that_share_their_longest_run_are_filed_apart(spark):
+    """The longest run of all entries is the same; each is filed under a fragment that few share, and nothing is broadcast."""
+    patterns = [f"%large_copper_{n * 7919:05d}%" for n in range(1, 400)] + [f".*large copper plate.* {n % 97}[0-4]" for n in range(400)] + ["%_%"]
+    listed = W.entries(frame(spark, patterns), "t", NOW).withColumn("slot", F.lit(0))
+    index = W.filed(listed)
+    kept = index.where("size > 0").groupBy("size", "fragment").count()
+    assert kept.agg(F.max("count")).first()[0] <= 20
+    assert index.where("size > 0").select("regex").distinct().count() == 399 + 97 and index.where("size = 0").count() == W.SPREAD
+    values = ["large copper plate 15838 x", "large copper plate old 453", "large copper 7919", "none"]
+    failing = spark.createDataFrame([(0, v) for v in values], "slot int, value string")
+    out = W.excused(failing, listed.where(F.col("pattern") != "%_%"))
+    assert {r["value"] for r in out.collect()} == {v for v in values if any(matches(v, p) for p in patterns if p != "%_%")}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "NestedLoop" not in plan
+
+
 @pytest.mark.parametrize("patterns", [[], [None]])
 def test_no_entries(spark, patterns):
     assert verdicts(spark, patterns or [None], ["x@y.de", "no"]) == {"x@y.de": True, "no": False}
