@@ -39,14 +39,31 @@ def aggregate_rule(df: DataFrame, rule: dict) -> DataFrame:
     return df.groupBy(*(rule.get("group_by") or [])).agg(*[_measure(m) for m in measures])
 
 
+#: Bytes a task by Spark's own size figure of stored columns; as sorted and hashed rows they take about ten times that.
+TASK_BYTES = 4 << 20
+
+
+def tasks_for(df: DataFrame, task_bytes: int = TASK_BYTES) -> int:
+    """Partitions for a shuffle of ``df``: the session's number, or more where its size asks for it."""
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // task_bytes))
+
+
 def activity(entities: DataFrame, links: DataFrame, events: DataFrame, entity_key: str, link_key: str,
              event_key: str, status_col: str, done_value: str, keep: list[str]) -> DataFrame:
     """Per entity: distinct linked events and those in the done status
     (sessions per student: contact ⟕ participant ⟕ session).
 
     Repeated links are settled by one aggregate over (entity, event), combined map-side and spread over both keys, so an
-    entity with a third of all links is no single group; two plain counts follow.  No row is duplicated for the second count."""
-    j = links.join(events.select(event_key, status_col), event_key, "left").where(F.col(event_key).isNotNull())
+    entity with a third of all links is no single group; two plain counts follow.  No row is duplicated for the second count.
+    Join and aggregate share one shuffle by event; beyond what the session's partitions hold it gets more of them, so that a
+    task's rows do not grow with the links."""
+    links, events = links.where(F.col(event_key).isNotNull()), events.select(event_key, status_col)
+    n = tasks_for(links.select(link_key, event_key))
+    if n > int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        links, events = links.repartition(n, event_key), events.repartition(n, event_key)
+    j = links.join(events, event_key, "left")
     once = j.groupBy(link_key, event_key).agg(F.max(F.coalesce(F.col(status_col) == done_value, F.lit(False))).alias("_done"))
     per = once.groupBy(link_key).agg(F.count(F.lit(1)).alias("total"), F.count_if("_done").alias("done"))
     return (entities.select(entity_key, *keep)

@@ -62,3 +62,18 @@ def test_spike_alert_reads_eight_days_and_equals_the_long_way(spark):
     assert [(r.subject, r.value, r.threshold) for r in alerts.collect()] == [("a", 9.0, 6.0)]  # days without rows are no days
     stored = monitor.health(m, None, q.where(F.col("run_date").isNotNull()), 0.1, day)
     assert "Window" not in _plan(stored)
+
+
+def test_activity_gets_more_tasks_for_more_links(spark, monkeypatch):
+    """A task's rows stay bounded: beyond the session's partitions the shuffle by event grows with the links' size, with the same counts."""
+    from strata.operators import gold
+    links = spark.range(4000).selectExpr("id % 7 AS who", "IF(id % 50 = 0, NULL, id % 900) AS event")
+    events = spark.range(800).selectExpr("id AS event", "IF(id % 3 = 0, 'F', 'O') AS status")
+    who = spark.range(9).selectExpr("id AS entity")
+    ask = lambda: gold.activity(who, links, events, "entity", "who", "event", "status", "F", [])
+    few = ask()
+    monkeypatch.setattr(gold, "tasks_for", lambda df, f=gold.tasks_for: f(df, 1000))
+    many = ask()
+    assert gold.tasks_for(links) > 30 and f", {gold.tasks_for(links.where('event IS NOT NULL'))})" in _plan(many)
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
+    assert {r["entity"]: (r["total"], r["done"]) for r in few.collect()}[8] == (0, 0)
