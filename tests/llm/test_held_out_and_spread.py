@@ -120,6 +120,29 @@ def test_records_are_read_in_several_tasks(spark):
         assert sorted(map(tuple, read.select(columns).collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_postings_go_through_the_driver_in_the_smallest_integers():
+    """Parts in any order give all postings by term; a posting takes as few bytes as its values need."""
+    import pyarrow as pa
+
+    from strata.llm.toxicity import _postings, merge_segments
+    rng = np.random.default_rng(4)
+    parts, want = [], []
+    for lo, times in ((50, 3), (0, 900), (100, 2)):
+        term, number = rng.integers(lo, lo + 40, 600), np.arange(600)
+        n = rng.integers(1, times + 1, 600)
+        want += zip(term.tolist(), number.tolist(), n.tolist())
+        rows = pa.table({"terms": [term[:300], term[300:]], "numbers": pa.array([number[:300], number[300:]], pa.list_(pa.int32())),
+                         "times": pa.array([n[:300], n[300:]], pa.list_(pa.int32()))})
+        parts.append(merge_segments(rows))
+    assert len(parts[0]["numbers"][0].as_py()) == 1200 and len(parts[0]["times"][0].as_py()) == 600
+    assert len(parts[1]["times"][0].as_py()) == 1200
+    parts.append(merge_segments(rows.slice(0, 0)))
+    vocabulary, cut, example, code, values = _postings(pa.concat_tables(parts), 600)
+    term = np.repeat(vocabulary, np.diff(cut)).tolist()
+    got = zip(term, example.tolist(), np.rint(np.exp(values[code] - 1)).astype(int).tolist())
+    assert list(got) == sorted(want) and (np.diff(vocabulary.astype(np.int64)) > 0).all()
+
+
 def test_stage_drops_toxic_rows_by_id_and_text(spark, tmpdir_path):
     """Null ids, an id with two texts, repeated rows and extra columns (a map, a clashing name)."""
     from strata.llm import stages
