@@ -12,12 +12,7 @@ def count_at_most(size: Column, element: Callable[[Column], Column], value: Colu
                   finish: Callable[[Column], Column] = lambda n: n) -> Column:
     """How many elements of a sorted array are at most ``value``; ``element(i)`` is its i-th element (null beyond it).
     ``finish`` turns the count into the result.  A null value has none; a null array gives null."""
-    def middle(s: Column) -> Column:
-        return F.shiftright(s["lo"] + s["hi"], 1)
-
-    # the count lies between lo and hi; each step halves the gap
-    return F.aggregate(
-        F.sequence(F.lit(1), F.length(F.bin(size))), F.struct(F.lit(0).alias("lo"), size.alias("hi")),
-        lambda s, _: F.when(element(middle(s)) <= value, F.struct((middle(s) + 1).alias("lo"), s["hi"].alias("hi")))
-        .otherwise(F.struct(s["lo"].alias("lo"), middle(s).alias("hi"))),
-        lambda s: finish(s["lo"]))
+    # the count grows by falling powers of two while the element it reaches is at most the value; the state is one number
+    digits = F.length(F.bin(size))
+    steps = F.slice(F.array(*[F.lit(1 << i) for i in range(30, -1, -1)]), 32 - digits, digits)
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when(element(n + step - 1) <= value, n + step).otherwise(n), finish)

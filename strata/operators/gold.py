@@ -92,13 +92,14 @@ def interval_index(dim: DataFrame, key: str, sk: str, valid_from: str = "valid_f
     One row a key, 24 bytes a version: a dimension gains one version of a key a run at most."""
     version = F.struct(F.col(valid_from).alias("from"), F.col(valid_to).alias("to"), F.col(sk).cast("long").alias("sk"))
     return (dim.where(F.col(key).isNotNull()).groupBy(F.concat(F.lit("k"), F.col(key).cast("string")).alias("_key"))
-            .agg(F.array_sort(F.collect_list(version)).alias("_versions")))
+            .agg(F.sort_array(F.collect_list(version)).alias("_versions")))
 
 
 def version_at(versions: Column, t: Column) -> Column:
-    """The version with the last start at or before ``t`` if it is still valid then, else null: a binary search."""
-    found = count_at_most(F.size(versions), lambda i: F.get(versions, i)["from"], t, lambda n: F.get(versions, n - 1))
-    return F.when(t < found["to"], found)
+    """The version with the last start at or before ``t`` if it is still valid then, else null: a binary search, run once
+    (the end is compared inside it)."""
+    at = lambda i: F.get(versions, i)
+    return count_at_most(F.size(versions), lambda i: at(i)["from"], t, lambda n: F.when(t < at(n - 1)["to"], at(n - 1)))
 
 
 def _by_size(side: DataFrame, source: DataFrame) -> DataFrame:

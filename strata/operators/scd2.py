@@ -305,11 +305,11 @@ def from_changes(changes: DataFrame, spec: ScdSpec, ts_col: str, start_sk: int =
                  row_hash(spec.tracked, spec.hash_mode).alias(h)))
     order = [vf, h]
     laid = segments.lay_out(p, k, order, partitions)
-    kept = (segments.neighbours(laid, k, order, previous=[h])
-            .filter(F.col(segments.FIRST) | (F.col(f"__prev_{h}") != F.col(h)))
-            .select(*laid.columns).checkpoint(eager=True))
+    starts = (segments.neighbours(laid, k, order, previous=[h])
+              .filter(F.col(segments.FIRST) | (F.col(f"__prev_{h}") != F.col(h))).select(*laid.columns))
+    kept = segments.mark_following(starts, k, order, [vf]).checkpoint(eager=True)
     nxt = F.col(f"__next_{vf}")
-    v = segments.neighbours(kept, k, order, following=[vf]).select(
+    v = segments.following(kept, k, order, [vf]).select(
         *spec.payload, h, vf, F.coalesce(nxt, end_of_time(tt)).alias(spec.valid_to), nxt.isNull().alias(spec.is_current))
     # keys by (valid_from, key, hash): total, so same-instant versions of a key number the same way
     return assign_dense(v, [vf, k, h], spec.surrogate_key, start_sk).select(*spec.columns)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from strata.session import checkpoint_dir
 
 SEGMENT, EDGE = "__segment", "__edge"
-FIRST, LAST = "__is_first", "__is_last"
+FIRST, LAST, STOPS = "__is_first", "__is_last", "__stops"
 
 
 def lay_out(rows: DataFrame, key: str, order: list[str], partitions: int | None = None) -> DataFrame:
@@ -66,3 +66,19 @@ def neighbours(laid: DataFrame, key: str, order: list[str], previous: list[str]
         *[F.when(starts, F.col(f"__before.{c}")).otherwise(F.lag(c).over(seg)).alias(f"__prev_{c}") for c in previous],
         *[F.when(stops, F.col(f"__after.{c}")).otherwise(F.lead(c).over(seg)).alias(f"__next_{c}") for c in following],
         *[F.greatest(F.max(c).over(earlier), F.col(f"__carry_{c}")).alias(f"__top_{c}") for c in top])
+
+
+def mark_following(rows: DataFrame, key: str, order: list[str], following: list[str]) -> DataFrame:
+    """Rows that ``neighbours`` gave (all or some) with the next row's values inside their segment, ``__in_<c>``, and whether
+    they are their key's last there: in the same order and partitions, so that no row is shuffled or sorted again."""
+    seg = Window.partitionBy(SEGMENT, key).orderBy(*order)
+    return rows.select("*", *[F.lead(c).over(seg).alias(f"__in_{c}") for c in following],
+                       F.lead(F.lit(True)).over(seg).isNull().alias(STOPS))
+
+
+def following(marked: DataFrame, key: str, order: list[str], cols: list[str]) -> DataFrame:
+    """``marked`` (by ``mark_following``, checkpointed) with ``__next_<c>``: only a segment's last rows look beyond it."""
+    carries = _carries(marked, key, order, [], cols, [])
+    met = marked.join(F.broadcast(carries), F.col(STOPS) & (F.col(SEGMENT) == F.col("__of")) & F.col(key).eqNullSafe(F.col(EDGE)), "left")
+    return met.select(*[c for c in marked.columns if c != STOPS and c not in [f"__in_{c}" for c in cols]],
+                      *[F.when(F.col(STOPS), F.col(f"__after.{c}")).otherwise(F.col(f"__in_{c}")).alias(f"__next_{c}") for c in cols])

@@ -5,6 +5,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.operators import gold, rules as R
 from strata.operators.keys import assign_dense
@@ -63,6 +64,14 @@ def test_facts_are_neither_sorted_nor_windowed(spark):
     assert plan.count("ShuffledHashJoin") >= 2 and "SortMergeJoin" not in plan and "Window" not in plan and "NestedLoop" not in plan
 
 
+def test_a_version_is_searched_once(spark):
+    versions = F.expr("transform(sequence(1, 9), x -> named_struct('from', x * 2, 'to', x * 2 + if(x % 3 = 0, 1, 2), 'sk', x))")
+    df = spark.range(-1, 24).select("id", gold.version_at(versions, F.col("id"))["sk"].alias("sk"))
+    want = {i: next((x for x in range(1, 10) if 2 * x <= i < 2 * x + (1 if x % 3 == 0 else 2)), None) for i in range(-1, 24)}
+    assert {r.id: r.sk for r in df.collect()} == want
+    assert df._jdf.queryExecution().analyzed().toString().count("aggregate(") == 1
+
+
 def test_many_versions_of_one_key(spark):
     dim = spark.range(20_000).selectExpr("'k' AS k", "id AS sk", "timestamp_seconds(id * 10) AS valid_from", "timestamp_seconds(id * 10 + 7) AS valid_to")
     facts = spark.range(0, 210_000, 101).selectExpr("id", "'k' AS k", "timestamp_seconds(id) AS at")

@@ -1,5 +1,7 @@
 """Neighbours over cut keys against one window a key."""
 
+import re
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -42,3 +44,18 @@ def test_neighbours_after_a_filter_and_of_an_empty_table(spark):
     assert sorted(map(tuple, got.collect()), key=_key) == sorted(map(tuple, _expected(df.where(few)).collect()), key=_key)
     empty = segments.lay_out(df.where("t < 0"), "k", ["t"], 4)
     assert segments.neighbours(empty, "k", ["t"], previous=["v"]).count() == 0
+
+
+@pytest.mark.parametrize("partitions", [1, 9])
+def test_successors_of_kept_rows_need_no_second_sort(spark, partitions):
+    df = spark.range(0, 600).selectExpr("CASE WHEN id % 4 > 0 THEN 'h' ELSE concat('c', CAST(id % 7 AS STRING)) END AS k", "id AS t",
+                                        "CASE WHEN id BETWEEN 100 AND 400 THEN 1 ELSE id % 11 END AS v")
+    laid = segments.lay_out(df, "k", ["t"], partitions)
+    starts = (segments.neighbours(laid, "k", ["t"], previous=["v"]).where(f"{segments.FIRST} OR __prev_v != v").select(*laid.columns))
+    marked = segments.mark_following(starts, "k", ["t"], ["t"])
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(rf"Exchange hashpartitioning\({segments.SEGMENT}#\d+, k#", plan)) == 1
+    got = segments.following(marked.checkpoint(eager=True), "k", ["t"], ["t"]).select("k", "t", "__next_t").collect()
+    w = Window.partitionBy("k").orderBy("t")
+    kept = df.withColumn("p", F.lag("v").over(w)).where("p IS NULL OR p != v")
+    assert sorted(map(tuple, got), key=_key) == sorted(map(tuple, kept.select("k", "t", F.lead("t").over(w)).collect()), key=_key)
