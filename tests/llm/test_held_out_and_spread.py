@@ -163,3 +163,30 @@ def test_stage_drops_toxic_rows_by_id_and_text(spark, tmpdir_path):
     picks = {tuple(sorted(r["source"] for r in stages.near_dedup(spark, d, tmpdir_path).collect()))
              for d in (two.repartition(3), two.orderBy(F.desc("source")).coalesce(1))}
     assert len(picks) == 1 and len(next(iter(picks))) == 2
+
+
+def test_toxicity_model_travels_small_and_scores_alike():
+    import pickle
+
+    from strata.llm import toxicity as TX
+    r = np.random.default_rng(3)
+    n, terms = 400, 5000
+    sizes = r.integers(1, 20, terms)
+    cut = np.append(0, np.cumsum(sizes))
+    example = np.concatenate([np.sort(r.choice(n, s, False)) for s in sizes]).astype(np.uint16)
+    code = np.minimum(r.geometric(0.3, len(example)), 299).astype(np.uint16)
+    code[::997] = 299
+    values = 1 + np.log(np.arange(1, 301, dtype=float))
+    vocabulary = np.unique(r.integers(0, 1 << 63, terms + 50).astype(np.uint64))[:terms]
+    found = np.concatenate([r.choice(vocabulary, 900, False), r.integers(0, 1 << 63, 4000).astype(np.uint64)])
+    model = TX._model(np.arange(n), (np.arange(n) % 3 == 0).astype(float), vocabulary, cut, example, code, values, found,
+                      r.integers(2, 300, len(found)), 1000, 2, 5.0, 16, 0.5)
+    sent = pickle.dumps(model)
+    index = model.index
+    assert len(sent) < 0.75 * sum(v.nbytes for v in (model.keys, model.weight, model.number, index.cut, index.code, index.example, index.scale, index.column))
+    back = pickle.loads(sent)
+    for a, b in ((model.number, back.number), (index.cut, back.index.cut), (index.code, back.index.code), (index.scale, back.index.scale),
+                 (index.column, back.index.column), (index.starts, back.index.starts)):
+        assert np.array_equal(a, b)
+    query = (np.zeros(30, np.int64), np.sort(r.choice(terms, 30, False)), np.ones(30), 1, 5)
+    assert index.nearest_all(*query) == back.index.nearest_all(*query)
