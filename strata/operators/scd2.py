@@ -147,7 +147,9 @@ def next_rows(cur: DataFrame, src: DataFrame, spec: ScdSpec, run_ts, max_sk: int
     c = cur.select(*[F.col(x).alias(f"c_{x}") for x in cols])
     s = prepare(src, spec).select(*[F.col(x).alias(f"s_{x}") for x in spec.payload + [spec.hash_value]])
     j = c.join(s, F.col(f"c_{k}") == F.col(f"s_{k}"), "full_outer")
-    j = j.withColumn("_class", _class_expr(F.col(f"c_{spec.hash_value}"), F.col(f"s_{spec.hash_value}")))
+    # both kinds of rows read the join from its checkpoint: it and the snapshot are made once, the range sample of the keys included
+    checkpoint_dir(cur.sparkSession)
+    j = j.withColumn("_class", _class_expr(F.col(f"c_{spec.hash_value}"), F.col(f"s_{spec.hash_value}"))).checkpoint(eager=True)
     close = (F.col("_class") == "changed") | ((F.col("_class") == "missing") & F.lit(on_missing == "close"))
     old = j.filter(F.col(f"c_{k}").isNotNull()).select(
         *[F.col(f"c_{x}").alias(x) for x in cols if x not in (spec.valid_to, spec.is_current)],
