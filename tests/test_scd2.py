@@ -189,9 +189,9 @@ def test_two_runs_at_the_same_instant_are_caught(spark):
 
 
 def test_a_run_joins_current_rows_and_snapshot_once(spark):
-    """The rows of a run come from the stored join; the join itself is no part of their plan (old and new rows repeated it)."""
+    """The rows of a run come from the stored join; the join itself (as a left one for the old rows) is no part of their plan."""
     d = scd2.initial_load(snap(spark, [("a", "a1", "X"), ("b", "b1", "X")]), SPEC, D1)
     rows = scd2.next_rows(scd2.current(d, SPEC), snap(spark, [("a", "a2", "X"), ("c", "c1", "X")]), SPEC, D30, 2, "close", True)
-    assert "FullOuter" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Outer" not in rows._jdf.queryExecution().optimizedPlan().toString()
     assert sorted((r.code, r.sk, r.is_current, r._class) for r in rows.select(F.col(SPEC.business_key).alias("code"), F.col(SPEC.surrogate_key).alias("sk"), "is_current", "_class").collect()) == [
         ("a", 1, False, "changed"), ("a", 3, True, "changed"), ("b", 2, False, "missing"), ("c", 4, True, "new")]
