@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import byte_slices, discard, materialize, text_or_empty, utf8
+from strata.llm.common import byte_slices, discard, materialize, text_or_empty, tidy, utf8
 from strata.llm.components import components
 
 TREES, BYTES = 8, 512  # the most trees, and the byte values
@@ -85,7 +85,7 @@ def sketcher(words: int, slice_bytes: int, trees: int):
                      pa.array([m[1].tobytes() if m else None for m in made], pa.binary())],
                     names=["doc_id", "text_md5", "n", "digest", "coords", "bytes"])
 
-    return run
+    return tidy(run)
 
 
 def set_reader(words: int, slice_bytes: int, bits):
@@ -105,7 +105,7 @@ def set_reader(words: int, slice_bytes: int, bits):
                      pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
                     names=["doc_id", "digest", "shingles"])
 
-    return run
+    return tidy(run)
 
 
 def _likely(sk: np.ndarray, n: np.ndarray, rows: np.ndarray, percent: int, cut: float):
@@ -162,7 +162,7 @@ def comparer(percent: int, cut: float):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64()) for x in (left, right)], names=["a", "b"])
 
-    return run
+    return tidy(run)
 
 
 def open_vertices(percent: int, cut: float):
@@ -180,7 +180,7 @@ def open_vertices(percent: int, cut: float):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64()) for x in (keys, nodes)], names=["key", "node"])
 
-    return run
+    return tidy(run)
 
 
 def _joining_links(sk: np.ndarray, n: np.ndarray, label: np.ndarray, sets: list[np.ndarray], percent: int,
@@ -221,7 +221,7 @@ def verifier(percent: int, cut: float):
                     right.append(max(node[a], node[b]))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (left, right)], names=["a", "b"])
 
-    return run
+    return tidy(run)
 
 
 def in_blocks(rows: DataFrame, size, limit: int) -> DataFrame:

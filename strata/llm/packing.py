@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import byte_slices, discard, materialize, utf8
+from strata.llm.common import byte_slices, discard, materialize, tidy, utf8
 
 BINS, DIMS, BITS = 256, 4, 8
 
@@ -77,7 +77,7 @@ def tokenizer(path: str, end_id: int, slice_bytes: int, cache_words: int):
                      *(pa.array(place[:, d]) for d in range(DIMS))],
                     names=["doc_id", "ids", "n", *(f"p{d}" for d in range(DIMS))])
 
-    return run
+    return tidy(run)
 
 
 def curve_keys(cuts: np.ndarray):
@@ -89,7 +89,7 @@ def curve_keys(cuts: np.ndarray):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), batch.column("n"), key],
                                              names=["doc_id", "ids", "n", "curve"])
 
-    return run
+    return tidy(run)
 
 
 def running_start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +121,7 @@ def cutter(length: int, wide: bool, with_ids: bool):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, pa.binary() if c == "ids" else pa.int64()) for c, v in out.items()], names=list(out))
 
-    return run
+    return tidy(run)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2,

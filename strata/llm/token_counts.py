@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import byte_slices, utf8
+from strata.llm.common import byte_slices, tidy, utf8
 
 
 def counter(path: str, slice_bytes: int, cache_words: int):
@@ -34,7 +34,7 @@ def counter(path: str, slice_bytes: int, cache_words: int):
                      pa.array(np.fromiter((len(i) // enc.dtype.itemsize for i in enc.ids(texts)), np.int64, len(texts)))],
                     names=["doc_id", "n_bytes", "n_tokens"])
 
-    return run
+    return tidy(run)
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
